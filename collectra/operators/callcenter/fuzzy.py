@@ -26,7 +26,6 @@ from pyspark.sql.types import DoubleType
 
 from collectra.functions.columns import q
 from collectra.functions.text import name_tokens
-from collectra.operators.joins import broadcast_if_small
 from collectra.schemas import ALL_CENTERS, FUZZY_ACCEPT, FUZZY_FALLBACK
 
 UNASSIGNED = "SIN ASIGNAR"
@@ -58,7 +57,7 @@ def similar_token_pairs(agent_tokens: DataFrame, user_tokens: DataFrame, thresho
             .withColumn("els", _elements(F.col("t"))))
     freq = toks.select(F.explode("els").alias("e")).groupBy("e").agg(F.count(F.lit(1)).alias("f"))
     ranked = (toks.select("t", F.explode("els").alias("e"))
-              .join(broadcast_if_small(freq, 200_000), "e")
+              .join(freq, "e")
               .groupBy("t").agg(F.array_sort(F.collect_list(F.struct("f", "e"))).alias("srt")))
     need = F.ceil(F.size("srt") * F.lit(frac) - F.lit(1e-9)).cast("int")
     plen = F.greatest(F.size("srt") - need + 1, F.lit(1))
@@ -115,8 +114,9 @@ def fuzzy_agent_match(contacts: DataFrame, calls: DataFrame, accept: float = FUZ
     calls = calls.toDF(*[c.strip() for c in calls.columns])
     ucol = "Nombre_Usuario" if "Nombre_Usuario" in contacts.columns else "Usuario_Novedad"
     users = contacts.select(q(ucol).alias("u_name")).where(F.col("u_name").isNotNull()).distinct()
+    # one row per distinct user name; AQE broadcasts it at runtime when the
+    # measured size is small, otherwise this stays a shuffle join
     m = user_centers(users, agent_reference(calls), accept, fallback, centers)
-    m = broadcast_if_small(m, 200_000)
     out = contacts.join(m, q(ucol) == m.u_name, "left").drop("u_name")
     return out.withColumn("Call_Center", F.coalesce(q("Call_Center"), F.lit(UNASSIGNED)))
 

@@ -24,6 +24,7 @@ from collectra.schemas import (CONTACT_SCHEMA, ROLL_RATE_TABLE_COLUMNS)
 from collectra.session import fresh_path
 from collectra.sources import fixtures as fx
 from collectra.sources import landing, store
+from collectra.sources.materialize import materialized
 
 AS_OF = _dt.date.fromisoformat(fx.AS_OF_PORTFOLIO)
 AS_OF_PROMISES = _dt.date.fromisoformat(fx.AS_OF_PROMISES)
@@ -35,28 +36,38 @@ APPLICATION_STATES = ["F", "O", "P"]
 
 
 class T:
-    """Domain tables of one run (plans only; nothing is computed here)."""
+    """Domain tables of one run.
+
+    The cleaned domain tables (the "loaded sheets") are written once per
+    session and input folder to the shared root and re-read by every
+    downstream query, as a batch pipeline loads its report once and runs all
+    modules on it.  ``load_*`` queries and the fuzzy match itself build from
+    the raw tables so their own operators are what they measure.
+    """
 
     def __init__(self, spark: SparkSession, sf: str):
         self.spark, self.sf = spark, sf
 
+    def _m(self, name, build):
+        return materialized(self.spark, name, self.sf, build)
+
     def portfolio(self):
-        return fx.portfolio(self.spark, self.sf)
+        return self._m("portfolio", lambda: fx.portfolio(self.spark, self.sf))
 
     def portfolio_raw(self):
-        return fx.portfolio_raw(self.spark, self.sf)
+        return self._m("portfolio_raw", lambda: fx.portfolio_raw(self.spark, self.sf))
 
     def contacts(self):
-        return fx.contacts(self.spark, self.sf)
+        return self._m("contacts", lambda: fx.contacts(self.spark, self.sf))
 
     def calls(self):
-        return fx.calls(self.spark, self.sf)
+        return self._m("calls", lambda: fx.calls(self.spark, self.sf))
 
     def messages(self):
-        return fx.messages(self.spark, self.sf)
+        return self._m("messages", lambda: fx.messages(self.spark, self.sf))
 
     def applications(self):
-        return fx.applications(self.spark, self.sf)
+        return self._m("applications", lambda: fx.applications(self.spark, self.sf))
 
     def followup_base(self):
         return followups.followup_base(self.portfolio())
@@ -74,7 +85,7 @@ class T:
         return cl.call_scope(self.calls())
 
     def attributed(self):
-        return fuzzy.fuzzy_agent_match(self.contacts(), self.calls())
+        return self._m("attributed", lambda: fuzzy.fuzzy_agent_match(self.contacts(), self.calls()))
 
     def contact_detail(self):
         return followups.followup_detail(self.portfolio(), self.contacts())
@@ -100,27 +111,27 @@ def _t(spark, sf) -> T:
 # ---------------------------------------------------------------- 2.1 sources / sinks
 @query("load_portfolio")
 def _(spark, sf):
-    return _t(spark, sf).portfolio()
+    return fx.portfolio(spark, sf)
 
 
 @query("load_contacts")
 def _(spark, sf):
-    return _t(spark, sf).contacts()
+    return fx.contacts(spark, sf)
 
 
 @query("load_calls")
 def _(spark, sf):
-    return _t(spark, sf).calls()
+    return fx.calls(spark, sf)
 
 
 @query("load_messages")
 def _(spark, sf):
-    return _t(spark, sf).messages()
+    return fx.messages(spark, sf)
 
 
 @query("load_applications")
 def _(spark, sf):
-    return _t(spark, sf).applications()
+    return fx.applications(spark, sf)
 
 
 @query("scan_sheet")
@@ -490,7 +501,8 @@ def _(spark, sf):
 
 @query("fuzzy_agent_match")
 def _(spark, sf):
-    return _t(spark, sf).attributed().select("seq", "Nombre_Usuario", "Call_Center")
+    t = _t(spark, sf)
+    return fuzzy.fuzzy_agent_match(t.contacts(), t.calls()).select("seq", "Nombre_Usuario", "Call_Center")
 
 
 # ---------------------------------------------------------------- 2.5 aggregations
