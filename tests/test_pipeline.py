@@ -54,3 +54,18 @@ def test_streaming_ingest(spark):
     out = ingest_call_drops(spark, SF_SMALL)
     calls = fx.calls(spark, SF_SMALL).where(F.col("Call_Center_Limpio") != "SIN DATO").count()
     assert out.agg(F.sum("Total_Intentos")).first()[0] == calls
+
+
+def test_run_report(spark):
+    from collectra.plans.pipeline import run_report
+    root = fresh_path(spark, "test-report")
+    raw = {"portfolio": fx.portfolio_raw(spark, SF_SMALL), "contacts": fx.contacts_raw(spark, SF_SMALL),
+           "calls": fx.calls_raw(spark, SF_SMALL), "messages": fx.messages_raw(spark, SF_SMALL),
+           "applications": fx.applications_raw(spark, SF_SMALL)}
+    res = run_report(spark, raw, root, "job-x", "ACME", fx.AS_OF_PORTFOLIO, fx.AS_OF_PROMISES, min_year=1995)
+    assert res["errors"] == {}
+    assert "manifest" in res["outputs"]
+    m = store.read_manifest(spark, root).first()
+    assert m.active_job_id == "job-x" and m.creditos == fx.portfolio(spark, SF_SMALL).count()
+    z = store.read_summary(spark, root, "resultados/zona", "job-x")
+    assert z.count() > 0
