@@ -373,6 +373,11 @@ BODIES: dict[str, str] = {
     "cc_meta": f'SELECT count(*) AS total_cuentas, {msum(chr(34) + "META_UNIFICADA" + chr(34))} AS total_meta FROM unified',
     "call_totals": """SELECT count(*) AS total_llamadas, count_if("Estado_Llamada" = 'ANSWERED') AS con_respuesta,
         count(*) - count_if("Estado_Llamada" = 'ANSWERED') AS sin_respuesta FROM scalls""",
+    "call_chart": """SELECT 'CON RESPUESTA' AS "Tipo", count_if("Estado_Llamada" = 'ANSWERED') AS "Cantidad" FROM scalls
+        UNION ALL SELECT 'SIN RESPUESTA', count(*) - count_if("Estado_Llamada" = 'ANSWERED') FROM scalls""",
+    "msg_paying_clients": """SELECT count(DISTINCT pc."Cedula_Cliente") AS clientes_con_pago FROM conv c
+        JOIN phone_clients pc ON c."Tel_Norm" = pc."Tel" JOIN payers p ON pc."Cedula_Cliente" = p."Cedula_Cliente"
+        WHERE c."Tel_Norm" IN (SELECT "Tel" FROM phones)""",
     "call_effectiveness": """SELECT "Call_Center_Limpio" AS "Call_Center", count(*) AS "Total_Intentos",
         count_if("Estado_Llamada" = 'ANSWERED') AS "Con_Respuesta", count_if("Estado_Llamada" = 'ANSWERED') / count(*) AS "Efectividad"
         FROM scalls GROUP BY ALL""",

@@ -601,6 +601,11 @@ def _(spark, sf):
     return cl.call_totals(_t(spark, sf).scoped_calls())
 
 
+@query("call_chart")
+def _(spark, sf):
+    return cl.call_totals_long(_t(spark, sf).scoped_calls())
+
+
 @query("call_effectiveness")
 def _(spark, sf):
     return cl.call_effectiveness(_t(spark, sf).scoped_calls())
@@ -627,6 +632,12 @@ def _(spark, sf):
     return ms.msg_funnel(t.messages(), t.contacts(), t.cc_portfolio())
 
 
+@query("msg_paying_clients")
+def _(spark, sf):
+    t = _t(spark, sf)
+    return ms.paying_client_count(t.messages(), t.contacts(), t.cc_portfolio())
+
+
 @query("contacts_by_center")
 def _(spark, sf):
     return ct.contacts_by_center(_t(spark, sf).attributed())

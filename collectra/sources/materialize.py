@@ -9,23 +9,29 @@ survives the loss of the executors that computed it.
 from __future__ import annotations
 
 import hashlib
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
 from collectra.session import shared_path
 
 _DONE: dict = {}
+_LOCKS: dict = {}
+_GUARD = threading.Lock()
 
 
 def materialized(spark: SparkSession, name: str, key: str, build) -> DataFrame:
     """``build()`` written once per session under ``views/<name>-<hash(key)>``."""
     h = hashlib.sha1(f"{name}|{key}".encode()).hexdigest()[:16]
     memo = (id(spark), name, h)
-    path = _DONE.get(memo)
-    if path is None:
-        path = shared_path(spark, "views", f"{name}-{h}-{id(spark):x}")
-        build().write.mode("overwrite").parquet(path)
-        _DONE[memo] = path
+    with _GUARD:
+        lock = _LOCKS.setdefault(memo, threading.Lock())
+    with lock:  # concurrent callers wait for one writer
+        path = _DONE.get(memo)
+        if path is None:
+            path = shared_path(spark, "views", f"{name}-{h}-{id(spark):x}")
+            build().write.mode("overwrite").parquet(path)
+            _DONE[memo] = path
     return spark.read.parquet(path)
 
 
