@@ -37,36 +37,43 @@ def token_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)], dtype="float64")
 
 
-def _elements(t):
-    """Character occurrences of a token as ``char#k`` (k-th time the char appears)."""
+# Prefix-filter element order: letters from rarest to most common in
+# Spanish-language names; characters not listed sort first (rarer still).
+# Any fixed total order keeps the filter exact; rarity only prunes more.
+RARITY_ORDER = "wkxyqzjhfvbgpcmudtlsnoiera"
+
+
+def _prefix(t, frac: float):
+    """Prefix elements of a token under the global order.
+
+    Elements are character occurrences ``char#k`` (k-th time the char
+    appears).  A token of length L needs overlap >= ceil(frac * L) with any
+    partner reaching the threshold, so its first L - need + 1 elements are
+    enough for an exact equi-join.
+    """
     chars = F.split(t, "")
-    return F.transform(chars, lambda c, i: F.concat(
-        c, F.lit("#"), F.size(F.filter(F.slice(chars, 1, i + 1), lambda x: x == c)).cast("string")))
+    els = F.transform(chars, lambda c, i: F.struct(
+        F.instr(F.lit(RARITY_ORDER), c).alias("r"),
+        (-F.size(F.filter(F.slice(chars, 1, i + 1), lambda x: x == c))).alias("nk"),
+        c.alias("c")))
+    srt = F.array_sort(els)
+    need = F.ceil(F.size(srt) * F.lit(frac) - F.lit(1e-9)).cast("int")
+    plen = F.greatest(F.size(srt) - need + 1, F.lit(1))
+    return F.transform(F.slice(srt, 1, plen), lambda x: F.concat(x["c"], F.lit("#"), (-x["nk"]).cast("string")))
 
 
 def similar_token_pairs(agent_tokens: DataFrame, user_tokens: DataFrame, threshold: float) -> DataFrame:
     """All (ta, tu) with ratio(ta, tu) >= threshold, found without a cross join.
 
     ratio >= t needs overlap M >= t/2 (la+lb) and lb >= t/(2-t) la, hence
-    M >= ceil(t/(2-t) * la).  Prefix filtering with that bound per token and
-    a global order of elements (rarest first) is exact.
+    M >= ceil(t/(2-t) * la): prefix filtering with that bound per token is
+    exact, and the length bound prunes further before the ratio is computed.
     """
     frac = threshold / (2.0 - threshold)
-    toks = (agent_tokens.select(F.col("ta").alias("t"))
-            .unionByName(user_tokens.select(F.col("tu").alias("t"))).distinct()
-            .withColumn("els", _elements(F.col("t"))))
-    freq = toks.select(F.explode("els").alias("e")).groupBy("e").agg(F.count(F.lit(1)).alias("f"))
-    ranked = (toks.select("t", F.explode("els").alias("e"))
-              .join(freq, "e")
-              .groupBy("t").agg(F.array_sort(F.collect_list(F.struct("f", "e"))).alias("srt")))
-    need = F.ceil(F.size("srt") * F.lit(frac) - F.lit(1e-9)).cast("int")
-    plen = F.greatest(F.size("srt") - need + 1, F.lit(1))
-    prefix = ranked.select("t", F.length("t").alias("len"),
-                           F.explode(F.slice("srt", 1, plen)).alias("x")).select("t", "len", "x.e")
-    pa = prefix.join(agent_tokens.select(F.col("ta").alias("t")).distinct(), "t") \
-        .select(F.col("t").alias("ta"), F.col("len").alias("la"), "e")
-    pu = prefix.join(user_tokens.select(F.col("tu").alias("t")).distinct(), "t") \
-        .select(F.col("t").alias("tu"), F.col("len").alias("lb"), "e")
+    pa = (agent_tokens.select("ta").distinct()
+          .select("ta", F.length("ta").alias("la"), F.explode(_prefix(F.col("ta"), frac)).alias("e")))
+    pu = (user_tokens.select("tu").distinct()
+          .select("tu", F.length("tu").alias("lb"), F.explode(_prefix(F.col("tu"), frac)).alias("e")))
     cand = (pa.join(pu, "e")
             .where((F.col("lb") >= F.col("la") * frac - 1e-9) & (F.col("la") >= F.col("lb") * frac - 1e-9))
             .select("ta", "tu").distinct())
@@ -83,16 +90,19 @@ def agent_reference(calls: DataFrame, name_col: str = "Nombre_Call") -> DataFram
 
 def user_centers(users: DataFrame, agents: DataFrame, accept: float = FUZZY_ACCEPT,
                  fallback: float = FUZZY_FALLBACK, centers=ALL_CENTERS) -> DataFrame:
-    """Distinct user names (column ``u_name``) -> attributed centre."""
-    users = users.withColumn("u_tok", name_tokens(F.col("u_name")))
-    ua = users.select("u_name", F.explode("u_tok").alias("tu"))
-    aa = agents.select("a_name", "a_cc", F.explode("a_tok").alias("ta"))
-    hits = similar_token_pairs(aa.select("ta"), ua.select("tu"), fallback)
-    pairs = (hits.join(aa, "ta").join(ua, "tu").select("u_name", "a_name", "a_cc").distinct())
-    # score every candidate pair over all its token pairs
-    full = (pairs.join(agents, ["a_name", "a_cc"]).join(users.select("u_name", "u_tok"), "u_name")
-            .select("u_name", "a_name", "a_cc", F.size("a_tok").alias("na"),
-                    F.explode("a_tok").alias("ta"), "u_tok")
+    """Distinct user names (column ``u_name``) -> attributed centre.
+
+    Users without a candidate agent are absent (the caller defaults them)."""
+    users = users.withColumn("u_tok", name_tokens(F.col("u_name"))).where(F.size("u_tok") > 0)
+    ua = users.select("u_name", "u_tok", F.explode("u_tok").alias("tu"))
+    aa = agents.select("a_name", "a_cc", "a_tok", F.explode("a_tok").alias("ta"))
+    hits = similar_token_pairs(aa, ua, fallback).select("ta", "tu")
+    # candidate pairs carry both token arrays, so scoring needs no re-join
+    pairs = (hits.join(aa, "ta").join(ua, "tu")
+             .dropDuplicates(["u_name", "a_name", "a_cc"])
+             .select("u_name", "u_tok", "a_name", "a_cc", "a_tok"))
+    full = (pairs.select("u_name", "a_name", "a_cc", F.size("a_tok").alias("na"),
+                         F.explode("a_tok").alias("ta"), "u_tok")
             .select("u_name", "a_name", "a_cc", "na", "ta", F.explode("u_tok").alias("tu")))
     tp = full.select("ta", "tu").distinct().withColumn("r", token_ratio("ta", "tu"))
     best = (full.join(tp, ["ta", "tu"])
