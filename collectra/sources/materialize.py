@@ -10,11 +10,13 @@ from __future__ import annotations
 
 import hashlib
 import threading
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from collectra.session import shared_path
 
+_RUN = uuid.uuid4().hex[:12]  # distinguishes processes sharing the folder
 _DONE: dict = {}
 _LOCKS: dict = {}
 _GUARD = threading.Lock()
@@ -29,7 +31,7 @@ def materialized(spark: SparkSession, name: str, key: str, build) -> DataFrame:
     with lock:  # concurrent callers wait for one writer
         path = _DONE.get(memo)
         if path is None:
-            path = shared_path(spark, "views", f"{name}-{h}-{id(spark):x}")
+            path = shared_path(spark, "views", f"{name}-{h}-{_RUN}-{id(spark):x}")
             build().write.mode("overwrite").parquet(path)
             _DONE[memo] = path
     return spark.read.parquet(path)
