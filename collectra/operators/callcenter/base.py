@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from collectra.functions.agg import guarded_ratio, money_sum
 from collectra.functions.columns import q
 from collectra.functions.states import contact_state, payment_state
-from collectra.schemas import ALL_CENTERS
+from collectra.schemas import ALL_CENTERS, CON_GESTION, SIN_GESTION
 
 
 def callcenter_enrich(portfolio: DataFrame) -> DataFrame:
@@ -97,11 +97,17 @@ def cc_meta(unified: DataFrame) -> DataFrame:
                        money_sum(q("META_UNIFICADA")).alias("total_meta"))
 
 
-FRONT_FACETS = ["Empresa", "Zona", "Regional_Cobro", "CALL_CENTER_FILTRO", "Franja_Meta", "Estado_Vigencia"]
+FRONT_FACETS = [("empresas", "Empresa"), ("zonas", "Zona"), ("regionales", "Regional_Cobro"),
+                ("call_centers", "CALL_CENTER_FILTRO"), ("franjas", "Franja_Meta"),
+                ("estados_vigencia", "Estado_Vigencia")]
 
 
 def facet_values_cc(detail: DataFrame) -> DataFrame:
-    """Distinct values per facet of the call-centre detail, NULLs kept."""
-    pairs = [F.struct(F.lit(c).alias("facet"), q(c).cast("string").alias("value"))
-             for c in FRONT_FACETS if c in detail.columns]
-    return detail.select(F.explode(F.array(*pairs)).alias("p")).select("p.facet", "p.value").distinct()
+    """Distinct values per facet of the call-centre detail, NULLs kept, plus
+    the fixed contact-state list."""
+    pairs = [F.struct(F.lit(name).alias("facet"), q(c).cast("string").alias("value"))
+             for name, c in FRONT_FACETS if c in detail.columns]
+    fixed = detail.sparkSession.createDataFrame(
+        [("estados_gestion", CON_GESTION), ("estados_gestion", SIN_GESTION)], "facet string, value string")
+    return (detail.select(F.explode(F.array(*pairs)).alias("p")).select("p.facet", "p.value").distinct()
+            .unionByName(fixed))

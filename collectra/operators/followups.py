@@ -60,11 +60,14 @@ def valid_assignment(merged: DataFrame) -> DataFrame:
     return merged.where(~((q("Estado_Gestion") == CON_GESTION) & (q("Cargo_Usuario") == UNASSIGNED)))
 
 
-def sunburst(merged: DataFrame, payment: str | None = None, dims=DIMS_FOLLOWUPS) -> DataFrame:
+def sunburst(merged: DataFrame, payment: str | None = None, dims=DIMS_FOLLOWUPS, sort: bool = False) -> DataFrame:
+    """Loans per contact state and role (valid assignments only); the main
+    chart (no payment filter) is ordered by count, largest first."""
     df = merged if payment is None else merged.where(q("Estado_Pago") == payment)
-    return (valid_assignment(df)
-            .groupBy(*_dims(df, dims), q("Estado_Gestion"), q("Cargo_Usuario"))
-            .agg(F.count(F.lit(1)).alias("Cantidad")))
+    out = (valid_assignment(df)
+           .groupBy(*_dims(df, dims), q("Estado_Gestion"), q("Cargo_Usuario"))
+           .agg(F.count(F.lit(1)).alias("Cantidad")))
+    return out.orderBy(F.col("Cantidad").desc()) if sort else out
 
 
 def contacts_per_role(contacts: DataFrame) -> DataFrame:

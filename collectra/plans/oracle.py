@@ -409,9 +409,10 @@ BODIES: dict[str, str] = {
         UNION ALL SELECT 'estados_vigencia', 'vigente' UNION ALL SELECT 'estados_vigencia', 'vencido'
         UNION ALL SELECT 'estados_vigencia', 'anticipado'""",
     "facet_values_cc": """SELECT DISTINCT facet, value FROM (
-        SELECT 'Empresa' AS facet, "Empresa" AS value FROM mdetail UNION ALL SELECT 'Zona', "Zona" FROM mdetail
-        UNION ALL SELECT 'Regional_Cobro', "Regional_Cobro" FROM mdetail UNION ALL SELECT 'CALL_CENTER_FILTRO', "CALL_CENTER_FILTRO" FROM mdetail
-        UNION ALL SELECT 'Franja_Meta', "Franja_Meta" FROM mdetail UNION ALL SELECT 'Estado_Vigencia', "Estado_Vigencia" FROM mdetail)""",
+        SELECT 'empresas' AS facet, "Empresa" AS value FROM mdetail UNION ALL SELECT 'zonas', "Zona" FROM mdetail
+        UNION ALL SELECT 'regionales', "Regional_Cobro" FROM mdetail UNION ALL SELECT 'call_centers', "CALL_CENTER_FILTRO" FROM mdetail
+        UNION ALL SELECT 'franjas', "Franja_Meta" FROM mdetail UNION ALL SELECT 'estados_vigencia', "Estado_Vigencia" FROM mdetail)
+        UNION ALL SELECT 'estados_gestion', 'CON GESTIÓN' UNION ALL SELECT 'estados_gestion', 'SIN GESTIÓN'""",
     # 2.7
     "search_text": """SELECT "Credito", seq, "Nombre_Cliente" FROM detail WHERE contains(lower("Nombre_Cliente"), 'customer#0000001')
         OR contains(lower("Cedula_Cliente"), 'customer#0000001') OR contains(lower("Credito"), 'customer#0000001')

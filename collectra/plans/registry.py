@@ -548,7 +548,7 @@ def _(spark, sf):
 
 @query("sunburst_all")
 def _(spark, sf):
-    return followups.sunburst(_t(spark, sf).merged())
+    return followups.sunburst(_t(spark, sf).merged(), sort=True)
 
 
 @query("sunburst_paid")
