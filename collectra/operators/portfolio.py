@@ -49,7 +49,7 @@ def cube_disbursement(df: DataFrame, as_of, dims=DIMS_PORTFOLIO, min_year: int =
     keys = _dims(df, dims)
     yr = F.year(q("Fecha_Desembolso"))
     return (df.where(q("Fecha_Desembolso").isNotNull() & yr.between(min_year, as_of.year))
-            .withColumn("Año_Desembolso", yr)
+            .withColumn("Año_Desembolso", yr.cast("long"))
             .groupBy(*[q(k) for k in keys + ["Año_Desembolso", "Franja_Meta"]])
             .agg(F.round(F.coalesce(F.sum(q("Valor_Desembolso").cast("decimal(24,3)")), F.lit(0)), 0)
                  .cast("long").alias("Valor_Desembolso")))

@@ -39,7 +39,7 @@ def _goal(f: str) -> str:
 
 
 BASE = f"""
-li AS (SELECT l_orderkey, count_if(l_linestatus = 'F') AS nf,
+li AS (SELECT l_orderkey, count(*) FILTER (WHERE l_linestatus = 'F') AS nf,
               sum(CASE WHEN l_returnflag = 'N' THEN CAST(l_extendedprice AS DECIMAL(18,2)) END) AS paid,
               max(l_shipdate) AS ship
        FROM lineitem GROUP BY l_orderkey),
@@ -242,8 +242,8 @@ BODIES: dict[str, str] = {
           {msum('"Meta_T.R_$"')} AS "Recaudo_Meta_Total" FROM rscope GROUP BY ALL) x,
         LATERAL (SELECT CASE WHEN x."Meta_Total" > 0 THEN x."Recaudo_Total" / x."Meta_Total" ELSE 0.0 END AS "Cumplimiento_%") y""",
     "read_summary": """SELECT "Call_Center_Limpio" AS "Call_Center", count(*) AS "Total_Intentos",
-        count_if("Estado_Llamada" = 'ANSWERED') AS "Con_Respuesta",
-        count_if("Estado_Llamada" = 'ANSWERED') / count(*) AS "Efectividad", 'call_center' AS meta_modulo, 'job-0001' AS job_id
+        count(*) FILTER (WHERE "Estado_Llamada" = 'ANSWERED') AS "Con_Respuesta",
+        count(*) FILTER (WHERE "Estado_Llamada" = 'ANSWERED') / count(*) AS "Efectividad", 'call_center' AS meta_modulo, 'job-0001' AS job_id
         FROM scalls GROUP BY ALL""",
     "export_filtered": f"""SELECT "Credito", "Cedula_Cliente", "Zona", "Total_Recaudo", "Estado_Pago", {d('Fecha_Cuota_Vigente')}
         FROM fbase WHERE "Zona" IN ('CL1','CL2','CL3')""",
@@ -254,7 +254,7 @@ BODIES: dict[str, str] = {
     "active_manifest": """SELECT count(*) AS creditos, count(DISTINCT "Cedula_Cliente") AS clientes, 'job-0001' AS active_job_id,
         '2001-08-01T12:00:00' AS fecha_actualizacion, 'ACME' AS empresa, 'ready' AS status FROM portfolio""",
     "ingest_new_drops": """SELECT "Call_Center_Limpio" AS "Call_Center", count(*) AS "Total_Intentos",
-        count_if("Estado_Llamada" = 'ANSWERED') AS "Con_Respuesta" FROM scalls GROUP BY ALL""",
+        count(*) FILTER (WHERE "Estado_Llamada" = 'ANSWERED') AS "Con_Respuesta" FROM scalls GROUP BY ALL""",
     # 2.2
     "parse_mixed_dates": """SELECT event_id, raw, strftime(CAST(coalesce(try_strptime(substr(raw, 1, 10), '%Y-%m-%d'),
             try_strptime(raw, '%Y-%m-%d %H:%M:%S'), try_strptime(replace(substr(raw, 1, 10), '/', '-'), '%Y-%m-%d')) AS DATE), '%Y-%m-%d') AS parsed
@@ -298,7 +298,7 @@ BODIES: dict[str, str] = {
         WHEN "Fecha_Compromiso" < DATE '2024-01-15' THEN 'ACUERDOS VENCIDOS' ELSE 'ACUERDOS VIGENTES' END AS "Estado_Acuerdo"
         FROM contacts WHERE upper("Tipo_Novedad") LIKE '%COMPROMISO%'""",
     "guard_numeric": """SELECT "Credito", coalesce("Meta_$", 0.0) AS "Meta_$", coalesce("Recaudo_Meta", 0.0) AS "Recaudo_Meta",
-        coalesce("Valor_Cuota_Vigente", 0.0) AS "Valor_Cuota_Vigente", 0.0 AS "Valor_Vencido" FROM portfolio""",
+        coalesce("Valor_Cuota_Vigente", 0.0) AS "Valor_Cuota_Vigente", CAST(0 AS DOUBLE) AS "Valor_Vencido" FROM portfolio""",
     "default_dims": """SELECT "Credito", 'SIN EMPRESA' AS "Empresa", "Call_Center_Apoyo" AS "CALL_CENTER_FILTRO", "Regional_Cobro",
         'SIN FRANJA' AS "Franja_Cartera", "Estado_Vigencia" FROM portfolio""",
     "dates_to_text": f"SELECT seq, {d('Fecha_Novedad')}, {d('Fecha_Compromiso')} FROM contacts",
@@ -312,8 +312,8 @@ BODIES: dict[str, str] = {
     "valid_assignment": """SELECT "Credito", "Cargo_Usuario", "Estado_Gestion" FROM merged2
         WHERE NOT ("Estado_Gestion" = 'CON GESTIÓN' AND "Cargo_Usuario" = 'SIN ASIGNAR')""",
     "application_summary": 'SELECT "Nombre_Vendedor", "Estado", "Regional_Venta", "Analista_Asociado" FROM applications',
-    "application_matrix": """SELECT "Nombre_Vendedor", count_if("Estado" = 'F') AS "F", count_if("Estado" = 'O') AS "O",
-        count_if("Estado" = 'P') AS "P" FROM applications GROUP BY ALL""",
+    "application_matrix": """SELECT "Nombre_Vendedor", count(*) FILTER (WHERE "Estado" = 'F') AS "F", count(*) FILTER (WHERE "Estado" = 'O') AS "O",
+        count(*) FILTER (WHERE "Estado" = 'P') AS "P" FROM applications GROUP BY ALL""",
     # 2.4
     "join_client_roles": 'SELECT "Credito", "Cedula_Cliente", "Cargo_Usuario" FROM merged2',
     "join_contacts_per_role": 'SELECT "Credito", "Cargo_Usuario", "Novedades_Por_Cargo" FROM merged3',
@@ -359,8 +359,8 @@ BODIES: dict[str, str] = {
     "sunburst_paid": _sunburst("AND \"Estado_Pago\" = 'PAGO'"),
     "sunburst_unpaid": _sunburst("AND \"Estado_Pago\" = 'SIN PAGO'"),
     "contacts_per_role": 'SELECT * FROM per_role',
-    "vintage_sections": """SELECT count_if("Grupo_Seguimiento" = 'SECCION_1_SIN_PAGO') AS s1,
-        count_if("Grupo_Seguimiento" = 'SECCION_2_FALLO_2DA') AS s2, count_if("Grupo_Seguimiento" = 'SECCION_3_FALLO_3RA_PLUS') AS s3,
+    "vintage_sections": """SELECT count(*) FILTER (WHERE "Grupo_Seguimiento" = 'SECCION_1_SIN_PAGO') AS s1,
+        count(*) FILTER (WHERE "Grupo_Seguimiento" = 'SECCION_2_FALLO_2DA') AS s2, count(*) FILTER (WHERE "Grupo_Seguimiento" = 'SECCION_3_FALLO_3RA_PLUS') AS s3,
         count(*) AS total_cosechas FROM vint""",
     "refinance_total": "SELECT count(*) AS total_retanqueos FROM refi",
     "management_base": "SELECT * FROM unified",
@@ -371,22 +371,22 @@ BODIES: dict[str, str] = {
         FROM unified GROUP BY ALL)""",
     "roll_rate_cc": 'SELECT "Rodamiento", count(*) AS "count" FROM unified GROUP BY ALL',
     "cc_meta": f'SELECT count(*) AS total_cuentas, {msum(chr(34) + "META_UNIFICADA" + chr(34))} AS total_meta FROM unified',
-    "call_totals": """SELECT count(*) AS total_llamadas, count_if("Estado_Llamada" = 'ANSWERED') AS con_respuesta,
-        count(*) - count_if("Estado_Llamada" = 'ANSWERED') AS sin_respuesta FROM scalls""",
-    "call_chart": """SELECT 'CON RESPUESTA' AS "Tipo", count_if("Estado_Llamada" = 'ANSWERED') AS "Cantidad" FROM scalls
-        UNION ALL SELECT 'SIN RESPUESTA', count(*) - count_if("Estado_Llamada" = 'ANSWERED') FROM scalls""",
+    "call_totals": """SELECT count(*) AS total_llamadas, count(*) FILTER (WHERE "Estado_Llamada" = 'ANSWERED') AS con_respuesta,
+        count(*) - count(*) FILTER (WHERE "Estado_Llamada" = 'ANSWERED') AS sin_respuesta FROM scalls""",
+    "call_chart": """SELECT 'CON RESPUESTA' AS "Tipo", count(*) FILTER (WHERE "Estado_Llamada" = 'ANSWERED') AS "Cantidad" FROM scalls
+        UNION ALL SELECT 'SIN RESPUESTA', count(*) - count(*) FILTER (WHERE "Estado_Llamada" = 'ANSWERED') FROM scalls""",
     "msg_paying_clients": """SELECT count(DISTINCT pc."Cedula_Cliente") AS clientes_con_pago FROM conv c
         JOIN phone_clients pc ON c."Tel_Norm" = pc."Tel" JOIN payers p ON pc."Cedula_Cliente" = p."Cedula_Cliente"
         WHERE c."Tel_Norm" IN (SELECT "Tel" FROM phones)""",
     "call_effectiveness": """SELECT "Call_Center_Limpio" AS "Call_Center", count(*) AS "Total_Intentos",
-        count_if("Estado_Llamada" = 'ANSWERED') AS "Con_Respuesta", count_if("Estado_Llamada" = 'ANSWERED') / count(*) AS "Efectividad"
+        count(*) FILTER (WHERE "Estado_Llamada" = 'ANSWERED') AS "Con_Respuesta", count(*) FILTER (WHERE "Estado_Llamada" = 'ANSWERED') / count(*) AS "Efectividad"
         FROM scalls GROUP BY ALL""",
     "call_threshold": 'SELECT count(DISTINCT "Call_Center_Limpio") * 30 AS alerta_umbral FROM scalls',
     "calls_by_day": """SELECT strftime("Fecha_Llamada", '%Y-%m-%d') AS "Fecha",
         CASE WHEN "Estado_Llamada" = 'ANSWERED' THEN 'CON RESPUESTA' ELSE 'SIN RESPUESTA' END AS "Estado_Respuesta",
         count(*) AS "Total_Llamadas" FROM scalls WHERE "Fecha_Llamada" IS NOT NULL GROUP BY ALL""",
-    "msg_effectiveness": """SELECT "Call_Center" AS name, count(*) AS entregados, count_if("Es_Conversacion") AS conversaciones,
-        CASE WHEN count(*) > 0 THEN count_if("Es_Conversacion") / count(*) * 100 ELSE 0.0 END AS porcentaje FROM vmsg GROUP BY ALL""",
+    "msg_effectiveness": """SELECT "Call_Center" AS name, count(*) AS entregados, count(*) FILTER (WHERE "Es_Conversacion") AS conversaciones,
+        CASE WHEN count(*) > 0 THEN count(*) FILTER (WHERE "Es_Conversacion") / count(*) * 100 ELSE 0.0 END AS porcentaje FROM vmsg GROUP BY ALL""",
     "msg_funnel": """SELECT 0 AS stage, 'Mensajes Entregados' AS name, (SELECT count(*) FROM vmsg) AS value
         UNION ALL SELECT 1, 'Conversaciones', (SELECT count(*) FROM conv)
         UNION ALL SELECT 2, 'Gestión en Sistema', (SELECT count(*) FROM conv WHERE "Tel_Norm" IN (SELECT "Tel" FROM phones))
@@ -399,7 +399,7 @@ BODIES: dict[str, str] = {
         WHEN "Fecha_Compromiso" < DATE '2024-01-15' THEN 'ACUERDOS VENCIDOS' ELSE 'ACUERDOS VIGENTES' END AS "Estado_Acuerdo",
         count(*) AS "Cantidad" FROM attributed WHERE upper("Tipo_Novedad") LIKE '%COMPROMISO%' AND "Call_Center" <> 'SIN ASIGNAR'
         GROUP BY ALL""",
-    "contact_kpis": """SELECT count(*) AS total, count_if("Call_Center" = 'SIN ASIGNAR') AS sin_asignar,
+    "contact_kpis": """SELECT count(*) AS total, count(*) FILTER (WHERE "Call_Center" = 'SIN ASIGNAR') AS sin_asignar,
         coalesce((SELECT "Tipo_Novedad" FROM attributed GROUP BY ALL ORDER BY count(*) DESC, "Tipo_Novedad" LIMIT 1), 'N/A') AS top_tipo
         FROM attributed""",
     "facet_values": """SELECT DISTINCT facet, value FROM (
@@ -462,15 +462,15 @@ BODIES["live_cc_metrics"] = """WITH scope AS (SELECT * FROM portfolio WHERE "Fra
     SELECT 'total_cuentas' AS metric, CAST((SELECT count(*) FROM u) AS DOUBLE) AS value
     UNION ALL SELECT 'total_meta', (SELECT """ + msum("meta") + """ FROM u)
     UNION ALL SELECT 'total_llamadas', CAST((SELECT count(*) FROM cal) AS DOUBLE)
-    UNION ALL SELECT 'con_respuesta', CAST((SELECT count_if("Estado_Llamada" = 'ANSWERED') FROM cal) AS DOUBLE)
-    UNION ALL SELECT 'sin_respuesta', CAST((SELECT count(*) - count_if("Estado_Llamada" = 'ANSWERED') FROM cal) AS DOUBLE)
+    UNION ALL SELECT 'con_respuesta', CAST((SELECT count(*) FILTER (WHERE "Estado_Llamada" = 'ANSWERED') FROM cal) AS DOUBLE)
+    UNION ALL SELECT 'sin_respuesta', CAST((SELECT count(*) - count(*) FILTER (WHERE "Estado_Llamada" = 'ANSWERED') FROM cal) AS DOUBLE)
     UNION ALL SELECT 'funnel_0', CAST((SELECT count(*) FROM vmsg) AS DOUBLE)
     UNION ALL SELECT 'funnel_1', CAST((SELECT count(*) FROM conv) AS DOUBLE)
     UNION ALL SELECT 'funnel_2', CAST((SELECT count(*) FROM conv WHERE "Tel_Norm" IN (SELECT "Tel" FROM ph)) AS DOUBLE)
     UNION ALL SELECT 'funnel_3', CAST((SELECT count(*) FROM conv c JOIN pcl ON c."Tel_Norm" = pcl."Tel"
         JOIN pay ON pcl."Cedula_Cliente" = pay."Cedula_Cliente" WHERE c."Tel_Norm" IN (SELECT "Tel" FROM ph)) AS DOUBLE)
     UNION ALL SELECT 'total', CAST((SELECT count(*) FROM natt) AS DOUBLE)
-    UNION ALL SELECT 'sin_asignar', CAST((SELECT count_if(cc = 'SIN ASIGNAR') FROM natt) AS DOUBLE)"""
+    UNION ALL SELECT 'sin_asignar', CAST((SELECT count(*) FILTER (WHERE cc = 'SIN ASIGNAR') FROM natt) AS DOUBLE)"""
 
 
 def oracle_sql() -> dict[str, str]:
