@@ -124,7 +124,7 @@ messages AS (
   SELECT event_id AS seq, CAST(ts AS DATE) AS "Fecha_Mensaje", '300' || CAST(user_id AS VARCHAR) || '.0' AS "Numero_Telefono",
     CASE event_type WHEN 'view' THEN ' Text' WHEN 'click' THEN 'audio' WHEN 'error' THEN NULL ELSE 'template' END AS "Tipo_Respuesta_Agente",
     CASE WHEN user_id % 11 = 10 THEN 'SIN DATO' ELSE 'CL' || CAST(user_id % 9 + 1 AS VARCHAR) END AS "Call_Center"
-  FROM events WHERE event_id % 2 = 0),
+  FROM events),
 vmsg AS (
   SELECT *, coalesce(lower(trim("Tipo_Respuesta_Agente")) IN ('text', 'audio'), false) AS "Es_Conversacion"
   FROM messages WHERE "Call_Center" IS NOT NULL AND upper("Call_Center") <> 'SIN DATO' AND "Call_Center" <> ''),
