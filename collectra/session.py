@@ -17,12 +17,16 @@ _CKPT_KEY = "spark.checkpoint.dir"
 
 
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
-                  app_name: str = "collectra") -> SparkSession:
+                  app_name: str = "collectra", partition_mb: int = 128) -> SparkSession:
     """Session with AQE (coalescing + skew-join splitting) and UTC time.
 
     ``shuffle_partitions`` is the pre-AQE upper bound; AQE coalesces small
-    partitions at runtime, so on a cluster this is set to roughly
-    input_bytes / 128 MB and left to AQE to shrink.
+    partitions at runtime towards ``partition_mb`` and splits skewed join
+    partitions, so on a cluster it is set to roughly
+    largest_shuffle_bytes / partition_mb (e.g. 100 TB / 128 MB ~ 800k is too
+    many tasks per stage; 20-50k with 2-5 GB per partition before AQE
+    coalescing is the usual range) and left to AQE to shrink.
+    Scan splits follow ``spark.sql.files.maxPartitionBytes`` (same size).
     """
     b = SparkSession.builder.appName(app_name)
     if master:
@@ -33,6 +37,8 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "3")
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", f"{partition_mb}m")
+        .config("spark.sql.files.maxPartitionBytes", f"{partition_mb}m")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
