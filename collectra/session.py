@@ -20,12 +20,10 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
                   app_name: str = "collectra", partition_mb: int = 128) -> SparkSession:
     """Session with AQE (coalescing + skew-join splitting) and UTC time.
 
-    ``shuffle_partitions`` is the pre-AQE upper bound; AQE coalesces small
-    partitions at runtime towards ``partition_mb`` and splits skewed join
-    partitions, so on a cluster it is set to roughly
-    largest_shuffle_bytes / partition_mb (e.g. 100 TB / 128 MB ~ 800k is too
-    many tasks per stage; 20-50k with 2-5 GB per partition before AQE
-    coalescing is the usual range) and left to AQE to shrink.
+    ``shuffle_partitions`` is the pre-AQE upper bound: set it to about the
+    largest shuffle stage's bytes / ``partition_mb`` (for a stage shuffling
+    10 TB at 128 MB, ~80k); AQE then coalesces small partitions towards
+    ``partition_mb`` and splits skewed join partitions at runtime.
     Scan splits follow ``spark.sql.files.maxPartitionBytes`` (same size).
     """
     b = SparkSession.builder.appName(app_name)
