@@ -57,9 +57,13 @@ def latest_contact(contacts: DataFrame, order_col: str = "seq") -> DataFrame:
     row_number window would sort all its rows in one partition).
     """
     cols = [c for c in ["Tipo_Novedad", "Novedad"] if c in contacts.columns]
+    if order_col in contacts.columns:
+        key = q(order_col)
+    else:  # no sequence column (landed sheet): latest contact date, then values
+        key = F.struct(*[q(c) for c in ["Fecha_Novedad"] + cols if c in contacts.columns])
     return (contacts.where(q("Cedula_Cliente").isNotNull())
             .groupBy("Cedula_Cliente")
-            .agg(F.max_by(F.struct(*[q(c) for c in cols]), q(order_col)).alias("_last"))
+            .agg(F.max_by(F.struct(*[q(c) for c in cols]), key).alias("_last"))
             .select("Cedula_Cliente", *[F.col(f"_last.{c}").alias(c) for c in cols]))
 
 

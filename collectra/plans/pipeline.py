@@ -121,3 +121,34 @@ def run_report(spark: SparkSession, raw: dict, root: str, job_id: str, empresa:
         out["manifest"] = store.write_manifest(spark, root, job_id, empresa,
                                                _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None), stats)
     return {"outputs": out, "errors": errors}
+
+
+SHEETS = {"portfolio": "Analisis_de_Cartera", "contacts": "Detalle_Novedades", "calls": "Reporte_Llamadas",
+          "messages": "Reporte_Mensajes", "applications": "FNZ007"}
+
+
+def read_landed_report(spark: SparkSession, landing_dir: str, fmt: str = "csv") -> dict:
+    """The five sheets of one landed report (``<landing_dir>/<sheet name>/``),
+    read as text with the declared schemas (no inference)."""
+    from collectra.schemas import (APPLICATION_SCHEMA, CALL_SCHEMA, CONTACT_SCHEMA, MESSAGE_SCHEMA,
+                                   PORTFOLIO_SCHEMA)
+    from collectra.sources.landing import scan_sheet
+    from pyspark.sql import types as T
+
+    def text_dates(schema):  # raw sheets keep dates as text; cleaning parses them
+        return T.StructType([T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.DateType)
+                                           else f.dataType) for f in schema.fields])
+    schemas = {"portfolio": text_dates(PORTFOLIO_SCHEMA), "contacts": text_dates(CONTACT_SCHEMA),
+               "calls": text_dates(CALL_SCHEMA), "messages": text_dates(MESSAGE_SCHEMA),
+               "applications": APPLICATION_SCHEMA}
+    # the instalment text column is parsed by the cleaning step, keep it text
+    schemas["portfolio"] = T.StructType([f if f.name != "Valor_Cuota_Vigente" else
+                                         T.StructField(f.name, T.StringType()) for f in schemas["portfolio"].fields])
+    return {k: scan_sheet(spark, f"{landing_dir.rstrip('/')}/{SHEETS[k]}", schemas[k], fmt=fmt)
+            for k in SHEETS}
+
+
+def run_landed_report(spark: SparkSession, landing_dir: str, root: str, job_id: str, empresa: str,
+                      as_of, promises_as_of=None, **kw) -> dict:
+    return run_report(spark, read_landed_report(spark, landing_dir), root, job_id, empresa, as_of,
+                      promises_as_of, **kw)
