@@ -17,8 +17,6 @@ ratio runs in an Arrow-batched pandas UDF on distinct token pairs only.
 
 from __future__ import annotations
 
-import math
-
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -130,7 +128,3 @@ def fuzzy_agent_match(contacts: DataFrame, calls: DataFrame, accept: float = FUZ
     out = contacts.join(m, q(ucol) == m.u_name, "left").drop("u_name")
     return out.withColumn("Call_Center", F.coalesce(q("Call_Center"), F.lit(UNASSIGNED)))
 
-
-def _check_fraction():
-    # t/(2-t) for the default fallback threshold is 3/7
-    assert math.isclose(FUZZY_FALLBACK / (2 - FUZZY_FALLBACK), 3 / 7)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from collectra.functions import amounts, states
-from collectra.functions.columns import ensure_columns, guard_numeric, project_existing, q, trim_column_names
+from collectra.functions.columns import guard_numeric, project_existing, q, trim_column_names
 from collectra.functions.dates import dates_to_text, mixed_date
 from collectra.functions.text import name_tokens, normalize_phone, strip_ws
 from collectra.operators import cleaning, commercial, followups, portfolio as pf, results, search
@@ -741,7 +741,3 @@ def _(spark, sf):
     t = _t(spark, sf)
     req = _search_req(call_center=["CL1", "CL2", "CL5"], franja=["AL DIA", "1 A 30", "31 A 90"])
     return live_cc_metrics(t.portfolio(), t.contacts(), t.calls(), t.messages(), req)
-
-
-def ensure_contact_columns(df: DataFrame) -> DataFrame:
-    return ensure_columns(df, {"Cargo_Usuario": F.lit(None).cast("string")})

@@ -7,7 +7,6 @@ do we create one of our own.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -73,6 +72,3 @@ def fresh_path(spark: SparkSession, *parts: str) -> str:
     """A new, unused path under the shared root (one per run)."""
     return shared_path(spark, *parts, uuid.uuid4().hex)
 
-
-def local_path_exists(path: str) -> bool:
-    return os.path.exists(path.replace("file:", ""))

@@ -115,6 +115,16 @@ def read_manifest(spark: SparkSession, root: str, schema: T.StructType | None =
     return r.json(f"{root}/config/reporte_activo")
 
 
+def drop_reason(name, length, pattern: str = DROP_NAME_PATTERN, extensions=(".xlsx",),
+                max_bytes: int = MAX_DROP_BYTES):
+    """Rejection reason of a landed file (NULL when accepted): name pattern,
+    extension, size -- checked in that order."""
+    ext = F.lower(F.regexp_extract(name, r"(\.[^.]*)$", 1))
+    return (F.when(~name.contains(pattern), F.lit("name"))
+            .when(~ext.isin(*[e.lower() for e in extensions]), F.lit("extension"))
+            .when(length > max_bytes, F.lit("size")))
+
+
 def validate_drop(spark: SparkSession, folder: str, pattern: str = DROP_NAME_PATTERN,
                   extensions=(".xlsx",), max_bytes: int = MAX_DROP_BYTES, glob: str = "*") -> DataFrame:
     """Landed files with an accept flag and reason.
@@ -126,10 +136,7 @@ def validate_drop(spark: SparkSession, folder: str, pattern: str = DROP_NAME_PAT
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
              .load(folder).select("path", "length"))
     name = F.element_at(F.split("path", "/"), -1)
-    ext = F.lower(F.regexp_extract(name, r"(\.[^.]*)$", 1))
-    reason = (F.when(~name.contains(pattern), F.lit("name"))
-              .when(~ext.isin(*[e.lower() for e in extensions]), F.lit("extension"))
-              .when(F.col("length") > max_bytes, F.lit("size")))
+    reason = drop_reason(name, F.col("length"), pattern, extensions, max_bytes)
     return files.select(name.alias("name"), "length", reason.isNull().alias("accepted"), reason.alias("reason"))
 
 

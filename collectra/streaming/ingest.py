@@ -56,3 +56,52 @@ def ingest_call_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
                            fresh_path(spark, "ingest", "ckpt"), glob="events.parquet")
     return (spark.read.parquet(out).groupBy("Call_Center")
             .agg(F.sum("Total_Intentos").alias("Total_Intentos"), F.sum("Con_Respuesta").alias("Con_Respuesta")))
+
+
+DROP_SCHEMA = T.StructType([T.StructField("job_id", T.StringType()), T.StructField("landing", T.StringType()),
+                            T.StructField("file_name", T.StringType()), T.StructField("size", T.LongType()),
+                            T.StructField("empresa", T.StringType())])
+
+
+def ingest_report_drops(spark: SparkSession, drops_dir: str, root: str, checkpoint: str, as_of,
+                        promises_as_of=None, empresa: str = "", reports_per_batch: int = 1, **kw) -> int:
+    """Run the report pipeline once for every report announced in ``drops_dir``.
+
+    Each landed report announces itself with a small JSON manifest
+    (``job_id``, ``landing`` folder with the five sheets, original
+    ``file_name`` and ``size``).  Manifests failing the drop rule (name,
+    extension, size) are recorded under ``<root>/rejected_drops``.  A
+    micro-batch commits only after all its reports succeeded; a failed
+    report raises, so it is retried on the next run (outputs are keyed by
+    ``job_id``, so a retry overwrites instead of duplicating).  The rows
+    brought to the driver are the manifests themselves (control messages,
+    at most ``reports_per_batch``); the data work is distributed.
+    Returns the number of reports processed.
+    """
+    from collectra.plans.pipeline import run_landed_report
+    from collectra.sources.store import drop_reason
+
+    done = []
+    stream = (spark.readStream.schema(DROP_SCHEMA).option("maxFilesPerTrigger", reports_per_batch)
+              .json(drops_dir))
+
+    def handle(batch: DataFrame, batch_id: int):
+        checked = batch.withColumn("reason", drop_reason(F.col("file_name"), F.col("size")))
+        rejected = checked.where(F.col("reason").isNotNull()).withColumn("batch_id", F.lit(batch_id))
+        (rejected.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").parquet(f"{root}/rejected_drops"))
+        failures = {}
+        for r in checked.where(F.col("reason").isNull()).collect():
+            res = run_landed_report(spark, r.landing, root, r.job_id, r.empresa or empresa, as_of,
+                                    promises_as_of, **kw)
+            if res["errors"]:
+                failures[r.job_id] = res["errors"]
+            else:
+                done.append(r.job_id)
+        if failures:
+            raise RuntimeError(f"reports failed, batch {batch_id} will be retried: {sorted(failures)}")
+
+    q = (stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return len(done)

@@ -91,3 +91,32 @@ def test_run_landed_report(spark):
     a = sorted(map(tuple, direct.select(*cols).collect()), key=str)
     b = sorted(map(tuple, landed.select(*cols).collect()), key=str)
     assert a == b
+
+
+def test_ingest_report_drops(spark):
+    """Manifests of landed reports drive the pipeline once each; bad drops are recorded."""
+    import json
+    import os
+    from collectra.plans.pipeline import SHEETS
+    from collectra.sources.landing import land_as_text
+    from collectra.streaming.ingest import ingest_report_drops
+    landing = fresh_path(spark, "test-drop-landing")
+    raw = {"portfolio": fx.portfolio_raw(spark, SF_SMALL), "contacts": fx.contacts_raw(spark, SF_SMALL),
+           "calls": fx.calls_raw(spark, SF_SMALL), "messages": fx.messages_raw(spark, SF_SMALL),
+           "applications": fx.applications_raw(spark, SF_SMALL)}
+    for k, df in raw.items():
+        land_as_text(df, f"{landing}/{SHEETS[k]}")
+    drops = fresh_path(spark, "test-drops")
+    os.makedirs(drops)
+    for i, (job, name, size) in enumerate([("job-ok", "Reporte_General Enero.xlsx", 1024),
+                                          ("job-bad", "Ventas_2026.xlsx", 1000)]):
+        with open(f"{drops}/drop-{i}.json", "w") as f:
+            json.dump({"job_id": job, "landing": landing, "file_name": name, "size": size, "empresa": "ACME"}, f)
+    root, ckpt = fresh_path(spark, "test-drop-out"), fresh_path(spark, "test-drop-ckpt")
+    n = ingest_report_drops(spark, drops, root, ckpt, fx.AS_OF_PORTFOLIO, fx.AS_OF_PROMISES, min_year=1995)
+    assert n == 1
+    assert store.read_manifest(spark, root).first().active_job_id == "job-ok"
+    rej = spark.read.parquet(f"{root}/rejected_drops").collect()
+    assert [(r.job_id, r.reason) for r in rej] == [("job-bad", "name")]
+    # a second run finds nothing new
+    assert ingest_report_drops(spark, drops, root, ckpt, fx.AS_OF_PORTFOLIO, fx.AS_OF_PROMISES, min_year=1995) == 0
