@@ -37,25 +37,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(spark.read.parquet(path), key=path)
 
 
-_SPLITS: dict = {}
+_FILES: dict = {}
 
 
 def spread(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Spread a scan that yields fewer splits than the cluster has cores.
+    """Spread a scan over fewer files than the cluster has cores.
 
     A single-row-group file is one task however many cores exist; a cheap
     round-robin repartition lets the per-row work (projections, partial
-    aggregation) use them all.  Large inputs already have more splits than
-    cores, so this never adds a shuffle at scale.  The split count of a
-    path is looked up once per session.
+    aggregation) use them all.  Inputs at scale have far more files than
+    cores, so this never adds a shuffle there.  The file count of a path is
+    looked up once per session.
     """
     par = df.sparkSession.sparkContext.defaultParallelism
     memo = (id(df.sparkSession), key) if key else None
-    n = _SPLITS.get(memo) if memo else None
+    n = _FILES.get(memo) if memo else None
     if n is None:
-        n = df.rdd.getNumPartitions()
+        n = len(df.inputFiles())
         if memo:
-            _SPLITS[memo] = n
+            _FILES[memo] = n
     return df.repartition(par) if n < par else df
 
 
