@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from collectra.functions.columns import existing, q
+from collectra.functions.columns import ensure_columns, existing, q
 from collectra.functions.states import contact_state, payment_state, validity_state
 from collectra.operators.joins import left_join_skew_safe
 from collectra.schemas import CON_GESTION, DIMS_FOLLOWUPS
@@ -70,7 +70,14 @@ def sunburst(merged: DataFrame, payment: str | None = None, dims=DIMS_FOLLOWUPS,
     return out.orderBy(F.col("Cantidad").desc()) if sort else out
 
 
+def _with_role(contacts: DataFrame) -> DataFrame:
+    """A contact log without a role column gets a typed NULL one (the source
+    system fails in the per-role count and loses two modules)."""
+    return ensure_columns(contacts, {"Cargo_Usuario": F.lit(None).cast("string")})
+
+
 def contacts_per_role(contacts: DataFrame) -> DataFrame:
+    contacts = _with_role(contacts)
     return (contacts.groupBy("Cedula_Cliente", "Cargo_Usuario")
             .agg(F.count(F.lit(1)).alias("Novedades_Por_Cargo")))
 
@@ -88,6 +95,7 @@ def join_contact_detail(merged: DataFrame, contacts: DataFrame) -> DataFrame:
     NULL ``Novedad``/``Tipo_Novedad``/``Nombre_Usuario`` become ''.
     """
     keys = ["Cedula_Cliente", "Cargo_Usuario"]
+    contacts = _with_role(contacts)
     extra = [c for c in contacts.columns if c not in keys + ["Empresa"]]
     right = contacts.select(*keys, *[q(c).alias(c + "_right" if c in merged.columns else c) for c in extra])
     out = left_join_skew_safe(merged, right, keys)

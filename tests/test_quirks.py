@@ -65,3 +65,23 @@ def test_paying_rows_vs_clients(spark):
 def test_excluded_roles_applied(spark):
     df = spark.createDataFrame([("GESTOR",), ("ABOGADO",)], "Cargo_Usuario string")
     assert df.where(search.role_predicate(df, None, excluded=["ABOGADO"])).count() == 1
+
+
+def test_contact_log_without_role(spark):
+    """Quirk 14: no Cargo_Usuario column -> every loan SIN ASIGNAR, detail still built."""
+    from collectra.operators import followups
+    base = spark.createDataFrame([("1", "L1", 2.0, 60000.0)],
+                                 "Cedula_Cliente string, Credito string, Cantidad_Novedades double, Total_Recaudo double")
+    contacts = spark.createDataFrame([("1", "hola", 5)], "Cedula_Cliente string, Novedad string, seq long")
+    d = followups.followup_detail(base, contacts).collect()
+    assert len(d) == 1 and d[0].Cargo_Usuario == "SIN ASIGNAR" and d[0].Novedades_Por_Cargo == 0
+
+
+def test_state_derived_before_cubes(spark):
+    """Quirk 1: a portfolio without Estado_Vigencia still gets it as a cube dimension."""
+    from collectra.operators import portfolio as pf
+    df = spark.createDataFrame([("E", "1 A 30", None, "NORMAL", 1.0)],
+                               "Empresa string, Franja_Meta string, Fecha_Cuota_Vigente date, "
+                               "Tipo_Vigencia_Temp string, Total_Recaudo double")
+    out = pf.cube_regional(df)
+    assert "Estado_Vigencia" in out.columns and out.first().Estado_Vigencia == "vencido"
