@@ -20,6 +20,11 @@ def parse_amount(c: Column, parity: bool = False) -> Column:
     ``parity=True`` removes only the first comma, as the source system does,
     so ``1,234,567`` fails to parse and becomes 0.
     """
-    s = F.regexp_replace(c.cast("string"), "(?i)ANTICIPADO", "0")
-    s = F.regexp_replace(s, "^([^,]*),", "$1") if parity else F.regexp_replace(s, ",", "")
+    raw = c.cast("string")
+    # the case-insensitive regex only runs on the rows that mention the word
+    s = F.when(F.upper(raw).contains("ANTICIPADO"), F.regexp_replace(raw, "(?i)ANTICIPADO", "0")).otherwise(raw)
+    if parity:
+        s = F.when(s.contains(","), F.regexp_replace(s, "^([^,]*),", "$1")).otherwise(s)
+    else:
+        s = F.replace(s, F.lit(","), F.lit(""))
     return F.coalesce(s.try_cast("double"), F.lit(0.0))

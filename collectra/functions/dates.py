@@ -47,7 +47,8 @@ def dates_to_text(df: DataFrame) -> DataFrame:
 
 def dmy_date(c: Column) -> Column:
     """Text ``d-m-y`` (``/`` allowed, 2-digit year -> 20yy) -> date, else NULL."""
-    s = F.translate(F.lower(F.regexp_replace(c.cast("string"), "(?U)^\\s+|\\s+$", "")), "/", "-")
+    from collectra.functions.text import strip_ws
+    s = F.translate(F.lower(strip_ws(c)), "/", "-")
     parts = F.split(s, "-")
     y = parts.getItem(2)
     y = F.when(F.length(y) == 2, F.concat(F.lit("20"), y)).otherwise(y)

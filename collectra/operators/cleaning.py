@@ -71,7 +71,8 @@ def enrich_portfolio(df: DataFrame) -> DataFrame:
 
 def clean_contacts(df: DataFrame) -> DataFrame:
     if "Celular_Cliente" in df.columns:
-        df = df.withColumn("Celular_Cliente", F.regexp_replace(q("Celular_Cliente").cast("string"), "\\.$", ""))
+        cel = q("Celular_Cliente").cast("string")
+        df = df.withColumn("Celular_Cliente", F.when(cel.endswith("."), F.left(cel, F.length(cel) - 1)).otherwise(cel))
     df = parse_mixed_dates(df, ["Fecha_Novedad", "Fecha_Compromiso"])
     return trim_text(df, ["Cedula_Cliente", "Empresa", "Nombre_Usuario"])
 
