@@ -88,7 +88,8 @@ class T:
         return self._m("attributed", lambda: fuzzy.fuzzy_agent_match(self.contacts(), self.calls()))
 
     def contact_detail(self):
-        return followups.followup_detail(self.portfolio(), self.contacts())
+        """The stored follow-up detail table that search runs against."""
+        return self._m("contact_detail", lambda: followups.followup_detail(self.portfolio(), self.contacts()))
 
     def vintages(self):
         return commercial.vintage_early_risk(self.portfolio(), AS_OF)
@@ -454,7 +455,8 @@ def _(spark, sf):
 
 @query("join_contact_detail")
 def _(spark, sf):
-    return _t(spark, sf).contact_detail().select(
+    t = _t(spark, sf)
+    return followups.followup_detail(t.portfolio(), t.contacts()).select(
         "Credito", "Cargo_Usuario", "Novedades_Por_Cargo", "seq", "Tipo_Novedad", "Novedad",
         "Nombre_Usuario", "Fecha_Novedad")
 
