@@ -34,29 +34,50 @@ CONTACT_ROLES = ["GESTOR", "CALL CENTER", "ABOGADO", None]                # even
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    return spread(spark.read.parquet(path), key=path)
+    return spread(scan(spark, path), key=path)
 
 
+_SCANS: dict = {}
 _FILES: dict = {}
 
 
+def _session_key(spark: SparkSession) -> tuple:
+    return id(spark), spark.sparkContext.applicationId
+
+
+def scan(spark: SparkSession, path: str) -> DataFrame:
+    """Parquet scan of a read-only input, resolved once per session.
+
+    Resolving a scan lists the files and reads a footer for the schema on
+    the driver; queries over the same inputs reuse the resolved relation
+    (the plan is the same, so nothing is cached but the listing).
+    """
+    key = (*_session_key(spark), path)
+    df = _SCANS.get(key)
+    if df is None:
+        df = _SCANS[key] = spark.read.parquet(path)
+    return df
+
+
 def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     """Spread a scan over fewer files than the cluster has cores.
 
-    A single-row-group file is one task however many cores exist; a cheap
-    round-robin repartition lets the per-row work (projections, partial
-    aggregation) use them all.  Inputs at scale have far more files than
-    cores, so this never adds a shuffle there.  The file count of a path is
-    looked up once per session.
+    A single-row-group file is one task however many cores exist; a hash
+    repartition on the first column lets the per-row work (projections,
+    partial aggregation) use them all.  Hash placement is a function of the
+    row, so a retried task rebuilds the same partitions without the sort a
+    round-robin repartition needs for that.  Inputs at scale have far more
+    files than cores, so this never adds a shuffle there.  The file count of
+    a path is looked up once per session.
     """
     par = df.sparkSession.sparkContext.defaultParallelism
-    memo = (id(df.sparkSession), key) if key else None
+    memo = (*_session_key(df.sparkSession), key) if key else None
     n = _FILES.get(memo) if memo else None
     if n is None:
         n = len(df.inputFiles())
         if memo:
             _FILES[memo] = n
-    return df.repartition(par) if n < par else df
+    return df.repartition(par, F.col(df.columns[0])) if n < par else df
 
 
 def _pick(idx: Column, values) -> Column:

@@ -29,12 +29,13 @@ def materialized(spark: SparkSession, name: str, key: str, build) -> DataFrame:
     with _GUARD:
         lock = _LOCKS.setdefault(memo, threading.Lock())
     with lock:  # concurrent callers wait for one writer
-        path = _DONE.get(memo)
-        if path is None:
+        done = _DONE.get(memo)
+        if done is None:
             path = shared_path(spark, "views", f"{name}-{h}-{_RUN}-{id(spark):x}")
             build().write.mode("overwrite").parquet(path)
-            _DONE[memo] = path
-    return spark.read.parquet(path)
+            # the table is immutable once written: resolve its scan once
+            done = _DONE[memo] = (path, spark.read.parquet(path))
+    return done[1]
 
 
 def forget(spark: SparkSession | None = None):
