@@ -25,17 +25,22 @@ def filter_portfolio(pf: DataFrame, req: search.SearchRequest) -> DataFrame:
     return f
 
 
-def restrict_contacts(contacts: DataFrame, scope: DataFrame) -> DataFrame:
+def scope_is_empty(scope: DataFrame) -> bool:
+    """One-row probe (a limit job, not a count of the scope)."""
+    return scope.limit(1).count() == 0
+
+
+def restrict_contacts(contacts: DataFrame, scope: DataFrame, empty: bool | None = None) -> DataFrame:
     """Contacts of the scope's clients; all contacts when the scope is empty."""
-    if scope.limit(1).count() == 0:
+    if scope_is_empty(scope) if empty is None else empty:
         return contacts
     return contacts.join(scope.select("Cedula_Cliente"), "Cedula_Cliente", "left_semi")
 
 
-def restrict_calls(calls: DataFrame, scope: DataFrame, centers) -> DataFrame:
+def restrict_calls(calls: DataFrame, scope: DataFrame, centers, empty: bool | None = None) -> DataFrame:
     """Calls of the chosen centres, only when the scope is non-empty.  The
     cleaned centre label is used (the raw one carries blanks / lower case)."""
-    if not centers or scope.limit(1).count() == 0:
+    if not centers or (scope_is_empty(scope) if empty is None else empty):
         return calls
     col = "Call_Center_Limpio" if "Call_Center_Limpio" in calls.columns else "Call_Center"
     return calls.where(q(col).isin(*centers))
@@ -50,8 +55,9 @@ def live_cc_metrics(portfolio: DataFrame, contacts: DataFrame, calls: DataFrame,
                     req: search.SearchRequest) -> DataFrame:
     """Headline call-centre KPIs of the filtered portfolio as (metric, value) rows."""
     scope = filter_portfolio(portfolio, req)
-    nov = restrict_contacts(contacts, scope)
-    cal = restrict_calls(calls, scope, req.call_center)
+    empty = scope_is_empty(scope)
+    nov = restrict_contacts(contacts, scope, empty)
+    cal = restrict_calls(calls, scope, req.call_center, empty)
     unified = base.management_base(scope)
     parts = [
         _long(base.cc_meta(unified), ["total_cuentas", "total_meta"]),

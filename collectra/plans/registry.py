@@ -201,10 +201,11 @@ def _(spark, sf):
     t = _t(spark, sf)
     root = fresh_path(spark, "store")
     written = store.master_tables(root, JOB, t.followup_base(), t.contact_detail(), t.contacts())
-    parts = [spark.read.parquet(p).where(F.col("job_id") == JOB)
-             .agg(F.count(F.lit(1)).alias("rows"), F.lit(len(spark.read.parquet(p).columns) - 1).alias("cols"))
-             .select(F.lit(name).alias("tabla"), "rows", F.col("cols").cast("long").alias("cols"))
-             for name, p in sorted(written.items())]
+    tables = {name: spark.read.parquet(p) for name, p in sorted(written.items())}
+    parts = [df.where(F.col("job_id") == JOB)
+             .agg(F.count(F.lit(1)).alias("rows"), F.lit(len(df.columns) - 1).cast("long").alias("cols"))
+             .select(F.lit(name).alias("tabla"), "rows", "cols")
+             for name, df in tables.items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -13,6 +13,8 @@ broadcast only after a row-count check (25 / 5 rows in the TPC-H spec).
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,25 +61,32 @@ def scan(spark: SparkSession, path: str) -> DataFrame:
     return df
 
 
+def _single_local_file(path: str | None) -> bool:
+    if not path:
+        return False
+    local = path[len("file:"):] if path.startswith("file:") else path
+    return "://" not in local and os.path.isfile(local)
+
+
 def spread(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Spread a scan over fewer files than the cluster has cores.
+    """Spread a scan of one local single file over the local cores.
 
-    A single-row-group file is one task however many cores exist; a hash
+    The driver's fixture tables are single files of one row group each, so
+    a scan of one is a single task however many cores exist; a hash
     repartition on the first column lets the per-row work (projections,
     partial aggregation) use them all.  Hash placement is a function of the
     row, so a retried task rebuilds the same partitions without the sort a
-    round-robin repartition needs for that.  Inputs at scale have far more
-    files than cores, so this never adds a shuffle there.  The file count of
-    a path is looked up once per session.
+    round-robin repartition needs for that.  Cluster inputs are directories
+    or object-store prefixes with many splits and are returned as they are;
+    the decision looks at the path only, never at the file listing.
     """
-    par = df.sparkSession.sparkContext.defaultParallelism
-    memo = (*_session_key(df.sparkSession), key) if key else None
-    n = _FILES.get(memo) if memo else None
-    if n is None:
-        n = len(df.inputFiles())
-        if memo:
-            _FILES[memo] = n
-    return df.repartition(par, F.col(df.columns[0])) if n < par else df
+    memo = (*_session_key(df.sparkSession), key)
+    small = _FILES.get(memo)
+    if small is None:
+        small = _FILES[memo] = _single_local_file(key)
+    if not small:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, F.col(df.columns[0]))
 
 
 def _pick(idx: Column, values) -> Column:
