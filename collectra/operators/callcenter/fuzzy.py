@@ -11,8 +11,10 @@ has ratio >= fallback (a mean reaches the threshold only if some term does).
 Such token pairs are found exactly with prefix filtering on character
 multisets (ratio = 2M/(la+lb) and M <= multiset overlap), an equi-join on
 rare characters.  Only (user, agent) pairs linked by such a token pair are
-scored.  Work is done on distinct names and distinct tokens; the Python
-ratio runs in an Arrow-batched pandas UDF on distinct token pairs only.
+scored.  Work is done on distinct names: candidate token pairs are verified
+once per distinct (agent token, user token), and linked pairs are scored on
+their own few token rows.  The Python ratio runs in an Arrow-batched pandas
+UDF in both places.
 """
 
 from __future__ import annotations
@@ -95,15 +97,23 @@ def user_centers(users: DataFrame, agents: DataFrame, accept: float = FUZZY_ACCE
     ua = users.select("u_name", "u_tok", F.explode("u_tok").alias("tu"))
     aa = agents.select("a_name", "a_cc", "a_tok", F.explode("a_tok").alias("ta"))
     hits = similar_token_pairs(aa, ua, fallback).select("ta", "tu")
-    # candidate pairs carry both token arrays, so scoring needs no re-join
+    # Linked (user, agent) pairs carry both token arrays, so scoring needs no
+    # re-join.  They are hash-partitioned by user name once: the de-duplication,
+    # the per-token max, the per-pair mean and the per-user winner all group
+    # by keys that contain the user name, so none of them shuffles again.
+    # A user name is one row here (names are distinct), and its linked agents
+    # are bounded by the agent list, so no partition holds a hot group.
     pairs = (hits.join(aa, "ta").join(ua, "tu")
-             .dropDuplicates(["u_name", "a_name", "a_cc"])
-             .select("u_name", "u_tok", "a_name", "a_cc", "a_tok"))
+             .select("u_name", "u_tok", "a_name", "a_cc", "a_tok")
+             .repartition("u_name")
+             .dropDuplicates(["u_name", "a_name", "a_cc"]))
     full = (pairs.select("u_name", "a_name", "a_cc", F.size("a_tok").alias("na"),
                          F.explode("a_tok").alias("ta"), "u_tok")
             .select("u_name", "a_name", "a_cc", "na", "ta", F.explode("u_tok").alias("tu")))
-    tp = full.select("ta", "tu").distinct().withColumn("r", token_ratio("ta", "tu"))
-    best = (full.join(tp, ["ta", "tu"])
+    # a linked pair has (agent tokens x user tokens) rows, a handful; the
+    # ratio is scored on them in place (Arrow batches) rather than through a
+    # distinct + join back, which would shuffle every row twice more
+    best = (full.withColumn("r", token_ratio("ta", "tu"))
             .groupBy("u_name", "a_name", "a_cc", "na", "ta").agg(F.max("r").alias("r")))
     score = best.groupBy("u_name", "a_name", "a_cc", "na").agg((F.sum("r") / F.col("na")).alias("score"))
     order = F.struct("a_name", "a_cc")
