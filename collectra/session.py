@@ -15,35 +15,50 @@ from pyspark.sql import SparkSession
 _CKPT_KEY = "spark.checkpoint.dir"
 
 
-def build_session(master: str | None = None, shuffle_partitions: int = 8,
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "collectra", partition_mb: int = 128) -> SparkSession:
     """Session with AQE (coalescing + skew-join splitting) and UTC time.
 
-    ``shuffle_partitions`` is the pre-AQE upper bound: set it to about the
-    largest shuffle stage's bytes / ``partition_mb`` (for a stage shuffling
-    10 TB at 128 MB, ~80k); AQE then coalesces small partitions towards
-    ``partition_mb`` and splits skewed join partitions at runtime.
+    Settings given to the cluster (spark-submit ``--conf``, spark-defaults)
+    win over ours; we fill only the ones left unset.  Arguments passed here
+    explicitly (tests, bench) are applied as given.
+
+    ``shuffle_partitions`` is the pre-AQE upper bound: it should be about the
+    largest shuffle stage's bytes / ``partition_mb`` (a stage shuffling 10 TB
+    at 128 MB needs ~80k).  When neither the cluster nor the caller sets it,
+    we use four per core (at least 200); AQE then coalesces small partitions
+    towards ``partition_mb`` and splits skewed join partitions at runtime.
     Scan splits follow ``spark.sql.files.maxPartitionBytes`` (same size).
     """
     b = SparkSession.builder.appName(app_name)
     if master:
         b = b.master(master)
     spark = (
-        b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "3")
-        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", f"{partition_mb}m")
-        .config("spark.sql.files.maxPartitionBytes", f"{partition_mb}m")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.ui.enabled", "false")
+        b.config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    cluster = spark.sparkContext.getConf()
+    cores = spark.sparkContext.defaultParallelism
+    defaults = {
+        "spark.sql.shuffle.partitions": str(max(200, 4 * cores)),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{partition_mb}m",
+        "spark.sql.files.maxPartitionBytes": f"{partition_mb}m",
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+    }
+    for key, value in defaults.items():
+        if not cluster.contains(key):
+            spark.conf.set(key, value)
+    if shuffle_partitions is not None:
+        spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    # results must not depend on the cluster's locale: dates are cut in UTC
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
 
 
