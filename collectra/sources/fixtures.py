@@ -52,7 +52,9 @@ def scan(spark: SparkSession, path: str) -> DataFrame:
 
     Resolving a scan lists the files and reads a footer for the schema on
     the driver; queries over the same inputs reuse the resolved relation
-    (the plan is the same, so nothing is cached but the listing).
+    (the plan is the same, so nothing is cached but the listing).  The
+    listing is fixed at first use: a long-lived session whose inputs gain
+    files calls :func:`forget_scans` before the next run.
     """
     key = (*_session_key(spark), path)
     df = _SCANS.get(key)
@@ -61,6 +63,14 @@ def scan(spark: SparkSession, path: str) -> DataFrame:
     return df
 
 
+def forget_scans(spark: SparkSession | None = None) -> None:
+    """Drop resolved scans (all, or one session's) so the next use re-lists."""
+    for memo in (_SCANS, _FILES):
+        for k in list(memo):
+            if spark is None or k[:2] == _session_key(spark):
+                del memo[k]
+
+
 def _single_local_file(path: str | None) -> bool:
     if not path:
         return False
