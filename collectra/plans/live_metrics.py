@@ -11,16 +11,28 @@ from collectra.operators import search
 from collectra.operators.callcenter import base, calls as cl, contacts as ct, fuzzy, messaging as ms
 
 
-def filter_portfolio(pf: DataFrame, req: search.SearchRequest) -> DataFrame:
-    """Facets, roll rate, contacted flag and validity (clients of the
-    already-filtered portfolio with the chosen states, via a semi join)."""
+def _prefilter(pf: DataFrame, req: search.SearchRequest) -> DataFrame:
+    """Facets, roll rate and contacted flag (row-level predicates only)."""
     fmap = [("Empresa", req.empresa), ("Zona", req.zona), ("Regional_Cobro", req.regional),
             ("Regional", req.regional), ("Franja_Cartera", req.franja),
             ("CALL_CENTER_FILTRO", req.call_center), ("Rodamiento", req.rodamiento)]
     preds = [q(c).isin(*v) for c, v in fmap if v and c in pf.columns]
-    f = pf.where(search._and(preds) & search.contacted_predicate(pf, req.novedades))
+    return pf.where(search._and(preds) & search.contacted_predicate(pf, req.novedades))
+
+
+def _validity(f: DataFrame, req: search.SearchRequest):
     if req.vigencia and "Estado_Vigencia" in f.columns:
-        keep = f.where(q("Estado_Vigencia").isin(*req.vigencia)).select("Cedula_Cliente")
+        return q("Estado_Vigencia").isin(*req.vigencia)
+    return None
+
+
+def filter_portfolio(pf: DataFrame, req: search.SearchRequest) -> DataFrame:
+    """Facets, roll rate, contacted flag and validity (clients of the
+    already-filtered portfolio with the chosen states, via a semi join)."""
+    f = _prefilter(pf, req)
+    state = _validity(f, req)
+    if state is not None:
+        keep = f.where(state).select("Cedula_Cliente")
         f = f.join(keep.distinct(), "Cedula_Cliente", "left_semi")
     return f
 
@@ -30,6 +42,21 @@ def scope_is_empty(scope: DataFrame) -> bool:
     return scope.limit(1).count() == 0
 
 
+def portfolio_scope_is_empty(pf: DataFrame, req: search.SearchRequest) -> bool:
+    """Whether :func:`filter_portfolio` is empty, without its semi join.
+
+    A pre-filtered row with a chosen validity state keeps its own client in
+    the key set, so it survives the semi join: the scope is empty exactly
+    when no such row exists.  The probe is a filtered scan that stops at the
+    first hit instead of a job that must finish the join's shuffles.
+    """
+    f = _prefilter(pf, req)
+    state = _validity(f, req)
+    if state is not None:
+        f = f.where(state & q("Cedula_Cliente").isNotNull())
+    return scope_is_empty(f)
+
+
 def restrict_contacts(contacts: DataFrame, scope: DataFrame, empty: bool | None = None) -> DataFrame:
     """Contacts of the scope's clients; all contacts when the scope is empty."""
     if scope_is_empty(scope) if empty is None else empty:
@@ -55,7 +82,7 @@ def live_cc_metrics(portfolio: DataFrame, contacts: DataFrame, calls: DataFrame,
                     req: search.SearchRequest) -> DataFrame:
     """Headline call-centre KPIs of the filtered portfolio as (metric, value) rows."""
     scope = filter_portfolio(portfolio, req)
-    empty = scope_is_empty(scope)
+    empty = portfolio_scope_is_empty(portfolio, req)
     nov = restrict_contacts(contacts, scope, empty)
     cal = restrict_calls(calls, scope, req.call_center, empty)
     unified = base.management_base(scope)

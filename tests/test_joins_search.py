@@ -50,3 +50,22 @@ def test_role_predicate_unassigned(spark):
     df = spark.createDataFrame([("GESTOR",), (None,), ("",), ("ABOGADO",)], "Cargo_Usuario string")
     got = df.where(search.role_predicate(df, ["SIN ASIGNAR"], excluded=["ABOGADO"])).count()
     assert got == 2
+
+
+def test_scope_probe_without_semi_join_agrees(spark):
+    """The live-metrics emptiness probe skips the validity semi join; it must
+    agree with probing the filtered scope itself, empty scopes included."""
+    from collectra.operators.search import SearchRequest
+    from collectra.plans.live_metrics import filter_portfolio, portfolio_scope_is_empty, scope_is_empty
+    from collectra.sources import fixtures as fx
+    pf = fx.portfolio(spark, "/root/testdata/sf0.001")
+    reqs = [SearchRequest(), SearchRequest(vigencia=["vigente"]), SearchRequest(vigencia=["no existe"]),
+            SearchRequest(zona=["CL1"], vigencia=["anticipado"]), SearchRequest(zona=["ZZZ"], vigencia=["vigente"]),
+            SearchRequest(call_center=["CL1", "CL5"], franja=["AL DIA"], vigencia=["vencido"]),
+            SearchRequest(novedades=["Con Novedades"], vigencia=["vigente", "vencido"])]
+    seen = set()
+    for r in reqs:
+        want = scope_is_empty(filter_portfolio(pf, r))
+        assert portfolio_scope_is_empty(pf, r) == want, r
+        seen.add(want)
+    assert seen == {True, False}
