@@ -5,7 +5,7 @@ import sys
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
-from plan_audit import audit  # noqa: E402
+from plan_audit import _at_scale, audit  # noqa: E402
 
 from conftest import SF_SMALL  # noqa: E402
 
@@ -33,3 +33,21 @@ def test_page_is_top_k(spark):
     import __spark_entry__ as E
     _, shown, _ = audit(E.queries()["search_page"](spark, SF_SMALL))
     assert "TakeOrderedAndProject" in shown
+
+
+def test_at_scale_plans_broadcast_only_checked_dimensions(spark):
+    """Planned as on large inputs (no size-based broadcast), the join-heavy
+    keys use equi-key sort-merge joins and broadcast nothing but the
+    row-count-checked ``nation``/``region`` dimensions; still no cartesian
+    product, nested-loop join or row-at-a-time Python."""
+    import __spark_entry__ as E
+    qs = E.queries()
+    try:
+        _at_scale(spark, True)
+        for k in ["join_contact_detail", "msg_funnel", "fuzzy_agent_match", "sunburst_all", "load_portfolio"]:
+            _, shown, bad = audit(qs[k](spark, SF_SMALL))
+            assert not bad, (k, bad)
+            assert shown.get("SortMergeJoin", 0) >= 1, (k, shown)
+            assert shown.get("BroadcastHashJoin", 0) == (2 if k == "load_portfolio" else 0), (k, shown)
+    finally:
+        _at_scale(spark, False)
