@@ -15,6 +15,16 @@ def test_skew_safe_left_join_equals_left_join(spark):
     assert len(a) == 100 + 1 + 1 + 1
 
 
+def test_skew_safe_left_join_two_keys_with_nulls(spark):
+    left = spark.createDataFrame([(1, "r", "a"), (1, None, "b"), (None, "r", "c"), (2, "s", "d"), (None, None, "e"),
+                                  (3, "t", "f")], "k long, g string, l string")
+    right = spark.createDataFrame([(1, "r", "x")] * 20 + [(1, None, "y"), (None, "r", "z"), (2, "s", "w")],
+                                  "k long, g string, r string")
+    a = sorted(map(tuple, left_join_skew_safe(left, right, ["k", "g"]).collect()), key=str)
+    b = sorted(map(tuple, left.join(right, ["k", "g"], "left").select("k", "g", "l", "r").collect()), key=str)
+    assert a == b and len(a) == 20 + 5
+
+
 def test_roles_join(spark):
     base = spark.createDataFrame([("1", "L1", "CON GESTIÓN"), ("2", "L2", "CON GESTIÓN"), ("3", "L3", "SIN GESTIÓN")],
                                  "Cedula_Cliente string, Credito string, Estado_Gestion string")
