@@ -7,6 +7,7 @@ do we create one of our own.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -33,12 +34,11 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     b = SparkSession.builder.appName(app_name)
     if master:
         b = b.master(master)
-    spark = (
-        b.config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "16g")
-        .getOrCreate()
-    )
+        if master.startswith("local"):  # nothing but this process sets these
+            b = (b.config("spark.ui.enabled", "false")
+                 .config("spark.ui.showConsoleProgress", "false")
+                 .config("spark.driver.memory", "16g"))
+    spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     cluster = spark.sparkContext.getConf()
     cores = spark.sparkContext.defaultParallelism
@@ -65,14 +65,18 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def shared_root(spark: SparkSession) -> str:
     """Folder shared by all executors; taken from ``spark.checkpoint.dir``.
 
-    If the session has none (local runs, tests) a fresh private folder is
+    If a local session has none (local runs, tests) a fresh private folder is
     created and registered as the checkpoint dir, so ``checkpoint()`` and our
-    written tables land in the same place.
+    written tables land in the same place.  On a cluster that would be one
+    folder per machine, so there a missing setting is an error.
     """
     root = spark.conf.get(_CKPT_KEY, None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError(f"spark.checkpoint.dir is unset on {master}: name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="collectra-")
         spark.conf.set(_CKPT_KEY, root)
         spark.sparkContext.setCheckpointDir(root)
