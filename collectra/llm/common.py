@@ -80,4 +80,4 @@ def bounded_sample(rows: DataFrame, key: str, bound: int, count: int) -> DataFra
 
 
 def sha256_text(col):
-    return F.sha2(F.col(col).cast("binary"), 256)
+    return F.sha2((F.col(col) if isinstance(col, str) else col).cast("binary"), 256)

@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from collectra.llm import bpe, exact_dedup, langid, mixing, quality, simhash, token_counts, toxicity
-from collectra.llm.common import table, texts
+from collectra.llm import bpe, exact_dedup, langid, line_dedup, mixing, quality, simhash, token_counts, toxicity
+from collectra.llm.common import pick, sha256_text, table, texts
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +36,11 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = line_dedup.dedup_lines(pick(table(spark, sf_dir, "documents"), "doc_id", "text"))
+    return d.select("doc_id", "n_lines", "n_equal", "n_near", sha256_text(F.coalesce("text", F.lit(""))).alias("text_sha256"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -45,7 +50,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_mixing, op3_bpe, op4_language, op5_token_counts, op6_toxicity,
+QUERIES = {f.__name__: f for f in (op1_quality, op2_mixing, op3_bpe, op4_language, op5_token_counts, op6_toxicity, op8_line_dedup,
                                    op9_exact_dedup, op10_simhash)}
 
 ORACLE_SQL = {
