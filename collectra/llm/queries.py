@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from collectra.llm import bpe, exact_dedup, langid, line_dedup, mixing, quality, simhash, token_counts, toxicity
+from collectra.llm import ann, bpe, exact_dedup, langid, line_dedup, mixing, quality, simhash, token_counts, toxicity
 from collectra.llm.common import pick, sha256_text, table, texts
 
 
@@ -36,6 +36,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), k=20, every=20)
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = line_dedup.dedup_lines(pick(table(spark, sf_dir, "documents"), "doc_id", "text"))
     return d.select("doc_id", "n_lines", "n_equal", "n_near", sha256_text(F.coalesce("text", F.lit(""))).alias("text_sha256"))
@@ -50,7 +54,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_mixing, op3_bpe, op4_language, op5_token_counts, op6_toxicity, op8_line_dedup,
+QUERIES = {f.__name__: f for f in (op1_quality, op2_mixing, op3_bpe, op4_language, op5_token_counts, op6_toxicity, op7_neighbours, op8_line_dedup,
                                    op9_exact_dedup, op10_simhash)}
 
 ORACLE_SQL = {
