@@ -108,7 +108,7 @@ def plan(placed_rows: DataFrame, block: int = BLOCK_WORDS, weights=WEIGHTS, most
     sizes = placed_rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     t = targets(sizes, weights, most)
     t = t.withColumn("blocks", F.ceil(F.col("source_size") / block)) \
-        .withColumn("slots", F.coalesce(F.round(F.col("target") / F.col("source_size") * F.col("blocks")).cast("long"), F.lit(0)))
+        .withColumn("slots", F.coalesce(F.round(F.try_divide(F.col("target"), F.col("source_size")) * F.col("blocks")).cast("long"), F.lit(0)))
     before = Window.partitionBy().orderBy(F.col("source").isNull(), F.col("source")).rowsBetween(Window.unboundedPreceding, -1)
     return t.withColumn("first_slot", F.coalesce(F.sum("slots").over(before), F.lit(0))) \
         .withColumn("all_slots", F.sum("slots").over(Window.partitionBy()))

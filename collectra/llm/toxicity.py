@@ -1,15 +1,16 @@
 """Toxicity: votes of the nearest labelled examples by exact TF-IDF cosine.
 
-*Terms* are those whose presence in the labelled texts depends on the label
-(chi-square over ``CHI_SQUARE``, in at least ``MIN_TEXTS`` different texts), so
-that likeness means likeness in what the label is about.  Vectors are
-(1 + log tf) * idf, of length one.
-
-*Index.*  Examples stand in blocks of ``BLOCK``; a term's postings keep, per
-block, their entries and the largest weight.  A query adds up the largest
-weights of its terms for each block, which bounds all cosines there, and scores
-blocks from the highest bound on until no bound exceeds its k-th cosine: the
-``NEIGHBOURS`` nearest examples are exact.
+*Terms* are words and the beginnings of words (``BEGINNINGS`` letters) whose
+presence in the labelled texts depends on the label (chi-square of at least
+``CHI_SQUARE``, in at least ``MIN_TEXTS`` different texts), so that likeness means
+likeness in what the label is about.  Vectors are (1 + log tf) * idf, of length one.
+
+*Index.*  Examples that have a term stand in blocks of ``BLOCK``; a term's
+postings keep, per block, their entries and the largest weight.  A query adds up
+the largest weights of its terms for each block, which bounds all cosines there.
+It scores the blocks of the highest bounds, then those whose bound reaches the
+k-th cosine so far; the others are skipped.  So the ``NEIGHBOURS`` nearest
+examples are exact.
 
 *Vote.*  Neighbours vote for their label with their cosine as weight; examples
 that share no term have cosine 0 and stand in as one vote of weight ``PRIOR``
@@ -22,8 +23,8 @@ bound is a parameter).  Labels, language, source and id are no input of a score.
 
 Edge cases: null and empty texts, and texts without any term, get the calibrated
 prior; nearest ties go to the smaller example id; null labels, labels other than
-0 and 1 and labels of unknown documents are not used; without labels all scores
-are 0.  Extra columns are ignored.
+0 and 1 and labels of unknown documents are not used; without labels of both
+kinds all scores are the share of label 1 (0 if there are none).  Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -41,96 +43,145 @@ from collectra.llm.common import bounded_sample, fold, label_rows, pick, texts,
 
 MAX_ROWS = 20_000
 MAX_TERMS = 16_384
-CHI_SQUARE = 30.0
+CHI_SQUARE = 60.0
 MIN_TEXTS = 5
+BEGINNINGS = (5, 6, 7, 8, 9)
 NEIGHBOURS = 16
-BLOCK = 64
+BLOCK = 32
 PRIOR = 0.05
 THRESHOLD = 0.3
 
-TERM = re.compile(r"[^\W_]+")
+WORD = re.compile(r"[^\W_]+")
+FIRST = min(BEGINNINGS)
+
+
+def words(text: str | None) -> list[str]:
+    return WORD.findall((text or "").lower())
 
 
-def terms(text: str | None) -> list[str]:
-    return TERM.findall((text or "").lower())
+def terms(found: list[str]) -> list[str]:
+    """The words and their beginnings (marked by a star)."""
+    return found + [w[:n] + "*" for n in BEGINNINGS for w in found if len(w) > n]
+
+
+def _spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """All places of the ranges, one after the other."""
+    before = np.cumsum(lengths) - lengths
+    return np.repeat(starts - before, lengths) + np.arange(lengths.sum())
 
 
 @dataclass
 class BlockMaxIndex:
-    """Examples' unit vectors by term; ``blocks``: (block, largest weight, first entry, end) per term."""
+    """Unit vectors of examples, by term and block of examples.
+
+    ``entry``: first (term, block) entry of each term; an entry has its block, the
+    largest weight, and the range of its postings (example, weight).
+    """
 
     vocabulary: dict[str, int]
     idf: np.ndarray
-    ids: np.ndarray
+    ids: np.ndarray  # of the examples that have a term, rising
     labels: np.ndarray
-    postings: list[tuple[np.ndarray, np.ndarray]]  # example, weight
-    blocks: list[tuple[np.ndarray, np.ndarray, np.ndarray]]  # block, largest weight, first entry (and the end)
-    prior: float = 0.0
-    steps: tuple = ()  # votes and the calibrated scores from each on
+    entry: np.ndarray
+    block: np.ndarray
+    most: np.ndarray
+    start: np.ndarray
+    length: np.ndarray
+    example: np.ndarray
+    weight: np.ndarray
+    prior: float = 0.0  # share of label 1 among the examples without a term
+    steps: tuple = ((0.0,), (0.0,))  # votes, and the calibrated score at each
 
     @classmethod
     def build(cls, vocabulary: list[str], idf: np.ndarray, ids: np.ndarray, labels: np.ndarray, counts: list[dict[str, int]]) -> BlockMaxIndex:
-        order = np.argsort(ids, kind="stable")
-        index = cls({t: i for i, t in enumerate(vocabulary)}, idf, ids[order], labels[order].astype(np.float64), [], [])
-        lists: list[list] = [[] for _ in vocabulary]
-        for e, i in enumerate(order):
-            for t, w in zip(*index.vector(counts[i]), strict=True):
-                lists[t].append((e, w))
-        for entries in lists:
-            ex = np.array([e for e, _ in entries], dtype=np.int64)
-            w = np.array([x for _, x in entries], dtype=np.float64)
-            at = np.flatnonzero(np.diff(ex // BLOCK, prepend=-1))
-            index.postings.append((ex, w))
-            index.blocks.append((ex[at] // BLOCK, np.maximum.reduceat(w, at) if len(w) else w, np.r_[at, len(ex)]))
+        """``ids``, ``labels`` and ``counts`` (of terms): the examples."""
+        none = np.zeros(0, np.int64)
+        index = cls({t: i for i, t in enumerate(vocabulary)}, idf, none, none, none, none, none, none, none, none, none)
+        order = [i for i in np.argsort(ids, kind="stable") if counts[i]]
+        index.ids, index.labels = ids[order], labels[order].astype(np.float64)
+        vectors = [index.vector(counts[i]) for i in order]
+        size = [len(t) for t, _ in vectors]
+        term = np.concatenate([t for t, _ in vectors]) if vectors else none
+        weight = np.concatenate([w for _, w in vectors]) if vectors else np.zeros(0)
+        example = np.repeat(np.arange(len(order)), size) if vectors else none
+        by = np.lexsort((example, term))
+        term, index.example, index.weight = term[by], example[by], weight[by]
+        key = term * (1 + len(order) // BLOCK) + index.example // BLOCK
+        index.start = np.flatnonzero(np.diff(key, prepend=-1))
+        index.length = np.diff(index.start, append=len(key))
+        index.block = index.example[index.start] // BLOCK
+        index.most = np.maximum.reduceat(index.weight, index.start) if len(key) else np.zeros(0)
+        index.entry = np.searchsorted(term[index.start], np.arange(len(vocabulary) + 1))
+        bare = np.array([not c for c in counts], dtype=bool)
+        if len(labels):
+            index.prior = float(labels[bare].mean()) if bare.any() else float(labels.mean())
         return index
 
+    def counts(self, text: str | None) -> dict[str, int]:
+        """How often the text has each term of the vocabulary."""
+        gate, vocabulary = self.gate, self.vocabulary
+        return Counter([t for t in terms([w for w in words(text) if w[:FIRST] in gate]) if t in vocabulary])
+
+    @cached_property
+    def gate(self) -> set[str]:
+        """First letters of all terms: most words go no further."""
+        return {t[:FIRST] for t in self.vocabulary}
+
     def vector(self, counts: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
         """Terms and weights of a text, of length one."""
-        known = [(self.vocabulary[t], n) for t, n in counts.items() if t in self.vocabulary]
-        t = np.array([x for x, _ in known], dtype=np.int64)
-        w = (1 + np.log([n for _, n in known])) * self.idf[t] if known else np.zeros(0)
+        t = np.fromiter((self.vocabulary[x] for x in counts), dtype=np.int64, count=len(counts))
+        w = (1 + np.log(np.fromiter(counts.values(), dtype=np.float64, count=len(counts)))) * self.idf[t]
         norm = np.sqrt((w * w).sum())
         return t, w / norm if norm else w
 
     def nearest(self, t: np.ndarray, w: np.ndarray, k: int = NEIGHBOURS, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The ``k`` examples of the largest cosine over 0, and the cosines; ties to the smaller id."""
-        bound = np.zeros(-(-len(self.ids) // BLOCK))
-        for x, q in zip(t, w, strict=True):
-            b, most, _ = self.blocks[x]
-            bound[b] += q * most
-        best, sims = np.zeros(0, np.int64), np.zeros(0)
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or len(best) >= k and bound[b] < sims[k - 1] - 1e-12:
-                break  # no block from here on holds a nearer one
-            found = np.zeros(BLOCK)
-            for x, q in zip(t, w, strict=True):
-                at = np.searchsorted(self.blocks[x][0], b)
-                if at < len(self.blocks[x][0]) and self.blocks[x][0][at] == b:
-                    s = slice(self.blocks[x][2][at], self.blocks[x][2][at + 1])
-                    found[self.postings[x][0][s] - b * BLOCK] += q * self.postings[x][1][s]
-            new = np.flatnonzero(found > 0)
-            new = new[new + b * BLOCK != without]
-            best, sims = np.r_[best, new + b * BLOCK], np.r_[sims, found[new]]
-            top = np.lexsort((best, -np.round(sims, 12)))[:k]
-            best, sims = best[top], sims[top]
+        size = self.entry[t + 1] - self.entry[t]
+        entries = _spread(self.entry[t], size)
+        q = np.repeat(w, size)
+        bound = np.bincount(self.block[entries], q * self.most[entries])
+        first = np.argsort(-bound, kind="stable")[: 1 + k // BLOCK * 2]
+        open_ = np.zeros(len(bound), dtype=bool)
+        open_[first] = True
+        best, sims = self._score(entries, q, open_, k, without)
+        rest = (bound > 0) & ~open_
+        if len(best) >= k:
+            rest &= bound >= sims[k - 1] - 1e-9
+        if rest.any():
+            more, also = self._score(entries, q, rest, k, without)
+            best, sims = self._top(np.r_[best, more], np.r_[sims, also], k)
         return best, sims
 
+    def _score(self, entries, q, blocks, k, without):
+        """The best examples of the blocks."""
+        use = blocks[self.block[entries]]
+        e, q = entries[use], q[use]
+        at = _spread(self.start[e], self.length[e])
+        found = np.bincount(self.example[at], np.repeat(q, self.length[e]) * self.weight[at])
+        new = np.flatnonzero(found > 0)
+        new = new[new != without]
+        return self._top(new, found[new], k)
+
+    @staticmethod
+    def _top(examples, sims, k):
+        top = np.lexsort((examples, -np.round(sims, 12)))[:k]
+        return examples[top], sims[top]
+
     def vote(self, examples: np.ndarray, sims: np.ndarray) -> float:
         return float((sims @ self.labels[examples] + PRIOR * self.prior) / (sims.sum() + PRIOR))
 
-    def calibrate(self, counts: list[dict[str, int]], order: np.ndarray) -> None:
-        """``prior`` and ``steps`` from the examples, each without itself."""
-        vectors = [self.vector(counts[i]) for i in order]
-        bare = np.array([len(t) == 0 for t, _ in vectors])
-        self.prior = float(self.labels[bare].mean()) if bare.any() else float(self.labels.mean())
-        votes = np.array([self.vote(*self.nearest(t, w, without=e)) for e, (t, w) in enumerate(vectors)])
-        self.steps = isotonic(votes, self.labels)
+    def calibrate(self, counts: list[dict[str, int]], bare: int) -> None:
+        """``steps`` from the examples, each without itself; ``bare`` of them have no term.
+
+        ``counts``: of the examples that have a term, by rising id.
+        """
+        votes = [self.vote(*self.nearest(*self.vector(c), without=e)) for e, c in enumerate(counts)]
+        votes, labels = np.array(votes + [self.prior] * bare), np.r_[self.labels, np.full(bare, self.prior)]
+        if len(votes):
+            self.steps = isotonic(votes, labels)
 
     def score(self, text: str | None) -> tuple[float, np.ndarray, np.ndarray]:
-        if not len(self.ids):
-            return 0.0, np.zeros(0, np.int64), np.zeros(0)
-        vocabulary = self.vocabulary
-        counts = Counter([t for t in terms(text) if t in vocabulary])
+        counts = self.counts(text)
         near, sims = self.nearest(*self.vector(counts)) if counts else (np.zeros(0, np.int64), np.zeros(0))
         return float(np.interp(self.vote(near, sims), *self.steps)), self.ids[near], sims
 
@@ -156,33 +207,34 @@ def learn(docs: DataFrame, labels: DataFrame, parts: int = 4, held: int = 2, lab
 
     @F.pandas_udf("array<struct<term:string,n:long>>")
     def counted(batch: pd.Series) -> pd.Series:
-        return pd.Series([[{"term": t, "n": n} for t, n in Counter(terms(x)).items()] for x in batch])
+        return pd.Series([[{"term": t, "n": n} for t, n in Counter(terms(words(x))).items()] for x in batch])
 
-    bags = written(spark, labelled.select("doc_id", "y", F.xxhash64("text").alias("copy"), counted("text").alias("bag")), "bags")
+    bags = written(spark, labelled.dropDuplicates(["doc_id"]).select("doc_id", "y", F.xxhash64("text").alias("copy"), counted("text").alias("bag")), "bags")
     # copies of a text tell no more about a term than the text
-    single = bags.groupBy("copy").agg(F.max("y").alias("y"), F.min_by("bag", "doc_id").alias("bag"))
-    single = written(spark, single, "examples")
-    n, positive = single.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
-    if not n:
-        return BlockMaxIndex({}, np.zeros(0), np.zeros(0, np.int64), np.zeros(0), [], [])
+    single = bags.groupBy("copy").agg(F.min("doc_id").alias("doc_id"), F.max("y").alias("single_y"))
+    n, positive = single.agg(F.count("*"), F.coalesce(F.sum("single_y"), F.lit(0))).first()
+    if not 0 < positive < n:
+        index = BlockMaxIndex.build([], np.zeros(0), *[bags.select(c).toPandas()[c].to_numpy(np.int64) for c in ("doc_id", "y")], [{}] * bags.count())
+        index.calibrate([], bags.count())
+        return index
+    each = bags.select("doc_id", F.explode("bag").alias("b")).select("doc_id", "b.term", "b.n")
     # presence by label, summed before the shuffle; chi-square of the two-by-two table
-    a, m = F.col("with_1").cast("double"), F.col("texts").cast("double")
-    p = positive / n
-    table = (single.select("y", F.explode("bag").alias("b")).groupBy(F.col("b.term").alias("term"))
-             .agg(F.count("*").alias("texts"), F.sum("y").alias("with_1")).where(F.col("texts") >= MIN_TEXTS))
+    table = (each.join(single, "doc_id").groupBy("term").agg(F.count("*").alias("texts"), F.sum("single_y").alias("with_1"))
+             .where(F.col("texts") >= MIN_TEXTS))
+    a, m, p = F.col("with_1").cast("double"), F.col("texts").cast("double"), positive / n
     off = a - m * F.lit(p)
     chi = off * off / (m * F.lit(p) * F.lit(1 - p) * (1 - m / F.lit(float(n))) + F.lit(1e-9))
-    chosen = (table.withColumn("chi", chi).where(F.col("chi") >= CHI_SQUARE)
-              .orderBy(F.desc("chi"), "term").limit(MAX_TERMS).toPandas().sort_values("term"))
-    vocabulary = chosen["term"].tolist()
-    idf = np.log1p(n / chosen["texts"].to_numpy(dtype=np.float64))
-    few = F.array(*[F.lit(t) for t in vocabulary]) if vocabulary else F.array().cast("array<string>")
-    # at most about max_rows rows of the chosen terms only
-    got = bags.select("doc_id", "y", F.filter("bag", lambda b: F.array_contains(few, b["term"])).alias("bag")).collect()
-    got = sorted({r.doc_id: r for r in got}.values(), key=lambda r: r.doc_id)
-    counts = [{b.term: b.n for b in r.bag} for r in got]
-    index = BlockMaxIndex.build(vocabulary, idf, np.array([r.doc_id for r in got], dtype=np.int64), np.array([r.y for r in got]), counts)
-    index.calibrate(counts, np.arange(len(got)))
+    chosen = written(spark, table.withColumn("chi", chi).where(F.col("chi") >= CHI_SQUARE).orderBy(F.desc("chi"), "term").limit(MAX_TERMS), "terms")
+    terms_ = chosen.toPandas().sort_values("term")
+    # at most about max_rows documents, their chosen terms only
+    got = bags.select("doc_id", "y").toPandas().sort_values("doc_id")
+    counts: dict[int, dict[str, int]] = {i: {} for i in got["doc_id"].tolist()}
+    found = each.join(chosen.select("term"), "term").toPandas().sort_values(["doc_id", "term"])
+    for i, t, c in zip(found["doc_id"].tolist(), found["term"].tolist(), found["n"].tolist(), strict=True):
+        counts[i][t] = c
+    index = BlockMaxIndex.build(terms_["term"].tolist(), np.log1p(n / terms_["texts"].to_numpy(dtype=np.float64)),
+                                got["doc_id"].to_numpy(np.int64), got["y"].to_numpy(np.int64), list(counts.values()))
+    index.calibrate([c for c in counts.values() if c], sum(not c for c in counts.values()))
     return index
 
 
