@@ -43,7 +43,7 @@ SHARD_SLOTS = 4096
 WEIGHTS = (1, 2, 3)
 MOST = 3
 ROUNDS = 16
-CHUNK_DOCS = 4096
+CHUNK_DOCS = 1024
 
 
 def words(text: Column) -> Column:
@@ -116,10 +116,12 @@ def plan(placed_rows: DataFrame, block: int = BLOCK_WORDS, weights=WEIGHTS, most
 
 def slots(sources: DataFrame, shard: int = SHARD_SLOTS, seed: int = 0) -> DataFrame:
     """Every slot of the mix: shard, place, source, epoch and the block it takes."""
-    step = 65_536  # a hot source's slots are made by many tasks
+    step = 16_384  # a hot source's slots are made by many tasks
+    all_slots = sources.agg(F.max("all_slots")).first()[0] or 0
     runs = (sources.where("slots > 0")
             .withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1, F.lit(step).cast("long"))))
-            .repartition("source", "run"))
+            # so few bytes that Spark would take them into one task: the number of tasks is said
+            .repartition(min(100_000, 1 + all_slots // step), "source", "run"))
     each = runs.withColumn("k", F.explode(F.sequence(F.col("run"), F.least(F.col("run") + step, F.col("slots")) - 1)))
     return (each.withColumn("place", permuted(F.col("first_slot") + F.col("k"), F.col("all_slots"), F.lit(seed)))
             .select(F.floor(F.col("place") / shard).alias("shard"), "place", "source",
@@ -145,7 +147,7 @@ def pieces(placed_rows: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
 
 def drawn(placed_rows: DataFrame, sources: DataFrame, block: int = BLOCK_WORDS, shard: int = SHARD_SLOTS, seed: int = 0) -> DataFrame:
     """``pieces`` joined by block with the slots that take them: epoch, shard and place added."""
-    p, s = pieces(placed_rows, block).alias("p"), slots(sources, shard, seed).alias("s")
+    p, s = pieces(placed_rows, block).alias("p"), written(placed_rows.sparkSession, slots(sources, shard, seed), "slots").alias("s")
     return p.join(s, F.col("p.source").eqNullSafe(F.col("s.source")) & (F.col("p.block") == F.col("s.block"))) \
         .select("p.*", "s.epoch", "s.shard", "s.place")
 
@@ -156,7 +158,8 @@ def taken_words(docs: DataFrame, block: int = BLOCK_WORDS, weights=WEIGHTS, most
     rows = written(spark, placed(docs), "placed")
     sources = written(spark, plan(rows, block, weights, most), "sources")
     # how often each block is taken: one row per block that is, summed before the join
-    times = slots(sources, seed=seed).groupBy("source", "block").agg(F.count("*").alias("times"))
+    # (written, as Spark would guess its size from that of ``sources`` and broadcast it)
+    times = written(spark, slots(sources, seed=seed).groupBy("source", "block").agg(F.count("*").alias("times")), "times")
     p = pieces(rows, block).alias("p")
     taken = (p.join(times.alias("t"), F.col("p.source").eqNullSafe(F.col("t.source")) & (F.col("p.block") == F.col("t.block")))
              .groupBy("p.doc_id", "p.tie", "p.source", "p.start").agg(F.sum(F.col("n") * F.col("times")).alias("taken")))
