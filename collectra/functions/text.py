@@ -40,15 +40,20 @@ def normalize_phone(c: Column) -> Column:
 
 
 def _accent_table() -> tuple[str, str]:
-    """Accented Latin letters -> base letters, built from Unicode NFD by rule."""
+    """Accented Latin letters -> base letters, built from Unicode NFD by rule.
+
+    Combining marks of their own stand at the end, without a counterpart:
+    ``translate`` deletes them.
+    """
     src, dst = [], []
-    for cp in range(0x00C0, 0x0250):
+    for cp in [*range(0x00C0, 0x0250), *range(0x1E00, 0x1F00)]:
         ch = chr(cp)
         base = "".join(x for x in unicodedata.normalize("NFD", ch) if unicodedata.category(x) != "Mn")
         if base != ch and len(base) == 1:
             src.append(ch)
             dst.append(base)
-    return "".join(src), "".join(dst)
+    marks = [chr(cp) for cp in range(0x0300, 0x0370) if unicodedata.category(chr(cp)) == "Mn"]
+    return "".join(src + marks), "".join(dst)
 
 
 _ACCENTED, _PLAIN = _accent_table()

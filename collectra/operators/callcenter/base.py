@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from collectra.functions.agg import guarded_ratio, money_sum
 from collectra.functions.columns import q
 from collectra.functions.states import contact_state, payment_state
-from collectra.schemas import ALL_CENTERS, CON_GESTION, SIN_GESTION
+from collectra.schemas import FRONT_FACETS, ALL_CENTERS, CON_GESTION, SIN_GESTION
 
 
 def callcenter_enrich(portfolio: DataFrame) -> DataFrame:
@@ -50,20 +50,20 @@ def unified_base(attributed: DataFrame) -> DataFrame:
 
 
 def latest_contact(contacts: DataFrame, order_col: str = "seq") -> DataFrame:
-    """Last contact per client by an explicit order key.
+    """Last contact per client by an explicit order key (row order on landing).
 
-    ``max_by`` is a map-side combinable aggregate, so a client holding a
-    large share of the contact log never lands whole in one task (a
-    row_number window would sort all its rows in one partition).
+    The largest key per client is a hash aggregate (a client holding a large
+    share of the log sends one row per task); the rows that hold it join back.
+    A log without the key has no order: the latest date, then the largest values.
     """
     cols = [c for c in ["Tipo_Novedad", "Novedad"] if c in contacts.columns]
+    log = contacts.where(q("Cedula_Cliente").isNotNull())
     if order_col in contacts.columns:
-        key = q(order_col)
-    else:  # no sequence column (landed sheet): latest contact date, then values
-        key = F.struct(*[q(c) for c in ["Fecha_Novedad"] + cols if c in contacts.columns])
-    return (contacts.where(q("Cedula_Cliente").isNotNull())
-            .groupBy("Cedula_Cliente")
-            .agg(F.max_by(F.struct(*[q(c) for c in cols]), key).alias("_last"))
+        log = log.select("Cedula_Cliente", q(order_col).alias("_k"), *[q(c) for c in cols])
+        last = log.groupBy("Cedula_Cliente").agg(F.max("_k").alias("_k"))
+        return log.join(last, ["Cedula_Cliente", "_k"], "left_semi").drop("_k").dropDuplicates(["Cedula_Cliente"])
+    key = F.struct(*[q(c) for c in ["Fecha_Novedad"] + cols if c in contacts.columns])
+    return (log.groupBy("Cedula_Cliente").agg(F.max_by(F.struct(*[q(c) for c in cols]), key).alias("_last"))
             .select("Cedula_Cliente", *[F.col(f"_last.{c}").alias(c) for c in cols]))
 
 
@@ -101,11 +101,6 @@ def cc_meta(unified: DataFrame) -> DataFrame:
                        money_sum(q("META_UNIFICADA")).alias("total_meta"))
 
 
-FRONT_FACETS = [("empresas", "Empresa"), ("zonas", "Zona"), ("regionales", "Regional_Cobro"),
-                ("call_centers", "CALL_CENTER_FILTRO"), ("franjas", "Franja_Meta"),
-                ("estados_vigencia", "Estado_Vigencia")]
-
-
 def facet_values_cc(detail: DataFrame) -> DataFrame:
     """Distinct values per facet of the call-centre detail, NULLs kept, plus
     the fixed contact-state list."""

@@ -43,23 +43,22 @@ def token_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
 RARITY_ORDER = "wkxyqzjhfvbgpcmudtlsnoiera"
 
 
-def _prefix(t, frac: float):
-    """Prefix elements of a token under the global order.
-
-    Elements are character occurrences ``char#k`` (k-th time the char
-    appears).  A token of length L needs overlap >= ceil(frac * L) with any
-    partner reaching the threshold, so its first L - need + 1 elements are
-    enough for an exact equi-join.
-    """
+def _elements(t):
+    """Character occurrences ``char#k`` (k-th time the char appears), in the global order."""
     chars = F.split(t, "")
     els = F.transform(chars, lambda c, i: F.struct(
         F.instr(F.lit(RARITY_ORDER), c).alias("r"),
         (-F.size(F.filter(F.slice(chars, 1, i + 1), lambda x: x == c))).alias("nk"),
         c.alias("c")))
-    srt = F.array_sort(els)
-    need = F.ceil(F.size(srt) * F.lit(frac) - F.lit(1e-9)).cast("int")
-    plen = F.greatest(F.size(srt) - need + 1, F.lit(1))
-    return F.transform(F.slice(srt, 1, plen), lambda x: F.concat(x["c"], F.lit("#"), (-x["nk"]).cast("string")))
+    return F.transform(F.array_sort(els), lambda x: F.concat(x["c"], F.lit("#"), (-x["nk"]).cast("string")))
+
+
+def _prefix(els, frac: float):
+    """Prefix of a token's elements: a token of length L needs overlap >=
+    ceil(frac * L) with any partner reaching the threshold, so its first
+    L - need + 1 elements are enough for an exact equi-join."""
+    need = F.ceil(F.size(els) * F.lit(frac) - F.lit(1e-9)).cast("int")
+    return F.slice(els, 1, F.greatest(F.size(els) - need + 1, F.lit(1)))
 
 
 def similar_token_pairs(agent_tokens: DataFrame, user_tokens: DataFrame, threshold: float) -> DataFrame:
@@ -67,17 +66,25 @@ def similar_token_pairs(agent_tokens: DataFrame, user_tokens: DataFrame, thresho
 
     ratio >= t needs overlap M >= t/2 (la+lb) and lb >= t/(2-t) la, hence
     M >= ceil(t/(2-t) * la): prefix filtering with that bound per token is
-    exact, and the length bound prunes further before the ratio is computed.
+    exact.  Equal tokens (ratio 1) are an equi-join of their own; the others
+    reach Python only if their whole multiset overlap allows the threshold.
     """
+    a = agent_tokens.select("ta").distinct()
+    u = user_tokens.select("tu").distinct()
+    equal = a.join(u, F.col("ta") == F.col("tu")).withColumn("r", F.lit(1.0))
+    cand = similar_candidates(a, u, threshold)
+    return equal.unionByName(cand.withColumn("r", token_ratio("ta", "tu")).where(F.col("r") >= threshold))
+
+
+def similar_candidates(a: DataFrame, u: DataFrame, threshold: float) -> DataFrame:
+    """Different (ta, tu) whose character multisets overlap enough: 2M >= t (la+lb)."""
     frac = threshold / (2.0 - threshold)
-    pa = (agent_tokens.select("ta").distinct()
-          .select("ta", F.length("ta").alias("la"), F.explode(_prefix(F.col("ta"), frac)).alias("e")))
-    pu = (user_tokens.select("tu").distinct()
-          .select("tu", F.length("tu").alias("lb"), F.explode(_prefix(F.col("tu"), frac)).alias("e")))
-    cand = (pa.join(pu, "e")
-            .where((F.col("lb") >= F.col("la") * frac - 1e-9) & (F.col("la") >= F.col("lb") * frac - 1e-9))
+    pa = a.withColumn("ea", _elements(F.col("ta"))).select("ta", "ea", F.explode(_prefix(F.col("ea"), frac)).alias("e"))
+    pu = u.withColumn("eb", _elements(F.col("tu"))).select("tu", "eb", F.explode(_prefix(F.col("eb"), frac)).alias("e"))
+    both = F.size("ea") + F.size("eb")
+    return (pa.join(pu, "e").where((F.col("ta") != F.col("tu"))
+                                   & (2 * F.size(F.array_intersect("ea", "eb")) >= F.lit(threshold) * both - 1e-9))
             .select("ta", "tu").distinct())
-    return cand.withColumn("r", token_ratio("ta", "tu")).where(F.col("r") >= threshold)
 
 
 def agent_reference(calls: DataFrame, name_col: str = "Nombre_Call") -> DataFrame:
@@ -101,8 +108,7 @@ def user_centers(users: DataFrame, agents: DataFrame, accept: float = FUZZY_ACCE
     # re-join.  They are hash-partitioned by user name once: the de-duplication,
     # the per-token max, the per-pair mean and the per-user winner all group
     # by keys that contain the user name, so none of them shuffles again.
-    # A user name is one row here (names are distinct), and its linked agents
-    # are bounded by the agent list, so no partition holds a hot group.
+    # A user name is one row here: names are distinct.
     pairs = (hits.join(aa, "ta").join(ua, "tu")
              .select("u_name", "u_tok", "a_name", "a_cc", "a_tok")
              .repartition("u_name")

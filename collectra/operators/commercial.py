@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from collectra.functions.columns import existing, q
-
-SECTIONS = ["SECCION_1_SIN_PAGO", "SECCION_2_FALLO_2DA", "SECCION_3_FALLO_3RA_PLUS"]
+from collectra.schemas import APPLICATION_SUMMARY_COLUMNS, VINTAGE_GROUPS as SECTIONS
 
 
 def refinance_candidates(df: DataFrame) -> DataFrame:
@@ -47,15 +46,11 @@ def refinance_total(candidates: DataFrame) -> DataFrame:
     return candidates.agg(F.count(F.lit(1)).alias("total_retanqueos"))
 
 
-APPLICATION_SUMMARY_COLUMNS = ["Nombre_Vendedor", "Estado", "Regional_Venta", "Analista_Asociado"]
-
-
 def application_summary(apps: DataFrame) -> DataFrame:
     return apps.select(*[q(c) for c in existing(apps, APPLICATION_SUMMARY_COLUMNS)])
 
 
-def application_matrix(apps: DataFrame, states) -> DataFrame:
-    """Seller x application-state counts, pivoted on the given states
-    (explicit values: no extra job to discover them)."""
-    return (apps.groupBy("Nombre_Vendedor").pivot("Estado", list(states))
-            .agg(F.count(F.lit(1))).fillna(0, subset=list(states)))
+def application_matrix(apps: DataFrame) -> DataFrame:
+    """Seller x application-state counts in long form: every state that occurs
+    is a row, whatever its name (the states are not listed beforehand)."""
+    return apps.groupBy("Nombre_Vendedor", "Estado").agg(F.count(F.lit(1)).alias("count"))

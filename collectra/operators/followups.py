@@ -3,7 +3,7 @@
 Joins here are equi-joins on the client id.  The client->role side is made
 distinct first (at most one row per client and role), so the fan-out is
 bounded by the number of roles; the contact-detail join, whose right side
-can hold a hot client, goes through :func:`left_join_skew_safe`.
+can hold a hot client, is an inner join (AQE can split either side).
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ def roll_rate(base: DataFrame, dims=DIMS_FOLLOWUPS) -> DataFrame:
     return (base.where(q("Rodamiento").isNotNull() & (q("Rodamiento") != ""))
             .groupBy(*_dims(base, dims), q("Rodamiento"), q("Estado_Gestion"))
             .agg(F.count(F.lit(1)).alias("Número de Cuentas"))
-            .orderBy("Rodamiento"))
+            .orderBy("Rodamiento", *_dims(base, dims), "Estado_Gestion"))
 
 
 def client_roles(contacts: DataFrame) -> DataFrame:
@@ -67,7 +67,7 @@ def sunburst(merged: DataFrame, payment: str | None = None, dims=DIMS_FOLLOWUPS,
     out = (valid_assignment(df)
            .groupBy(*_dims(df, dims), q("Estado_Gestion"), q("Cargo_Usuario"))
            .agg(F.count(F.lit(1)).alias("Cantidad")))
-    return out.orderBy(F.col("Cantidad").desc()) if sort else out
+    return out.orderBy(F.col("Cantidad").desc(), *_dims(df, dims), "Estado_Gestion", "Cargo_Usuario") if sort else out
 
 
 def _with_role(contacts: DataFrame) -> DataFrame:
@@ -93,12 +93,23 @@ def join_contact_detail(merged: DataFrame, contacts: DataFrame) -> DataFrame:
 
     Contact columns that collide with loan columns get the suffix ``_right``;
     NULL ``Novedad``/``Tipo_Novedad``/``Nombre_Usuario`` become ''.
+
+    ``Novedades_Por_Cargo`` of :func:`join_contacts_per_role` is 0 exactly for the
+    rows without a partner, so those pass by the join: no anti join is needed.
     """
     keys = ["Cedula_Cliente", "Cargo_Usuario"]
     contacts = _with_role(contacts)
     extra = [c for c in contacts.columns if c not in keys + ["Empresa"]]
     right = contacts.select(*keys, *[q(c).alias(c + "_right" if c in merged.columns else c) for c in extra])
-    out = left_join_skew_safe(merged, right, keys)
+    if "Novedades_Por_Cargo" in merged.columns:
+        extra = [c for c in right.columns if c not in keys]
+        met = merged.where(q("Novedades_Por_Cargo") > 0).join(right, keys, "inner")
+        alone = merged.where(q("Novedades_Por_Cargo") == 0).withColumns(
+            {c: F.lit(None).cast(right.schema[c].dataType) for c in extra})
+        cols = [q(c) for c in [*merged.columns, *extra]]
+        out = met.select(*cols).unionByName(alone.select(*cols))
+    else:
+        out = left_join_skew_safe(merged, right, keys)
     fills = {c: F.coalesce(q(c), F.lit("")) for c in ["Novedad", "Tipo_Novedad", "Nombre_Usuario"]
              if c in out.columns}
     return out.withColumns(fills) if fills else out

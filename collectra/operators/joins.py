@@ -1,4 +1,4 @@
-"""Join helpers: size-checked broadcast and skew-tolerant outer joins."""
+"""Join helpers: skew-tolerant outer join."""
 
 from __future__ import annotations
 
@@ -8,23 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-_SMALL: dict = {}
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only after checking the side really is small.
-
-    The check reads at most ``max_rows + 1`` rows; above the bound the frame
-    is returned unhinted and Spark plans a shuffle join (AQE may still
-    convert it at runtime from measured sizes).  The verdict is remembered
-    per session and plan (dimension tables are checked once, not per query).
-    """
-    key = (id(df.sparkSession), df.semanticHash(), max_rows)
-    if key not in _SMALL:
-        _SMALL[key] = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if _SMALL[key] else df
-
-
 def left_join_skew_safe(left: DataFrame, right: DataFrame, on, right_cols=None) -> DataFrame:
     """``left LEFT JOIN right USING (on)`` that survives a hot key on the right.
 

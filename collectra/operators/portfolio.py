@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from collectra.functions.agg import money_sum
 from collectra.functions.columns import existing, q
 from collectra.functions.states import collection_zone, validity_state, validity_substate
-from collectra.schemas import DIMS_PORTFOLIO, VALIDITY_STATES
+from collectra.schemas import FACETS, DIMS_PORTFOLIO, VALIDITY_STATES
 
 
 def _dims(df: DataFrame, dims) -> list[str]:
@@ -33,7 +33,10 @@ def cube_regional(df: DataFrame, dims=DIMS_PORTFOLIO) -> DataFrame:
 
 
 def cube_collection(df: DataFrame, dims=DIMS_PORTFOLIO) -> DataFrame:
-    """Loans per mapped collection zone (falls back to the collection region)."""
+    """Loans per mapped collection zone (falls back to the collection region).
+    A portfolio without ``Zona_Cobro`` gives no rows."""
+    if "Zona_Cobro" not in df.columns:
+        df = df.withColumn("Zona_Cobro", F.lit(None).cast("string")).where(F.lit(False))
     df = _with_state(df)
     keys = _dims(df, dims)
     return (df.withColumn("Eje_X_Cobro", collection_zone(q("Zona_Cobro"), q("Regional_Cobro")))
@@ -43,7 +46,10 @@ def cube_collection(df: DataFrame, dims=DIMS_PORTFOLIO) -> DataFrame:
 
 
 def cube_disbursement(df: DataFrame, as_of, dims=DIMS_PORTFOLIO, min_year: int = 2018) -> DataFrame:
-    """Disbursed amount per year in [min_year, year(as_of)], rounded to units."""
+    """Disbursed amount per year in [min_year, year(as_of)], rounded to units.
+    A portfolio without ``Fecha_Desembolso`` gives no rows."""
+    if "Fecha_Desembolso" not in df.columns:
+        df = df.withColumn("Fecha_Desembolso", F.lit(None).cast("date"))
     df = _with_state(df)
     as_of = as_of if isinstance(as_of, _dt.date) else _dt.date.fromisoformat(str(as_of))
     keys = _dims(df, dims)
@@ -66,36 +72,29 @@ def cube_validity(df: DataFrame, dims=DIMS_PORTFOLIO) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("count")))
 
 
-FACETS = [
-    ("empresas", ["Empresa"]),
-    ("zonas", ["Zona"]),
-    ("regionales", ["Regional_Cobro", "Regional_Venta", "Regional"]),
-    ("call_centers", ["CALL_CENTER_FILTRO", "CALL_CENTER", "Call_Center"]),
-    ("franjas", ["Franja_Cartera", "Franja_Meta", "Franja"]),
-]
-
-
 def facet_values(df: DataFrame, facets=FACETS, keep_nulls: bool = False,
                  fixed_states=VALIDITY_STATES) -> DataFrame:
-    """Distinct filter values per facet in long form ``(facet, value)``.
+    """Distinct filter values per facet in long form ``(facet, value)``, sorted.
 
-    One scan and one (map-side combined) distinct for all facets; the first
+    One scan: the distinct combinations come first (map-side combined), so the
+    explode to one row per facet works on combinations, not on loans.  The first
     existing candidate column feeds each facet.  ``keep_nulls`` keeps NULL
     values (call-centre variant).  The fixed validity-state list is appended.
     """
-    pairs = []
+    pairs, used = [], []
     for name, cands in facets:
         found = existing(df, cands)
         if found:
+            used.append(found[0])
             pairs.append(F.struct(F.lit(name).alias("facet"), q(found[0]).cast("string").alias("value")))
     spark = df.sparkSession
     fixed = _fixed_facet_rows(spark, fixed_states)
     if not pairs:
         return fixed
-    long = df.select(F.explode(F.array(*pairs)).alias("p")).select("p.facet", "p.value")
+    long = df.select(*[q(c) for c in dict.fromkeys(used)]).distinct().select(F.explode(F.array(*pairs)).alias("p")).select("p.facet", "p.value")
     if not keep_nulls:
         long = long.where(F.col("value").isNotNull())
-    return long.distinct().unionByName(fixed)
+    return long.distinct().unionByName(fixed).orderBy("facet", "value")
 
 
 def _fixed_facet_rows(spark: SparkSession, states) -> DataFrame:

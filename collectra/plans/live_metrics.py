@@ -1,22 +1,30 @@
-"""Live call-centre metrics: filter the stored portfolio, restrict the
-contact log and calls to it, and recompute the call-centre KPIs."""
+"""Live call-centre metrics: filter the stored call-centre detail, restrict the
+contact log and calls to it, and recompute the whole call-centre module.
+
+The centre filter is the detail's ``CALL_CENTER_FILTRO``, which carries the
+management rule.  A filter that matches nothing gives the metrics of nothing;
+``parity=True`` keeps the source system's reading, where an empty scope turns
+the contact and call filters off.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from collectra.functions.columns import q
 from collectra.operators import search
 from collectra.operators.callcenter import base, calls as cl, contacts as ct, fuzzy, messaging as ms
+from collectra.schemas import LIVE_FACETS
+from collectra.session import fresh_path
+from collectra.sources.store import resolve_dataset
 
 
 def _prefilter(pf: DataFrame, req: search.SearchRequest) -> DataFrame:
     """Facets, roll rate and contacted flag (row-level predicates only)."""
-    fmap = [("Empresa", req.empresa), ("Zona", req.zona), ("Regional_Cobro", req.regional),
-            ("Regional", req.regional), ("Franja_Cartera", req.franja),
-            ("CALL_CENTER_FILTRO", req.call_center), ("Rodamiento", req.rodamiento)]
-    preds = [q(c).isin(*v) for c, v in fmap if v and c in pf.columns]
+    preds = [q(c).isin(*v) for c, v in ((c, getattr(req, f)) for c, f in LIVE_FACETS) if v and c in pf.columns]
     return pf.where(search._and(preds) & search.contacted_predicate(pf, req.novedades))
 
 
@@ -57,44 +65,62 @@ def portfolio_scope_is_empty(pf: DataFrame, req: search.SearchRequest) -> bool:
     return scope_is_empty(f)
 
 
-def restrict_contacts(contacts: DataFrame, scope: DataFrame, empty: bool | None = None) -> DataFrame:
-    """Contacts of the scope's clients; all contacts when the scope is empty."""
-    if scope_is_empty(scope) if empty is None else empty:
-        return contacts
+def restrict_contacts(contacts: DataFrame, scope: DataFrame) -> DataFrame:
+    """Contacts of the scope's clients."""
     return contacts.join(scope.select("Cedula_Cliente"), "Cedula_Cliente", "left_semi")
 
 
-def restrict_calls(calls: DataFrame, scope: DataFrame, centers, empty: bool | None = None) -> DataFrame:
-    """Calls of the chosen centres, only when the scope is non-empty.  The
-    cleaned centre label is used (the raw one carries blanks / lower case)."""
-    if not centers or (scope_is_empty(scope) if empty is None else empty):
+def restrict_calls(calls: DataFrame, centers) -> DataFrame:
+    """Calls of the chosen centres (all, if none is chosen).  The cleaned centre
+    label is used (the raw one carries blanks / lower case)."""
+    if not centers:
         return calls
     col = "Call_Center_Limpio" if "Call_Center_Limpio" in calls.columns else "Call_Center"
     return calls.where(q(col).isin(*centers))
 
 
-def _long(df: DataFrame, cols) -> DataFrame:
-    args = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
-    return df.select(F.expr(f"stack({len(cols)}, {args}) AS (metric, value)"))
-
-
-def live_cc_metrics(portfolio: DataFrame, contacts: DataFrame, calls: DataFrame, messages: DataFrame,
-                    req: search.SearchRequest) -> DataFrame:
-    """Headline call-centre KPIs of the filtered portfolio as (metric, value) rows."""
-    scope = filter_portfolio(portfolio, req)
-    empty = portfolio_scope_is_empty(portfolio, req)
-    nov = restrict_contacts(contacts, scope, empty)
-    cal = restrict_calls(calls, scope, req.call_center, empty)
-    unified = base.management_base(scope)
+def _rows(section: str, df: DataFrame, values, key: str | None = None, detail: str | None = None) -> DataFrame:
+    """(seccion, clave, detalle, metric, value) rows of a metric table."""
+    args = ", ".join(f"'{v}', CAST(`{v}` AS DOUBLE)" for v in values)
+    text = lambda c: q(c).cast("string") if c else F.lit(None).cast("string")
+    return df.select(F.lit(section).alias("seccion"), text(key).alias("clave"), text(detail).alias("detalle"),
+                     F.expr(f"stack({len(values)}, {args}) AS (metric, value)"))
+
+
+def live_cc_metrics(detail: DataFrame, contacts: DataFrame, calls: DataFrame, messages: DataFrame,
+                    req: search.SearchRequest, promises_as_of, parity: bool = False) -> DataFrame:
+    """Every call-centre metric of the filtered detail, in long form."""
+    scope = filter_portfolio(detail, req)
+    nov, cal = contacts, calls
+    if not (parity and portfolio_scope_is_empty(detail, req)):
+        nov, cal = restrict_contacts(contacts, scope), restrict_calls(calls, req.call_center)
+    unified, scoped = base.management_base(scope), cl.call_scope(cal)
+    # five metric tables share the attributed contacts: written once, read by each
+    path = fresh_path(detail.sparkSession, "live")
+    fuzzy.fuzzy_agent_match(nov, cal).write.parquet(path)
+    att = detail.sparkSession.read.parquet(path)
     parts = [
-        _long(base.cc_meta(unified), ["total_cuentas", "total_meta"]),
-        _long(cl.call_totals(cl.call_scope(cal)), ["total_llamadas", "con_respuesta", "sin_respuesta"]),
-        ms.msg_funnel(messages, nov, base.callcenter_enrich(scope)).select(
-            F.concat(F.lit("funnel_"), F.col("stage").cast("string")).alias("metric"),
-            F.col("value").cast("double").alias("value")),
-        _long(ct.contact_kpis(fuzzy.fuzzy_agent_match(nov, cal)), ["total", "sin_asignar"]),
+        _rows("meta", base.cc_meta(unified), ["total_cuentas", "total_meta"]),
+        _rows("cumplimiento", base.goal_attainment(unified), ["META_$", "Recaudo_Meta", "Faltante", "Cumplimiento"], "CALL_CENTER", "NOMBRE"),
+        _rows("rodamiento", base.roll_rate_cc(unified), ["count"], "Rodamiento"),
+        _rows("llamadas", cl.call_totals(scoped), ["total_llamadas", "con_respuesta", "sin_respuesta"]),
+        _rows("efectividad", cl.call_effectiveness(scoped), ["Total_Intentos", "Con_Respuesta", "Efectividad"], "Call_Center"),
+        _rows("umbral", cl.call_threshold(scoped), ["alerta_umbral"]),
+        _rows("por_dia", cl.calls_by_day(scoped), ["Total_Llamadas"], "Fecha", "Estado_Respuesta"),
+        _rows("mensajeria", ms.msg_effectiveness(messages), ["entregados", "conversaciones", "porcentaje"], "name"),
+        _rows("funnel", ms.msg_funnel(messages, nov, base.callcenter_enrich(scope)), ["value"], "name"),
+        _rows("kpis", ct.contact_kpis(att), ["total", "sin_asignar"], "top_tipo"),
+        _rows("novedades_cc", ct.contacts_by_center(att), ["Cantidad"], "Call_Center"),
+        _rows("novedades_tipo", ct.contacts_by_center_type(att), ["Cantidad"], "Call_Center", "Tipo_Novedad"),
+        _rows("compromisos", ct.promises_by_state(att, promises_as_of), ["Cantidad"], "Call_Center", "Estado_Acuerdo"),
+        _rows("filtros", base.facet_values_cc(scope).withColumn("n", F.lit(1)), ["n"], "facet", "value"),
     ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return reduce(DataFrame.unionByName, parts)
+
+
+def stored_cc_metrics(spark: SparkSession, root: str, job_id: str, req: search.SearchRequest, promises_as_of,
+                      parity: bool = False) -> DataFrame:
+    """The metrics of a stored job, from the tables its report run has left."""
+    read = lambda name: resolve_dataset(spark, root, name, job_id)
+    return live_cc_metrics(read("detallados_call_center"), read("novedades_base"), read("llamadas_base"), read("mensajes_base"),
+                           req, promises_as_of, parity)

@@ -7,6 +7,8 @@ sides; money is summed as DECIMAL so totals are exact on both engines.
 
 from __future__ import annotations
 
+import re
+
 _USERS = ["torres ana", "Luis Rojaz", "DIAZ MARTA", "Jorje Pineda", "Carla Mejía",
           "Silva Pedro", "Sofia Luna", "Diego Cano", "Ruth Vga"]
 _AGENTS = ["Ana Torres", "Luis Rojas", "Marta Diaz", "Jorge Pineda", "Carla Mejia",
@@ -214,6 +216,18 @@ def _rr_select(src: str) -> str:
     return f"SELECT {cols} FROM {src}"
 
 
+def _master(src: str) -> str:
+    """Contents of a master table: rows, loans, clients, money, lengths of two texts."""
+    loans = src != "contacts"
+    types = src != "fbase"
+    return ", ".join([
+        "count(*) AS rows", ('count(DISTINCT "Credito")' if loans else "CAST(NULL AS BIGINT)") + " AS creditos",
+        'count(DISTINCT "Cedula_Cliente") AS clientes',
+        (f'CAST(sum(CAST("Total_Recaudo" AS {M})) AS DOUBLE)' if loans else "CAST(NULL AS DOUBLE)") + " AS recaudo",
+        ('CAST(sum(length("Tipo_Novedad")) AS BIGINT)' if types else "CAST(NULL AS BIGINT)") + " AS tipo_largo",
+        ('CAST(sum(length("Zona")) AS BIGINT)' if loans else "CAST(NULL AS BIGINT)") + " AS zona_largo"])
+
+
 def _sunburst(where: str = "") -> str:
     return (f"SELECT {DIMS7S}, \"Estado_Gestion\", \"Cargo_Usuario\", count(*) AS \"Cantidad\" FROM merged2 "
             f"WHERE NOT (\"Estado_Gestion\" = 'CON GESTIÓN' AND \"Cargo_Usuario\" = 'SIN ASIGNAR') {where} GROUP BY ALL")
@@ -229,9 +243,7 @@ BODIES: dict[str, str] = {
     "load_calls": f"SELECT * EXCLUDE (user_id) REPLACE ({d('Fecha_Llamada')}) FROM calls",
     "load_messages": f"SELECT * REPLACE ({d('Fecha_Mensaje')}) FROM messages",
     "load_applications": f"SELECT * REPLACE ({d('Fecha_Nacimiento')}) FROM applications",
-    "scan_sheet": f"""SELECT * EXCLUDE (seq) REPLACE ({d('Fecha_Novedad')}, {d('Fecha_Compromiso')}),
-        CAST(NULL AS VARCHAR) AS "Empresa", CAST(NULL AS VARCHAR) AS "Nombre_Cliente", CAST(NULL AS VARCHAR) AS "Usuario_Novedad",
-        CAST(NULL AS VARCHAR) AS "Celular_Corporativo", CAST(NULL AS VARCHAR) AS "Codigo_Novedad" FROM contacts""",
+    "scan_sheet": f"""SELECT * REPLACE ({d('Fecha_Novedad')}, {d('Fecha_Compromiso')}) FROM contacts""",
     "write_detail": _rr_select("fbase"),
     "resolve_dataset": f"SELECT * REPLACE ({d('Fecha_Desembolso')}, {d('Fecha_Cuota_Vigente')}) FROM vint "
                        "WHERE \"Grupo_Seguimiento\" = 'SECCION_2_FALLO_2DA'",
@@ -247,10 +259,10 @@ BODIES: dict[str, str] = {
         FROM scalls GROUP BY ALL""",
     "export_filtered": f"""SELECT "Credito", "Cedula_Cliente", "Zona", "Total_Recaudo", "Estado_Pago", {d('Fecha_Cuota_Vigente')}
         FROM fbase WHERE "Zona" IN ('CL1','CL2','CL3')""",
-    "master_tables": """SELECT 'detallados_cartera' AS tabla, (SELECT count(*) FROM fbase) AS rows, CAST(34 AS BIGINT) AS cols
-        UNION ALL SELECT 'detallados_novedades', (SELECT count(*) FROM contacts), CAST(10 AS BIGINT)
-        UNION ALL SELECT 'seguimientos_gestion', (SELECT count(*) FROM detail), CAST(22 AS BIGINT)
-        UNION ALL SELECT 'seguimientos_rodamientos', (SELECT count(*) FROM fbase), CAST(19 AS BIGINT)""",
+    "master_tables": f"""SELECT 'detallados_cartera' AS tabla, CAST(34 AS BIGINT) AS cols, {_master('fbase')} FROM fbase
+        UNION ALL SELECT 'detallados_novedades', CAST(10 AS BIGINT), {_master('contacts')} FROM contacts
+        UNION ALL SELECT 'seguimientos_gestion', CAST(22 AS BIGINT), {_master('detail')} FROM detail
+        UNION ALL SELECT 'seguimientos_rodamientos', CAST(19 AS BIGINT), {_master('fbase')} FROM fbase""",
     "active_manifest": """SELECT count(*) AS creditos, count(DISTINCT "Cedula_Cliente") AS clientes, 'job-0001' AS active_job_id,
         '2001-08-01T12:00:00' AS fecha_actualizacion, 'ACME' AS empresa, 'ready' AS status FROM portfolio""",
     "ingest_new_drops": """SELECT "Call_Center_Limpio" AS "Call_Center", count(*) AS "Total_Intentos",
@@ -312,8 +324,7 @@ BODIES: dict[str, str] = {
     "valid_assignment": """SELECT "Credito", "Cargo_Usuario", "Estado_Gestion" FROM merged2
         WHERE NOT ("Estado_Gestion" = 'CON GESTIÓN' AND "Cargo_Usuario" = 'SIN ASIGNAR')""",
     "application_summary": 'SELECT "Nombre_Vendedor", "Estado", "Regional_Venta", "Analista_Asociado" FROM applications',
-    "application_matrix": """SELECT "Nombre_Vendedor", count(*) FILTER (WHERE "Estado" = 'F') AS "F", count(*) FILTER (WHERE "Estado" = 'O') AS "O",
-        count(*) FILTER (WHERE "Estado" = 'P') AS "P" FROM applications GROUP BY ALL""",
+    "application_matrix": """SELECT "Nombre_Vendedor", "Estado", count(*) AS "count" FROM applications GROUP BY ALL""",
     # 2.4
     "join_client_roles": 'SELECT "Credito", "Cedula_Cliente", "Cargo_Usuario" FROM merged2',
     "join_contacts_per_role": 'SELECT "Credito", "Cargo_Usuario", "Novedades_Por_Cargo" FROM merged3',
@@ -328,8 +339,7 @@ BODIES: dict[str, str] = {
         (SELECT "Cedula_Cliente" FROM portfolio WHERE "Estado_Vigencia" = 'anticipado')""",
     "semi_join_contacts": """SELECT seq, "Cedula_Cliente" FROM contacts WHERE "Cedula_Cliente" IN
         (SELECT "Cedula_Cliente" FROM portfolio WHERE "Zona" IN ('CL1', 'CL2'))""",
-    "filter_calls_by_center": """SELECT seq, "Call_Center_Limpio" FROM calls WHERE "Call_Center_Limpio" IN ('CL1', 'CL2')
-        AND EXISTS (SELECT 1 FROM portfolio WHERE "Zona" IN ('CL1', 'CL2'))""",
+    "filter_calls_by_center": """SELECT seq, "Call_Center_Limpio" FROM calls WHERE "Call_Center_Limpio" IN ('CL1', 'CL2')""",
     "fuzzy_agent_match": 'SELECT seq, "Nombre_Usuario", "Call_Center" FROM attributed',
     # 2.5
     "cube_regional": f'SELECT {DIMS9}, "Franja_Meta", count(*) AS "count", {msum(chr(34) + "Total_Recaudo" + chr(34))} AS "Total_Recaudo" FROM portfolio GROUP BY ALL',
@@ -442,35 +452,50 @@ BODIES: dict[str, str] = {
     "related_rows": f"""SELECT "Credito", seq, "Cargo_Usuario", {d('Fecha_Novedad')} FROM detail WHERE trim("Cedula_Cliente") = '42'""",
 }
 
-# live_cc_metrics: scope of the request, contacts/calls restricted to it
-BODIES["live_cc_metrics"] = """WITH scope AS (SELECT * FROM portfolio WHERE "Franja_Cartera" IN ('AL DIA', '1 A 30', '31 A 90')
-        AND "CALL_CENTER_FILTRO" IN ('CL1', 'CL2', 'CL5')),
-    sc AS (SELECT *, CASE WHEN "Total_Recaudo" > 50000 THEN 'PAGO' ELSE 'SIN PAGO' END AS pago2,
-        "Zona" IN ('CL1','CL2','CL3','CL4','CL5','CL6','CL7','CL8','CL9') AND "Franja_Meta" = 'AL DIA' AS zp,
-        "Call_Center_Apoyo" IN ('CL1','CL2','CL3','CL4','CL5','CL6','CL7','CL8','CL9') AS sp FROM scope),
-    u AS (SELECT CASE WHEN zp THEN "Meta_General" ELSE "Meta_$" END AS meta FROM sc WHERE zp OR (sp AND NOT zp)),
-    nov AS (SELECT * FROM contacts WHERE "Cedula_Cliente" IN (SELECT "Cedula_Cliente" FROM scope)),
-    cal AS (SELECT * FROM scalls WHERE "Call_Center_Limpio" IN ('CL1', 'CL2', 'CL5')),
-    ph AS (SELECT DISTINCT "Telefono_Cliente" AS "Tel" FROM nov WHERE "Telefono_Cliente" IS NOT NULL AND "Telefono_Cliente" <> ''),
-    pcl AS (SELECT DISTINCT "Telefono_Cliente" AS "Tel", "Cedula_Cliente" FROM nov WHERE "Cedula_Cliente" IS NOT NULL
-        AND "Telefono_Cliente" IS NOT NULL AND "Telefono_Cliente" <> ''),
-    pay AS (SELECT DISTINCT "Cedula_Cliente" FROM sc WHERE pago2 = 'PAGO'),
-    agents AS (SELECT DISTINCT "Nombre_Call", "Call_Center_Limpio" FROM calls WHERE "Call_Center_Limpio" IN ('CL1', 'CL2', 'CL5')),
-    natt AS (SELECT n.*, CASE WHEN ('CL' || CAST(CAST(n."Cedula_Cliente" AS BIGINT) % 9 + 1 AS VARCHAR)) IN
-        (SELECT "Call_Center_Limpio" FROM agents) THEN 'CL' || CAST(CAST(n."Cedula_Cliente" AS BIGINT) % 9 + 1 AS VARCHAR)
-        ELSE 'SIN ASIGNAR' END AS cc FROM nov n)
-    SELECT 'total_cuentas' AS metric, CAST((SELECT count(*) FROM u) AS DOUBLE) AS value
-    UNION ALL SELECT 'total_meta', (SELECT """ + msum("meta") + """ FROM u)
-    UNION ALL SELECT 'total_llamadas', CAST((SELECT count(*) FROM cal) AS DOUBLE)
-    UNION ALL SELECT 'con_respuesta', CAST((SELECT count(*) FILTER (WHERE "Estado_Llamada" = 'ANSWERED') FROM cal) AS DOUBLE)
-    UNION ALL SELECT 'sin_respuesta', CAST((SELECT count(*) - count(*) FILTER (WHERE "Estado_Llamada" = 'ANSWERED') FROM cal) AS DOUBLE)
-    UNION ALL SELECT 'funnel_0', CAST((SELECT count(*) FROM vmsg) AS DOUBLE)
-    UNION ALL SELECT 'funnel_1', CAST((SELECT count(*) FROM conv) AS DOUBLE)
-    UNION ALL SELECT 'funnel_2', CAST((SELECT count(*) FROM conv WHERE "Tel_Norm" IN (SELECT "Tel" FROM ph)) AS DOUBLE)
-    UNION ALL SELECT 'funnel_3', CAST((SELECT count(*) FROM conv c JOIN pcl ON c."Tel_Norm" = pcl."Tel"
-        JOIN pay ON pcl."Cedula_Cliente" = pay."Cedula_Cliente" WHERE c."Tel_Norm" IN (SELECT "Tel" FROM ph)) AS DOUBLE)
-    UNION ALL SELECT 'total', CAST((SELECT count(*) FROM natt) AS DOUBLE)
-    UNION ALL SELECT 'sin_asignar', CAST((SELECT count(*) FILTER (WHERE cc = 'SIN ASIGNAR') FROM natt) AS DOUBLE)"""
+# live_cc_metrics: the whole call-centre module over the filtered detail.  Each
+# metric table is the body of its own key, read from the restricted views.
+_SCOPE = """WHERE "Franja_Cartera" IN ('AL DIA', '1 A 30', '31 A 90') AND "CALL_CENTER_FILTRO" IN ('CL1', 'CL2', 'CL5')"""
+_LIVE_VIEWS = f"""l_mdetail AS (SELECT * FROM mdetail {_SCOPE}),
+    l_unified AS (SELECT "CALL_CENTER_FILTRO" AS "CALL_CENTER_ID", "NOMBRE_AGENTE", "META_UNIFICADA", "Recaudo_Meta", "Rodamiento" FROM att {_SCOPE}),
+    l_contacts AS (SELECT * FROM contacts WHERE "Cedula_Cliente" IN (SELECT "Cedula_Cliente" FROM l_mdetail)),
+    l_scalls AS (SELECT * FROM scalls WHERE "Call_Center_Limpio" IN ('CL1', 'CL2', 'CL5')),
+    l_phone_clients AS (SELECT DISTINCT "Telefono_Cliente" AS "Tel", "Cedula_Cliente" FROM l_contacts
+        WHERE "Cedula_Cliente" IS NOT NULL AND "Telefono_Cliente" IS NOT NULL AND "Telefono_Cliente" <> ''),
+    l_phones AS (SELECT DISTINCT "Tel" FROM l_phone_clients),
+    l_payers AS (SELECT DISTINCT "Cedula_Cliente" FROM l_mdetail WHERE "Total_Recaudo" > 50000),
+    l_agents AS (SELECT DISTINCT "Call_Center_Limpio" FROM calls WHERE "Call_Center_Limpio" IN ('CL1', 'CL2', 'CL5')),
+    l_attributed AS (SELECT a.* REPLACE (CASE WHEN "Call_Center" IN (SELECT "Call_Center_Limpio" FROM l_agents) THEN "Call_Center"
+        ELSE 'SIN ASIGNAR' END AS "Call_Center") FROM attributed a WHERE "Cedula_Cliente" IN (SELECT "Cedula_Cliente" FROM l_mdetail))"""
+_LIVE = [("meta", "cc_meta", ["total_cuentas", "total_meta"], None, None),
+         ("cumplimiento", "goal_attainment", ["META_$", "Recaudo_Meta", "Faltante", "Cumplimiento"], "CALL_CENTER", "NOMBRE"),
+         ("rodamiento", "roll_rate_cc", ["count"], "Rodamiento", None),
+         ("llamadas", "call_totals", ["total_llamadas", "con_respuesta", "sin_respuesta"], None, None),
+         ("efectividad", "call_effectiveness", ["Total_Intentos", "Con_Respuesta", "Efectividad"], "Call_Center", None),
+         ("umbral", "call_threshold", ["alerta_umbral"], None, None),
+         ("por_dia", "calls_by_day", ["Total_Llamadas"], "Fecha", "Estado_Respuesta"),
+         ("mensajeria", "msg_effectiveness", ["entregados", "conversaciones", "porcentaje"], "name", None),
+         ("funnel", "msg_funnel", ["value"], "name", None),
+         ("kpis", "contact_kpis", ["total", "sin_asignar"], "top_tipo", None),
+         ("novedades_cc", "contacts_by_center", ["Cantidad"], "Call_Center", None),
+         ("novedades_tipo", "contacts_by_center_type", ["Cantidad"], "Call_Center", "Tipo_Novedad"),
+         ("compromisos", "promises_by_state", ["Cantidad"], "Call_Center", "Estado_Acuerdo"),
+         ("filtros", "facet_values_cc", ["n"], "facet", "value")]
+
+
+def _live() -> str:
+    views = "|".join(["mdetail", "unified", "contacts", "scalls", "phone_clients", "phones", "payers", "attributed"])
+    parts = []
+    for section, key, values, clave, detalle in _LIVE:
+        body = re.sub(rf"\b(FROM|JOIN) ({views})\b", r"\1 l_\2", BODIES[key])
+        if section == "filtros":
+            body = f"SELECT *, 1 AS n FROM ({body})"
+        text = lambda c: f'CAST("{c}" AS VARCHAR)' if c else "CAST(NULL AS VARCHAR)"
+        parts += [f"SELECT '{section}' AS seccion, {text(clave)} AS clave, {text(detalle)} AS detalle, '{v}' AS metric, "
+                  f'CAST("{v}" AS DOUBLE) AS value FROM ({body})' for v in values]
+    return f"WITH {_LIVE_VIEWS}\n" + "\nUNION ALL ".join(parts)
+
+
+BODIES["live_cc_metrics"] = _live()
 
 
 def oracle_sql() -> dict[str, str]:

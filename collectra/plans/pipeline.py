@@ -29,15 +29,18 @@ def _stage(spark: SparkSession, df: DataFrame, root: str, job_id: str, name: str
 
 
 def run_report(spark: SparkSession, raw: dict, root: str, job_id: str, empresa: str, as_of,
-               promises_as_of=None, workers: int = 4, min_year: int = 2018) -> dict:
-    """``raw``: landed tables ``portfolio, contacts, calls, messages, applications``."""
+               promises_as_of=None, workers: int = 4, min_year: int = 2018, center: str | None = None) -> dict:
+    """``raw``: landed tables ``portfolio, contacts, calls, messages, applications``.
+    ``center``: restricts the contact KPIs to one call centre (all, if not given)."""
     as_of = as_of if isinstance(as_of, _dt.date) else _dt.date.fromisoformat(str(as_of))
     promises_as_of = promises_as_of or as_of
     p = _stage(spark, enrich_portfolio(clean_portfolio(raw["portfolio"])), root, job_id, "portfolio")
     nov = _stage(spark, clean_contacts(raw["contacts"]), root, job_id, "contacts")
-    calls = clean_calls(raw["calls"])
-    msgs = clean_messages(raw["messages"])
-    apps = clean_applications(raw["applications"]) if raw.get("applications") is not None else None
+    # every landed sheet is parsed once
+    calls = _stage(spark, clean_calls(raw["calls"]), root, job_id, "calls")
+    msgs = _stage(spark, clean_messages(raw["messages"]), root, job_id, "messages")
+    apps = _stage(spark, clean_applications(raw["applications"]), root, job_id, "applications") \
+        if raw.get("applications") is not None else None
 
     fb = followups.followup_base(p)
     merged = followups.join_client_roles(fb, nov)
@@ -74,9 +77,14 @@ def run_report(spark: SparkSession, raw: dict, root: str, job_id: str, empresa:
         "call_center/por_dia": lambda: cl.calls_by_day(scoped),
         "call_center/mensajeria": lambda: ms.msg_effectiveness(msgs),
         "call_center/funnel": lambda: ms.msg_funnel(msgs, nov, cc_p),
+        "call_center/clientes_con_pago": lambda: ms.paying_client_count(msgs, nov, cc_p),
+        "call_center/grafico_llamadas": lambda: cl.call_totals_long(scoped),
+        "call_center/filtros": lambda: base.facet_values_cc(base.management_detail(p, nov)),
+        "seguimientos/filtros": lambda: pf.facet_values(fb),
     }
     if apps is not None:
         summaries["comercial/fnz"] = lambda: commercial.application_summary(apps)
+        summaries["comercial/fnz_matriz"] = lambda: commercial.application_matrix(apps)
 
     def one(name, build):
         try:
@@ -91,7 +99,7 @@ def run_report(spark: SparkSession, raw: dict, root: str, job_id: str, empresa:
 
     # contact KPIs share one attributed log: stage it once
     try:
-        att = _stage(spark, attributed(), root, job_id, "attributed")
+        att = ct.center_filter(_stage(spark, attributed(), root, job_id, "attributed"), center)
         for name, build in {"call_center/novedades_cc": lambda: ct.contacts_by_center(att),
                             "call_center/novedades_tipo": lambda: ct.contacts_by_center_type(att),
                             "call_center/compromisos": lambda: ct.promises_by_state(att, promises_as_of),
@@ -104,6 +112,10 @@ def run_report(spark: SparkSession, raw: dict, root: str, job_id: str, empresa:
     details = {
         "detallados_call_center": lambda: store.write_detail(base.management_detail(p, nov), root,
                                                              "detallados_call_center", job_id),
+        # what live metrics read back for the job
+        "novedades_base": lambda: store.write_detail(nov, root, "novedades_base", job_id),
+        "llamadas_base": lambda: store.write_detail(calls, root, "llamadas_base", job_id),
+        "mensajes_base": lambda: store.write_detail(msgs, root, "mensajes_base", job_id),
         "comercial_retanqueos": lambda: store.write_detail(refi, root, "comercial_retanqueos", job_id),
         "comercial_cosechas": lambda: store.write_detail(vint, root, "comercial_cosechas", job_id),
         "masters": lambda: store.master_tables(root, job_id, fb, followups.followup_detail(p, nov), nov),
@@ -127,7 +139,7 @@ SHEETS = {"portfolio": "Analisis_de_Cartera", "contacts": "Detalle_Novedades", "
           "messages": "Reporte_Mensajes", "applications": "FNZ007"}
 
 
-def read_landed_report(spark: SparkSession, landing_dir: str, fmt: str = "csv") -> dict:
+def read_landed_report(spark: SparkSession, landing_dir: str, fmt: str = "parquet") -> dict:
     """The five sheets of one landed report (``<landing_dir>/<sheet name>/``),
     read as text with the declared schemas (no inference)."""
     from collectra.schemas import (APPLICATION_SCHEMA, CALL_SCHEMA, CONTACT_SCHEMA, MESSAGE_SCHEMA,
@@ -144,7 +156,8 @@ def read_landed_report(spark: SparkSession, landing_dir: str, fmt: str = "csv")
     # the instalment text column is parsed by the cleaning step, keep it text
     schemas["portfolio"] = T.StructType([f if f.name != "Valor_Cuota_Vigente" else
                                          T.StructField(f.name, T.StringType()) for f in schemas["portfolio"].fields])
-    return {k: scan_sheet(spark, f"{landing_dir.rstrip('/')}/{SHEETS[k]}", schemas[k], fmt=fmt)
+    return {k: scan_sheet(spark, f"{landing_dir.rstrip('/')}/{SHEETS[k]}", schemas[k], fmt=fmt,
+                          order_col="seq" if k in ("contacts", "calls", "messages") else None)
             for k in SHEETS}
 
 

@@ -24,7 +24,7 @@ from collectra.schemas import (CONTACT_SCHEMA, ROLL_RATE_TABLE_COLUMNS)
 from collectra.session import fresh_path
 from collectra.sources import fixtures as fx
 from collectra.sources import landing, store
-from collectra.sources.materialize import materialized
+from collectra.sources.materialize import input_version, materialized
 
 AS_OF = _dt.date.fromisoformat(fx.AS_OF_PORTFOLIO)
 AS_OF_PROMISES = _dt.date.fromisoformat(fx.AS_OF_PROMISES)
@@ -32,7 +32,6 @@ JOB = "job-0001"
 # the fixture's disbursements span 1995-2001; the default window floor (2018)
 # would leave the cube empty, so the registered query opens it at 1995
 DISBURSEMENT_MIN_YEAR = 1995
-APPLICATION_STATES = ["F", "O", "P"]
 
 
 class T:
@@ -47,9 +46,10 @@ class T:
 
     def __init__(self, spark: SparkSession, sf: str):
         self.spark, self.sf = spark, sf
+        self.version = input_version(spark, sf)
 
     def _m(self, name, build):
-        return materialized(self.spark, name, self.sf, build)
+        return materialized(self.spark, name, self.sf, build, version=self.version)
 
     def portfolio(self):
         return self._m("portfolio", lambda: fx.portfolio(self.spark, self.sf))
@@ -91,6 +91,10 @@ class T:
         """The stored follow-up detail table that search runs against."""
         return self._m("contact_detail", lambda: followups.followup_detail(self.portfolio(), self.contacts()))
 
+    def management_detail(self):
+        """The stored call-centre detail that live metrics filter."""
+        return self._m("management_detail", lambda: base.management_detail(self.portfolio(), self.contacts()))
+
     def vintages(self):
         return commercial.vintage_early_risk(self.portfolio(), AS_OF)
 
@@ -137,10 +141,9 @@ def _(spark, sf):
 
 @query("scan_sheet")
 def _(spark, sf):
-    """Contacts landed as an all-text CSV sheet (NULL as a null token), read back typed."""
-    raw = fx.contacts_raw(spark, sf).drop("seq")
-    path = landing.land_as_text(raw, fresh_path(spark, "landing", "contacts"))
-    return landing.scan_sheet(spark, path, CONTACT_SCHEMA)
+    """Contacts landed as an all-text sheet (NULL as a null token), read back typed, in sheet order."""
+    path = landing.land_as_text(fx.contacts_raw(spark, sf), fresh_path(spark, "landing", "contacts"), row="seq")
+    return landing.scan_sheet(spark, path, CONTACT_SCHEMA, order_col="seq")
 
 
 @query("write_detail")
@@ -148,7 +151,7 @@ def _(spark, sf):
     root = fresh_path(spark, "store")
     store.write_detail(_t(spark, sf).followup_base(), root, "seguimientos_rodamientos", JOB,
                        ROLL_RATE_TABLE_COLUMNS)
-    return spark.read.parquet(f"{root}/seguimientos_rodamientos").drop("job_id")
+    return spark.read.parquet(store.job_path(root, "seguimientos_rodamientos", JOB))
 
 
 @query("resolve_dataset")
@@ -202,9 +205,17 @@ def _(spark, sf):
     root = fresh_path(spark, "store")
     written = store.master_tables(root, JOB, t.followup_base(), t.contact_detail(), t.contacts())
     tables = {name: spark.read.parquet(p) for name, p in sorted(written.items())}
-    parts = [df.where(F.col("job_id") == JOB)
-             .agg(F.count(F.lit(1)).alias("rows"), F.lit(len(df.columns) - 1).cast("long").alias("cols"))
-             .select(F.lit(name).alias("tabla"), "rows", "cols")
+    # contents, not only counts: loans, clients, money and texts of each table
+    def total(df, c, how):
+        return how(c) if c in df.columns else F.lit(None)
+
+    parts = [df.agg(F.count(F.lit(1)).alias("rows"), F.lit(len(df.columns)).cast("long").alias("cols"),
+                    total(df, "Credito", F.countDistinct).cast("long").alias("creditos"),
+                    F.countDistinct("Cedula_Cliente").alias("clientes"),
+                    total(df, "Total_Recaudo", lambda c: F.sum(q(c).cast("decimal(24,3)"))).cast("double").alias("recaudo"),
+                    total(df, "Tipo_Novedad", lambda c: F.sum(F.length(c))).cast("long").alias("tipo_largo"),
+                    total(df, "Zona", lambda c: F.sum(F.length(c))).cast("long").alias("zona_largo"))
+             .withColumn("tabla", F.lit(name))
              for name, df in tables.items()]
     out = parts[0]
     for p in parts[1:]:
@@ -224,12 +235,6 @@ def _(spark, sf):
                                .add("status", "string"))
 
 
-@query("validate_drop")
-def _(spark, sf):
-    """Landing-folder listing with accept flags (the driver's parquet files)."""
-    return store.validate_drop(spark, sf, extensions=(".xlsx",)).drop("length")
-
-
 @query("ingest_new_drops")
 def _(spark, sf):
     from collectra.streaming.ingest import ingest_call_drops
@@ -438,7 +443,7 @@ def _(spark, sf):
 
 @query("application_matrix")
 def _(spark, sf):
-    return commercial.application_matrix(_t(spark, sf).applications(), APPLICATION_STATES)
+    return commercial.application_matrix(_t(spark, sf).applications())
 
 
 # ---------------------------------------------------------------- 2.4 joins
@@ -464,8 +469,11 @@ def _(spark, sf):
 
 @query("join_latest_contact")
 def _(spark, sf):
+    """The last row of the landed contact sheet per client."""
     t = _t(spark, sf)
-    return base.management_detail(t.portfolio(), t.contacts()).select(
+    path = landing.land_as_text(fx.contacts_raw(spark, sf), fresh_path(spark, "landing", "contacts"), row="seq")
+    landed = cleaning.clean_contacts(landing.scan_sheet(spark, path, CONTACT_SCHEMA, order_col="seq"))
+    return base.management_detail(t.portfolio(), landed).select(
         "Credito", "CALL_CENTER_FILTRO", "Tipo_Novedad", "Novedad")
 
 
@@ -490,16 +498,15 @@ def _(spark, sf):
 @query("semi_join_contacts")
 def _(spark, sf):
     t = _t(spark, sf)
+    from collectra.plans.live_metrics import restrict_contacts
     scope = t.portfolio().where(q("Zona").isin("CL1", "CL2"))
-    return t.contacts().join(scope.select("Cedula_Cliente"), "Cedula_Cliente", "left_semi").select("seq", "Cedula_Cliente")
+    return restrict_contacts(t.contacts(), scope).select("seq", "Cedula_Cliente")
 
 
 @query("filter_calls_by_center")
 def _(spark, sf):
     from collectra.plans.live_metrics import restrict_calls
-    t = _t(spark, sf)
-    scope = t.portfolio().where(q("Zona").isin("CL1", "CL2"))
-    return restrict_calls(t.calls(), scope, ["CL1", "CL2"]).select("seq", "Call_Center_Limpio")
+    return restrict_calls(_t(spark, sf).calls(), ["CL1", "CL2"]).select("seq", "Call_Center_Limpio")
 
 
 @query("fuzzy_agent_match")
@@ -743,4 +750,4 @@ def _(spark, sf):
     from collectra.plans.live_metrics import live_cc_metrics
     t = _t(spark, sf)
     req = _search_req(call_center=["CL1", "CL2", "CL5"], franja=["AL DIA", "1 A 30", "31 A 90"])
-    return live_cc_metrics(t.portfolio(), t.contacts(), t.calls(), t.messages(), req)
+    return live_cc_metrics(t.management_detail(), t.contacts(), t.calls(), t.messages(), req, AS_OF_PROMISES)

@@ -92,7 +92,6 @@ PAYMENT_THRESHOLD = 50000.0
 FUZZY_ACCEPT = 0.65
 FUZZY_FALLBACK = 0.60
 CALL_THRESHOLD_PER_CENTER = 30
-MAX_DROP_BYTES = 25 * 1024 * 1024
 DROP_NAME_PATTERN = "Reporte_General"
 DEFAULT_PAGE_SIZE = 20
 
@@ -138,7 +137,6 @@ VINTAGE_SECTIONS = {
     "comercial_cosechas_s2": "SECCION_2_FALLO_2DA",
     "comercial_cosechas_s3": "SECCION_3_FALLO_3RA_PLUS",
 }
-# ---------------------------------------------------------------------------
 
 # dimension presets
 DIMS_PORTFOLIO = ["Empresa", "Regional_Cobro", "Zona", "Franja_Cartera", "CALL_CENTER_FILTRO",
@@ -161,6 +159,31 @@ PORTFOLIO_DATE_COLUMNS = ["Fecha_Desembolso", "Fecha_Ultima_Novedad", "Fecha_Fac
 PORTFOLIO_TEXT_COLUMNS = ["Empresa", "Regional_Venta", "Nombre_Ciudad", "Nombre_Vendedor",
                           "Franja_Meta", "Rodamiento", "Regional_Cobro", "Zona", "Cedula_Cliente",
                           "Zona_Cobro", "Zona_Venta"]
+APPLICATION_SUMMARY_COLUMNS = ["Nombre_Vendedor", "Estado", "Regional_Venta", "Analista_Asociado"]
+VINTAGE_GROUPS = ["SECCION_1_SIN_PAGO", "SECCION_2_FALLO_2DA", "SECCION_3_FALLO_3RA_PLUS"]
+
+# filter values: facet name and the columns that may hold it, first one found
+FACETS = [
+    ("empresas", ["Empresa"]),
+    ("zonas", ["Zona"]),
+    ("regionales", ["Regional_Cobro", "Regional_Venta", "Regional"]),
+    ("call_centers", ["CALL_CENTER_FILTRO", "CALL_CENTER", "Call_Center"]),
+    ("franjas", ["Franja_Cartera", "Franja_Meta", "Franja"]),
+]
+FRONT_FACETS = [("empresas", "Empresa"), ("zonas", "Zona"), ("regionales", "Regional_Cobro"),
+                ("call_centers", "CALL_CENTER_FILTRO"), ("franjas", "Franja_Meta"),
+                ("estados_vigencia", "Estado_Vigencia")]
+
+# search request field -> column it filters
+SEARCH_FACETS = [("Empresa", "empresa"), ("Zona", "zona"), ("Regional_Cobro", "regional"), ("Regional", "regional"),
+                 ("Regional_Venta", "regional"), ("Franja_Cartera", "franja"), ("Franja", "franja"),
+                 ("CALL_CENTER_FILTRO", "call_center"), ("Call_Center", "call_center")]
+SEARCH_STATES = [("Estado_Pago", "estado_pago"), ("Estado_Gestion", "estado_gestion"), ("Rodamiento", "rodamiento"),
+                 ("Regional_Venta", "Regional_Venta"), ("Vendedor_Activo", "Vendedor_Activo"),
+                 ("Nombre_Vendedor", "Nombre_Vendedor")]
+LIVE_FACETS = [("Empresa", "empresa"), ("Zona", "zona"), ("Regional_Cobro", "regional"), ("Regional", "regional"),
+               ("Franja_Cartera", "franja"), ("CALL_CENTER_FILTRO", "call_center"), ("Rodamiento", "rodamiento")]
+# ---------------------------------------------------------------------------
 
 
 def _struct(cols, doubles=(), dates=()) -> T.StructType:

@@ -87,7 +87,17 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([shared_root(spark), "collectra", *parts])
 
 
+def delete_on_exit(spark: SparkSession, path: str) -> None:
+    """Remove ``path`` when the application ends."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
+
+
 def fresh_path(spark: SparkSession, *parts: str) -> str:
-    """A new, unused path under the shared root (one per run)."""
-    return shared_path(spark, *parts, uuid.uuid4().hex)
+    """A new, unused scratch path under the shared root; it goes when the application ends."""
+    scratch = shared_path(spark, "scratch", spark.sparkContext.applicationId)
+    p = spark._jvm.org.apache.hadoop.fs.Path(scratch)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(p)
+    delete_on_exit(spark, scratch)
+    return "/".join([scratch, *parts, uuid.uuid4().hex])
 

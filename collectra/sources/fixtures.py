@@ -7,18 +7,15 @@ parquet scans, so column pruning and filter pushdown reach the files.
 Scale notes: the portfolio view joins orders with a per-order lineitem
 aggregate (both hash-partitioned on the order key) and then with customer
 and a per-user events aggregate (both on the customer key), so Catalyst
-plans two co-partitioned shuffle joins.  ``nation`` and ``region`` are
-broadcast only after a row-count check (25 / 5 rows in the TPC-H spec).
+plans two co-partitioned shuffle joins.  Spark broadcasts ``nation`` and
+``region`` by the measured size of their files, or does not.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from collectra.operators.joins import broadcast_if_small
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES (fixture definitions; see FIXTURES.md)
@@ -35,68 +32,7 @@ CONTACT_ROLES = ["GESTOR", "CALL CENTER", "ABOGADO", None]                # even
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    return spread(scan(spark, path), key=path)
-
-
-_SCANS: dict = {}
-_FILES: dict = {}
-
-
-def _session_key(spark: SparkSession) -> tuple:
-    return id(spark), spark.sparkContext.applicationId
-
-
-def scan(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet scan of a read-only input, resolved once per session.
-
-    Resolving a scan lists the files and reads a footer for the schema on
-    the driver; queries over the same inputs reuse the resolved relation
-    (the plan is the same, so nothing is cached but the listing).  The
-    listing is fixed at first use: a long-lived session whose inputs gain
-    files calls :func:`forget_scans` before the next run.
-    """
-    key = (*_session_key(spark), path)
-    df = _SCANS.get(key)
-    if df is None:
-        df = _SCANS[key] = spark.read.parquet(path)
-    return df
-
-
-def forget_scans(spark: SparkSession | None = None) -> None:
-    """Drop resolved scans (all, or one session's) so the next use re-lists."""
-    for memo in (_SCANS, _FILES):
-        for k in list(memo):
-            if spark is None or k[:2] == _session_key(spark):
-                del memo[k]
-
-
-def _single_local_file(path: str | None) -> bool:
-    if not path:
-        return False
-    local = path[len("file:"):] if path.startswith("file:") else path
-    return "://" not in local and os.path.isfile(local)
-
-
-def spread(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Spread a scan of one local single file over the local cores.
-
-    The driver's fixture tables are single files of one row group each, so
-    a scan of one is a single task however many cores exist; a hash
-    repartition on the first column lets the per-row work (projections,
-    partial aggregation) use them all.  Hash placement is a function of the
-    row, so a retried task rebuilds the same partitions without the sort a
-    round-robin repartition needs for that.  Cluster inputs are directories
-    or object-store prefixes with many splits and are returned as they are;
-    the decision looks at the path only, never at the file listing.
-    """
-    memo = (*_session_key(df.sparkSession), key)
-    small = _FILES.get(memo)
-    if small is None:
-        small = _FILES[memo] = _single_local_file(key)
-    if not small:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, F.col(df.columns[0]))
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _pick(idx: Column, values) -> Column:
@@ -117,8 +53,8 @@ def portfolio_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    geo = (broadcast_if_small(table(spark, sf_dir, "nation"), 10_000)
-           .join(broadcast_if_small(table(spark, sf_dir, "region"), 10_000),
+    geo = (table(spark, sf_dir, "nation")
+           .join(table(spark, sf_dir, "region"),
                  F.col("n_regionkey") == F.col("r_regionkey"))
            .select("n_nationkey", "n_name", "r_name"))
     li = (table(spark, sf_dir, "lineitem")
@@ -131,7 +67,7 @@ def portfolio_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     base = (o.join(li, o.o_orderkey == li.l_orderkey, "left")
             .join(c, o.o_custkey == c.c_custkey)
-            .join(broadcast_if_small(geo, 10_000), F.col("c_nationkey") == F.col("n_nationkey"))
+            .join(geo, F.col("c_nationkey") == F.col("n_nationkey"))
             .join(ev, F.col("o_custkey") == F.col("user_id"), "left"))
 
     ok, ck = F.col("o_orderkey"), F.col("o_custkey")
@@ -244,13 +180,13 @@ def applications_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
                                              "o_totalprice", "o_orderdate")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    geo = (broadcast_if_small(table(spark, sf_dir, "nation"), 10_000)
-           .join(broadcast_if_small(table(spark, sf_dir, "region"), 10_000),
+    geo = (table(spark, sf_dir, "nation")
+           .join(table(spark, sf_dir, "region"),
                  F.col("n_regionkey") == F.col("r_regionkey"))
            .select("n_nationkey", "r_name"))
     ck = F.col("o_custkey")
     return (o.join(c, o.o_custkey == c.c_custkey)
-            .join(broadcast_if_small(geo, 10_000), F.col("c_nationkey") == F.col("n_nationkey"))
+            .join(geo, F.col("c_nationkey") == F.col("n_nationkey"))
             .select(
                 _txt(F.col("o_orderkey")).alias("PAGARE"),
                 F.col("o_orderstatus").alias("ESTADO"),

@@ -1,8 +1,9 @@
-"""Landed report sheets: text files read with a declared schema.
+"""Landed report sheets: text tables read with a declared schema.
 
-Spreadsheets have no Spark source; each sheet is landed as CSV (or parquet)
-and read as text, then null tokens are mapped to NULL and columns are
-safely cast to their declared types.  No schema inference.
+Spreadsheets have no Spark source; each sheet is landed as Parquet text (cells
+may hold line breaks, files split) or as CSV, with the number of the row in
+the sheet, and read as text; then null tokens are mapped to NULL and columns
+are safely cast to their declared types.  No schema inference.
 """
 
 from __future__ import annotations
@@ -16,16 +17,19 @@ from collectra.functions.dates import mixed_date
 from collectra.schemas import NULL_TOKENS
 
 CSV_OPTIONS = {"header": "true", "ignoreLeadingWhiteSpace": "false",
-               "ignoreTrailingWhiteSpace": "false", "escape": '"', "multiLine": "false"}
+               "ignoreTrailingWhiteSpace": "false", "escape": '"', "multiLine": "true"}
+ROW = "_fila"  # number of the row in the sheet
 
 
-def scan_sheet(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "csv",
-               null_tokens=NULL_TOKENS) -> DataFrame:
+def scan_sheet(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
+               null_tokens=NULL_TOKENS, order_col: str | None = None) -> DataFrame:
     """Read one sheet: required columns (``schema``) that exist, typed.
 
-    Extra columns in the file are ignored; missing required columns become
-    typed NULLs; values equal to a null token become NULL; unparsable values
-    become NULL (``try_cast``; dates through the mixed-layout parser).
+    Extra columns in the file are ignored; missing required columns stay away
+    (the cleaning rules have defaults of their own for absent columns); values
+    equal to a null token become NULL; unparsable values become NULL
+    (``try_cast``; dates through the mixed-layout parser).  ``order_col``: name
+    under which the row number comes back, where the landed sheet has one.
     """
     reader = spark.read.format(fmt)
     if fmt == "csv":
@@ -35,7 +39,6 @@ def scan_sheet(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
     cols = []
     for f in schema.fields:
         if f.name not in present:
-            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
             continue
         s = q(f.name).cast("string")
         s = F.when(s.isin(*null_tokens), F.lit(None).cast("string")).otherwise(s)
@@ -46,11 +49,19 @@ def scan_sheet(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
         else:
             v = s.try_cast(f.dataType)
         cols.append(v.alias(f.name))
+    if order_col and ROW in present:
+        cols.append(q(ROW).cast("long").alias(order_col))
     return raw.select(*cols)
 
 
-def land_as_text(df: DataFrame, path: str, null_token: str = "NA") -> str:
-    """Write a frame as an all-text CSV sheet (NULL written as a null token)."""
-    txt = df.select(*[F.coalesce(q(c).cast("string"), F.lit(null_token)).alias(c) for c in df.columns])
-    txt.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+def land_as_text(df: DataFrame, path: str, null_token: str = "NA", fmt: str = "parquet", row: str | None = None) -> str:
+    """Write a frame as an all-text sheet (NULL written as a null token).
+
+    ``row``: the column that numbers the rows of the sheet.
+    """
+    cells = [c for c in df.columns if c != row]
+    txt = df.select(*[F.coalesce(q(c).cast("string"), F.lit(null_token)).alias(c) for c in cells],
+                    *([q(row).cast("string").alias(ROW)] if row else []))
+    out = txt.write.mode("overwrite").format(fmt)
+    (out.options(**CSV_OPTIONS) if fmt == "csv" else out).save(path)
     return path

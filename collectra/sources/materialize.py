@@ -14,7 +14,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from collectra.session import shared_path
+from collectra.session import delete_on_exit, shared_path
 
 _RUN = uuid.uuid4().hex[:12]  # distinguishes processes sharing the folder
 _DONE: dict = {}
@@ -22,19 +22,32 @@ _LOCKS: dict = {}
 _GUARD = threading.Lock()
 
 
-def materialized(spark: SparkSession, name: str, key: str, build) -> DataFrame:
-    """``build()`` written once per session under ``views/<name>-<hash(key)>``."""
+def input_version(spark: SparkSession, folder: str) -> str:
+    """Digest of the files under an input folder: paths, lengths, times of change."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
+    seen = []
+    while files.hasNext():
+        f = files.next()
+        seen.append(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}")
+    return hashlib.sha1("\n".join(sorted(seen)).encode()).hexdigest()[:16]
+
+
+def materialized(spark: SparkSession, name: str, key: str, build, version: str = "") -> DataFrame:
+    """``build()`` written once per session and input version under
+    ``views/<name>-<hash>``; views are removed when the application ends."""
     h = hashlib.sha1(f"{name}|{key}".encode()).hexdigest()[:16]
     memo = (id(spark), name, h)
     with _GUARD:
         lock = _LOCKS.setdefault(memo, threading.Lock())
     with lock:  # concurrent callers wait for one writer
         done = _DONE.get(memo)
-        if done is None:
-            path = shared_path(spark, "views", f"{name}-{h}-{_RUN}-{id(spark):x}")
+        if done is None or done[2] != version:
+            path = shared_path(spark, "views", f"{name}-{h}-{version}-{_RUN}-{id(spark):x}")
             build().write.mode("overwrite").parquet(path)
+            delete_on_exit(spark, path)
             # the table is immutable once written: resolve its scan once
-            done = _DONE[memo] = (path, spark.read.parquet(path))
+            done = _DONE[memo] = (path, spark.read.parquet(path), version)
     return done[1]
 
 

@@ -1,15 +1,16 @@
 """Sinks and stored datasets: detail parquet, JSON summaries, manifest, exports.
 
 Every dataset lives under one root (on a cluster: the shared folder named by
-``spark.checkpoint.dir``, see :mod:`collectra.session`) and is partitioned
-by ``job_id``, so reading one report is partition pruning, and rewriting one
-report replaces only its partition (dynamic partition overwrite).
+``spark.checkpoint.dir``, see :mod:`collectra.session`) in one folder per job
+(``job_id=<job>``).  A job's folder is written and read by itself: rewriting a
+job replaces all of it, an empty result included, reading it lists no other
+job, and each job keeps its own columns.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-import os
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,11 +18,11 @@ from pyspark.sql import types as T
 
 from collectra.functions.columns import existing, q
 from collectra.functions.dates import dates_to_text
-from collectra.schemas import (DROP_NAME_PATTERN, MAX_DROP_BYTES, ORIGIN_FOLDERS, VINTAGE_SECTIONS)
+from collectra.schemas import (DROP_NAME_PATTERN, ORIGIN_FOLDERS, VINTAGE_SECTIONS)
 
 
-def _dynamic(spark: SparkSession):
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+def job_path(root: str, folder: str, job_id: str) -> str:
+    return f"{root}/{folder}/job_id={job_id}"
 
 
 # facet columns searched most; rows are clustered by them inside each file so
@@ -36,49 +37,65 @@ def write_detail(df: DataFrame, root: str, folder: str, job_id: str, cols=None,
     local sort, no shuffle) for row-group skipping on later searches.
     """
     keep = existing(df, cols) if cols else list(df.columns)
-    out = df.select(*[q(c) for c in keep]).withColumn("job_id", F.lit(job_id))
+    out = df.select(*[q(c) for c in keep])
     sort_cols = existing(out, cluster_by or [])
     if sort_cols:
         out = out.sortWithinPartitions(*[q(c) for c in sort_cols])
-    _dynamic(df.sparkSession)
-    path = f"{root}/{folder}"
-    (out.write.mode("overwrite").option("compression", "snappy")
-     .partitionBy("job_id").parquet(path))
+    path = job_path(root, folder, job_id)
+    out.write.mode("overwrite").option("compression", "snappy").parquet(path)
     return path
 
 
 def resolve_dataset(spark: SparkSession, root: str, origin: str, job_id: str) -> DataFrame:
-    """Logical origin name -> the stored dataset of one job (partition pruned).
+    """Logical origin name -> the stored dataset of one job, with the job's own columns.
     Vintage origins ``comercial_cosechas_s1..s3`` also filter their section."""
     base = "comercial_cosechas" if origin.startswith("comercial_cosechas") else origin
     folder = ORIGIN_FOLDERS.get(base, base)
-    df = spark.read.parquet(f"{root}/{folder}").where(F.col("job_id") == job_id).drop("job_id")
+    df = spark.read.parquet(job_path(root, folder, job_id))
     sec = VINTAGE_SECTIONS.get(origin)
     return df.where(q("Grupo_Seguimiento") == sec) if sec else df
 
 
+META = T.StructType([T.StructField(n, T.StringType()) for n in ["meta_modulo", "meta_empresa", "meta_generado"]])
+
+
 def write_summary(df: DataFrame, root: str, module: str, job_id: str, empresa: str | None = None,
                   generated_at: _dt.datetime | None = None) -> str:
-    """Summary rows as JSON lines with metadata columns; dates as ISO text."""
+    """Summary rows as JSON lines with metadata columns; dates as ISO text.
+
+    The schema is kept beside the rows, so a summary is read without
+    inference and an empty one has its columns.
+    """
     gen = generated_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     out = dates_to_text(df).withColumns({
-        "job_id": F.lit(job_id), "meta_modulo": F.lit(module), "meta_empresa": F.lit(empresa).cast("string"),
+        "meta_modulo": F.lit(module), "meta_empresa": F.lit(empresa).cast("string"),
         "meta_generado": F.lit(gen.isoformat(timespec="seconds"))})
-    _dynamic(df.sparkSession)
-    path = f"{root}/graficos/{module}"
-    out.write.mode("overwrite").partitionBy("job_id").json(path)
+    path = job_path(root, f"graficos/{module}", job_id)
+    out.write.mode("overwrite").json(path)
+    kept = df.sparkSession.range(1).select(F.lit(out.schema.json()).alias("value"))
+    kept.coalesce(1).write.mode("overwrite").text(job_path(root, f"graficos_schema/{module}", job_id))
     return path
 
 
 def read_summary(spark: SparkSession, root: str, module: str, job_id: str,
                  schema: T.StructType | None = None) -> DataFrame:
-    """Summary of one job and module; pass the data schema to skip inference."""
-    path = f"{root}/graficos/{module}"
-    r = spark.read
-    if schema is not None:
-        meta = [T.StructField(n, T.StringType()) for n in ["meta_modulo", "meta_empresa", "meta_generado", "job_id"]]
-        r = r.schema(T.StructType(list(schema.fields) + meta))
-    return r.json(path).where(F.col("job_id") == job_id)
+    """Summary of one job, by its full name (``cartera/cubo_regional``)."""
+    if schema is None:
+        kept = spark.read.text(job_path(root, f"graficos_schema/{module}", job_id)).first().value
+        schema = T.StructType.fromJson(json.loads(kept))
+    else:
+        schema = T.StructType(list(schema.fields) + list(META.fields))
+    return (spark.read.schema(schema).json(job_path(root, f"graficos/{module}", job_id))
+            .withColumn("job_id", F.lit(job_id)))
+
+
+def read_module(spark: SparkSession, root: str, module: str, job_id: str) -> dict[str, DataFrame]:
+    """All summaries of a module (``cartera``) for one job, by their short names."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/graficos/{module}")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = sorted(f.getPath().getName() for f in fs.listStatus(path))  # a handful of summaries, not data
+    found = [n for n in names if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(job_path(root, f"graficos/{module}/{n}", job_id)))]
+    return {n: read_summary(spark, root, f"{module}/{n}", job_id) for n in found}
 
 
 def export_filtered(df: DataFrame, path: str, visible=None) -> str:
@@ -127,18 +144,16 @@ def read_manifest(spark: SparkSession, root: str, schema: T.StructType | None =
     return r.json(f"{root}/config/reporte_activo")
 
 
-def drop_reason(name, length, pattern: str = DROP_NAME_PATTERN, extensions=(".xlsx",),
-                max_bytes: int = MAX_DROP_BYTES):
-    """Rejection reason of a landed file (NULL when accepted): name pattern,
-    extension, size -- checked in that order."""
+def drop_reason(name, pattern: str = DROP_NAME_PATTERN, extensions=(".xlsx",)):
+    """Rejection reason of a landed file (NULL when accepted): name pattern, then
+    extension.  A report of any size is taken."""
     ext = F.lower(F.regexp_extract(name, r"(\.[^.]*)$", 1))
     return (F.when(~name.contains(pattern), F.lit("name"))
-            .when(~ext.isin(*[e.lower() for e in extensions]), F.lit("extension"))
-            .when(length > max_bytes, F.lit("size")))
+            .when(~ext.isin(*[e.lower() for e in extensions]), F.lit("extension")))
 
 
 def validate_drop(spark: SparkSession, folder: str, pattern: str = DROP_NAME_PATTERN,
-                  extensions=(".xlsx",), max_bytes: int = MAX_DROP_BYTES, glob: str = "*") -> DataFrame:
+                  extensions=(".xlsx",), glob: str = "*") -> DataFrame:
     """Landed files with an accept flag and reason.
 
     Uses the ``binaryFile`` source for the listing only (``path``,
@@ -148,17 +163,5 @@ def validate_drop(spark: SparkSession, folder: str, pattern: str = DROP_NAME_PAT
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
              .load(folder).select("path", "length"))
     name = F.element_at(F.split("path", "/"), -1)
-    reason = drop_reason(name, F.col("length"), pattern, extensions, max_bytes)
+    reason = drop_reason(name, pattern, extensions)
     return files.select(name.alias("name"), "length", reason.isNull().alias("accepted"), reason.alias("reason"))
-
-
-def validate_drop_row(name: str, size: int, pattern: str = DROP_NAME_PATTERN, extensions=(".xlsx",),
-                      max_bytes: int = MAX_DROP_BYTES) -> str | None:
-    """Same rule for one (name, size) pair: None when accepted, else the reason."""
-    if pattern not in name:
-        return "name"
-    if os.path.splitext(name)[1].lower() not in extensions:
-        return "extension"
-    if size > max_bytes:
-        return "size"
-    return None

@@ -62,6 +62,26 @@ def test_role_predicate_unassigned(spark):
     assert got == 2
 
 
+def test_empty_filter_gives_metrics_of_nothing(spark):
+    """A filter that matches nothing reports nothing; ``parity`` keeps the other reading."""
+    from collectra.operators.callcenter import base
+    from collectra.operators.search import SearchRequest
+    from collectra.plans.live_metrics import live_cc_metrics
+    from collectra.sources import fixtures as fx
+    sf = "/root/testdata/sf0.001"
+    contacts, calls = fx.contacts(spark, sf), fx.calls(spark, sf)
+    detail = base.management_detail(fx.portfolio(spark, sf), contacts)
+    req = SearchRequest(zona=["ZZZ"], call_center=["CL1"])
+
+    def metrics(**kw):
+        return {(r.seccion, r.metric): r.value for r in live_cc_metrics(detail, contacts, calls, fx.messages(spark, sf), req, fx.AS_OF_PROMISES, **kw)
+                .where("seccion IN ('meta', 'kpis', 'llamadas')").collect()}
+
+    got, other = metrics(), metrics(parity=True)
+    assert got["meta", "total_cuentas"] == 0 and got["kpis", "total"] == 0
+    assert other["kpis", "total"] == contacts.count() and other["llamadas", "total_llamadas"] > got["llamadas", "total_llamadas"]
+
+
 def test_scope_probe_without_semi_join_agrees(spark):
     """The live-metrics emptiness probe skips the validity semi join; it must
     agree with probing the filtered scope itself, empty scopes included."""
@@ -79,3 +99,55 @@ def test_scope_probe_without_semi_join_agrees(spark):
         assert portfolio_scope_is_empty(pf, r) == want, r
         seen.add(want)
     assert seen == {True, False}
+
+
+def test_pages_of_a_large_result(spark, monkeypatch):
+    """First, middle and last page, as a top-k and as a range-partitioned sort."""
+    df = spark.range(4_005).select(F.lpad(F.col("id").cast("string"), 5, "0").alias("Credito"), F.col("id").alias("v")).repartition(7)
+    for deep in (10_000, 100):
+        monkeypatch.setattr(search, "DEEP", deep)
+        for page, want in ((1, range(0, 20)), (101, range(2000, 2020)), (10**6, range(4000, 4005))):
+            got = search.find_page(df, search.SearchRequest(page=page, page_size=20), ["Credito"])
+            assert [r.v for r in got.rows.orderBy("Credito").collect()] == list(want)
+            assert (got.total, got.pages, got.page) == (4005, 201, min(page, 201))
+
+
+def test_an_empty_page_has_its_numbers(spark):
+    df = spark.createDataFrame([("1", "CL1")], "Credito string, Zona string")
+    got = search.find_page(df, search.SearchRequest(zona=["CL9"], page=4), ["Credito"])
+    assert (got.rows.count(), got.total, got.page, got.pages) == (0, 0, 1, 0)
+
+
+def test_validity_filter_is_never_ignored(spark):
+    import pytest
+    df = spark.createDataFrame([("1", "c")], "Credito string, Cedula_Cliente string")
+    with pytest.raises(ValueError, match="portfolio"):
+        search.apply_filters(df, search.SearchRequest(vigencia=["vigente"]))
+
+
+def test_related_rows_and_lookup(spark):
+    df = spark.createDataFrame([("42\t", "Ana Paz", "7"), ("42", "Eva", "8"), ("420", "An.", "9")], "Cedula_Cliente string, Nombre_Cliente string, Credito string")
+    assert sorted(r.Credito for r in search.related_rows(df, "Cedula_Cliente", " 42 ").collect()) == ["7", "8"]
+    assert [r.Credito for r in search.lookup_clients(df, "an.").collect()] == ["9"]
+    assert [r.Credito for r in search.lookup_clients(df, "an.", regex=True).collect()] == ["7", "9"]
+
+
+def test_charts_and_facets_have_a_total_order(spark):
+    from collectra.operators import portfolio as pf
+    from collectra.sources import fixtures as fx
+    p = fx.portfolio(spark, "/root/testdata/sf0.001")
+    fb = followups.followup_base(p)
+    facets = [tuple(r) for r in pf.facet_values(p).collect()]
+    assert facets == sorted(facets)
+    roll = [tuple(str(r[c]) for c in ("Rodamiento", "Empresa", "Regional_Cobro", "Zona")) for r in followups.roll_rate(fb).collect()]
+    assert roll == sorted(roll)
+    merged = followups.join_client_roles(fb, fx.contacts(spark, "/root/testdata/sf0.001"))
+    sun = followups.sunburst(merged, sort=True).collect()
+    keys = [(-r.Cantidad, r.Empresa, r.Regional_Cobro, r.Zona, r.Franja_Cartera) for r in sun]
+    assert keys == sorted(keys)
+
+
+def test_every_application_state_is_counted(spark):
+    from collectra.operators import commercial
+    df = spark.createDataFrame([("v", "F"), ("v", "F"), ("v", "X"), (None, None)], "Nombre_Vendedor string, Estado string")
+    assert {(r.Nombre_Vendedor, r.Estado, r["count"]) for r in commercial.application_matrix(df).collect()} == {("v", "F", 2), ("v", "X", 1), (None, None, 1)}

@@ -1,7 +1,7 @@
 """The source system's own test cases, re-expressed on Spark."""
 
 from collectra.operators import results
-from collectra.sources.store import validate_drop_row
+from collectra.sources.store import drop_reason
 
 
 def test_results_by_zone_two_rows(spark):
@@ -17,8 +17,8 @@ def test_results_by_zone_two_rows(spark):
     assert r["Total_Cuentas"] == 2
 
 
-def test_drop_validation():
-    assert validate_drop_row("Reporte_General Enero.xlsx", 1024) is None
-    assert validate_drop_row("Ventas_2026.xlsx", 1000) == "name"
-    assert validate_drop_row("Reporte_General.xlsx", 31457280) == "size"
-    assert validate_drop_row("Reporte_General.csv", 10) == "extension"
+def test_drop_validation(spark):
+    names = ["Reporte_General Enero.xlsx", "Ventas_2026.xlsx", "Reporte_General.csv", "Reporte_General.XLSX"]
+    df = spark.createDataFrame([(n,) for n in names], "name string")
+    got = {r.name: r.reason for r in df.select("name", drop_reason(df.name).alias("reason")).collect()}
+    assert got == dict(zip(names, [None, "name", "extension", None]))

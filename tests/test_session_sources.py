@@ -1,7 +1,7 @@
 """Session options and input-scan helpers."""
 
 from collectra.session import build_session
-from collectra.sources import fixtures as fx
+from collectra.sources.materialize import input_version, materialized
 
 SF = "/root/testdata/sf0.001"
 
@@ -13,25 +13,22 @@ def test_explicit_shuffle_partitions_win(spark):
     assert s.conf.get("spark.sql.session.timeZone") == "UTC"
 
 
-def test_spread_only_for_local_single_files(tmp_path):
-    assert fx._single_local_file(f"{SF}/orders.parquet")
-    assert fx._single_local_file(f"file:{SF}/orders.parquet")
-    assert not fx._single_local_file(SF)                       # a directory
-    assert not fx._single_local_file("s3a://bucket/orders")    # object store
-    assert not fx._single_local_file("hdfs://nn/data/orders")
-    assert not fx._single_local_file(str(tmp_path / "missing.parquet"))
+def test_views_follow_their_input(spark, tmp_path):
+    """A view is rebuilt when its input has changed, in the same session."""
+    path = str(tmp_path / "in")
+    read = lambda: materialized(spark, "probe", path, lambda: spark.read.parquet(f"{path}/t.parquet"),
+                                version=input_version(spark, path)).count()
+    spark.range(5).write.parquet(f"{path}/t.parquet")
+    assert read() == 5 and read() == 5
+    spark.range(10).write.mode("overwrite").parquet(f"{path}/t.parquet")
+    assert read() == 10
 
 
-def test_scan_is_resolved_once_and_can_be_forgotten(spark):
-    a = fx.scan(spark, f"{SF}/region.parquet")
-    assert fx.scan(spark, f"{SF}/region.parquet") is a
-    fx.forget_scans(spark)
-    b = fx.scan(spark, f"{SF}/region.parquet")
-    assert b is not a and b.count() == a.count()
+def test_a_cluster_without_shared_folder_is_an_error():
+    from types import SimpleNamespace
 
-
-def test_spread_keeps_rows_and_hash_partitions(spark):
-    df = fx.table(spark, SF, "orders")
-    assert df.count() == spark.read.parquet(f"{SF}/orders.parquet").count()
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "hashpartitioning" in plan and "RoundRobinPartitioning" not in plan
+    import pytest
+    from collectra.session import shared_root
+    sc = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_root(SimpleNamespace(conf={}, sparkContext=sc))
