@@ -100,7 +100,8 @@ def near_lines(distinct: DataFrame, lines: DataFrame) -> DataFrame:
     has = keys.join(shared, "half", "left_semi").select("h1", "h2").distinct()
     near = written(spark, distinct.select("h1", "h2", "doc_id", "line_no").join(has, ["h1", "h2"]), "half_shared")
     # the text of a distinct line, from its first place
-    near = written(spark, lines.join(near, ["doc_id", "line_no"]).where(F.xxhash64("line") == F.col("h1"))
+    # (a shuffle join at any size: lines with a shared half are a share of all lines)
+    near = written(spark, lines.join(near.hint("merge"), ["doc_id", "line_no"]).where(F.xxhash64("line") == F.col("h1"))
                    .dropDuplicates(["h1", "h2"]), "half_shared_lines")
 
     def variants(batches):
