@@ -36,6 +36,7 @@ from functools import cached_property
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -205,35 +206,55 @@ def learn(docs: DataFrame, labels: DataFrame, parts: int = 4, held: int = 2, lab
     sample = bounded_sample(rows, "doc_id", max_rows, rows.count())
     labelled = texts(docs).join(sample, "doc_id").select("doc_id", "y", "text")
 
-    @F.pandas_udf("array<struct<term:string,n:long>>")
-    def counted(batch: pd.Series) -> pd.Series:
-        return pd.Series([[{"term": t, "n": n} for t, n in Counter(terms(words(x))).items()] for x in batch])
-
-    bags = written(spark, labelled.dropDuplicates(["doc_id"]).select("doc_id", "y", F.xxhash64("text").alias("copy"), counted("text").alias("bag")), "bags")
+    labelled = written(spark, labelled.dropDuplicates(["doc_id"]).withColumn("copy", F.xxhash64("text")), "labelled")
     # copies of a text tell no more about a term than the text
-    single = bags.groupBy("copy").agg(F.min("doc_id").alias("doc_id"), F.max("y").alias("single_y"))
-    n, positive = single.agg(F.count("*"), F.coalesce(F.sum("single_y"), F.lit(0))).first()
-    if not 0 < positive < n:
-        index = BlockMaxIndex.build([], np.zeros(0), *[bags.select(c).toPandas()[c].to_numpy(np.int64) for c in ("doc_id", "y")], [{}] * bags.count())
-        index.calibrate([], bags.count())
-        return index
-    each = bags.select("doc_id", F.explode("bag").alias("b")).select("doc_id", "b.term", "b.n")
-    # presence by label, summed before the shuffle; chi-square of the two-by-two table
-    table = (each.join(single, "doc_id").groupBy("term").agg(F.count("*").alias("texts"), F.sum("single_y").alias("with_1"))
-             .where(F.col("texts") >= MIN_TEXTS))
-    a, m, p = F.col("with_1").cast("double"), F.col("texts").cast("double"), positive / n
-    off = a - m * F.lit(p)
-    chi = off * off / (m * F.lit(p) * F.lit(1 - p) * (1 - m / F.lit(float(n))) + F.lit(1e-9))
-    chosen = written(spark, table.withColumn("chi", chi).where(F.col("chi") >= CHI_SQUARE).orderBy(F.desc("chi"), "term").limit(MAX_TERMS), "terms")
-    terms_ = chosen.toPandas().sort_values("term")
-    # at most about max_rows documents, their chosen terms only
-    got = bags.select("doc_id", "y").toPandas().sort_values("doc_id")
+    single = labelled.groupBy("copy").agg(F.min("doc_id").alias("doc_id"), F.max("y").alias("y"))
+    n, positive = single.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
+    got = labelled.select("doc_id", "y").toPandas().sort_values("doc_id")  # about max_rows rows
     counts: dict[int, dict[str, int]] = {i: {} for i in got["doc_id"].tolist()}
-    found = each.join(chosen.select("term"), "term").toPandas().sort_values(["doc_id", "term"])
-    for i, t, c in zip(found["doc_id"].tolist(), found["term"].tolist(), found["n"].tolist(), strict=True):
-        counts[i][t] = c
-    index = BlockMaxIndex.build(terms_["term"].tolist(), np.log1p(n / terms_["texts"].to_numpy(dtype=np.float64)),
-                                got["doc_id"].to_numpy(np.int64), got["y"].to_numpy(np.int64), list(counts.values()))
+    vocabulary, idf = [], np.zeros(0)
+
+    def present(batches):
+        """Texts and texts of label 1 with each term, summed over some documents at a time."""
+        for b in batches:
+            for i in range(0, b.num_rows, 256):
+                part = b.slice(i, 256).to_pydict()
+                all_, ones = Counter(), Counter()
+                for text, y in zip(part["text"], part["y"], strict=True):
+                    found = set(terms(words(text)))
+                    all_.update(found)
+                    if y:
+                        ones.update(found)
+                yield pa.record_batch([pa.array(list(all_), pa.string()), pa.array(list(all_.values()), pa.int64()),
+                                       pa.array([ones[t] for t in all_], pa.int64())], names=["term", "texts", "with_1"])
+
+    if 0 < positive < n:
+        table = (labelled.drop("y").join(single.select("doc_id", "y"), "doc_id").select("text", "y")
+                 .mapInArrow(present, "term string, texts long, with_1 long")
+                 .groupBy("term").agg(F.sum("texts").alias("texts"), F.sum("with_1").alias("with_1")).where(F.col("texts") >= MIN_TEXTS))
+        # chi-square of the two-by-two table of presence and label
+        a, m, p = F.col("with_1").cast("double"), F.col("texts").cast("double"), positive / n
+        off = a - m * F.lit(p)
+        chi = off * off / (m * F.lit(p) * F.lit(1 - p) * (1 - m / F.lit(float(n))) + F.lit(1e-9))
+        chosen = (table.withColumn("chi", chi).where(F.col("chi") >= CHI_SQUARE)
+                  .orderBy(F.desc("chi"), "term").limit(MAX_TERMS).toPandas().sort_values("term"))
+        vocabulary, idf = chosen["term"].tolist(), np.log1p(n / chosen["texts"].to_numpy(dtype=np.float64))
+        sent = spark.sparkContext.broadcast(set(vocabulary))  # at most MAX_TERMS words
+
+        def counted(batches):
+            for b in batches:
+                part = b.to_pydict()
+                rows = [(i, t, c) for i, text in zip(part["doc_id"], part["text"], strict=True)
+                        for t, c in Counter(t for t in terms(words(text)) if t in sent.value).items()]
+                yield pa.record_batch([pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.int64(), pa.string(), pa.int64()))],
+                                      names=["doc_id", "term", "n"])
+
+        # the chosen terms of about max_rows documents
+        found = (labelled.select(F.col("doc_id").cast("long"), "text").mapInArrow(counted, "doc_id long, term string, n long")
+                 .toPandas().sort_values(["doc_id", "term"]))
+        for i, t, c in zip(found["doc_id"].tolist(), found["term"].tolist(), found["n"].tolist(), strict=True):
+            counts[i][t] = c
+    index = BlockMaxIndex.build(vocabulary, idf, got["doc_id"].to_numpy(np.int64), got["y"].to_numpy(np.int64), list(counts.values()))
     index.calibrate([c for c in counts.values() if c], sum(not c for c in counts.values()))
     return index
 
