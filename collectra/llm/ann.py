@@ -42,10 +42,10 @@ from collectra.llm.common import bounded_sample, pick, written
 MAX_SAMPLE = 65_536
 MAX_LISTS = 8_192
 LIST_ROWS = 256
-PART_ROWS = 2_048
+PART_ROWS = 16_384
 REPLICAS = 6
 BOUNDARY = 1.25
-PRUNE = 1.22
+PRUNE = 1.12
 BASE = 3  # a tight list around a query says little of how far the next neighbours are
 LINKS = 24
 POOL = 48  # lists that a search keeps at first
@@ -290,24 +290,37 @@ def search(spark: SparkSession, vectors: DataFrame, queries: DataFrame, graph: C
         (F.col("first") + F.pmod(F.xxhash64("vec_id"), F.col("parts"))).cast("int").alias("part"), "list", "vec_id", "embedding")
 
     def scan(key, rows: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+        """The best ``k`` rows of this part for each query, from the lists that it searches."""
         out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
         if len(rows) and len(asked):
-            x, ids = np.stack(rows["embedding"].to_numpy()).astype(np.float64), rows["vec_id"].to_numpy()
-            lists, of = np.unique(rows["list"].to_numpy(), return_inverse=True)
-            for i in range(0, len(asked), BATCH):
-                some = asked.iloc[i:i + BATCH]
-                q, own = np.stack(some["embedding"].to_numpy()).astype(np.float64), some["vec_id"].to_numpy()
-                wanted = np.stack([np.isin(lists, w) for w in some["lists"]])[:, of] & (own[:, None] != ids)
-                score = np.where(wanted, q @ x.T, -np.inf)
-                # the k-th best of each query, then all rows that reach it, in order
-                least = np.partition(score, max(0, score.shape[1] - REPLICAS * k), axis=1)[:, max(0, score.shape[1] - REPLICAS * k)]
-                r, c = np.nonzero(wanted & (score >= least[:, None]))
-                out.append((own[r], ids[c], score[r, c]))
-        return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), map(np.concatenate, zip(*out)), strict=True)))
+            x, ids, of = np.stack(rows["embedding"].to_numpy()), rows["vec_id"].to_numpy(), rows["list"].to_numpy()
+            q, own = np.stack(asked["embedding"].to_numpy()).astype(np.float64), asked["vec_id"].to_numpy()
+            wants = np.repeat(np.arange(len(asked)), asked["lists"].str.len())
+            wanted = np.concatenate(asked["lists"].to_numpy())
+            for one in np.unique(of):
+                at, who = np.flatnonzero(of == one), wants[wanted == one]
+                y = x[at].astype(np.float64)
+                for i in range(0, len(who), BATCH):
+                    some = who[i:i + BATCH]
+                    score = np.where(own[some][:, None] == ids[at], -np.inf, q[some] @ y.T)
+                    # rows that reach the k-th best of the list; an id that rows repeat may take some of the k
+                    least = np.partition(score, -min(k, len(at)), axis=1)[:, [-min(k, len(at))]]
+                    if len(np.unique(ids[at])) < len(at):
+                        least[:] = -np.inf
+                    r, c = np.nonzero((score >= least) & (score > -np.inf))
+                    out.append((some[r], ids[at[c]], score[r, c]))
+        row, ids, score = map(np.concatenate, zip(*out))
+        # an id once per query (its best score), then the first k of each query
+        order = np.lexsort((ids, -score, row))
+        row, ids, score = row[order], ids[order], score[order]
+        once = ~pd.MultiIndex.from_arrays([row, ids]).duplicated() if len(row) else np.zeros(0, bool)
+        row, ids, score = row[once], ids[once], score[once]
+        keep = np.arange(len(row)) - np.searchsorted(row, row) < k
+        return pd.DataFrame({"query_id": asked["vec_id"].to_numpy(np.int64)[row[keep]], "vec_id": ids[keep], "score": score[keep]})
 
     questions = asked(spark, queries, graph, first, n, prune)
     each = rows.groupBy("part").cogroup(questions.groupBy("part")).applyInPandas(scan, "query_id long, vec_id long, score double")
-    # a vector comes once from each of its lists; the best k of a query are cut before they are shuffled
+    # a vector may come from parts of several of its lists; the best k of a query are cut before they are shuffled
     per = each.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return per.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
