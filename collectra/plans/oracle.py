@@ -62,14 +62,15 @@ portfolio_raw AS (
     CAST(o.o_orderkey % 12 + 1 AS DOUBLE) AS "Total_Cuotas",
     CAST(least(o.o_orderkey % 12 + 1, coalesce(li.nf, 0) + o.o_orderkey % 2) AS DOUBLE) AS "Cuotas_Pagadas",
     o.o_totalprice AS "Valor_Desembolso", CAST(o.o_orderdate AS DATE) AS "Fecha_Desembolso",
-    CASE WHEN o.o_orderkey % 10 = 0 THEN 'ANTICIPADO' ELSE CAST({_PRICE2} AS VARCHAR) END AS "Valor_Cuota_Vigente",
+    CASE WHEN o.o_orderkey % 10 = 0 THEN 'ANTICIPADO' WHEN o.o_orderkey % 7 = 3 THEN format('{{:,.2f}}', CAST({_PRICE2} AS DOUBLE))
+      WHEN o.o_orderkey % 7 = 5 THEN format('{{:,.2f}}', CAST({_PRICE2} * 100 AS DOUBLE)) ELSE CAST({_PRICE2} AS VARCHAR) END AS "Valor_Cuota_Vigente",
     CASE WHEN o.o_orderstatus <> 'F' THEN CAST(li.ship AS DATE) END AS "Fecha_Cuota_Vigente",
-    CAST(coalesce(li.paid, 0) AS DOUBLE) AS "Total_Recaudo",
-    CASE WHEN o.o_orderkey % 10 = 0 THEN 0.0 ELSE CAST(coalesce(li.paid, 0) AS DOUBLE) END AS "Total_Recaudo_Sin_Anti",
+    CASE WHEN o.o_custkey % 7 = 3 THEN 0.0 ELSE CAST(coalesce(li.paid, 0) AS DOUBLE) END AS "Total_Recaudo",
+    CASE WHEN o.o_orderkey % 10 = 0 THEN 0.0 ELSE CASE WHEN o.o_custkey % 7 = 3 THEN 0.0 ELSE CAST(coalesce(li.paid, 0) AS DOUBLE) END END AS "Total_Recaudo_Sin_Anti",
     {_goal('0.5')} AS "Meta_$", {_goal('0.4')} AS "Meta_General", {_goal('0.6')} AS "Meta_T.R_$",
-    least(CAST(coalesce(li.paid, 0) AS DOUBLE), {_goal('0.5')}) AS "Recaudo_Meta",
+    least(CASE WHEN o.o_custkey % 7 = 3 THEN 0.0 ELSE CAST(coalesce(li.paid, 0) AS DOUBLE) END, {_goal('0.5')}) AS "Recaudo_Meta",
     CASE o.o_orderstatus WHEN 'P' THEN 'MEJORA' WHEN 'F' THEN 'EMPEORA' WHEN 'O' THEN 'NORMALIZO' END AS "Rodamiento",
-    CAST(coalesce(ev.nov, 0) AS DOUBLE) AS "Cantidad_Novedades"
+    CAST(ev.nov AS DOUBLE) AS "Cantidad_Novedades"
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
   JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
   LEFT JOIN li ON li.l_orderkey = o.o_orderkey LEFT JOIN ev ON ev.user_id = o.o_custkey),
@@ -103,13 +104,14 @@ ccp AS (
   FROM portfolio),
 contacts AS (
   SELECT event_id AS seq, CAST(user_id AS VARCHAR) AS "Cedula_Cliente", CAST(ts AS DATE) AS "Fecha_Novedad",
-    {_case('user_id % 9', _USERS)} AS "Nombre_Usuario",
+    CASE WHEN user_id % 10 = 9 THEN 'Xavier Quintero' WHEN user_id % 11 = 7 THEN 'Luis Paz' ELSE {_case('user_id % 9', _USERS)} END AS "Nombre_Usuario",
     {_case('event_id % 4', ['GESTOR', 'CALL CENTER', 'ABOGADO'])} AS "Cargo_Usuario",
     CASE event_type WHEN 'purchase' THEN 'COMPROMISO DE PAGO' WHEN 'error' THEN 'AUSENCIA'
                     WHEN 'view' THEN 'NOVEDAD' ELSE 'PAGO' END AS "Tipo_Novedad",
     props AS "Novedad",
     CASE WHEN event_type = 'purchase' AND event_id % 5 <> 0 THEN CAST(ts AS DATE) END AS "Fecha_Compromiso",
-    '300' || CAST(user_id AS VARCHAR) AS "Telefono_Cliente", CAST(NULL AS VARCHAR) AS "Celular_Cliente",
+    CASE WHEN user_id % 4 = 1 THEN '300' || CAST(user_id AS VARCHAR) || '.0' WHEN user_id % 4 > 1 THEN '300' || CAST(user_id AS VARCHAR) END AS "Telefono_Cliente",
+    CASE WHEN user_id % 8 = 0 THEN '300' || CAST(user_id AS VARCHAR) WHEN user_id % 6 = 1 THEN '3110' || CAST(user_id % 3 AS VARCHAR) END AS "Celular_Cliente",
     value AS "Valor"
   FROM events),
 calls AS (
@@ -131,9 +133,11 @@ vmsg AS (
   SELECT *, coalesce(lower(trim("Tipo_Respuesta_Agente")) IN ('text', 'audio'), false) AS "Es_Conversacion"
   FROM messages WHERE "Call_Center" IS NOT NULL AND upper("Call_Center") <> 'SIN DATO' AND "Call_Center" <> ''),
 conv AS (SELECT *, trim(regexp_replace("Numero_Telefono", '\\.0$', '')) AS "Tel_Norm" FROM vmsg WHERE "Es_Conversacion"),
-phones AS (SELECT DISTINCT "Telefono_Cliente" AS "Tel" FROM contacts WHERE "Telefono_Cliente" IS NOT NULL AND "Telefono_Cliente" <> ''),
-phone_clients AS (SELECT DISTINCT "Telefono_Cliente" AS "Tel", "Cedula_Cliente" FROM contacts
-                  WHERE "Cedula_Cliente" IS NOT NULL AND "Telefono_Cliente" IS NOT NULL AND "Telefono_Cliente" <> ''),
+phone_rows AS (SELECT trim(regexp_replace("Tel", '\\.0$', '')) AS "Tel", "Cedula_Cliente" FROM (
+    SELECT "Telefono_Cliente" AS "Tel", "Cedula_Cliente" FROM contacts UNION ALL SELECT "Celular_Cliente", "Cedula_Cliente" FROM contacts)),
+phones AS (SELECT DISTINCT "Tel" FROM phone_rows WHERE "Tel" IS NOT NULL AND "Tel" <> ''),
+phone_clients AS (SELECT DISTINCT "Tel", "Cedula_Cliente" FROM phone_rows
+                  WHERE "Cedula_Cliente" IS NOT NULL AND "Tel" IS NOT NULL AND "Tel" <> ''),
 payers AS (SELECT DISTINCT "Cedula_Cliente" FROM ccp WHERE "Estado_Pago" = 'PAGO'),
 applications AS (
   SELECT CAST(o.o_orderkey AS VARCHAR) AS "Pagare", o.o_orderstatus AS "Estado",
@@ -159,7 +163,8 @@ detail AS (
   ON m."Cedula_Cliente" = k."Cedula_Cliente" AND m."Cargo_Usuario" = k."Cargo_Usuario"),
 attributed AS (
   SELECT seq, "Cedula_Cliente", "Nombre_Usuario", "Tipo_Novedad", "Fecha_Compromiso",
-    'CL' || CAST(CAST("Cedula_Cliente" AS BIGINT) % 9 + 1 AS VARCHAR) AS "Call_Center" FROM contacts),
+    CASE "Nombre_Usuario" WHEN 'Xavier Quintero' THEN 'SIN ASIGNAR' WHEN 'Luis Paz' THEN 'CL2'
+      ELSE 'CL' || CAST(CAST("Cedula_Cliente" AS BIGINT) % 9 + 1 AS VARCHAR) END AS "Call_Center" FROM contacts),
 att_c AS (
   SELECT *, "Zona" IN ('CL1','CL2','CL3','CL4','CL5','CL6','CL7','CL8','CL9') AND "Franja_Meta" = 'AL DIA' AS zp,
     "Call_Center_Apoyo" IN ('CL1','CL2','CL3','CL4','CL5','CL6','CL7','CL8','CL9') AS sp
@@ -459,8 +464,7 @@ _LIVE_VIEWS = f"""l_mdetail AS (SELECT * FROM mdetail {_SCOPE}),
     l_unified AS (SELECT "CALL_CENTER_FILTRO" AS "CALL_CENTER_ID", "NOMBRE_AGENTE", "META_UNIFICADA", "Recaudo_Meta", "Rodamiento" FROM att {_SCOPE}),
     l_contacts AS (SELECT * FROM contacts WHERE "Cedula_Cliente" IN (SELECT "Cedula_Cliente" FROM l_mdetail)),
     l_scalls AS (SELECT * FROM scalls WHERE "Call_Center_Limpio" IN ('CL1', 'CL2', 'CL5')),
-    l_phone_clients AS (SELECT DISTINCT "Telefono_Cliente" AS "Tel", "Cedula_Cliente" FROM l_contacts
-        WHERE "Cedula_Cliente" IS NOT NULL AND "Telefono_Cliente" IS NOT NULL AND "Telefono_Cliente" <> ''),
+    l_phone_clients AS (SELECT * FROM phone_clients WHERE "Cedula_Cliente" IN (SELECT "Cedula_Cliente" FROM l_mdetail)),
     l_phones AS (SELECT DISTINCT "Tel" FROM l_phone_clients),
     l_payers AS (SELECT DISTINCT "Cedula_Cliente" FROM l_mdetail WHERE "Total_Recaudo" > 50000),
     l_agents AS (SELECT DISTINCT "Call_Center_Limpio" FROM calls WHERE "Call_Center_Limpio" IN ('CL1', 'CL2', 'CL5')),

@@ -25,6 +25,8 @@ AS_OF_PROMISES = "2024-01-15"
 ZONE_CODES = ["ZCN", "1AB", "CC01", "1CE", "CEC", "X99"]          # o_orderkey % 7 = 0..5, 6 -> NULL
 CONTACT_USERS = ["torres ana", "Luis Rojaz", "DIAZ MARTA", "Jorje Pineda", "Carla Mejía",
                  "Silva Pedro", "Sofia Luna", "Diego Cano", "Ruth Vga"]   # user_id % 9
+UNKNOWN_USER = "Xavier Quintero"   # user_id % 10 = 9: like no agent
+BAND_USER = "Luis Paz"             # else user_id % 11 = 7: near Luis Rojas, in the fallback band only
 CALL_AGENTS = ["Ana Torres", "Luis Rojas", "Marta Diaz", "Jorge Pineda", "Carla Mejia",
                "Pedro Silva", "Sofia Luna", "Diego Cano", "Ruth Vega"]    # user_id % 9
 CONTACT_ROLES = ["GESTOR", "CALL CENTER", "ABOGADO", None]                # event_id % 4
@@ -73,7 +75,8 @@ def portfolio_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     ok, ck = F.col("o_orderkey"), F.col("o_custkey")
     price2 = F.col("o_totalprice").cast("decimal(18,2)")
     days = F.when(ok % 4 == 0, F.lit(0)).otherwise(ok % 401).cast("double")
-    total = F.coalesce(F.col("paid"), F.lit(0).cast("decimal(18,2)")).cast("double")
+    # one client in seven has paid nothing
+    total = F.when(ck % 7 == 3, F.lit(0.0)).otherwise(F.coalesce(F.col("paid"), F.lit(0).cast("decimal(18,2)")).cast("double"))
     no_goal = ok % 13 == 0
     goal = lambda f: F.when(no_goal, F.lit(0.0)).otherwise(
         (price2 * F.lit(str(f)).cast("decimal(2,1)")).cast("double"))
@@ -101,7 +104,8 @@ def portfolio_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.least(cuotas, (F.coalesce(F.col("nf"), F.lit(0)) + ok % 2).cast("double")).alias("Cuotas_Pagadas"),
         F.col("o_totalprice").alias("Valor_Desembolso"),
         F.to_date("o_orderdate").alias("Fecha_Desembolso"),
-        F.when(ok % 10 == 0, F.lit("ANTICIPADO")).otherwise(_txt(price2)).alias("Valor_Cuota_Vigente"),
+        F.when(ok % 10 == 0, F.lit("ANTICIPADO")).when(ok % 7 == 3, F.format_number(price2, 2))
+        .when(ok % 7 == 5, F.format_number(price2 * 100, 2)).otherwise(_txt(price2)).alias("Valor_Cuota_Vigente"),
         F.when(F.col("o_orderstatus") != "F", F.to_date("ship")).alias("Fecha_Cuota_Vigente"),
         total.alias("Total_Recaudo"),
         F.when(ok % 10 == 0, F.lit(0.0)).otherwise(total).alias("Total_Recaudo_Sin_Anti"),
@@ -112,7 +116,7 @@ def portfolio_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("o_orderstatus") == "P", F.lit("MEJORA"))
         .when(F.col("o_orderstatus") == "F", F.lit("EMPEORA"))
         .when(F.col("o_orderstatus") == "O", F.lit("NORMALIZO")).alias("Rodamiento"),
-        F.coalesce(F.col("nov"), F.lit(0)).cast("double").alias("Cantidad_Novedades"),
+        F.col("nov").cast("double").alias("Cantidad_Novedades"),
     )
     return out
 
@@ -127,14 +131,17 @@ def contacts_from_events(e: DataFrame) -> DataFrame:
         eid.alias("seq"),
         _txt(uid).alias("Cedula_Cliente"),
         F.to_date("ts").alias("Fecha_Novedad"),
-        _pick(uid % 9, CONTACT_USERS).alias("Nombre_Usuario"),
+        F.when(uid % 10 == 9, F.lit(UNKNOWN_USER)).when(uid % 11 == 7, F.lit(BAND_USER))
+        .otherwise(_pick(uid % 9, CONTACT_USERS)).alias("Nombre_Usuario"),
         _pick(eid % 4, CONTACT_ROLES).alias("Cargo_Usuario"),
         F.when(et == "purchase", F.lit("COMPROMISO DE PAGO")).when(et == "error", F.lit("AUSENCIA"))
         .when(et == "view", F.lit("NOVEDAD")).otherwise(F.lit("PAGO")).alias("Tipo_Novedad"),
         F.col("props").alias("Novedad"),
         F.when((et == "purchase") & (eid % 5 != 0), F.to_date("ts")).alias("Fecha_Compromiso"),
-        F.concat(F.lit("300"), _txt(uid)).alias("Telefono_Cliente"),
-        F.lit(None).cast("string").alias("Celular_Cliente"),
+        F.when(uid % 4 == 1, F.concat(F.lit("300"), _txt(uid), F.lit(".0")))
+        .when(uid % 4 > 1, F.concat(F.lit("300"), _txt(uid))).alias("Telefono_Cliente"),
+        F.when(uid % 8 == 0, F.concat(F.lit("300"), _txt(uid)))
+        .when(uid % 6 == 1, F.concat(F.lit("3110"), _txt(uid % 3))).alias("Celular_Cliente"),
         F.col("value").alias("Valor"),
     )
 
