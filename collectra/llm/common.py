@@ -2,18 +2,40 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from collectra.session import shared_path
+import collectra
+from collectra.session import delete_on_exit, shared_path
 
 # words are maximal runs of anything but ASCII white space
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application.
+
+    Functions that run there import it; on a cluster it need not be installed.
+    """
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        home = Path(collectra.__file__).parent
+        archive = shutil.make_archive(f"{tempfile.mkdtemp()}/collectra-{app}", "zip", home.parent, home.name)
+        spark.sparkContext.addPyFile(archive)
+        _shipped.add(app)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """An input table; from here on executors can import this package."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -45,9 +67,7 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """
     path = shared_path(spark, "llm", f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
+    delete_on_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
