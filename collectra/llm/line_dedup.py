@@ -174,7 +174,9 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     d = d.withColumn("lines", F.when(F.col("drops").isNotNull(), split)).withColumn("own", own)
     gone = F.transform("own", lambda x: x["line_no"])
     d = d.withColumn("gone", gone)
-    kept = F.array_join(F.filter("lines", lambda x, i: ~F.array_contains("gone", i)), "\n")
+    # set difference of line numbers: linear in the lines of a text, however many go
+    stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
+    kept = F.array_join(F.transform(stay, lambda i: F.get("lines", i)), "\n")
     text = F.when(F.size("gone") > 0, kept).otherwise(at["text"])
     count = lambda near: F.coalesce(F.size(F.filter("own", lambda x: x["near"] == near)), F.lit(0))
     return d.select(*[text.alias(n) if n == "text" else F.col(f"c{i}").alias(n) for i, n in enumerate(names)],
