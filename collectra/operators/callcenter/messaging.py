@@ -44,21 +44,22 @@ def conversations(msgs: DataFrame) -> DataFrame:
     return m.withColumn("Tel_Norm", normalize_phone(q("Numero_Telefono")))
 
 
-def contact_phones(contacts: DataFrame) -> DataFrame:
-    """Distinct normalised phones of the contact log (both phone columns)."""
+def _phone_pairs(contacts: DataFrame) -> DataFrame:
+    """Distinct (phone, client) of the contact log, both phone columns; the client may be NULL."""
     cols = [c for c in ["Telefono_Cliente", "Celular_Cliente"] if c in contacts.columns]
     arr = F.array(*[normalize_phone(q(c)) for c in cols])
-    return (contacts.select(F.explode(arr).alias("Tel"))
+    return (contacts.select(F.explode(arr).alias("Tel"), q("Cedula_Cliente").cast("string").alias("Cedula_Cliente"))
             .where(F.col("Tel").isNotNull() & (F.col("Tel") != "")).distinct())
 
 
+def contact_phones(contacts: DataFrame) -> DataFrame:
+    """Distinct normalised phones of the contact log (both phone columns)."""
+    return _phone_pairs(contacts).select("Tel").distinct()
+
+
 def phone_clients(contacts: DataFrame) -> DataFrame:
     """Distinct (phone, client) pairs of the contact log."""
-    cols = [c for c in ["Telefono_Cliente", "Celular_Cliente"] if c in contacts.columns]
-    arr = F.array(*[normalize_phone(q(c)) for c in cols])
-    return (contacts.where(q("Cedula_Cliente").isNotNull())
-            .select(F.explode(arr).alias("Tel"), q("Cedula_Cliente").cast("string").alias("Cedula_Cliente"))
-            .where(F.col("Tel").isNotNull() & (F.col("Tel") != "")).distinct())
+    return _phone_pairs(contacts).where(q("Cedula_Cliente").isNotNull())
 
 
 def paying_clients(portfolio: DataFrame) -> DataFrame:
@@ -95,13 +96,15 @@ def msg_funnel(msgs: DataFrame, contacts: DataFrame, portfolio: DataFrame) -> Da
     m = with_conversation_flag(valid_center_messages(msgs))
     s12 = m.agg(F.count(F.lit(1)).alias("a"), F.count_if(q("Es_Conversacion")).alias("b")).select(
         F.expr("stack(2, 0, 'Mensajes Entregados', a, 1, 'Conversaciones', b) AS (stage, name, value)"))
+    # conversations per phone and (phone, client) pairs are shuffled once each
+    # and feed both stages
     per_phone = _conv_per_phone(msgs)
-    phones = contact_phones(contacts)
-    hit = per_phone.join(phones, per_phone.Tel_Norm == phones.Tel, "left_semi")
+    pairs = _phone_pairs(contacts)
+    hit = per_phone.join(pairs, per_phone.Tel_Norm == pairs.Tel, "left_semi")
     s3 = hit.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("value")).select(
         F.lit(2).alias("stage"), F.lit("Gestión en Sistema").alias("name"), "value")
-    pc = phone_clients(contacts)
-    pay = (hit.join(pc, hit.Tel_Norm == pc.Tel).join(paying_clients(portfolio), "Cedula_Cliente"))
+    pay = (per_phone.join(pairs, per_phone.Tel_Norm == pairs.Tel)
+           .join(paying_clients(portfolio), "Cedula_Cliente"))
     s4 = pay.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("value"),
                  F.countDistinct("Cedula_Cliente").alias("clients")).select(
         F.lit(3).alias("stage"), F.lit("Clientes con Pago").alias("name"), "value")
