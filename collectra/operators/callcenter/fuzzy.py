@@ -104,15 +104,13 @@ def user_centers(users: DataFrame, agents: DataFrame, accept: float = FUZZY_ACCE
     ua = users.select("u_name", "u_tok", F.explode("u_tok").alias("tu"))
     aa = agents.select("a_name", "a_cc", "a_tok", F.explode("a_tok").alias("ta"))
     hits = similar_token_pairs(aa, ua, fallback).select("ta", "tu")
-    # Linked (user, agent) pairs carry both token arrays, so scoring needs no
-    # re-join.  They are hash-partitioned by user name once: the de-duplication,
-    # the per-token max, the per-pair mean and the per-user winner all group
-    # by keys that contain the user name, so none of them shuffles again.
-    # A user name is one row here: names are distinct.
-    pairs = (hits.join(aa, "ta").join(ua, "tu")
-             .select("u_name", "u_tok", "a_name", "a_cc", "a_tok")
-             .repartition("u_name")
-             .dropDuplicates(["u_name", "a_name", "a_cc"]))
+    # Linked (user, agent) pairs are names only until each is there once; then
+    # they get both token arrays.  The last join partitions by user name, which
+    # the per-token max, the per-pair mean and the per-user winner all reuse.
+    pairs = (hits.join(aa.select("ta", "a_name", "a_cc"), "ta").join(ua.select("tu", "u_name"), "tu")
+             .select("u_name", "a_name", "a_cc").distinct()
+             .join(agents.select("a_name", "a_cc", "a_tok"), ["a_name", "a_cc"])
+             .join(users.select("u_name", "u_tok"), "u_name"))
     full = (pairs.select("u_name", "a_name", "a_cc", F.size("a_tok").alias("na"),
                          F.explode("a_tok").alias("ta"), "u_tok")
             .select("u_name", "a_name", "a_cc", "na", "ta", F.explode("u_tok").alias("tu")))
