@@ -25,11 +25,12 @@ from array import array
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 250_000
 CACHE_CHARS = 64
 
 # fixed value: the split of byte-level vocabularies
@@ -132,26 +133,39 @@ def read_spec(path: str):
         return f.read()
 
 
-def encode_udf(spark: SparkSession, path: str, with_ids: bool = False):
-    """A function of a text column; gives a struct of n_tokens, the digest of the
-    ids and of the text decoded from them, and, if asked for, the ids.
+def encode(df: DataFrame, path: str, text: str = "text", with_ids: bool = False) -> DataFrame:
+    """``df`` without its text column; added: n_tokens, ids_sha256 (of the ids as
+    little-endian 32-bit integers), decoded_sha256 (of the text decoded from them,
+    in UTF-8) and, if asked for, ids.
 
-    The vocabulary file (1.5 MB) is read by the driver and broadcast.
+    The vocabulary file (1.5 MB) is read by the driver and broadcast.  Texts become
+    Python objects a few at a time, and results leave as they are made.
     """
-    spec = spark.sparkContext.broadcast(read_spec(path))
-    kind = "n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if with_ids else "")
-
-    @F.pandas_udf(kind)
-    def encode(texts: pd.Series) -> pd.DataFrame:
-        codec, rows = _codec(spec), []
-        for t in texts:
-            ids = codec.encode(t or "")
-            text = codec.decode(ids)
-            rows.append((len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(text.encode()).hexdigest(),
-                         *([ids.astype(np.int32)] if with_ids else [])))
-        return pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] if with_ids else [])])
-
-    return encode
+    spec = df.sparkSession.sparkContext.broadcast(read_spec(path))
+    keep = [c for c in df.columns if c != text]
+    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name != text]
+    names = [*keep, "n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] if with_ids else [])]
+
+    def run(batches):
+        codec = _codec(spec)
+        for b in batches:
+            for i in range(0, b.num_rows, 64):
+                part = b.slice(i, 64)
+                n, ids_sha, text_sha, all_ids = [], [], [], []
+                for t in part.column(len(keep)).to_pylist():
+                    ids = codec.encode(t or "")
+                    n.append(len(ids))
+                    ids_sha.append(hashlib.sha256(ids).hexdigest())
+                    text_sha.append(hashlib.sha256(codec.decode(ids).encode()).hexdigest())
+                    all_ids.append(ids)
+                cols = [*part.columns[:-1], pa.array(n, pa.int64()), pa.array(ids_sha), pa.array(text_sha)]
+                if with_ids:
+                    ends = pa.array(np.cumsum([0, *n]), pa.int32())
+                    cols.append(pa.ListArray.from_arrays(ends, pa.array(np.concatenate(all_ids).astype(np.int32))))
+                yield pa.record_batch(cols, names=names)
+
+    made = ["n_tokens long", "ids_sha256 string", "decoded_sha256 string", *(["ids array<int>"] if with_ids else [])]
+    return df.select(*[F.col(f"`{c}`") for c in [*keep, text]]).mapInArrow(run, ", ".join([*kinds, *made]))
 
 
 def decode_udf(spark: SparkSession, path: str):

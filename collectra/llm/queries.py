@@ -19,9 +19,7 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encode = bpe.encode_udf(spark, public_tokenizers.path("byte_bpe_50k.json"))
-    d = texts(table(spark, sf_dir, "documents")).withColumn("e", encode("text"))
-    return d.select("doc_id", "e.n_tokens", "e.ids_sha256", "e.decoded_sha256")
+    return bpe.encode(texts(table(spark, sf_dir, "documents")), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -52,8 +52,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every row, and the digest of the text that they decode to."""
-    coded = bpe.encode_udf(spark, public_tokenizers.path("byte_bpe_50k.json"), with_ids=True)
-    return texts(docs, "source").withColumn("e", coded("text")).select("doc_id", "source", "e.*")
+    return bpe.encode(texts(docs, "source"), public_tokenizers.path("byte_bpe_50k.json"), with_ids=True)
 
 
 STAGES = [

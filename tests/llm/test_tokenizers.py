@@ -48,14 +48,14 @@ def test_forced_boundaries_are_cuts():
 
 
 def test_bpe_rows_and_edges(spark, odd, empty):
-    lib, encode = Tokenizer.from_file(BPE), bpe.encode_udf(spark, BPE, with_ids=True)
+    lib = Tokenizer.from_file(BPE)
     for docs, n in ((odd, len(rows())), (empty, 0)):
-        got = texts(docs).withColumn("e", encode("text")).select("doc_id", "text", "e.*").collect()
+        got = bpe.encode(texts(docs).withColumn("own", F.col("text")), BPE, with_ids=True).collect()
         assert len(got) == n
         for r in got:
-            assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == digests(lib, r.text) and len(r.ids) == r.n_tokens
-    back = texts(odd).withColumn("ids", encode("text")["ids"]).withColumn("back", bpe.decode_udf(spark, BPE)("ids"))
-    assert back.where(~F.col("back").eqNullSafe(F.col("text"))).count() == 0
+            assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == digests(lib, r.own) and len(r.ids) == r.n_tokens
+    back = bpe.encode(texts(odd).withColumn("own", F.col("text")), BPE, with_ids=True).withColumn("back", bpe.decode_udf(spark, BPE)("ids"))
+    assert back.where(~F.col("back").eqNullSafe(F.col("own"))).count() == 0
 
 
 def test_op3_query(spark, texts_of):
