@@ -20,12 +20,20 @@ WORD = r"[^\x20\x09-\x0D]+"
 _shipped: set[str] = set()
 
 
+# rows that Spark hands to Python at a time: whole texts may be long
+ARROW_ROWS = 512
+
+
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once per application.
+    """Prepare a session for this package's functions on the executors.
 
-    Functions that run there import it; on a cluster it need not be installed.
+    The package is sent there once per application (on a cluster it need not be
+    installed), and Arrow batches are kept to ``ARROW_ROWS`` rows, unless the
+    cluster says otherwise: the memory of a Python worker is bounded by them.
     """
-    app = spark.sparkContext.applicationId
+    app, rows = spark.sparkContext.applicationId, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not spark.sparkContext.getConf().contains(rows):
+        spark.conf.set(rows, str(ARROW_ROWS))
     if app not in _shipped:
         home = Path(collectra.__file__).parent
         archive = shutil.make_archive(f"{tempfile.mkdtemp()}/collectra-{app}", "zip", home.parent, home.name)

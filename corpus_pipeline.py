@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from collectra.llm import bpe, line_dedup, mixing, simhash, toxicity
-from collectra.llm.common import pick, table, texts, written
+from collectra.llm.common import pick, ship, table, texts, written
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,6 +26,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines with an earlier line within one edit go; a document that loses all its words goes too."""
+    ship(spark)
     names = docs.columns
     d = line_dedup.dedup_lines(docs)
     d = d.toDF(*[f"c{i}" for i in range(len(names))], "n_lines", "n_equal", "n_near")
@@ -38,6 +39,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by SimHash, the one with the smallest id stays."""
+    ship(spark)
     classes = simhash.near_duplicates(docs, shingle=3, max_bits=3)
     gone = written(spark, classes.where(F.col("component_id") < F.col("doc_id")).select(F.col("doc_id").alias("gone_id")).distinct(), "gone")
     names = docs.columns
@@ -52,6 +54,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every row, and the digest of the text that they decode to."""
+    ship(spark)
     return bpe.encode(texts(docs, "source"), public_tokenizers.path("byte_bpe_50k.json"), with_ids=True)
 
 
