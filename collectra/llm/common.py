@@ -107,5 +107,14 @@ def bounded_sample(rows: DataFrame, key: str, bound: int, count: int) -> DataFra
                       < int(bound / count * (1 << 30)))
 
 
+def let(value, body):
+    """``body`` of a column that is evaluated once.
+
+    A plain column that ``body`` uses inside a lambda is copied into it by the
+    optimizer and evaluated for each element.
+    """
+    return F.transform(F.array(value), body)[0]
+
+
 def sha256_text(col):
     return F.sha2((F.col(col) if isinstance(col, str) else col).cast("binary"), 256)

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from collectra.llm.common import texts, written
+from collectra.llm.common import let, texts, written
 
 MIN_CHARS = 20
 LAST = (1 << 63) - 1
@@ -169,15 +169,18 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     d = docs.toDF(*[f"c{i}" for i in range(len(names))])
     d = d.join(by_doc, F.coalesce(at["doc_id"].cast("long"), F.lit(LAST)) == F.col("drop_id"), "left")
     split = F.split(at["text"], "\n")
-    # a place counts for the row only if the row's line is the one dropped there
-    own = F.filter("drops", lambda x: F.xxhash64(bare(F.get("lines", x["line_no"]))) == x["h1"])
-    d = d.withColumn("lines", F.when(F.col("drops").isNotNull(), split)).withColumn("own", own)
-    gone = F.transform("own", lambda x: x["line_no"])
-    d = d.withColumn("gone", gone)
-    # set difference of line numbers: linear in the lines of a text, however many go
-    stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
-    kept = F.array_join(F.transform(stay, lambda i: F.get("lines", i)), "\n")
-    text = F.when(F.size("gone") > 0, kept).otherwise(at["text"])
-    count = lambda near: F.coalesce(F.size(F.filter("own", lambda x: x["near"] == near)), F.lit(0))
+
+    def cut(lines):
+        # a place counts for the row only if the row's line is the one dropped there
+        own = F.filter("drops", lambda x: F.xxhash64(bare(F.get(lines, x["line_no"]))) == x["h1"])
+        return let(own, lambda own: F.struct(
+            # set difference of line numbers: linear in the lines of a text, however many go
+            F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.transform(own, lambda x: x["line_no"])),
+                                     lambda i: F.get(lines, i)), "\n").alias("text"),
+            F.size(own).alias("n"), F.size(F.filter(own, lambda x: x["near"])).alias("near")))
+
+    d = d.withColumn("cut", F.when(F.col("drops").isNotNull(), let(split, cut)))
+    text = F.when(F.col("cut.n") > 0, F.col("cut.text")).otherwise(at["text"])
+    counts = (F.coalesce(F.col("cut.n") - F.col("cut.near"), F.lit(0)).alias("n_equal"), F.coalesce("cut.near", F.lit(0)).alias("n_near"))
     return d.select(*[text.alias(n) if n == "text" else F.col(f"c{i}").alias(n) for i, n in enumerate(names)],
-                    F.coalesce(F.size(split), F.lit(0)).alias("n_lines"), count(False).alias("n_equal"), count(True).alias("n_near"))
+                    F.coalesce(F.size(split), F.lit(0)).alias("n_lines"), *counts)

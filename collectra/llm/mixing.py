@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from collectra.llm.common import WORD, pick, written
+from collectra.llm.common import WORD, let, pick, written
 
 BLOCK_WORDS = 64
 SHARD_SLOTS = 4096
@@ -192,9 +192,8 @@ def mix(docs: DataFrame, block: int = BLOCK_WORDS, weights=WEIGHTS, most: int =
     t = taken.alias("t")
     j = d.join(t, at["doc_id"].eqNullSafe(F.col("t.doc_id")) & at["source"].eqNullSafe(F.col("t.source")) & (d["tie"] == F.col("t.tie")))
     whole = F.col("t.n") == F.col("size")
-    split = j.withColumn("whole", whole).withColumn("words", F.when(~whole, F.regexp_extract_all(at["text"], F.lit(f"({WORD})"), F.lit(1))))
-    cut = F.array_join(F.flatten(F.transform(F.col("parts"), lambda p: F.slice(
-        F.col("words"), (p["first"] + 1).cast("int"), p["n"].cast("int")))), " ")
-    made = split.withColumn("new", F.when(F.col("whole"), at["text"]).otherwise(cut))
+    cut = let(F.regexp_extract_all(at["text"], F.lit(f"({WORD})"), F.lit(1)), lambda w: F.array_join(F.flatten(F.transform(
+        F.col("parts"), lambda p: F.slice(w, (p["first"] + 1).cast("int"), p["n"].cast("int")))), " "))
+    made = j.withColumn("new", F.when(whole, at["text"]).otherwise(cut))
     return made.select(*[F.col("new").alias(n) if n == "text" else F.length("new").cast("long").alias(n) if n == "n_chars"
                          else F.col(f"c{i}").alias(n) for i, n in enumerate(names)])
