@@ -45,7 +45,7 @@ LIST_ROWS = 256
 PART_ROWS = 16_384
 REPLICAS = 6
 BOUNDARY = 1.25
-PRUNE = 1.12
+PRUNE = 1.22
 BASE = 3  # a tight list around a query says little of how far the next neighbours are
 LINKS = 24
 POOL = 48  # lists that a search keeps at first

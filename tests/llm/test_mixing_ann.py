@@ -182,6 +182,14 @@ def test_op7_query(spark):
     assert set(got) == set(want) and recall(got, want) >= 0.9
 
 
+def test_few_true_neighbours_are_given_up_where_vectors_point_all_ways(spark, monkeypatch):
+    monkeypatch.setattr(ann, "LIST_ROWS", 32)
+    rng = np.random.default_rng(8)
+    v = [(i, r.tolist()) for i, r in enumerate(rng.normal(size=(6000, 24)))]
+    got = results(ann.nearest(spark.createDataFrame(v, "vec_id long, embedding array<double>").repartition(4)))
+    assert recall(got, brute(v, 20, 20)) >= 0.99
+
+
 def test_vectors_that_take_no_part(spark):
     nan, inf = float("nan"), float("inf")
     v = [(0, [1.0, 0.0]), (1, [0.5, 0.5]), (1, [2.0, 0.0]), (2, None), (3, [0.0, 0.0]), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [1.0, None]),
