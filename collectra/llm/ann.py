@@ -14,10 +14,14 @@ to that centroid than the vector is.
 *Search.*  Centroids are few (at most ``MAX_LISTS``) and searched by an in-memory
 neighbour graph, best first.  A query takes every list whose centroid is at most
 ``PRUNE`` times as far as the ``BASE``-th nearest one, however many these are; a pool that
-turns out too small is doubled.  Lists stand in parts of about ``PART_ROWS`` rows:
-short neighbouring lists share one, a long list (of one very common vector, say)
-has many.  A query goes once to each part that holds a list of its own, in an
-equi-join, and the best of the parts are merged by query.
+turns out too small is doubled.  Lists hold distinct vectors with their k + 1
+smallest ids (no query needs more of them), and stand in parts of about
+``PART_ROWS`` ids: short neighbouring lists share one, a long list has many.
+Each distinct query vector is searched once: it goes to each part that holds a
+list of its own, in an equi-join, and the best k + 1 of the parts are merged and
+then given to all queries with that vector, but for the query's own id.  The
+query vectors of a part are cut into slices of about ``SLICE_ROWS``, each with
+the part's rows, so a task holds bounded groups of both.
 
 Edge cases: vectors that are null, zero, hold null or non-finite components, or
 have another number of components than most, take no part; rows that repeat an
@@ -43,6 +47,7 @@ MAX_SAMPLE = 65_536
 MAX_LISTS = 8_192
 LIST_ROWS = 256
 PART_ROWS = 16_384
+SLICE_ROWS = 4_096
 REPLICAS = 6
 BOUNDARY = 1.25
 PRUNE = 1.22
@@ -222,7 +227,7 @@ def _matrix(part: pa.RecordBatch) -> np.ndarray:
 
 
 def posted(spark: SparkSession, vectors: DataFrame, graph: CentroidGraph, longest: float) -> DataFrame:
-    """(list, vec_id, embedding): each vector in the lists it is posted to."""
+    """(list, vector, embedding, ids): each distinct vector in the lists it is posted to."""
     # at most MAX_LISTS centroids and their links: some 5 MB
     sent = spark.sparkContext.broadcast((graph, longest))
 
@@ -233,11 +238,11 @@ def posted(spark: SparkSession, vectors: DataFrame, graph: CentroidGraph, longes
                 part = b.slice(i, BATCH)
                 own = boundary_lists(graph, lifted(_matrix(part), longest))
                 at = pa.array(np.repeat(np.arange(len(own)), [len(x) for x in own]))
-                yield pa.record_batch([pa.array(np.concatenate(own).astype(np.int32)), part.column(0).take(at), part.column(1).take(at)],
-                                      names=["list", "vec_id", "embedding"])
+                yield pa.record_batch([pa.array(np.concatenate(own).astype(np.int32)), *[part.column(c).take(at) for c in range(3)]],
+                                      names=["list", "vector", "embedding", "ids"])
 
     kind = vectors.schema["embedding"].dataType.simpleString()
-    return vectors.select("vec_id", "embedding").mapInArrow(post, f"list int, vec_id long, embedding {kind}")
+    return vectors.select("vector", "embedding", "ids").mapInArrow(post, f"list int, vector long, embedding {kind}, ids array<long>")
 
 
 def parts_of(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -254,7 +259,7 @@ def parts_of(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def asked(spark: SparkSession, queries: DataFrame, graph: CentroidGraph, first: np.ndarray, n: np.ndarray, prune: float) -> DataFrame:
-    """(part, vec_id, embedding, lists): each query with the lists it searches in each part."""
+    """(part, vector, embedding, lists): each query vector with the lists it searches in each part."""
     sent = spark.sparkContext.broadcast((graph, first, n))
 
     def ask(batches):
@@ -275,52 +280,91 @@ def asked(spark: SparkSession, queries: DataFrame, graph: CentroidGraph, first:
                     lists += by.values()
                 at = pa.array(at, pa.int64())
                 yield pa.record_batch([pa.array(to, pa.int32()), part.column(0).take(at), part.column(1).take(at), pa.array(lists, pa.list_(pa.int32()))],
-                                      names=["part", "vec_id", "embedding", "lists"])
+                                      names=["part", "vector", "embedding", "lists"])
 
     kind = queries.schema["embedding"].dataType.simpleString()
-    return queries.select("vec_id", "embedding").mapInArrow(ask, f"part int, vec_id long, embedding {kind}, lists array<int>")
+    return queries.select("vector", "embedding").mapInArrow(ask, f"part int, vector long, embedding {kind}, lists array<int>")
+
+
+def distinct_vectors(vectors: DataFrame, most: int) -> DataFrame:
+    """(vector, embedding, ids): each distinct embedding with a number and its ``most`` smallest ids."""
+    # a task passes on ``most`` rows of an embedding at most, however many there are
+    first = Window.partitionBy("embedding").orderBy("vec_id")
+    each = vectors.select("vec_id", "embedding").distinct().withColumn("at", F.row_number().over(first)).where(F.col("at") <= most)
+    each = each.groupBy("embedding").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
+    return written(vectors.sparkSession, each.select(F.monotonically_increasing_id().alias("vector"), "embedding", "ids"), "distinct_vectors")
+
+
+def groups(rows: DataFrame, questions: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both by (part, slice): about ``SLICE_ROWS`` questions of a part each, and the part's rows for each slice."""
+    slices = questions.groupBy("part").agg(F.ceil(F.count("*") / SLICE_ROWS).cast("int").alias("slices"))
+    rows = rows.join(slices, "part").withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+    questions = questions.join(slices, "part").withColumn("slice", F.pmod(F.xxhash64("vector"), F.col("slices")).cast("int"))
+    return rows.drop("slices"), questions.drop("slices")
 
 
 def search(spark: SparkSession, vectors: DataFrame, queries: DataFrame, graph: CentroidGraph, longest: float, k: int, prune: float) -> DataFrame:
-    postings = written(spark, posted(spark, vectors, graph, longest), "postings")
-    count = {r.list: r.n for r in postings.groupBy("list").agg(F.count("*").alias("n")).collect()}  # at most MAX_LISTS rows
+    most = k + 1  # of a query vector: one of its results may be the query itself
+    distinct = distinct_vectors(vectors, most)
+    # written right after the join: Spark splits a vector that very many queries have
+    copies = written(spark, queries.select(F.col("vec_id").alias("query_id"), "embedding").distinct()
+                     .join(distinct.select("embedding", "vector"), "embedding").select("query_id", "vector"), "copies")
+    postings = written(spark, posted(spark, distinct, graph, longest), "postings")
+    count = {r.list: r.n for r in postings.groupBy("list").agg(F.sum(F.size("ids")).alias("n")).collect()}  # at most MAX_LISTS rows
     first, n = parts_of(np.array([count.get(i, 0) for i in range(len(graph.centroids))]))
     place = spark.createDataFrame([(i, int(a), int(b)) for i, (a, b) in enumerate(zip(first, n, strict=True))], "list int, first int, parts int")
     rows = postings.join(F.broadcast(place), "list").select(  # at most MAX_LISTS short rows
-        (F.col("first") + F.pmod(F.xxhash64("vec_id"), F.col("parts"))).cast("int").alias("part"), "list", "vec_id", "embedding")
+        (F.col("first") + F.pmod(F.xxhash64("vector"), F.col("parts"))).cast("int").alias("part"), "list", "embedding", "ids")
+
+    def best(row: np.ndarray, ids: np.ndarray, score: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """An id once per row (its best score), then the first ``most`` of each row."""
+        order = np.lexsort((-score, ids, row))
+        row, ids, score = row[order], ids[order], score[order]
+        once = np.r_[True, (row[1:] != row[:-1]) | (ids[1:] != ids[:-1])][:len(row)]
+        row, ids, score = row[once], ids[once], score[once]
+        order = np.lexsort((ids, -score, row))
+        row, ids, score = row[order], ids[order], score[order]
+        keep = np.arange(len(row)) - np.searchsorted(row, row) < most
+        return row[keep], ids[keep], score[keep]
 
     def scan(key, rows: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        """The best ``k`` rows of this part for each query, from the lists that it searches."""
+        """The best ``most`` ids of this part for each query vector, from the lists that it searches."""
         out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
         if len(rows) and len(asked):
-            x, ids, of = np.stack(rows["embedding"].to_numpy()), rows["vec_id"].to_numpy(), rows["list"].to_numpy()
-            q, own = np.stack(asked["embedding"].to_numpy()).astype(np.float64), asked["vec_id"].to_numpy()
+            x, of = np.stack(rows["embedding"].to_numpy()), rows["list"].to_numpy()
+            own = rows["ids"].to_numpy()
+            q = np.stack(asked["embedding"].to_numpy()).astype(np.float64)
             wants = np.repeat(np.arange(len(asked)), asked["lists"].str.len())
             wanted = np.concatenate(asked["lists"].to_numpy())
             for one in np.unique(of):
                 at, who = np.flatnonzero(of == one), wants[wanted == one]
                 y = x[at].astype(np.float64)
+                ids = np.concatenate(own[at])
+                by = np.argsort(ids, kind="stable")
+                vector = np.repeat(np.arange(len(at)), [len(i) for i in own[at]])[by]
+                ids, start = np.unique(ids[by], return_index=True)
                 for i in range(0, len(who), BATCH):
                     some = who[i:i + BATCH]
-                    score = np.where(own[some][:, None] == ids[at], -np.inf, q[some] @ y.T)
-                    # rows that reach the k-th best of the list; an id that rows repeat may take some of the k
-                    least = np.partition(score, -min(k, len(at)), axis=1)[:, [-min(k, len(at))]]
-                    if len(np.unique(ids[at])) < len(at):
-                        least[:] = -np.inf
-                    r, c = np.nonzero((score >= least) & (score > -np.inf))
-                    out.append((some[r], ids[at[c]], score[r, c]))
-        row, ids, score = map(np.concatenate, zip(*out))
-        # an id once per query (its best score), then the first k of each query
-        order = np.lexsort((ids, -score, row))
-        row, ids, score = row[order], ids[order], score[order]
-        once = ~pd.MultiIndex.from_arrays([row, ids]).duplicated() if len(row) else np.zeros(0, bool)
-        row, ids, score = row[once], ids[once], score[once]
-        keep = np.arange(len(row)) - np.searchsorted(row, row) < k
-        return pd.DataFrame({"query_id": asked["vec_id"].to_numpy(np.int64)[row[keep]], "vec_id": ids[keep], "score": score[keep]})
-
-    questions = asked(spark, queries, graph, first, n, prune)
-    each = rows.groupBy("part").cogroup(questions.groupBy("part")).applyInPandas(scan, "query_id long, vec_id long, score double")
-    # a vector may come from parts of several of its lists; the best k of a query are cut before they are shuffled
-    per = each.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+                    # by id: the best of the vectors that have it
+                    score = np.maximum.reduceat((q[some] @ y.T)[:, vector], start, axis=1)
+                    # ids that reach the last of the best of the list
+                    least = np.partition(score, -min(most, len(ids)), axis=1)[:, [-min(most, len(ids))]]
+                    r, c = np.nonzero(score >= least)
+                    out.append(best(some[r], ids[c], score[r, c]))
+        row, ids, score = best(*map(np.concatenate, zip(*out)))
+        return pd.DataFrame({"vector": asked["vector"].to_numpy(np.int64)[row], "vec_id": ids, "score": score})
+
+    distinct_queries = distinct.join(copies.select("vector").distinct(), "vector", "left_semi")
+    questions = written(spark, asked(spark, distinct_queries, graph, first, n, prune), "questions")
+    rows, questions = groups(rows, questions)
+    each = rows.groupBy("part", "slice").cogroup(questions.groupBy("part", "slice")).applyInPandas(scan, "vector long, vec_id long, score double")
+    # an id may come from parts of several lists; the best of a vector are cut before they are shuffled
+    per = each.groupBy("vector", "vec_id").agg(F.max("score").alias("score"))
+    order = Window.partitionBy("vector").orderBy(F.desc("score"), "vec_id")
+    per = per.withColumn("at", F.row_number().over(order)).where(F.col("at") <= most)
+    per = per.groupBy("vector").agg(F.collect_list(F.struct("vec_id", "score")).alias("found"))
+    # to the copies of each vector; an id that has several vectors takes its best of all
+    per = copies.join(per, "vector").select("query_id", F.inline("found")).where("vec_id != query_id")
+    per = per.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return per.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

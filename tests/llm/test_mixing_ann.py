@@ -190,6 +190,34 @@ def test_few_true_neighbours_are_given_up_where_vectors_point_all_ways(spark, mo
     assert recall(got, brute(v, 20, 20)) >= 0.99
 
 
+def test_groups_of_a_part_are_bounded(spark, monkeypatch):
+    """A third of the rows are copies of one vector, and all lists are asked: neither side of a scan grows with them."""
+    monkeypatch.setattr(ann, "PART_ROWS", 200)
+    monkeypatch.setattr(ann, "SLICE_ROWS", 20)
+    seen, groups = [], ann.groups
+    monkeypatch.setattr(ann, "groups", lambda *x: seen.append(groups(*x)) or seen[-1])
+    x = np.random.default_rng(3).normal(size=(3000, 8))
+    x[1000:2000] = x[0]
+    v = [(i, r.tolist()) for i, r in enumerate(x)]
+    v += [(2990, x[5].tolist()), (40, x[50].tolist()), (40, x[40].tolist())]  # ids with several vectors, a row twice
+    got = results(ann.nearest(spark.createDataFrame(v, "vec_id long, embedding array<double>").repartition(4), prune=9.0))
+    ids, x = np.array([i for i, _ in v]), np.array([r for _, r in v])
+    assert len(got) == 150
+    for q, near in got.items():
+        s = (x[ids == q] @ x.T).max(axis=0)
+        score = {}
+        for i, a in zip(ids.tolist(), s.tolist()):
+            score[i] = max(a, score.get(i, a))
+        want = sorted((i for i in score if i != q), key=lambda i: (-round(score[i], 9), i))[:20]
+        assert [i for i, _ in near] == want and [a for _, a in near] == pytest.approx([score[i] for i in want], abs=1e-9)
+    (rows, questions), = seen
+    sizes = [r["count"] for r in questions.groupBy("part", "slice").count().collect()]
+    assert max(sizes) < 60 and max(r.n for r in rows.groupBy("part", "slice").agg(F.sum(F.size("ids")).alias("n")).collect()) < 500
+    # the hot vector is asked once in a part, and has k + 1 ids
+    assert questions.groupBy("part", "vector").count().agg(F.max("count")).first()[0] == 1
+    assert rows.agg(F.max(F.size("ids"))).first()[0] == 21
+
+
 def test_vectors_that_take_no_part(spark):
     nan, inf = float("nan"), float("inf")
     v = [(0, [1.0, 0.0]), (1, [0.5, 0.5]), (1, [2.0, 0.0]), (2, None), (3, [0.0, 0.0]), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [1.0, None]),
