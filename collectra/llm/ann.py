@@ -14,7 +14,9 @@ to that centroid than the vector is.
 *Search.*  Centroids are few (at most ``MAX_LISTS``) and searched by an in-memory
 neighbour graph, best first.  A query takes every list whose centroid is at most
 ``PRUNE`` times as far as the ``BASE``-th nearest one, however many these are; a pool that
-turns out too small is doubled.  Lists hold distinct vectors with their k + 1
+turns out too small is doubled.  Where these lists hold fewer than k + 1 ids,
+further ones are taken in order of distance, and a query that still has too few
+results (ids may have several vectors) is searched again in more lists.  Lists hold distinct vectors with their k + 1
 smallest ids (no query needs more of them), and stand in parts of about
 ``PART_ROWS`` ids: short neighbouring lists share one, a long list has many.
 Each distinct query vector is searched once: it goes to each part that holds a
@@ -116,8 +118,11 @@ class CentroidGraph:
         entries = np.unique(np.linspace(0, len(c) - 1, min(len(c), max(16, int(len(c) ** 0.5)))).astype(np.int64))
         return cls(c, links.astype(np.int64), entries)
 
-    def near(self, x: np.ndarray, ratio: float) -> Iterator[np.ndarray]:
-        """For each row of ``x`` the lists at most ``ratio`` times as far as the ``BASE``-th, nearest first."""
+    def near(self, x: np.ndarray, ratio: float, held: np.ndarray | None = None, need: int = 0) -> Iterator[np.ndarray]:
+        """For each row of ``x`` the lists at most ``ratio`` times as far as the ``BASE``-th, nearest first.
+
+        Further lists are taken until all together have ``need`` of the rows that are ``held``.
+        """
         for i in range(0, len(x), BATCH):
             some, size = x[i:i + BATCH].astype(np.float32), POOL
             while True:
@@ -126,7 +131,16 @@ class CentroidGraph:
                 if ids.shape[1] < size or size >= len(self.centroids) or not inside[:, -1].any():
                     break
                 size *= 2  # lists within the ratio may be missing
-            yield from (r[k] for r, k in zip(ids, inside, strict=True))
+            for row, r, k in zip(some, ids, inside, strict=True):
+                short = held is not None and held[r[k]].sum() < need
+                yield self.further(row, ratio, held, need) if short else r[k]
+
+    def further(self, row: np.ndarray, ratio: float, held: np.ndarray, need: int) -> np.ndarray:
+        """``near`` of one row by the distances of all centroids: links need not lead to all lists."""
+        dist = np.sqrt(squared(row[None], self.centroids))[0]
+        order = np.argsort(dist, kind="stable")
+        inside = (dist <= ratio * _base(dist[order][None])[0, 0]).sum()
+        return order[:max(inside, np.searchsorted(held[order].cumsum(), need) + 1)]
 
     def pool(self, x: np.ndarray, size: int, ratio: float | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Best-first search: the ``size`` nearest lists found for each row, and their distances.
@@ -227,7 +241,7 @@ def _matrix(part: pa.RecordBatch) -> np.ndarray:
 
 
 def posted(spark: SparkSession, vectors: DataFrame, graph: CentroidGraph, longest: float) -> DataFrame:
-    """(list, vector, embedding, ids): each distinct vector in the lists it is posted to."""
+    """(list, vector, embedding, ids, main): each distinct vector in the lists it is posted to, the nearest marked."""
     # at most MAX_LISTS centroids and their links: some 5 MB
     sent = spark.sparkContext.broadcast((graph, longest))
 
@@ -238,11 +252,12 @@ def posted(spark: SparkSession, vectors: DataFrame, graph: CentroidGraph, longes
                 part = b.slice(i, BATCH)
                 own = boundary_lists(graph, lifted(_matrix(part), longest))
                 at = pa.array(np.repeat(np.arange(len(own)), [len(x) for x in own]))
-                yield pa.record_batch([pa.array(np.concatenate(own).astype(np.int32)), *[part.column(c).take(at) for c in range(3)]],
-                                      names=["list", "vector", "embedding", "ids"])
+                yield pa.record_batch([pa.array(np.concatenate(own).astype(np.int32)), *[part.column(c).take(at) for c in range(3)],
+                                       pa.array(np.concatenate([np.arange(len(x)) == 0 for x in own]))],
+                                      names=["list", "vector", "embedding", "ids", "main"])
 
     kind = vectors.schema["embedding"].dataType.simpleString()
-    return vectors.select("vector", "embedding", "ids").mapInArrow(post, f"list int, vector long, embedding {kind}, ids array<long>")
+    return vectors.select("vector", "embedding", "ids").mapInArrow(post, f"list int, vector long, embedding {kind}, ids array<long>, main boolean")
 
 
 def parts_of(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -258,19 +273,20 @@ def parts_of(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, n
 
 
-def asked(spark: SparkSession, queries: DataFrame, graph: CentroidGraph, first: np.ndarray, n: np.ndarray, prune: float) -> DataFrame:
+def asked(spark: SparkSession, queries: DataFrame, graph: CentroidGraph, first: np.ndarray, n: np.ndarray, prune: float,
+          held: np.ndarray, need: int) -> DataFrame:
     """(part, vector, embedding, lists): each query vector with the lists it searches in each part."""
-    sent = spark.sparkContext.broadcast((graph, first, n))
+    sent = spark.sparkContext.broadcast((graph, first, n, held))
 
     def ask(batches):
-        graph, first, n = sent.value
+        graph, first, n, held = sent.value
         for b in batches:
             for i in range(0, b.num_rows, BATCH):
                 part = b.slice(i, BATCH)
                 x = _matrix(part)
                 x = np.c_[x / np.sqrt((x * x).sum(axis=1))[:, None], np.zeros(len(x))]
                 at, to, lists = [], [], []
-                for row, ids in enumerate(graph.near(x, prune)):
+                for row, ids in enumerate(graph.near(x, prune, held, need)):
                     by: dict[int, list[int]] = {}
                     for j in ids.tolist():
                         for p in range(first[j], first[j] + n[j]):
@@ -310,8 +326,13 @@ def search(spark: SparkSession, vectors: DataFrame, queries: DataFrame, graph: C
     copies = written(spark, queries.select(F.col("vec_id").alias("query_id"), "embedding").distinct()
                      .join(distinct.select("embedding", "vector"), "embedding").select("query_id", "vector"), "copies")
     postings = written(spark, posted(spark, distinct, graph, longest), "postings")
-    count = {r.list: r.n for r in postings.groupBy("list").agg(F.sum(F.size("ids")).alias("n")).collect()}  # at most MAX_LISTS rows
-    first, n = parts_of(np.array([count.get(i, 0) for i in range(len(graph.centroids))]))
+    ids = F.size("ids")
+    count = {r.list: r for r in postings.groupBy("list").agg(  # at most MAX_LISTS rows
+        F.sum(ids).alias("n"), F.sum(F.when(F.col("main"), ids).otherwise(0)).alias("held")).collect()}
+    lists = range(len(graph.centroids))
+    first, n = parts_of(np.array([count[i].n if i in count else 0 for i in lists]))
+    # a vector counts in one list only
+    held = np.array([count[i].held if i in count else 0 for i in lists])
     place = spark.createDataFrame([(i, int(a), int(b)) for i, (a, b) in enumerate(zip(first, n, strict=True))], "list int, first int, parts int")
     rows = postings.join(F.broadcast(place), "list").select(  # at most MAX_LISTS short rows
         (F.col("first") + F.pmod(F.xxhash64("vector"), F.col("parts"))).cast("int").alias("part"), "list", "embedding", "ids")
@@ -354,15 +375,28 @@ def search(spark: SparkSession, vectors: DataFrame, queries: DataFrame, graph: C
         row, ids, score = best(*map(np.concatenate, zip(*out)))
         return pd.DataFrame({"vector": asked["vector"].to_numpy(np.int64)[row], "vec_id": ids, "score": score})
 
-    distinct_queries = distinct.join(copies.select("vector").distinct(), "vector", "left_semi")
-    questions = written(spark, asked(spark, distinct_queries, graph, first, n, prune), "questions")
-    rows, questions = groups(rows, questions)
-    each = rows.groupBy("part", "slice").cogroup(questions.groupBy("part", "slice")).applyInPandas(scan, "vector long, vec_id long, score double")
-    # an id may come from parts of several lists; the best of a vector are cut before they are shuffled
-    per = each.groupBy("vector", "vec_id").agg(F.max("score").alias("score"))
-    order = Window.partitionBy("vector").orderBy(F.desc("score"), "vec_id")
-    per = per.withColumn("at", F.row_number().over(order)).where(F.col("at") <= most)
-    per = per.groupBy("vector").agg(F.collect_list(F.struct("vec_id", "score")).alias("found"))
+    def searched(queries: DataFrame, need: int) -> DataFrame:
+        """(vector, found): the best ``most`` ids of each query vector, from lists that hold ``need`` at least."""
+        questions = written(spark, asked(spark, queries, graph, first, n, prune, held, need), "questions")
+        each = [x.groupBy("part", "slice") for x in groups(rows, questions)]
+        each = each[0].cogroup(each[1]).applyInPandas(scan, "vector long, vec_id long, score double")
+        # an id may come from parts of several lists; the best of a vector are cut before they are shuffled
+        per = each.groupBy("vector", "vec_id").agg(F.max("score").alias("score"))
+        order = Window.partitionBy("vector").orderBy(F.desc("score"), "vec_id")
+        per = per.withColumn("at", F.row_number().over(order)).where(F.col("at") <= most)
+        return written(spark, per.groupBy("vector").agg(F.collect_list(F.struct("vec_id", "score")).alias("found")), "found")
+
+    left, need = distinct.join(copies.select("vector").distinct(), "vector", "left_semi"), most
+    per = found = searched(left, need)
+    some = most  # or all ids of a table that has fewer
+    if not found.where(F.size("found") < most).isEmpty():
+        some = vectors.select("vec_id").distinct().limit(most).count()
+    full = F.size("found") >= some
+    # ids that have several vectors count more than once in ``held``: the short ones are searched again, in more lists
+    while need < held.sum() and not (left := left.join(found.where(full), "vector", "left_anti")).isEmpty():
+        need *= 8
+        found = searched(left, need)
+        per = per.where(full).unionByName(found)
     # to the copies of each vector; an id that has several vectors takes its best of all
     per = copies.join(per, "vector").select("query_id", F.inline("found")).where("vec_id != query_id")
     per = per.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))

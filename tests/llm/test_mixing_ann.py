@@ -218,6 +218,16 @@ def test_groups_of_a_part_are_bounded(spark, monkeypatch):
     assert rows.agg(F.max(F.size("ids"))).first()[0] == 21
 
 
+def test_small_lists_are_topped_up(spark, monkeypatch):
+    """The lists nearest to most queries have one row, or rows of one id only."""
+    x = np.random.default_rng(4).normal(size=(400, 8))
+    x[300:] = x[0] + 0.001 * x[300:]
+    monkeypatch.setattr(ann, "fit", lambda v: (ann.CentroidGraph.build(ann.unit(np.c_[x, np.zeros(400)])), float(np.sqrt((x * x).sum(1)).max())))
+    v = [(i if i < 300 else 7, r.tolist()) for i, r in enumerate(x)]
+    got = results(ann.nearest(spark.createDataFrame(v, "vec_id long, embedding array<double>").repartition(4), prune=1.0))
+    assert len(got) == 15 and all(len(near) == 20 and q not in {i for i, _ in near} for q, near in got.items())
+
+
 def test_vectors_that_take_no_part(spark):
     nan, inf = float("nan"), float("inf")
     v = [(0, [1.0, 0.0]), (1, [0.5, 0.5]), (1, [2.0, 0.0]), (2, None), (3, [0.0, 0.0]), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [1.0, None]),
