@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from collectra.llm import ann, bpe, exact_dedup, langid, line_dedup, mixing, quality, simhash, token_counts, toxicity
+from collectra.llm import ann, bpe, exact_dedup, langid, line_dedup, mixing, phrases, quality, simhash, token_counts, toxicity
 from collectra.llm.common import pick, sha256_text, table, texts
 
 
@@ -52,12 +52,40 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.phrases(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_quality, op2_mixing, op3_bpe, op4_language, op5_token_counts, op6_toxicity, op7_neighbours, op8_line_dedup,
-                                   op9_exact_dedup, op10_simhash)}
+                                   op9_exact_dedup, op10_simhash, op11_phrases)}
 
 ORACLE_SQL = {
     "op9_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id IS NOT DISTINCT FROM max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))""",
+    "op11_phrases": r"""
+        WITH words AS (
+            SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+            FROM (SELECT lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                            '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+        grams AS MATERIALIZED (
+            SELECT lang, k, unnest([array_to_string(w[i:i + k - 1], ' ') FOR i IN range(1, len(w) - k + 2)]) AS g
+            FROM words, range(1, 5) AS t(k) WHERE len(w) >= k),
+        f AS MATERIALIZED (SELECT lang, g, any_value(k) AS k, count(*) AS a, string_split(any_value(g), ' ') AS w FROM grams GROUP BY lang, g HAVING count(*) >= 30),
+        total AS (SELECT lang, count(*) AS n FROM grams WHERE k = 1 GROUP BY lang),
+        cuts AS MATERIALIZED (SELECT lang, g, a, j, array_to_string(w[1:j], ' ') AS head, array_to_string(w[j + 1:], ' ') AS tail
+                              FROM f, range(1, 4) AS t(j) WHERE j < k),
+        best AS (
+            SELECT c.lang, c.g, c.a, h.a AS l, r.a AS r, ((2000000 * c.a::HUGEINT) // (h.a + r.a))::BIGINT AS score
+            FROM cuts c JOIN f h ON h.lang = c.lang AND h.g = c.head JOIN f r ON r.lang = c.lang AND r.g = c.tail
+            QUALIFY row_number() OVER (PARTITION BY c.lang, c.g ORDER BY score, j) = 1),
+        inner_ones AS MATERIALIZED (
+            SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS g, max(a) AS most
+            FROM f, range(2, 4) AS s(m), range(1, 4) AS t(i) WHERE k > m AND i + m - 1 <= k GROUP BY ALL)
+        SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, b.a DESC, b.g) AS rank,
+               b.g AS phrase, b.a, l, r, n, score
+        FROM best b JOIN total USING (lang) LEFT JOIN inner_ones o ON o.lang = b.lang AND o.g = b.g
+        WHERE o.most IS NULL OR 100 * o.most::HUGEINT < 80 * b.a::HUGEINT
+        QUALIFY rank <= 2000""",
 }
