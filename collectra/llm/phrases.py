@@ -49,9 +49,10 @@ LEAST = 30
 LONGEST = 4
 COVERED = 80  # percent of a candidate's occurrences that a longer one has to hold
 TOP = 2000
-SLICE = 8 << 20  # bytes of text handled at a time
-HELD = 2 << 20  # fingerprints of one task's summaries
-CAPACITY = 1 << 18  # counters that a hash partition should need
+SLICE = 4 << 20  # bytes of text handled at a time
+HELD = 1 << 20  # fingerprints of one task's summaries
+CAPACITY = 1 << 20  # counters that a hash partition should need
+ROW = 4096  # counters in one row of a summary: keeps what is shuffled and sent to Python in small pieces
 MAX_BITS = 1 << 28  # of the survivors' filter: 32 MB at most
 KEY_BITS = 16  # bits of the filter for each survivor
 
@@ -246,10 +247,11 @@ def survivors(docs: DataFrame, sizes, mass: float, least: int, words: Filter | N
         def flush():
             fps, n = summed(np.concatenate(held), np.concatenate(counts))
             n = np.minimum(n, least)
-            parts, first = np.unique(fps >> np.uint64(64 - part_bits), return_index=True)
+            first = np.unique(fps >> np.uint64(64 - part_bits), return_index=True)[1]
+            first = np.concatenate([np.arange(i, j, ROW) for i, j in zip(first, [*first[1:], len(fps)], strict=True)])
             low = (fps & np.uint64((1 << 64 - part_bits) - 1)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
-            rows = [(int(p), int(n[i:j].sum()), low[i:j].tobytes() + n[i:j].astype(np.uint8 if least < 256 else "<u4").tobytes())
-                    for p, i, j in zip(parts, first, [*first[1:], len(fps)], strict=True)]
+            rows = [(int(fps[i] >> np.uint64(64 - part_bits)), int(n[i:j].sum()), low[i:j].tobytes() + n[i:j].astype(np.uint8 if least < 256 else "<u4").tobytes())
+                    for i, j in zip(first, [*first[1:], len(fps)], strict=True)]
             return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), [pa.int64(), pa.int64(), pa.binary()])], names=["part", "mass", "data"])
 
         for b in batches:
