@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from collectra.llm import ann, bpe, exact_dedup, langid, line_dedup, mixing, phrases, quality, simhash, token_counts, toxicity
+from collectra.llm import ann, bpe, exact_dedup, langid, line_dedup, mixing, phrases, quality, simhash, token_counts, topk, toxicity
 from collectra.llm.common import pick, sha256_text, table, texts
 
 
@@ -56,8 +56,12 @@ def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.phrases(table(spark, sf_dir, "documents"))
 
 
+def op13_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), k=5, every=50)
+
+
 QUERIES = {f.__name__: f for f in (op1_quality, op2_mixing, op3_bpe, op4_language, op5_token_counts, op6_toxicity, op7_neighbours, op8_line_dedup,
-                                   op9_exact_dedup, op10_simhash, op11_phrases)}
+                                   op9_exact_dedup, op10_simhash, op11_phrases, op13_topk)}
 
 ORACLE_SQL = {
     "op9_exact_dedup": """
@@ -88,4 +92,11 @@ ORACLE_SQL = {
         FROM best b JOIN total USING (lang) LEFT JOIN inner_ones o ON o.lang = b.lang AND o.g = b.g
         WHERE o.most IS NULL OR 100 * o.most::HUGEINT < 80 * b.a::HUGEINT
         QUALIFY rank <= 2000""",
+    "op13_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding))
+        SELECT q.vec_id AS query_id, row_number() OVER (PARTITION BY q.vec_id ORDER BY list_dot_product(q.e, c.e) DESC, c.vec_id)::INTEGER AS rank,
+               c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
+        FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0 QUALIFY rank <= 5""",
 }
