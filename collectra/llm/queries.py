@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from collectra.llm import ann, bpe, exact_dedup, langid, line_dedup, mixing, phrases, quality, simhash, token_counts, topk, toxicity
+from collectra.llm import ann, bpe, exact_dedup, langid, line_dedup, merkle, mixing, phrases, quality, simhash, token_counts, topk, toxicity
 from collectra.llm.common import pick, sha256_text, table, texts
+from collectra.llm.merkle_sql import manifest_sql
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,12 +57,16 @@ def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.phrases(table(spark, sf_dir, "documents"))
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents")).drop("source")
+
+
 def op13_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), k=5, every=50)
 
 
 QUERIES = {f.__name__: f for f in (op1_quality, op2_mixing, op3_bpe, op4_language, op5_token_counts, op6_toxicity, op7_neighbours, op8_line_dedup,
-                                   op9_exact_dedup, op10_simhash, op11_phrases, op13_topk)}
+                                   op9_exact_dedup, op10_simhash, op11_phrases, op12_merkle, op13_topk)}
 
 ORACLE_SQL = {
     "op9_exact_dedup": """
@@ -92,6 +97,7 @@ ORACLE_SQL = {
         FROM best b JOIN total USING (lang) LEFT JOIN inner_ones o ON o.lang = b.lang AND o.g = b.g
         WHERE o.most IS NULL OR 100 * o.most::HUGEINT < 80 * b.a::HUGEINT
         QUALIFY rank <= 2000""",
+    "op12_merkle": manifest_sql(),
     "op13_topk": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
