@@ -13,12 +13,13 @@ times or more in the corpus.
    capacity exceeds mass / ``LEAST``, so all that is subtracted together stays
    below ``LEAST`` and a frequent phrase keeps a counter.  A counter that cannot
    reach ``LEAST`` even with all that was subtracted goes.
-2. *Words first.*  A frequent phrase has frequent words only, so single words
-   are summarised first and longer phrases are taken only where each word may be
-   frequent; this is what keeps the mass of the second summary small.
+2. *Shorter ones first.*  A frequent phrase holds frequent phrases only, so words
+   are summarised first, then pairs of words that may be frequent, and so on:
+   phrases of n words are taken only where both of n - 1 words survived.  This
+   keeps the mass of the longer summaries small, at one reading of the texts each.
 3. *Exact counts.*  The texts are read again; phrases that may be survivors are
    counted by their words (not by fingerprints) and summed in Spark.  Survivors
-   are tested in a bit filter of at most ``MAX_BITS`` bits; what passes by
+   are tested in bit filters of at most ``MAX_BITS`` bits; what passes by
    chance, or because more survive than the filter has room for, is counted
    exactly like the rest and falls below ``LEAST``.
 
@@ -49,11 +50,14 @@ LEAST = 30
 LONGEST = 4
 COVERED = 80  # percent of a candidate's occurrences that a longer one has to hold
 TOP = 2000
-SLICE = 4 << 20  # bytes of text handled at a time
+SLICE = 2 << 20  # bytes of text handled at a time
 HELD = 1 << 20  # fingerprints of one task's summaries
 CAPACITY = 1 << 20  # counters that a hash partition should need
 ROW = 4096  # counters in one row of a summary: keeps what is shuffled and sent to Python in small pieces
-MAX_BITS = 1 << 28  # of the survivors' filter: 32 MB at most
+PARTS = 6  # bits of a fingerprint that name its hash partition, at least
+KEPT = 5  # bytes of a fingerprint beside them
+DROPPED = 64 - PARTS - 8 * KEPT  # low bits that no summary holds, at most
+MAX_BITS = 1 << 27  # of the filter of the survivors of one length: 16 MB at most
 KEY_BITS = 16  # bits of the filter for each survivor
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -103,18 +107,25 @@ class Words:
         salt = np.fromiter((xxhash.xxh64_intdigest(x, 1) for x in langs), dtype=np.uint64, count=len(langs))
         self.fp = mixed(plain[ids] ^ salt[self.lang]) if self.n else np.zeros(0, np.uint64)
 
-    def phrases(self, sizes, wanted=None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(words, positions, fingerprints) of the phrases of each of ``sizes``; ``wanted``: words that they may hold."""
+    def phrases(self, sizes, filters=()) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(words, positions, fingerprints) of the phrases of each of ``sizes``.
+
+        ``filters``: of the phrases of 1, 2, ... words that may be frequent; a
+        phrase is taken only if its filter has it and the two of one word less
+        that it holds were taken.
+        """
         fp, at = self.fp, np.arange(self.n)
-        if wanted is not None:
-            at = at[wanted]
-            fp = fp[wanted]
         for n in range(1, max(sizes) + 1):
             if n > 1:
-                ok = at + n - 1 < self.n
-                ok[ok] = self.linked[at[ok] + n - 2] & (True if wanted is None else wanted[at[ok] + n - 1])
+                taken = np.zeros(self.n + 1, dtype=bool)
+                taken[at] = True
+                ok = taken[at + 1]  # its words after the first
+                ok[ok] = self.linked[at[ok] + n - 2]
                 at = at[ok]
                 fp = mixed(fp[ok] * np.uint64(0x9E3779B97F4A7C15) + self.fp[at + n - 1])
+            if n <= len(filters):
+                ok = filters[n - 1](fp)
+                at, fp = at[ok], fp[ok]
             if n in sizes:
                 yield n, at, fp
 
@@ -167,13 +178,13 @@ class Filter:
 
     @staticmethod
     def places(fp, bits: int):
-        """Column expressions of the two bits of a fingerprint."""
-        return F.array(F.col(fp).bitwiseAND(F.lit(bits - 1)), F.shiftrightunsigned(fp, 32).bitwiseAND(F.lit(bits - 1)))
+        """Column expressions of the two bits of a fingerprint, from those bits of it that summaries keep."""
+        top = 64 - int(math.log2(bits))
+        return F.array(F.shiftrightunsigned(fp, top), F.shiftrightunsigned(fp, DROPPED).bitwiseAND(F.lit(bits - 1)))
 
     def __call__(self, fps: np.ndarray) -> np.ndarray:
-        low = np.uint64(self.bits - 1)
         out = np.ones(len(fps), dtype=bool)
-        for p in (fps & low, fps >> np.uint64(32) & low):
+        for p in (fps >> np.uint64(64 - int(math.log2(self.bits))), fps >> np.uint64(DROPPED) & np.uint64(self.bits - 1)):
             out &= self.packed[p >> np.uint64(3)] >> (p & np.uint64(7)).astype(np.uint8) & 1 == 1
         return out
 
@@ -230,34 +241,38 @@ class Summary:
         return self.fps[self.counts + self.lost >= least]
 
 
-def survivors(docs: DataFrame, sizes, mass: float, least: int, words: Filter | None = None) -> DataFrame:
+def survivors(docs: DataFrame, sizes, mass: float, least: int, filters=()) -> DataFrame:
     """(fp): fingerprints of all phrases of ``sizes`` words that occur ``least`` times, and few others.
 
     ``mass``: about how many occurrences there are (it sets the number of hash
-    partitions); ``words``: a filter of the words that phrases may hold.
+    partitions); ``filters``: of the shorter phrases that may be frequent.
     """
     spark = docs.sparkSession
-    part_bits = max(6, math.ceil(math.log2(max(1, mass / least / CAPACITY))))
-    sent = spark.sparkContext.broadcast(words)
-    width = -(-(64 - part_bits) // 8)
+    part_bits = max(PARTS, math.ceil(math.log2(max(1, mass / least / CAPACITY))))
+    # a summary holds the next KEPT bits of a fingerprint: phrases that share them count together, which loses none
+    low_bits = 64 - part_bits - 8 * KEPT
+    sent = spark.sparkContext.broadcast(filters)
+    count_type = np.dtype(np.uint8 if least < 256 else "<u4")
 
     def build(batches):
         held, counts, size = [], [], 0
 
         def flush():
-            fps, n = summed(np.concatenate(held), np.concatenate(counts))
+            """A row of the mass of each hash partition, which sorts first, and rows of its counters."""
+            fps, n = summed(np.concatenate(held) >> np.uint64(low_bits), np.concatenate(counts))
             n = np.minimum(n, least)
-            first = np.unique(fps >> np.uint64(64 - part_bits), return_index=True)[1]
-            first = np.concatenate([np.arange(i, j, ROW) for i, j in zip(first, [*first[1:], len(fps)], strict=True)])
-            low = (fps & np.uint64((1 << 64 - part_bits) - 1)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
-            rows = [(int(fps[i] >> np.uint64(64 - part_bits)), int(n[i:j].sum()), low[i:j].tobytes() + n[i:j].astype(np.uint8 if least < 256 else "<u4").tobytes())
-                    for i, j in zip(first, [*first[1:], len(fps)], strict=True)]
+            first = np.unique(fps >> np.uint64(8 * KEPT), return_index=True)[1]
+            low = fps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEPT]
+            rows = []
+            for i, j in zip(first, [*first[1:], len(fps)], strict=True):
+                part = int(fps[i] >> np.uint64(8 * KEPT))
+                rows.append((part, int(n[i:j].sum()), None))
+                rows += [(part, None, low[k:min(j, k + ROW)].tobytes() + n[k:min(j, k + ROW)].astype(count_type).tobytes()) for k in range(i, j, ROW)]
             return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), [pa.int64(), pa.int64(), pa.binary()])], names=["part", "mass", "data"])
 
         for b in batches:
             for w in slices(b):
-                wanted = None if sent.value is None else sent.value(w.fp)
-                for _, _, fps in w.phrases(sizes, wanted):
+                for _, _, fps in w.phrases(sizes, sent.value):
                     if len(fps):
                         fps, n = np.unique(fps, return_counts=True)
                         held.append(fps)
@@ -273,45 +288,44 @@ def survivors(docs: DataFrame, sizes, mass: float, least: int, words: Filter | N
             yield flush()
 
     def merge(batches):
-        """Rows come sorted by hash partition: its summaries are merged, then let go."""
-        now, held = None, None
+        """Rows come sorted by hash partition, masses first: its summaries are merged, then let go."""
+        now, total, held = None, 0, None
         for b in batches:
-            for part, total, data in zip(*[b.column(i).to_pylist() for i in range(3)], strict=True):
+            for part, mass, data in zip(*[b.column(i).to_pylist() for i in range(3)], strict=True):
                 if part != now:
                     if held is not None:
                         yield done(now, held)
-                    now, held = part, Summary(total // least + 1)
-                count_type = np.uint8 if least < 256 else np.dtype("<u4")
-                n = len(data) // (width + np.dtype(count_type).itemsize)
+                    now, total, held = part, 0, None
+                if data is None:
+                    total += mass
+                    continue
+                held = held or Summary(total // least + 1)
+                n = len(data) // (KEPT + count_type.itemsize)
                 fps = np.zeros((n, 8), np.uint8)
-                fps[:, :width] = np.frombuffer(data, np.uint8, n * width).reshape(n, width)
-                held.add(fps.view("<u8").ravel(), np.frombuffer(data, count_type, n, n * width).astype(np.int64))
+                fps[:, :KEPT] = np.frombuffer(data, np.uint8, n * KEPT).reshape(n, KEPT)
+                held.add(fps.view("<u8").ravel(), np.frombuffer(data, count_type, n, n * KEPT).astype(np.int64))
         if held is not None:
             yield done(now, held)
 
     def done(part, held):
-        fps = held.may_reach(least) | np.uint64(part << 64 - part_bits)
+        fps = (held.may_reach(least) | np.uint64(part << 8 * KEPT)) << np.uint64(low_bits)
         return pa.record_batch([pa.array(fps.view(np.int64))], names=["fp"])
 
-    made = written(spark, docs.select("text", "lang").mapInArrow(build, "part long, mass long, data binary"), "summaries")
-    total = made.groupBy("part").agg(F.sum("mass").alias("total"))
-    rows = made.join(total, "part").select("part", "total", "data")
-    return written(spark, rows.repartition("part").sortWithinPartitions("part").mapInArrow(merge, "fp long"), "survivors")
+    rows = docs.select("text", "lang").mapInArrow(build, "part long, mass long, data binary")
+    rows = rows.repartition("part").sortWithinPartitions("part", F.col("mass").desc_nulls_last())
+    return written(spark, rows.mapInArrow(merge, "fp long"), "survivors")
 
 
-def exact_counts(docs: DataFrame, found: Filter, words: Filter, least: int) -> DataFrame:
+def exact_counts(docs: DataFrame, filters: list[Filter], least: int) -> DataFrame:
     """(lang, phrase, n) of the frequent phrases of 1 to ``LONGEST`` words; phrase null: all words of the language."""
-    sent = docs.sparkSession.sparkContext.broadcast((found, words))
+    sent = docs.sparkSession.sparkContext.broadcast(filters)
 
     def count(batches):
-        found, words = sent.value
         for b in batches:
             for w in slices(b):
-                rows = []
-                wanted = words(w.fp)
-                for n, at, fps in w.phrases(range(1, LONGEST + 1), wanted):
-                    rows += w.counted(n, at if n == 1 else at[found(fps)])
-                rows += [(w.langs[i], None, n) for i, n in enumerate(np.bincount(w.lang, minlength=len(w.langs)).tolist()) if n]
+                rows = [(w.langs[i], None, n) for i, n in enumerate(np.bincount(w.lang, minlength=len(w.langs)).tolist()) if n]
+                for n, at, _ in w.phrases(range(1, LONGEST + 1), sent.value):
+                    rows += w.counted(n, at)
                 if rows:
                     lang, phrase, n = zip(*rows)
                     yield pa.record_batch([pa.array(lang, pa.string()), pa.array(phrase, pa.string()), pa.array(n, pa.int64())], names=["lang", "phrase", "n"])
@@ -325,10 +339,11 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, Da
     spark = docs.sparkSession
     ship(spark)
     d = texts(docs, "lang").withColumn("lang", F.coalesce(F.col("lang").cast("string"), F.lit("und")))
-    size = (d.agg(F.sum(F.octet_length("text"))).first()[0] or 0) / 6
-    words = Filter.of(survivors(d, [1], size, least))
-    longer = Filter.of(survivors(d, range(2, LONGEST + 1), size * (LONGEST - 1), least, words))
-    counts = written(spark, exact_counts(d, longer, words, least), "phrases")
+    words = (d.agg(F.sum(F.octet_length("text"))).first()[0] or 0) / 6
+    filters: list[Filter] = []
+    for n in range(1, LONGEST + 1):
+        filters.append(Filter.of(survivors(d, [n], words, least, list(filters))))
+    counts = written(spark, exact_counts(d, filters, least), "phrases")
     some = counts.where(F.col("phrase").isNotNull()).select("lang", "phrase", F.split("phrase", " ").alias("words"), F.col("n").alias("f"))
     return some, counts.where(F.col("phrase").isNull()).select("lang", "n")
 
