@@ -22,8 +22,8 @@ def _numeric(df: DataFrame) -> DataFrame:
     return df.withColumns(out) if out else df
 
 
-def attribute_centers(df: DataFrame, centers=ALL_CENTERS) -> DataFrame:
-    """Single pass over the portfolio instead of two filtered scans + union.
+def attributed_flags(df: DataFrame, centers=ALL_CENTERS) -> DataFrame:
+    """Every loan with its branch (``_branch``: Z, A or null), and the centre, agent and goal it gives.
 
     Branch Z: own zone is a centre and the loan is up to date -> the zone,
     its collector and the general goal.  Branch A: otherwise, a support
@@ -33,16 +33,22 @@ def attribute_centers(df: DataFrame, centers=ALL_CENTERS) -> DataFrame:
     df = _numeric(df)
     zone = q("Zona").isin(*centers) & (q("Franja_Meta") == "AL DIA")
     support = q("Call_Center_Apoyo").isin(*centers)
-    branch = F.when(zone, F.lit("Z")).when(support & ~zone, F.lit("A"))
-    df = df.withColumn("_branch", branch).where(F.col("_branch").isNotNull())
+    df = df.withColumn("_branch", F.when(zone, F.lit("Z")).when(support & ~zone, F.lit("A")))
     is_z = F.col("_branch") == "Z"
     return df.withColumns({
-        "CALL_CENTER_FILTRO": F.when(is_z, q("Zona")).otherwise(q("Call_Center_Apoyo")),
+        "_center": F.when(is_z, q("Zona")).otherwise(q("Call_Center_Apoyo")),
         "_agent": F.when(is_z, q("Cobrador")).otherwise(q("Nombre_Call_Center")),
         "_goal": F.when(is_z, q("Meta_General")).otherwise(q("Meta_$")),
     })
 
 
+def attribute_centers(df: DataFrame, centers=ALL_CENTERS) -> DataFrame:
+    """Loans of either branch: a single pass over the portfolio instead of two
+    filtered scans + union."""
+    df = attributed_flags(df, centers).where(F.col("_branch").isNotNull())
+    return df.withColumn("CALL_CENTER_FILTRO", F.col("_center")).drop("_center")
+
+
 def unified_base(attributed: DataFrame) -> DataFrame:
     return attributed.select(
         q("CALL_CENTER_FILTRO").alias("CALL_CENTER_ID"), F.col("_agent").alias("NOMBRE_AGENTE"),
@@ -52,19 +58,16 @@ def unified_base(attributed: DataFrame) -> DataFrame:
 def latest_contact(contacts: DataFrame, order_col: str = "seq") -> DataFrame:
     """Last contact per client by an explicit order key (row order on landing).
 
-    The largest key per client is a hash aggregate (a client holding a large
-    share of the log sends one row per task); the rows that hold it join back.
-    A log without the key has no order: the latest date, then the largest values.
+    One hash aggregate: the largest (key, date, type, note) per client, so a
+    client holding a large share of the log sends one row per task, and rows
+    that repeat a key are told apart by their values, never by their partition.
+    A log without the key goes by date, then by the largest values.
     """
     cols = [c for c in ["Tipo_Novedad", "Novedad"] if c in contacts.columns]
-    log = contacts.where(q("Cedula_Cliente").isNotNull())
-    if order_col in contacts.columns:
-        log = log.select("Cedula_Cliente", q(order_col).alias("_k"), *[q(c) for c in cols])
-        last = log.groupBy("Cedula_Cliente").agg(F.max("_k").alias("_k"))
-        return log.join(last, ["Cedula_Cliente", "_k"], "left_semi").drop("_k").dropDuplicates(["Cedula_Cliente"])
-    key = F.struct(*[q(c) for c in ["Fecha_Novedad"] + cols if c in contacts.columns])
-    return (log.groupBy("Cedula_Cliente").agg(F.max_by(F.struct(*[q(c) for c in cols]), key).alias("_last"))
-            .select("Cedula_Cliente", *[F.col(f"_last.{c}").alias(c) for c in cols]))
+    order = [c for c in [order_col, "Fecha_Novedad", *cols] if c in contacts.columns]
+    last = F.max(F.struct(*[q(c).alias(f"k{i}") for i, c in enumerate(order)])).alias("last")
+    return (contacts.where(q("Cedula_Cliente").isNotNull()).groupBy("Cedula_Cliente").agg(last)
+            .select("Cedula_Cliente", *[F.col(f"last.k{order.index(c)}").alias(c) for c in cols]))
 
 
 def join_latest_contact(detail: DataFrame, contacts: DataFrame, order_col: str = "seq") -> DataFrame:

@@ -46,12 +46,15 @@ def call_threshold(scoped: DataFrame, per_center: int = CALL_THRESHOLD_PER_CENTE
     return scoped.agg((F.countDistinct("Call_Center_Limpio") * per_center).alias("alerta_umbral"))
 
 
-def calls_by_day(scoped: DataFrame) -> DataFrame:
+def call_day(scoped: DataFrame):
+    """The date of a call (a column), typed or landed as text."""
     col = next((c for c in scoped.columns if c.strip() == "Fecha_Llamada"), None)
     d = q(col)
-    dtype = dict(scoped.dtypes)[col]
-    fecha = d if dtype == "date" else F.coalesce(d.try_cast("date"), F.try_to_date(d.cast("string"), "yyyy-MM-dd"))
-    return (scoped.withColumn("Fecha", fecha).where(F.col("Fecha").isNotNull())
+    return d if dict(scoped.dtypes)[col] == "date" else F.coalesce(d.try_cast("date"), F.try_to_date(d.cast("string"), "yyyy-MM-dd"))
+
+
+def calls_by_day(scoped: DataFrame) -> DataFrame:
+    return (scoped.withColumn("Fecha", call_day(scoped)).where(F.col("Fecha").isNotNull())
             .withColumn("Estado_Respuesta", F.when(_answered(), F.lit("CON RESPUESTA")).otherwise(F.lit("SIN RESPUESTA")))
             .groupBy("Fecha", "Estado_Respuesta").agg(F.count(F.lit(1)).alias("Total_Llamadas"))
             .withColumn("Fecha", F.date_format("Fecha", "yyyy-MM-dd")))

@@ -87,34 +87,50 @@ def msg_payer_match(msgs: DataFrame, contacts: DataFrame, portfolio: DataFrame)
             .join(paying_clients(portfolio), "Cedula_Cliente"))
 
 
-def _conv_per_phone(msgs: DataFrame) -> DataFrame:
-    return conversations(msgs).groupBy("Tel_Norm").agg(F.count(F.lit(1)).alias("n"))
+def paying_phones(contacts: DataFrame) -> DataFrame:
+    """(Tel, payers): every phone of the contact log and how many of its clients pay.
+
+    ``contacts`` carry their client's ``pays``; one pass over both phone columns.
+    """
+    cols = [c for c in ["Telefono_Cliente", "Celular_Cliente"] if c in contacts.columns]
+    arr = F.array(*[normalize_phone(q(c)) for c in cols])
+    pairs = (contacts.select(F.explode(arr).alias("Tel"), q("Cedula_Cliente").cast("string").alias("Cedula_Cliente"), "pays")
+             .where(F.col("Tel").isNotNull() & (F.col("Tel") != "")).distinct())
+    return pairs.groupBy("Tel").agg(F.count_if(F.col("pays") & q("Cedula_Cliente").isNotNull()).alias("payers"))
+
+
+def with_payers(contacts: DataFrame, portfolio: DataFrame) -> DataFrame:
+    """Phones, clients and ``pays`` of the contact log: does the client have a paid loan?"""
+    cols = [c for c in ["Telefono_Cliente", "Celular_Cliente"] if c in contacts.columns]
+    # (phones, client) once each before the join: the log repeats them
+    log = contacts.select(q("Cedula_Cliente").cast("string").alias("Cedula_Cliente"), *[q(c) for c in cols]).distinct()
+    return log.join(paying_clients(portfolio).withColumn("pays", F.lit(True)), "Cedula_Cliente", "left") \
+        .withColumn("pays", F.coalesce("pays", F.lit(False)))
+
+
+def funnel_stages(msgs: DataFrame, phones: DataFrame) -> DataFrame:
+    """The four stages, from one pass over the messages and one join by phone.
+
+    Messages are reduced to one row per phone (those that are no conversation
+    to one row without a phone), so a hot phone is a single row."""
+    m = with_conversation_flag(valid_center_messages(msgs))
+    per_phone = m.groupBy(F.when(q("Es_Conversacion"), normalize_phone(q("Numero_Telefono"))).alias("Tel_Norm")).agg(
+        F.count(F.lit(1)).alias("a"), F.count_if(q("Es_Conversacion")).alias("b"))
+    met = per_phone.join(phones, per_phone.Tel_Norm == phones.Tel, "left")
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    s = met.agg(total("a").alias("a"), total("b").alias("b"), total(F.when(F.col("Tel").isNotNull(), F.col("b"))).alias("c"),
+                total(F.col("b") * F.col("payers")).alias("d"))
+    return s.select(F.expr("stack(4, 0, 'Mensajes Entregados', a, 1, 'Conversaciones', b, 2, 'Gestión en Sistema', c, "
+                           "3, 'Clientes con Pago', d) AS (stage, name, value)"))
 
 
 def msg_funnel(msgs: DataFrame, contacts: DataFrame, portfolio: DataFrame) -> DataFrame:
     """Delivered -> conversations -> matched in system -> with payment."""
-    m = with_conversation_flag(valid_center_messages(msgs))
-    s12 = m.agg(F.count(F.lit(1)).alias("a"), F.count_if(q("Es_Conversacion")).alias("b")).select(
-        F.expr("stack(2, 0, 'Mensajes Entregados', a, 1, 'Conversaciones', b) AS (stage, name, value)"))
-    # conversations per phone and (phone, client) pairs are shuffled once each
-    # and feed both stages
-    per_phone = _conv_per_phone(msgs)
-    pairs = _phone_pairs(contacts)
-    hit = per_phone.join(pairs, per_phone.Tel_Norm == pairs.Tel, "left_semi")
-    s3 = hit.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("value")).select(
-        F.lit(2).alias("stage"), F.lit("Gestión en Sistema").alias("name"), "value")
-    pay = (per_phone.join(pairs, per_phone.Tel_Norm == pairs.Tel)
-           .join(paying_clients(portfolio), "Cedula_Cliente"))
-    s4 = pay.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("value"),
-                 F.countDistinct("Cedula_Cliente").alias("clients")).select(
-        F.lit(3).alias("stage"), F.lit("Clientes con Pago").alias("name"), "value")
-    return s12.unionByName(s3).unionByName(s4).select(
-        F.col("stage").cast("int").alias("stage"), "name", F.col("value").cast("long").alias("value"))
+    return funnel_stages(msgs, paying_phones(with_payers(contacts, portfolio)))
 
 
 def paying_client_count(msgs: DataFrame, contacts: DataFrame, portfolio: DataFrame) -> DataFrame:
     """Distinct paying clients reached (the funnel's last stage counts rows)."""
-    hit = msg_phone_match(msgs, contacts).select("Tel_Norm").distinct()
-    pc = phone_clients(contacts)
-    return (hit.join(pc, hit.Tel_Norm == pc.Tel).join(paying_clients(portfolio), "Cedula_Cliente")
-            .agg(F.countDistinct("Cedula_Cliente").alias("clientes_con_pago")))
+    pairs = phone_clients(contacts).join(paying_clients(portfolio), "Cedula_Cliente", "left_semi")
+    hit = conversations(msgs).select("Tel_Norm").distinct()
+    return pairs.join(hit, pairs.Tel == hit.Tel_Norm, "left_semi").agg(F.countDistinct("Cedula_Cliente").alias("clientes_con_pago"))

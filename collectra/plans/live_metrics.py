@@ -5,19 +5,31 @@ The centre filter is the detail's ``CALL_CENTER_FILTRO``, which carries the
 management rule.  A filter that matches nothing gives the metrics of nothing;
 ``parity=True`` keeps the source system's reading, where an empty scope turns
 the contact and call filters off.
+
+A click reads each input at most twice.  The scoped detail is exploded once
+into (metric table, key, detail) rows that one aggregate counts, and reduced
+once to its clients with their payment flag; calls, contacts and messages are
+aggregated once to their finest groups, from which their tables follow.  The
+fuzzy match is not run: its scores do not depend on the filter, so the best
+agents per (user, centre) are stored with the job
+(:func:`collectra.operators.callcenter.fuzzy.center_candidates`) and a click
+chooses among the centres in force.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from collectra.functions.agg import guarded_ratio, money_sum
 from collectra.functions.columns import q
+from collectra.functions.states import promise_state
 from collectra.operators import search
 from collectra.operators.callcenter import base, calls as cl, contacts as ct, fuzzy, messaging as ms
-from collectra.schemas import LIVE_FACETS
+from collectra.schemas import CALL_THRESHOLD_PER_CENTER, CON_GESTION, FRONT_FACETS, LIVE_FACETS, SIN_GESTION
 from collectra.session import fresh_path
 from collectra.sources.store import resolve_dataset
 
@@ -28,20 +40,26 @@ def _prefilter(pf: DataFrame, req: search.SearchRequest) -> DataFrame:
     return pf.where(search._and(preds) & search.contacted_predicate(pf, req.novedades))
 
 
-def _validity(f: DataFrame, req: search.SearchRequest):
-    if req.vigencia and "Estado_Vigencia" in f.columns:
-        return q("Estado_Vigencia").isin(*req.vigencia)
-    return None
+def _with_validity(f: DataFrame, req: search.SearchRequest, portfolio: DataFrame | None) -> DataFrame | None:
+    """Rows that hold the chosen validity states: of ``f``, or of the job's portfolio where ``f`` has none."""
+    if not req.vigencia:
+        return None
+    if "Estado_Vigencia" not in f.columns:
+        if portfolio is None:
+            raise ValueError("a validity filter needs Estado_Vigencia in the detail, or the portfolio that holds the states")
+        f = portfolio
+    return f.where(q("Estado_Vigencia").isin(*req.vigencia) & q("Cedula_Cliente").isNotNull())
 
 
-def filter_portfolio(pf: DataFrame, req: search.SearchRequest) -> DataFrame:
+def filter_portfolio(pf: DataFrame, req: search.SearchRequest, portfolio: DataFrame | None = None) -> DataFrame:
     """Facets, roll rate, contacted flag and validity (clients of the
-    already-filtered portfolio with the chosen states, via a semi join)."""
+    already-filtered portfolio with the chosen states, via a semi join).
+
+    ``portfolio``: where the states are, if the detail has no such column."""
     f = _prefilter(pf, req)
-    state = _validity(f, req)
-    if state is not None:
-        keep = f.where(state).select("Cedula_Cliente")
-        f = f.join(keep.distinct(), "Cedula_Cliente", "left_semi")
+    keep = _with_validity(f, req, portfolio)
+    if keep is not None:
+        f = f.join(keep.select("Cedula_Cliente").distinct(), "Cedula_Cliente", "left_semi")
     return f
 
 
@@ -50,19 +68,19 @@ def scope_is_empty(scope: DataFrame) -> bool:
     return scope.limit(1).count() == 0
 
 
-def portfolio_scope_is_empty(pf: DataFrame, req: search.SearchRequest) -> bool:
-    """Whether :func:`filter_portfolio` is empty, without its semi join.
+def portfolio_scope_is_empty(pf: DataFrame, req: search.SearchRequest, portfolio: DataFrame | None = None) -> bool:
+    """Whether :func:`filter_portfolio` is empty, without its semi join where the states are in the detail.
 
     A pre-filtered row with a chosen validity state keeps its own client in
     the key set, so it survives the semi join: the scope is empty exactly
     when no such row exists.  The probe is a filtered scan that stops at the
     first hit instead of a job that must finish the join's shuffles.
     """
+    if req.vigencia and "Estado_Vigencia" not in pf.columns:
+        return scope_is_empty(filter_portfolio(pf, req, portfolio))
     f = _prefilter(pf, req)
-    state = _validity(f, req)
-    if state is not None:
-        f = f.where(state & q("Cedula_Cliente").isNotNull())
-    return scope_is_empty(f)
+    keep = _with_validity(f, req, portfolio)
+    return scope_is_empty(f if keep is None else keep)
 
 
 def restrict_contacts(contacts: DataFrame, scope: DataFrame) -> DataFrame:
@@ -79,41 +97,148 @@ def restrict_calls(calls: DataFrame, centers) -> DataFrame:
     return calls.where(q(col).isin(*centers))
 
 
-def _rows(section: str, df: DataFrame, values, key: str | None = None, detail: str | None = None) -> DataFrame:
-    """(seccion, clave, detalle, metric, value) rows of a metric table."""
-    args = ", ".join(f"'{v}', CAST(`{v}` AS DOUBLE)" for v in values)
-    text = lambda c: q(c).cast("string") if c else F.lit(None).cast("string")
-    return df.select(F.lit(section).alias("seccion"), text(key).alias("clave"), text(detail).alias("detalle"),
-                     F.expr(f"stack({len(values)}, {args}) AS (metric, value)"))
+def _long(df: DataFrame, rows: list[tuple[Column, str, Column | None, Column | None, dict]], *more: str) -> DataFrame:
+    """(seccion, clave, detalle, metric, value): for each row of ``df`` the entries whose condition holds.
+
+    ``rows``: (condition, section, key, detail, {metric: value}).
+    """
+    none = F.lit(None).cast("string")
+    each = [F.when(F.coalesce(cond, F.lit(False)), F.struct(F.lit(section).alias("seccion"), (none if k is None else k.cast("string")).alias("clave"),
+                                (none if d is None else d.cast("string")).alias("detalle"), F.lit(m).alias("metric"), v.cast("double").alias("value")))
+            for cond, section, k, d, values in rows for m, v in values.items()]
+    return df.select(F.explode(F.array_compact(F.array(*each))).alias("r")).select("r.*")
+
+
+def _grouped(df: DataFrame, groups: dict[str, tuple[Column | None, Column | None]], where: dict[str, Column], *aggs: Column) -> DataFrame:
+    """Aggregates of ``df`` in several groupings at once: (kind, k1, k2, aggregates).
+
+    ``groups``: kind -> its two keys; ``where``: rows that count for a kind (all,
+    if not named).  Rows are multiplied inside the task and counted there first.
+    """
+    none = F.lit(None).cast("string")
+    each = [F.struct(F.lit(kind).alias("kind"), (none if a is None else a.cast("string")).alias("k1"), (none if b is None else b.cast("string")).alias("k2"))
+            for kind, (a, b) in groups.items()]
+    each = [F.when(F.coalesce(where[kind], F.lit(False)), e) if kind in where else e for kind, e in zip(groups, each, strict=True)]
+    return df.withColumn("g", F.explode(F.array_compact(F.array(*each)))).groupBy("g.kind", "g.k1", "g.k2").agg(*aggs)
+
+
+def _one(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """``df`` and a row that counts nothing, so that totals of an empty input are there."""
+    return df.withColumn("real", F.lit(1)).unionByName(spark.range(1).select(F.lit(0).alias("real")), allowMissingColumns=True)
+
+
+def detail_metrics(scope: DataFrame) -> DataFrame:
+    """Goal, attainment, roll rate and facet values of the scoped detail, in one pass."""
+    facets = {name: c for name, c in FRONT_FACETS if c in scope.columns}
+    att = base.attributed_flags(base.callcenter_enrich(scope)).select(
+        F.col("_branch").isNotNull().alias("in_base"), q("CALL_CENTER_FILTRO").alias("own"), F.col("_center").alias("center"), F.col("_agent").alias("agent"),
+        F.col("_goal").alias("goal"), q("Recaudo_Meta").alias("paid"), q("Rodamiento").alias("roll"),
+        *[q(c).cast("string").alias(f"f_{name}") for name, c in facets.items()])
+    d = _one(scope.sparkSession, att)
+    real = F.col("real") == 1
+    groups = {"meta": (None, None), "cumplimiento": (F.col("center"), F.col("agent")), "rodamiento": (F.col("roll"), None)}
+    where = {k: F.col("in_base") for k in groups if k != "meta"}
+    groups |= {f"f_{n}": (F.col(f"f_{n}"), None) for n in facets}
+    where |= {f"f_{n}": real for n in facets}
+    inside = lambda c: F.when(F.col("in_base"), F.col(c))
+    g = _grouped(d, groups, where, F.count_if(F.col("in_base")).alias("n"), money_sum(inside("goal")).alias("goal"), money_sum(inside("paid")).alias("paid"))
+    kind = lambda k: F.col("kind") == k
+    short = (F.col("goal").cast("decimal(24,3)") - F.col("paid").cast("decimal(24,3)")).cast("double")
+    out = _long(g, [
+        (kind("meta"), "meta", None, None, {"total_cuentas": F.col("n"), "total_meta": F.col("goal")}),
+        (kind("cumplimiento"), "cumplimiento", F.col("k1"), F.col("k2"),
+         {"META_$": F.col("goal"), "Recaudo_Meta": F.col("paid"), "Faltante": short, "Cumplimiento": guarded_ratio(F.col("paid"), F.col("goal"))}),
+        (kind("rodamiento"), "rodamiento", F.col("k1"), None, {"count": F.col("n")}),
+        (F.col("kind").startswith("f_"), "filtros", F.substring("kind", 3, 100), F.col("k1"), {"n": F.lit(1)}),
+    ])
+    fixed = [("filtros", "estados_gestion", s, "n", 1.0) for s in (CON_GESTION, SIN_GESTION)]
+    return out.unionByName(scope.sparkSession.createDataFrame(fixed, out.schema))
+
+
+def call_metrics(scoped: DataFrame) -> DataFrame:
+    """Totals, effectiveness, threshold and daily calls of the scoped calls, in one pass."""
+    day = cl.call_day(scoped)
+    fine = scoped.groupBy(q("Call_Center_Limpio").alias("center"), F.date_format(day, "yyyy-MM-dd").alias("day"),
+                          F.coalesce(q("Estado_Llamada") == "ANSWERED", F.lit(False)).alias("answered")).agg(F.count(F.lit(1)).alias("n"))
+    d = _one(scoped.sparkSession, fine)
+    answer = F.when(F.col("answered"), F.lit("CON RESPUESTA")).otherwise(F.lit("SIN RESPUESTA"))
+    real = F.col("real") == 1
+    g = _grouped(d, {"all": (None, None), "center": (F.col("center"), None), "day": (F.col("day"), answer)},
+                 {"center": real, "day": real & F.col("day").isNotNull()},
+                 F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum(F.when(F.col("answered"), F.col("n"))), F.lit(0)).alias("yes"),
+                 F.countDistinct("center").alias("centers"))
+    kind = lambda k: F.col("kind") == k
+    n, yes = F.col("n"), F.col("yes")
+    return _long(g, [
+        (kind("all"), "llamadas", None, None, {"total_llamadas": n, "con_respuesta": yes, "sin_respuesta": n - yes}),
+        (kind("all"), "umbral", None, None, {"alerta_umbral": F.col("centers") * CALL_THRESHOLD_PER_CENTER}),
+        (kind("center"), "efectividad", F.col("k1"), None, {"Total_Intentos": n, "Con_Respuesta": yes, "Efectividad": F.when(n > 0, yes / n)}),
+        (kind("day"), "por_dia", F.col("k1"), F.col("k2"), {"Total_Llamadas": n}),
+    ])
+
+
+def contact_metrics(att: DataFrame, promises_as_of) -> DataFrame:
+    """KPIs, contacts per centre and type, promises per centre of the attributed contacts, in one pass."""
+    is_date = dict(att.dtypes).get("Fecha_Compromiso") == "date"
+    promise = F.upper(q("Tipo_Novedad").cast("string")).contains("COMPROMISO")
+    state = F.when(promise, promise_state(q("Fecha_Compromiso"), promises_as_of, is_date=is_date))
+    fine = att.groupBy(q("Call_Center").alias("center"), q("Tipo_Novedad").alias("kind_of"), state.alias("state")).agg(F.count(F.lit(1)).alias("n"))
+    fine = fine.withColumn("of_kind", F.sum("n").over(Window.partitionBy("kind_of")))
+    known = F.col("center") != ct.UNASSIGNED
+    d = _one(att.sparkSession, fine)
+    g = _grouped(d, {"all": (None, None), "center": (F.col("center"), None), "type": (F.col("center"), F.col("kind_of")), "promise": (F.col("center"), F.col("state"))},
+                 {"center": known, "type": known, "promise": known & F.col("state").isNotNull()},
+                 F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum(F.when(~known, F.col("n"))), F.lit(0)).alias("unknown"),
+                 F.min_by("kind_of", F.when(F.col("real") == 1, F.struct((-F.col("of_kind")).alias("c"), F.col("kind_of").alias("t")))).alias("top"))
+    kind = lambda k: F.col("kind") == k
+    count = {"Cantidad": F.col("n")}
+    return _long(g, [
+        (kind("all"), "kpis", F.coalesce("top", F.lit("N/A")), None, {"total": F.col("n"), "sin_asignar": F.col("unknown")}),
+        (kind("center"), "novedades_cc", F.col("k1"), None, count),
+        (kind("type"), "novedades_tipo", F.col("k1"), F.col("k2"), count),
+        (kind("promise"), "compromisos", F.col("k1"), F.col("k2"), count),
+    ])
+
+
+def message_metrics(messages: DataFrame, contacts: DataFrame) -> DataFrame:
+    """Effectiveness per centre, and the funnel over the restricted contacts (with their clients' ``pays``)."""
+    eff = ms.msg_effectiveness(messages)
+    funnel = ms.funnel_stages(messages, ms.paying_phones(contacts))
+    yes = F.lit(True)
+    return _long(eff, [(yes, "mensajeria", F.col("name"), None, {c: F.col(c) for c in ("entregados", "conversaciones", "porcentaje")})]) \
+        .unionByName(_long(funnel, [(yes, "funnel", F.col("name"), None, {"value": F.col("value")})]))
 
 
 def live_cc_metrics(detail: DataFrame, contacts: DataFrame, calls: DataFrame, messages: DataFrame,
-                    req: search.SearchRequest, promises_as_of, parity: bool = False) -> DataFrame:
-    """Every call-centre metric of the filtered detail, in long form."""
-    scope = filter_portfolio(detail, req)
-    nov, cal = contacts, calls
-    if not (parity and portfolio_scope_is_empty(detail, req)):
-        nov, cal = restrict_contacts(contacts, scope), restrict_calls(calls, req.call_center)
-    unified, scoped = base.management_base(scope), cl.call_scope(cal)
-    # five metric tables share the attributed contacts: written once, read by each
-    path = fresh_path(detail.sparkSession, "live")
-    fuzzy.fuzzy_agent_match(nov, cal).write.parquet(path)
-    att = detail.sparkSession.read.parquet(path)
+                    req: search.SearchRequest, promises_as_of, parity: bool = False,
+                    candidates: DataFrame | None = None, portfolio: DataFrame | None = None) -> DataFrame:
+    """Every call-centre metric of the filtered detail, in long form.
+
+    ``candidates``: the job's stored (user, centre) candidates; without them
+    they are worked out from the whole contact log and calls.  ``portfolio``:
+    holds the validity states if the detail has none.
+    """
+    spark = detail.sparkSession
+    if candidates is None:
+        candidates = fuzzy.center_candidates(contacts, calls)
+    scope = filter_portfolio(detail, req, portfolio)
+    centers = list(req.call_center)
+    # one row per client of the scope, written once: contacts are restricted to
+    # it by an equi-join on a unique key that also says who pays
+    path = fresh_path(spark, "live")
+    (base.callcenter_enrich(scope).where(q("Cedula_Cliente").isNotNull()).groupBy("Cedula_Cliente")
+     .agg(F.max(F.coalesce(q("Estado_Pago") == "PAGO", F.lit(False))).alias("pays")).write.parquet(path))
+    clients = spark.read.schema(f"Cedula_Cliente {dict(detail.dtypes)['Cedula_Cliente']}, pays boolean").parquet(path)
+    if parity and portfolio_scope_is_empty(detail, req, portfolio):
+        nov, centers = contacts.withColumn("pays", F.lit(False)), []
+    else:
+        nov = contacts.join(clients, "Cedula_Cliente")
+    winners = fuzzy.choose_centers(candidates, restricted=centers or None)
     parts = [
-        _rows("meta", base.cc_meta(unified), ["total_cuentas", "total_meta"]),
-        _rows("cumplimiento", base.goal_attainment(unified), ["META_$", "Recaudo_Meta", "Faltante", "Cumplimiento"], "CALL_CENTER", "NOMBRE"),
-        _rows("rodamiento", base.roll_rate_cc(unified), ["count"], "Rodamiento"),
-        _rows("llamadas", cl.call_totals(scoped), ["total_llamadas", "con_respuesta", "sin_respuesta"]),
-        _rows("efectividad", cl.call_effectiveness(scoped), ["Total_Intentos", "Con_Respuesta", "Efectividad"], "Call_Center"),
-        _rows("umbral", cl.call_threshold(scoped), ["alerta_umbral"]),
-        _rows("por_dia", cl.calls_by_day(scoped), ["Total_Llamadas"], "Fecha", "Estado_Respuesta"),
-        _rows("mensajeria", ms.msg_effectiveness(messages), ["entregados", "conversaciones", "porcentaje"], "name"),
-        _rows("funnel", ms.msg_funnel(messages, nov, base.callcenter_enrich(scope)), ["value"], "name"),
-        _rows("kpis", ct.contact_kpis(att), ["total", "sin_asignar"], "top_tipo"),
-        _rows("novedades_cc", ct.contacts_by_center(att), ["Cantidad"], "Call_Center"),
-        _rows("novedades_tipo", ct.contacts_by_center_type(att), ["Cantidad"], "Call_Center", "Tipo_Novedad"),
-        _rows("compromisos", ct.promises_by_state(att, promises_as_of), ["Cantidad"], "Call_Center", "Estado_Acuerdo"),
-        _rows("filtros", base.facet_values_cc(scope).withColumn("n", F.lit(1)), ["n"], "facet", "value"),
+        detail_metrics(scope),
+        call_metrics(cl.call_scope(restrict_calls(calls, centers))),
+        message_metrics(messages, nov),
+        contact_metrics(fuzzy.attribute(nov, winners), promises_as_of),
     ]
     return reduce(DataFrame.unionByName, parts)
 
@@ -122,5 +247,7 @@ def stored_cc_metrics(spark: SparkSession, root: str, job_id: str, req: search.S
                       parity: bool = False) -> DataFrame:
     """The metrics of a stored job, from the tables its report run has left."""
     read = lambda name: resolve_dataset(spark, root, name, job_id)
-    return live_cc_metrics(read("detallados_call_center"), read("novedades_base"), read("llamadas_base"), read("mensajes_base"),
-                           req, promises_as_of, parity)
+    detail = read("detallados_call_center")
+    states = read("detallados_cartera") if req.vigencia and "Estado_Vigencia" not in detail.columns else None
+    return live_cc_metrics(detail, read("novedades_base"), read("llamadas_base"), read("mensajes_base"),
+                           req, promises_as_of, parity, candidates=read("candidatos_centro"), portfolio=states)

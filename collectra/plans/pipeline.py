@@ -11,6 +11,7 @@ output succeeded.
 from __future__ import annotations
 
 import datetime as _dt
+import functools
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,8 +51,13 @@ def run_report(spark: SparkSession, raw: dict, root: str, job_id: str, empresa:
     vint = commercial.vintage_early_risk(p, as_of)
     refi = commercial.refinance_candidates(p)
 
+    # scored once: attribution now and live metrics later choose among these
+    @functools.cache
+    def candidates():
+        return _stage(spark, fuzzy.center_candidates(nov, calls), root, job_id, "candidates")
+
     def attributed():
-        return fuzzy.fuzzy_agent_match(nov, calls)
+        return fuzzy.attribute(nov, fuzzy.choose_centers(candidates()))
 
     summaries = {
         "cartera/cubo_regional": lambda: pf.cube_regional(p),
@@ -116,6 +122,7 @@ def run_report(spark: SparkSession, raw: dict, root: str, job_id: str, empresa:
         "novedades_base": lambda: store.write_detail(nov, root, "novedades_base", job_id),
         "llamadas_base": lambda: store.write_detail(calls, root, "llamadas_base", job_id),
         "mensajes_base": lambda: store.write_detail(msgs, root, "mensajes_base", job_id),
+        "candidatos_centro": lambda: store.write_detail(candidates(), root, "candidatos_centro", job_id),
         "comercial_retanqueos": lambda: store.write_detail(refi, root, "comercial_retanqueos", job_id),
         "comercial_cosechas": lambda: store.write_detail(vint, root, "comercial_cosechas", job_id),
         "masters": lambda: store.master_tables(root, job_id, fb, followups.followup_detail(p, nov), nov),

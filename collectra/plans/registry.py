@@ -84,6 +84,10 @@ class T:
     def scoped_calls(self):
         return cl.call_scope(self.calls())
 
+    def candidates(self):
+        """The fuzzy candidates that a job keeps for live metrics."""
+        return self._m("candidates", lambda: fuzzy.center_candidates(self.contacts(), self.calls()))
+
     def attributed(self):
         return self._m("attributed", lambda: fuzzy.fuzzy_agent_match(self.contacts(), self.calls()))
 
@@ -750,4 +754,4 @@ def _(spark, sf):
     from collectra.plans.live_metrics import live_cc_metrics
     t = _t(spark, sf)
     req = _search_req(call_center=["CL1", "CL2", "CL5"], franja=["AL DIA", "1 A 30", "31 A 90"])
-    return live_cc_metrics(t.management_detail(), t.contacts(), t.calls(), t.messages(), req, AS_OF_PROMISES)
+    return live_cc_metrics(t.management_detail(), t.contacts(), t.calls(), t.messages(), req, AS_OF_PROMISES, candidates=t.candidates())
