@@ -115,6 +115,10 @@ def run_report(spark: SparkSession, raw: dict, root: str, job_id: str, empresa:
     except Exception as e:  # noqa: BLE001
         errors["call_center/novedades"] = str(e)[:500]
 
+    @functools.cache
+    def detail():
+        return _stage(spark, followups.followup_detail(p, nov), root, job_id, "detail")
+
     details = {
         "detallados_call_center": lambda: store.write_detail(base.management_detail(p, nov), root,
                                                              "detallados_call_center", job_id),
@@ -125,7 +129,8 @@ def run_report(spark: SparkSession, raw: dict, root: str, job_id: str, empresa:
         "candidatos_centro": lambda: store.write_detail(candidates(), root, "candidatos_centro", job_id),
         "comercial_retanqueos": lambda: store.write_detail(refi, root, "comercial_retanqueos", job_id),
         "comercial_cosechas": lambda: store.write_detail(vint, root, "comercial_cosechas", job_id),
-        "masters": lambda: store.master_tables(root, job_id, fb, followups.followup_detail(p, nov), nov),
+        "masters": lambda: store.master_tables(root, job_id, fb, detail(), nov),
+        "busqueda": lambda: store.search_tables(root, job_id, detail(), p),
     }
     if apps is not None:
         details["comercial_fnz"] = lambda: store.write_detail(apps, root, "comercial_fnz", job_id)

@@ -24,7 +24,7 @@ from collectra.schemas import (CONTACT_SCHEMA, ROLL_RATE_TABLE_COLUMNS)
 from collectra.session import fresh_path
 from collectra.sources import fixtures as fx
 from collectra.sources import landing, store
-from collectra.sources.materialize import input_version, materialized
+from collectra.sources.materialize import input_version, materialized, prepared
 
 AS_OF = _dt.date.fromisoformat(fx.AS_OF_PORTFOLIO)
 AS_OF_PROMISES = _dt.date.fromisoformat(fx.AS_OF_PROMISES)
@@ -95,6 +95,11 @@ class T:
         """The stored follow-up detail table that search runs against."""
         return self._m("contact_detail", lambda: followups.followup_detail(self.portfolio(), self.contacts()))
 
+    def search_tables(self):
+        """Paths of what search reads: the detail by page key with its indexes, and the client lookup."""
+        return prepared(self.spark, "search", self.sf, version=self.version,
+                        make=lambda root: store.search_tables(root, JOB, self.contact_detail(), self.portfolio()))
+
     def management_detail(self):
         """The stored call-centre detail that live metrics filter."""
         return self._m("management_detail", lambda: base.management_detail(self.portfolio(), self.contacts()))
@@ -155,7 +160,7 @@ def _(spark, sf):
     root = fresh_path(spark, "store")
     store.write_detail(_t(spark, sf).followup_base(), root, "seguimientos_rodamientos", JOB,
                        ROLL_RATE_TABLE_COLUMNS)
-    return spark.read.parquet(store.job_path(root, "seguimientos_rodamientos", JOB))
+    return store.resolve_dataset(spark, root, "seguimientos_rodamientos", JOB)
 
 
 @query("resolve_dataset")
@@ -208,7 +213,7 @@ def _(spark, sf):
     t = _t(spark, sf)
     root = fresh_path(spark, "store")
     written = store.master_tables(root, JOB, t.followup_base(), t.contact_detail(), t.contacts())
-    tables = {name: spark.read.parquet(p) for name, p in sorted(written.items())}
+    tables = {name: store.read_stored(spark, p) for name, p in sorted(written.items())}
     # contents, not only counts: loans, clients, money and texts of each table
     def total(df, c, how):
         return how(c) if c in df.columns else F.lit(None)
@@ -690,8 +695,8 @@ def _search_req(**kw) -> search.SearchRequest:
 
 @query("search_text")
 def _(spark, sf):
-    d = _t(spark, sf).contact_detail()
-    return search.search_text(d, "Customer#0000001").select("Credito", "seq", "Nombre_Cliente")
+    path = _t(spark, sf).search_tables()["busqueda_gestion"]
+    return search.search_text_stored(spark, path, "Customer#0000001").select("Credito", "seq", "Nombre_Cliente")
 
 
 @query("search_facets")
@@ -730,17 +735,17 @@ def _(spark, sf):
 
 @query("search_page")
 def _(spark, sf):
-    d = _t(spark, sf).contact_detail()
+    t = _t(spark, sf)
     req = _search_req(page=3, page_size=20, zona=["CL1", "CL2", "CL3", "CL4"], cargos=["GESTOR"],
                       novedades=["Con Novedades"], vigencia=["vigente"])
-    page = search.search_page(d, req, ["Credito", "seq"], portfolio=_t(spark, sf).portfolio())
+    page = search.find_page_stored(spark, t.search_tables()["busqueda_gestion"], req, portfolio=t.portfolio()).with_metadata()
     return page.select("Credito", "seq", "Zona", "Cargo_Usuario", "Tipo_Novedad", "total_registros",
                        "pagina_actual", "total_paginas")
 
 
 @query("lookup_clients")
 def _(spark, sf):
-    return search.lookup_clients(_t(spark, sf).portfolio(), "customer#00000012", limit=20)
+    return search.lookup_stored(spark, _t(spark, sf).search_tables()["busqueda_clientes"], "customer#00000012", limit=20)
 
 
 @query("related_rows")

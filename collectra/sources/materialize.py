@@ -33,22 +33,30 @@ def input_version(spark: SparkSession, folder: str) -> str:
     return hashlib.sha1("\n".join(sorted(seen)).encode()).hexdigest()[:16]
 
 
-def materialized(spark: SparkSession, name: str, key: str, build, version: str = "") -> DataFrame:
-    """``build()`` written once per session and input version under
-    ``views/<name>-<hash>``; views are removed when the application ends."""
+def prepared(spark: SparkSession, name: str, key: str, make, version: str = ""):
+    """``make(path)`` once per session and input version under ``views/<name>-<hash>``.
+
+    What it returns is kept; the folder is removed when the application ends."""
     h = hashlib.sha1(f"{name}|{key}".encode()).hexdigest()[:16]
     memo = (id(spark), name, h)
     with _GUARD:
         lock = _LOCKS.setdefault(memo, threading.Lock())
     with lock:  # concurrent callers wait for one writer
         done = _DONE.get(memo)
-        if done is None or done[2] != version:
+        if done is None or done[1] != version:
             path = shared_path(spark, "views", f"{name}-{h}-{version}-{_RUN}-{id(spark):x}")
-            build().write.mode("overwrite").parquet(path)
+            done = _DONE[memo] = (make(path), version)
             delete_on_exit(spark, path)
-            # the table is immutable once written: resolve its scan once
-            done = _DONE[memo] = (path, spark.read.parquet(path), version)
-    return done[1]
+    return done[0]
+
+
+def materialized(spark: SparkSession, name: str, key: str, build, version: str = "") -> DataFrame:
+    """``build()`` written once per session and input version."""
+    def make(path):
+        build().write.mode("overwrite").parquet(path)
+        # the table is immutable once written: resolve its scan once
+        return spark.read.parquet(path)
+    return prepared(spark, name, key, make, version)
 
 
 def forget(spark: SparkSession | None = None):
