@@ -15,7 +15,9 @@ Search, on distinct fingerprints (copies collapse first):
    patterns.  Runs of rows make a node, runs of nodes a higher node; a node
    keeps the bits that all its rows share (pattern and mask).  A pair of nodes
    is dropped with all its rows as soon as the shared bits differ in more than
-   ``max_bits`` places.  What reaches the leaves is compared bit by bit.
+   ``max_bits`` places.  What reaches the leaves is compared bit by bit.  The top
+   nodes of a task are one forest of such trees, whatever their sizes, and are
+   searched level by level together.
 3. A top node gives a spanning forest of its links, not all of them: never more
    edges than rows.  A top node with more rows than a task's fair share (all rows
    by the number of shuffle partitions) is dealt to parts of that share, and every
@@ -42,7 +44,6 @@ from collectra.llm.components import components
 
 SEED = 42
 FANOUT = 8  # children of an index node
-SMALL = 24  # rows of a top node below which leaves are compared at once
 CHUNK = 4_096  # a top node of fewer rows is never split
 
 
@@ -117,29 +118,47 @@ class Forest:
 
 
 class GrayIndex:
-    """Rows in Gray order and, above them, levels of (pattern, mask) nodes."""
-
-    def __init__(self, fps: np.ndarray):
-        self.order = np.argsort(gray_rank(fps), kind="stable")
-        self.fps = fps[self.order]
-        self.levels = [(self.fps, np.full(len(fps), ~np.uint64(0)))]
+    """The top nodes of many groups at once: rows of a group in Gray order and,
+    above them, levels of (pattern, mask) nodes, up to one node per group."""
+
+    def __init__(self, fps: np.ndarray, group: np.ndarray):
+        self.order = np.lexsort((gray_rank(fps), group))
+        self.fps, group = fps[self.order], group[self.order]
+        self.groups = np.unique(group)
+        none = np.zeros(0, np.int64)
+        # per level: pattern, mask, first node below and number of nodes below
+        self.levels = [(self.fps, np.full(len(fps), ~np.uint64(0)), none, none)]
         low = high = self.fps
-        while len(low) > 1:
-            at = np.arange(0, len(low), FANOUT)
-            low, high = np.bitwise_and.reduceat(low, at), np.bitwise_or.reduceat(high, at)
-            self.levels.append((low, ~(low ^ high)))  # bits that all rows below share
-
-    def links(self, other: GrayIndex, max_bits: int, forest: Forest, here: np.ndarray, there: np.ndarray) -> None:
-        """Unite in ``forest`` all rows of both that differ in at most ``max_bits`` bits.
+        while len(low) > len(self.groups):
+            start = np.flatnonzero(np.diff(group, prepend=-1))
+            place = np.arange(len(group)) - np.repeat(start, np.diff(start, append=len(group)))
+            at = np.flatnonzero(place % FANOUT == 0)
+            group = group[at]
+            low, high, below = np.bitwise_and.reduceat(low, at), np.bitwise_or.reduceat(high, at), np.diff(at, append=len(low))
+            self.levels.append((low, ~(low ^ high), at, below))  # bits that all rows below share
+
+    def raised(self, levels: int) -> None:
+        """Add levels that pass on what stands below, so that two indexes are equally high."""
+        while len(self.levels) < levels:
+            low, mask = self.levels[-1][:2]
+            self.levels.append((low, mask, np.arange(len(low)), np.ones(len(low), np.int64)))
+
+    def links(self, other: GrayIndex, max_bits: int, forest: Forest, here: np.ndarray, there: np.ndarray) -> int:
+        """Unite in ``forest`` all rows of a group of both that differ in at most ``max_bits`` bits.
 
         ``here``, ``there``: the rows' positions in the forest, in index order.
-        Pairs of nodes are followed from the top, in slices that bound memory.
+        Pairs of nodes are followed from the top nodes, in slices that bound
+        memory.  Returns the number of node pairs that were visited.
         """
-        level = max(len(self.levels), len(other.levels)) - 1
-        todo = [(level, np.zeros(1, np.int64), np.zeros(1, np.int64))]
+        top = max(len(self.levels), len(other.levels))
+        self.raised(top)
+        other.raised(top)
+        _, a, b = np.intersect1d(self.groups, other.groups, assume_unique=True, return_indices=True)
+        todo, visits = [(top - 1, a, b)], 0
         while todo:
             level, a, b = todo.pop()
-            (pa_, ma), (pb, mb) = self._at(level), other._at(level)
+            (pa_, ma, first_a, below_a), (pb, mb, first_b, below_b) = self.levels[level], other.levels[level]
+            visits += len(a)
             near = popcount((pa_[a] ^ pb[b]) & ma[a] & mb[b]) <= max_bits  # differences gathered so far
             if self is other:
                 near &= a <= b
@@ -147,55 +166,33 @@ class GrayIndex:
             if level == 0:
                 forest.union(here[a], there[b])
                 continue
-            na, nb = len(self._at(level - 1)[0]), len(other._at(level - 1)[0])
+            child = np.arange(FANOUT)
             for i in range(0, len(a), 16_384):
-                x = (a[i:i + 16_384, None] * FANOUT + np.arange(FANOUT))[:, :, None]
-                y = (b[i:i + 16_384, None] * FANOUT + np.arange(FANOUT))[:, None, :]
-                x, y = (v.ravel() for v in np.broadcast_arrays(x, y))
-                real = (x < na) & (y < nb)
+                x, y = a[i:i + 16_384], b[i:i + 16_384]
+                real = (child < below_a[x, None])[:, :, None] & (child < below_b[y, None])[:, None, :]
+                x, y = np.broadcast_arrays((first_a[x, None] + child)[:, :, None], (first_b[y, None] + child)[:, None, :])
                 todo.append((level - 1, x[real], y[real]))
-
-    def _at(self, level: int):
-        return self.levels[min(level, len(self.levels) - 1)]
+        return visits
 
 
-def forest_edges(fps: np.ndarray, ids: np.ndarray, side: np.ndarray, max_bits: int):
-    """Spanning edges (smaller id, id) of the links among the rows of one group.
+def forest_edges(fps: np.ndarray, ids: np.ndarray, group: np.ndarray, side: np.ndarray, max_bits: int):
+    """Spanning edges (smaller id, id) of the links among the rows of each group, and the node pairs visited.
 
-    ``side``: 0 for all rows, or 1 and 2 where only pairs between the two count.
+    ``side``: 0 for all rows of a group, or 1 and 2 where only pairs between the two count.
     """
     order = np.argsort(ids, kind="stable")  # then the root of a tree is its smallest id
-    fps, ids, side = fps[order], ids[order], side[order]
-    forest = Forest(len(fps))
-    if side.any():
-        left, right = np.flatnonzero(side == 1), np.flatnonzero(side == 2)
-        if len(left) and len(right):
-            x, y = GrayIndex(fps[left]), GrayIndex(fps[right])
-            x.links(y, max_bits, forest, left[x.order], right[y.order])
-    else:
-        x = GrayIndex(fps)
-        x.links(x, max_bits, forest, x.order, x.order)
-    roots = forest.roots()
-    child = np.flatnonzero(roots != np.arange(len(roots)))
-    return ids[roots[child]], ids[child]
-
-
-def small_edges(fps, ids, group, max_bits):
-    """The same for many small groups at once: neighbours at each distance in turn."""
-    forest = Forest(len(fps))
-    found = []
-    for d in range(1, SMALL):
-        same = np.flatnonzero(group[d:] == group[:-d])
-        if not len(same):
-            break
-        near = same[popcount(fps[same] ^ fps[same + d]) <= max_bits]
-        found.append((near, near + d))
-    if found:
-        forest.union(np.concatenate([a for a, _ in found]), np.concatenate([b for _, b in found]))
+    fps, ids, group, side = fps[order], ids[order], group[order], side[order]
+    forest, visits = Forest(len(fps)), 0
+    alone, left, right = (np.flatnonzero(side == x) for x in (0, 1, 2))
+    if len(alone):
+        x = GrayIndex(fps[alone], group[alone])
+        visits += x.links(x, max_bits, forest, alone[x.order], alone[x.order])
+    if len(left) and len(right):
+        x, y = GrayIndex(fps[left], group[left]), GrayIndex(fps[right], group[right])
+        visits += x.links(y, max_bits, forest, left[x.order], right[y.order])
     roots = forest.roots()
     child = np.flatnonzero(roots != np.arange(len(roots)))
-    a, b = ids[roots[child]], ids[child]
-    return np.minimum(a, b), np.maximum(a, b)
+    return ids[roots[child]], ids[child], visits
 
 
 # --- Spark ----------------------------------------------------------------------
@@ -248,14 +245,8 @@ def links(reps: DataFrame, max_bits: int) -> DataFrame:
 
     def edges(cols, start, end):
         ids, fps, side = cols[0], cols[1].view(np.uint64), cols[5]
-        size = end - start
-        group = np.repeat(np.arange(len(start)), size)
-        out = [small_edges(fps[s], ids[s], group[s], max_bits)
-               for s in [(size[group] <= SMALL) & (side == 0)] if s.any()]
-        for g in np.flatnonzero((size > SMALL) | (side[start] != 0)):
-            s = slice(start[g], end[g])
-            out.append(forest_edges(fps[s], ids[s], side[s], max_bits))
-        u, v = (np.concatenate([x[i] for x in out]) if out else np.zeros(0, np.int64) for i in (0, 1))
+        group = np.repeat(np.arange(len(start)), end - start)
+        u, v, _ = forest_edges(fps, ids, group, side, max_bits)
         return pa.record_batch([pa.array(u.astype(np.int64)), pa.array(v.astype(np.int64))], names=["u", "v"])
 
     return (dealt.select("id", "fp", "block", "value", "task", "side")

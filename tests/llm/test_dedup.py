@@ -191,13 +191,63 @@ def test_gray_index_prunes_nothing_it_should_not():
     rng = np.random.default_rng(7)
     fps = np.unique(np.r_[rng.integers(0, 1 << 20, 300, dtype=np.uint64), rng.integers(0, 1 << 63, 300, dtype=np.uint64)])
     ids = rng.permutation(len(fps)).astype(np.int64)
-    u, v = simhash.forest_edges(fps, ids, np.zeros(len(fps)), 3)
+    zero = np.zeros(len(fps), np.int64)
+    u, v, _ = simhash.forest_edges(fps, ids, zero, zero, 3)
     want = brute_components(dict(zip(ids.tolist(), fps.tolist())), 3)
     assert len(u) == len(fps) - len(set(want.values())) and all(want[a] == want[b] for a, b in zip(u.tolist(), v.tolist()))
     ranks = simhash.gray_rank(fps)
     assert np.array_equal(ranks ^ (ranks >> np.uint64(1)), fps)
 
 
+def test_gray_index_of_many_top_nodes(monkeypatch):
+    """Groups of every size in one index: all links within a group and between its two sides, none across groups; most pairs are never visited."""
+    rng = np.random.default_rng(6)
+    fps, group, side = [], [], []
+    for g, n in enumerate([1, 2, 3, 7, 8, 9, 64, 65, 700]):
+        base = rng.integers(0, 1 << 63, max(1, n // 4)).astype(np.uint64)
+        x = base[rng.integers(0, len(base), n)]
+        for _ in range(4):
+            x ^= (rng.random(n) < 0.5).astype(np.uint64) << rng.integers(0, 64, n).astype(np.uint64)
+        fps.append(x)
+        group += [g] * n
+        side += ([0] * n if g % 2 else rng.integers(1, 3, n).tolist())
+    fps, group, side = np.concatenate(fps), np.array(group), np.array(side)
+    ids = rng.permutation(10_000)[:len(fps)]
+    u, v, visits = simhash.forest_edges(fps, ids, group, side, 3)
+    near = (np.bitwise_count(fps[:, None] ^ fps[None]) <= 3) & (group[:, None] == group[None]) & ((side[:, None] != side[None]) | (side[:, None] == 0))
+    up = {int(i): int(i) for i in ids}
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+    for a, b in zip(*np.nonzero(near)):
+        x, y = sorted((root(int(ids[a])), root(int(ids[b]))))
+        up[y] = x
+    found = {int(i): int(i) for i in ids}
+    for a, b in zip(u.tolist(), v.tolist()):
+        assert a < b
+        found[b] = a
+    assert all(found[i] == root(i) for i in up)
+    assert len(fps) < visits < 0.3 * 700 ** 2
+
+
+def test_query_goes_through_the_gray_index(spark, monkeypatch):
+    """The rows that the query's tasks hold on sf0.01 are all visited in the index."""
+    from collections import defaultdict
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [(r.fp, r.doc_id) for r in simhash.near_duplicates(d).collect()]
+    reps = {fp: min(i for f, i in rows if f == fp) for fp in {f for f, _ in rows}}
+    fps, ids = np.array(list(reps), dtype=np.int64).view(np.uint64), np.array(list(reps.values()))
+    top = defaultdict(list)
+    for m in simhash.block_masks(3):
+        for i, f in enumerate(fps.tolist()):
+            top[m, f & m].append(i)
+    at = np.concatenate([np.array(x) for x in top.values()])
+    group = np.repeat(np.arange(len(top)), [len(x) for x in top.values()])
+    _, _, visits = simhash.forest_edges(fps[at], ids[at], group, np.zeros(len(at), np.int64), 3)
+    assert visits >= len(at)
+
+
 def test_components_of_a_long_path_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(130, 200), (129, 200), (300, 301)]
     got = {r.node: r.root for r in components.components(spark.createDataFrame(edges, "u long, v long").repartition(3)).collect()}
