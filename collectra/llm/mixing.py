@@ -8,17 +8,19 @@
    the sum of all sizes is shared by weight.  A target stops at ``most`` times
    the size of its source; the excess goes to the others by weight until none
    is above.
-3. *Slots.*  A source with target t and blocks of s words in all has the share
-   t / s of its number of blocks as slots.  A pseudorandom permutation of all
-   slots deals them to output shards of ``shard`` slots: the source counts of a
-   shard are multinomial draws, given that they sum to the slots of each source
-   (``shard_counts``), so targets are met at any size of the mix.
+3. *Slots.*  A source with target t has as many slots as it takes, block by
+   block, to give t words (rounded); the last slot takes only the words that are
+   left of t.  A pseudorandom permutation of all slots deals them to output
+   shards of ``shard`` slots: the source counts of a shard are multinomial
+   draws, given that they sum to the slots of each source, so targets are met to
+   the word at any size of the mix.  The counts of the shards before number a
+   source's slots in a shard.
 4. *Blocks.*  The k-th slot of a source takes the block at place k of a
    pseudorandom permutation of its blocks, then starts over: no block is taken
    twice before all are taken once, and none more than ``most`` times.
    Slots and blocks meet in an equi-join on (source, block).
 
-Both permutations are swap-or-not shuffles: a few rounds of a keyed hash that
+The permutations are swap-or-not shuffles: a few rounds of a keyed hash that
 permute 0..n-1 for any n, so nothing is sorted or numbered, and a lost executor
 or another run gives the same draw.
 
@@ -60,6 +62,15 @@ def permuted(x: Column, n: Column, *key) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), x.cast("long"), turn)
 
 
+def unpermuted(x: Column, n: Column, *key) -> Column:
+    """The ``y`` with ``permuted(y) = x``: every round undoes itself, so the rounds run backwards."""
+    def turn(at: Column, r: Column) -> Column:
+        other = F.pmod(F.pmod(F.xxhash64(*key, r), n) - at, n)
+        return F.when(F.pmod(F.xxhash64(*key, r, F.greatest(at, other)), F.lit(2)) == 0, other).otherwise(at)
+
+    return F.aggregate(F.sequence(F.lit(ROUNDS), F.lit(1)), x.cast("long"), turn)
+
+
 def targets(sources: DataFrame, weights=WEIGHTS, most: int = MOST) -> DataFrame:
     """(source, source_size) with weight and target added; one row per source.
 
@@ -103,19 +114,35 @@ def placed(docs: DataFrame) -> DataFrame:
         .select("d.doc_id", "d.source", "d.tie", "d.size", (F.col("base") + F.col("inner")).alias("start"))
 
 
-def plan(placed_rows: DataFrame, block: int = BLOCK_WORDS, weights=WEIGHTS, most: int = MOST) -> DataFrame:
-    """One row per source: source_size, target, blocks, slots, first_slot, all_slots."""
+def plan(placed_rows: DataFrame, block: int = BLOCK_WORDS, weights=WEIGHTS, most: int = MOST, seed: int = 0) -> DataFrame:
+    """One row per source: source_size, target, blocks, slots, cut, first_slot, all_slots.
+
+    Whole rounds over the blocks come first; the slots of the last round are as
+    many as its words need, and the last of them takes ``cut`` words of its block
+    only, so a source gives its rounded target to the word.
+    """
     sizes = placed_rows.groupBy("source").agg(F.sum("size").alias("source_size"))
-    t = targets(sizes, weights, most)
-    t = t.withColumn("blocks", F.ceil(F.col("source_size") / block)) \
-        .withColumn("slots", F.coalesce(F.round(F.try_divide(F.col("target"), F.col("source_size")) * F.col("blocks")).cast("long"), F.lit(0)))
+    t = targets(sizes, weights, most).withColumn("blocks", F.ceil(F.col("source_size") / block))
+    size, blocks = F.col("source_size"), F.col("blocks")
+    t = t.withColumn("goal", F.round("target").cast("long")) \
+        .withColumn("rounds", F.when(size > 0, F.floor(F.col("goal") / size)).otherwise(0)) \
+        .withColumn("rest", F.col("goal") - F.col("rounds") * size) \
+        .withColumn("missing", blocks * block - size) \
+        .withColumn("short_at", F.when(blocks > 0, unpermuted(blocks - 1, blocks, F.lit(seed), F.col("source"))))
+    # words of the first m blocks of a round: the short block counts if it is one of them
+    reach = lambda m: m * block - F.when(F.col("short_at") < m, F.col("missing")).otherwise(0)
+    few = F.ceil(F.col("rest") / block)
+    t = t.withColumn("m", few + F.when(reach(few) < F.col("rest"), 1).otherwise(0)) \
+        .withColumn("cut", F.when(F.col("m") > 0, F.col("rest") - reach(F.col("m") - 1))) \
+        .withColumn("slots", (F.col("rounds") * blocks + F.col("m")).cast("long"))
     before = Window.partitionBy().orderBy(F.col("source").isNull(), F.col("source")).rowsBetween(Window.unboundedPreceding, -1)
-    return t.withColumn("first_slot", F.coalesce(F.sum("slots").over(before), F.lit(0))) \
+    return t.select("source", "source_size", "weight", "target", "blocks", "slots", "cut") \
+        .withColumn("first_slot", F.coalesce(F.sum("slots").over(before), F.lit(0))) \
         .withColumn("all_slots", F.sum("slots").over(Window.partitionBy()))
 
 
-def slots(sources: DataFrame, shard: int = SHARD_SLOTS, seed: int = 0) -> DataFrame:
-    """Every slot of the mix: shard, place, source, epoch and the block it takes."""
+def draws(sources: DataFrame, shard: int = SHARD_SLOTS, seed: int = 0) -> DataFrame:
+    """Every slot of the mix dealt to a shard: shard, place, source."""
     step = 16_384  # a hot source's slots are made by many tasks
     all_slots = sources.agg(F.max("all_slots")).first()[0] or 0
     runs = (sources.where("slots > 0")
@@ -124,14 +151,34 @@ def slots(sources: DataFrame, shard: int = SHARD_SLOTS, seed: int = 0) -> DataFr
             .repartition(min(100_000, 1 + all_slots // step), "source", "run"))
     each = runs.withColumn("k", F.explode(F.sequence(F.col("run"), F.least(F.col("run") + step, F.col("slots")) - 1)))
     return (each.withColumn("place", permuted(F.col("first_slot") + F.col("k"), F.col("all_slots"), F.lit(seed)))
-            .select(F.floor(F.col("place") / shard).alias("shard"), "place", "source",
-                    F.floor(F.col("k") / F.col("blocks")).alias("epoch"),
-                    permuted(F.pmod("k", "blocks"), F.col("blocks"), F.lit(seed), F.col("source")).alias("block")))
+            .select(F.floor(F.col("place") / shard).alias("shard"), "place", "source"))
 
 
 def shard_counts(sources: DataFrame, shard: int = SHARD_SLOTS, seed: int = 0) -> DataFrame:
     """The draw of every output shard: shard, source, n."""
-    return slots(sources, shard, seed).groupBy("shard", "source").agg(F.count("*").alias("n"))
+    return draws(sources, shard, seed).groupBy("shard", "source").agg(F.count("*").alias("n"))
+
+
+def slots(sources: DataFrame, shard: int = SHARD_SLOTS, seed: int = 0) -> DataFrame:
+    """Every slot of the mix: shard, place, source, epoch, the block it takes and ``words``, how many of it (null: all).
+
+    A source's slots are numbered shard by shard: the counts drawn before give
+    the first number in a shard, the places there the rest.
+    """
+    spark = sources.sparkSession
+    drawn_ = written(spark, draws(sources, shard, seed), "draws")
+    n = drawn_.groupBy("shard", "source").agg(F.count("*").alias("n"))
+    # one row per source and shard
+    before = Window.partitionBy("source").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    base = n.select("shard", "source", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    in_shard = drawn_.withColumn("i", F.row_number().over(Window.partitionBy("shard", "source").orderBy("place")) - 1)
+    same = F.col("d.source").eqNullSafe(F.col("b.source")) & (F.col("d.shard") == F.col("b.shard"))
+    numbered = in_shard.alias("d").join(base.alias("b"), same).select("d.shard", "d.place", "d.source", (F.col("base") + F.col("i")).alias("k"))
+    s = sources.select(F.col("source").alias("s"), "blocks", "slots", "cut")
+    each = numbered.join(s, F.col("source").eqNullSafe(F.col("s")))
+    return each.select("shard", "place", "source", F.floor(F.col("k") / F.col("blocks")).alias("epoch"),
+                       permuted(F.pmod("k", "blocks"), F.col("blocks"), F.lit(seed), F.col("source")).alias("block"),
+                       F.when(F.col("k") == F.col("slots") - 1, F.col("cut")).alias("words"))
 
 
 def pieces(placed_rows: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
@@ -141,33 +188,48 @@ def pieces(placed_rows: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
                                                    F.floor((F.col("start") + F.col("size") - 1) / block))))
     first = F.greatest(F.col("start"), F.col("block") * block)
     end = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block)
-    return p.select("doc_id", "source", "tie", "start", "block",
+    return p.select("doc_id", "source", "tie", "start", "block", (first - F.col("block") * block).alias("offset"),
                     (first - F.col("start")).alias("first"), (end - first).alias("n"))
 
 
+def of_cut(cut: Column) -> Column:
+    """Words of a piece among the first ``cut`` of its block."""
+    # null: none (least and greatest pass over nulls)
+    return F.when(cut.isNotNull(), F.greatest(F.lit(0), F.least(F.col("offset") + F.col("n"), cut) - F.col("offset")))
+
+
 def drawn(placed_rows: DataFrame, sources: DataFrame, block: int = BLOCK_WORDS, shard: int = SHARD_SLOTS, seed: int = 0) -> DataFrame:
     """``pieces`` joined by block with the slots that take them: epoch, shard and place added."""
     p, s = pieces(placed_rows, block).alias("p"), written(placed_rows.sparkSession, slots(sources, shard, seed), "slots").alias("s")
     return p.join(s, F.col("p.source").eqNullSafe(F.col("s.source")) & (F.col("p.block") == F.col("s.block"))) \
-        .select("p.*", "s.epoch", "s.shard", "s.place")
+        .select("p.*", "s.epoch", "s.shard", "s.place", "s.words") \
+        .withColumn("n", F.when(F.col("words").isNull(), F.col("n")).otherwise(of_cut(F.col("words")))).where("n > 0").drop("words")
 
 
 def taken_words(docs: DataFrame, block: int = BLOCK_WORDS, weights=WEIGHTS, most: int = MOST, seed: int = 0) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, taken (and source)."""
+    """One row per document: doc_id, size, source_size, target, taken (and source, first_shard).
+
+    ``first_shard``: the first output shard that holds words of it (null: none does).
+    """
     spark = docs.sparkSession
     rows = written(spark, placed(docs), "placed")
-    sources = written(spark, plan(rows, block, weights, most), "sources")
+    sources = written(spark, plan(rows, block, weights, most, seed), "sources")
     # how often each block is taken: one row per block that is, summed before the join
     # (written, as Spark would guess its size from that of ``sources`` and broadcast it)
-    times = written(spark, slots(sources, seed=seed).groupBy("source", "block").agg(F.count("*").alias("times")), "times")
+    whole = F.col("words").isNull()
+    times = written(spark, slots(sources, seed=seed).groupBy("source", "block").agg(
+        F.count_if(whole).alias("times"), F.min(F.when(whole, F.col("shard"))).alias("shard"),
+        F.max("words").alias("cut"), F.min(F.when(~whole, F.col("shard"))).alias("cut_shard")), "times")
     p = pieces(rows, block).alias("p")
+    cut = F.coalesce(of_cut(F.col("cut")), F.lit(0))
+    first = F.least(F.col("shard"), F.when(cut > 0, F.col("cut_shard")))
     taken = (p.join(times.alias("t"), F.col("p.source").eqNullSafe(F.col("t.source")) & (F.col("p.block") == F.col("t.block")))
-             .groupBy("p.doc_id", "p.tie", "p.source", "p.start").agg(F.sum(F.col("n") * F.col("times")).alias("taken")))
+             .groupBy("p.doc_id", "p.tie", "p.source", "p.start").agg(F.sum(F.col("n") * F.col("times") + cut).alias("taken"), F.min(first).alias("first_shard")))
     same = [F.col(f"r.{c}").eqNullSafe(F.col(f"k.{c}")) for c in ("doc_id", "tie", "source", "start")]
     with_taken = rows.alias("r").join(taken.alias("k"), same[0] & same[1] & same[2] & same[3] & (F.col("r.size") > 0), "left") \
-        .select("r.doc_id", "r.source", "r.size", F.coalesce("k.taken", F.lit(0)).alias("taken"))
+        .select("r.doc_id", "r.source", "r.size", F.coalesce("k.taken", F.lit(0)).alias("taken"), "k.first_shard")
     return (with_taken.alias("r").join(sources.alias("s"), F.col("r.source").eqNullSafe(F.col("s.source")), "left")
-            .select("r.doc_id", "r.source", "r.size", "s.source_size", "s.target", "r.taken"))
+            .select("r.doc_id", "r.source", "r.size", "s.source_size", "s.target", "r.taken", "r.first_shard"))
 
 
 def mix(docs: DataFrame, block: int = BLOCK_WORDS, weights=WEIGHTS, most: int = MOST, seed: int = 0) -> DataFrame:
@@ -179,7 +241,7 @@ def mix(docs: DataFrame, block: int = BLOCK_WORDS, weights=WEIGHTS, most: int =
     """
     spark = docs.sparkSession
     rows = written(spark, placed(docs), "placed")
-    sources = written(spark, plan(rows, block, weights, most), "sources")
+    sources = written(spark, plan(rows, block, weights, most, seed), "sources")
     taken = (drawn(rows, sources, block, seed=seed).groupBy("doc_id", "tie", "source", "start", "epoch")
              .agg(F.sort_array(F.collect_list(F.struct("first", "n"))).alias("parts"), F.sum("n").alias("n")))
     taken = written(spark, taken.select("doc_id", "tie", "source", "parts", "n"), "taken")
