@@ -20,11 +20,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from collectra.functions.agg import guarded_ratio, money_sum
+from collectra.functions.agg import MONEY
 from collectra.functions.columns import q
 from collectra.functions.states import promise_state
 from collectra.operators import search
@@ -97,106 +96,99 @@ def restrict_calls(calls: DataFrame, centers) -> DataFrame:
     return calls.where(q(col).isin(*centers))
 
 
-def _long(df: DataFrame, rows: list[tuple[Column, str, Column | None, Column | None, dict]], *more: str) -> DataFrame:
+# The metric tables are written as SQL text: a click should not spend its time
+# on thousands of small calls that build expressions.
+
+def _text(c: str | None) -> str:
+    return f"CAST({c or 'NULL'} AS STRING)"
+
+
+def _long(df: DataFrame, rows: list[tuple[str, str, str | None, str | None, dict[str, str]]]) -> DataFrame:
     """(seccion, clave, detalle, metric, value): for each row of ``df`` the entries whose condition holds.
 
     ``rows``: (condition, section, key, detail, {metric: value}).
     """
-    none = F.lit(None).cast("string")
-    each = [F.when(F.coalesce(cond, F.lit(False)), F.struct(F.lit(section).alias("seccion"), (none if k is None else k.cast("string")).alias("clave"),
-                                (none if d is None else d.cast("string")).alias("detalle"), F.lit(m).alias("metric"), v.cast("double").alias("value")))
+    each = [f"CASE WHEN {cond} THEN named_struct('seccion', {section}, 'clave', {_text(k)}, 'detalle', {_text(d)}, "
+            f"'metric', '{m}', 'value', CAST({v} AS DOUBLE)) END"
             for cond, section, k, d, values in rows for m, v in values.items()]
-    return df.select(F.explode(F.array_compact(F.array(*each))).alias("r")).select("r.*")
+    return df.selectExpr(f"inline(array_compact(array({', '.join(each)})))")
 
 
-def _grouped(df: DataFrame, groups: dict[str, tuple[Column | None, Column | None]], where: dict[str, Column], *aggs: Column) -> DataFrame:
+def _grouped(df: DataFrame, groups: dict[str, tuple[str, str | None, str | None]], aggs: dict[str, str]) -> DataFrame:
     """Aggregates of ``df`` in several groupings at once: (kind, k1, k2, aggregates).
 
-    ``groups``: kind -> its two keys; ``where``: rows that count for a kind (all,
-    if not named).  Rows are multiplied inside the task and counted there first.
+    ``groups``: kind -> (rows that count, its two keys).  Rows are multiplied
+    inside the task and counted there first.
     """
-    none = F.lit(None).cast("string")
-    each = [F.struct(F.lit(kind).alias("kind"), (none if a is None else a.cast("string")).alias("k1"), (none if b is None else b.cast("string")).alias("k2"))
-            for kind, (a, b) in groups.items()]
-    each = [F.when(F.coalesce(where[kind], F.lit(False)), e) if kind in where else e for kind, e in zip(groups, each, strict=True)]
-    return df.withColumn("g", F.explode(F.array_compact(F.array(*each)))).groupBy("g.kind", "g.k1", "g.k2").agg(*aggs)
+    each = [f"CASE WHEN {cond} THEN named_struct('kind', '{kind}', 'k1', {_text(a)}, 'k2', {_text(b)}) END" for kind, (cond, a, b) in groups.items()]
+    g = df.selectExpr("*", f"explode(array_compact(array({', '.join(each)}))) AS g")
+    return g.groupBy("g.kind", "g.k1", "g.k2").agg(*[F.expr(f"{v} AS {k}") for k, v in aggs.items()])
 
 
-def _one(spark: SparkSession, df: DataFrame) -> DataFrame:
+def _one(df: DataFrame) -> DataFrame:
     """``df`` and a row that counts nothing, so that totals of an empty input are there."""
-    return df.withColumn("real", F.lit(1)).unionByName(spark.range(1).select(F.lit(0).alias("real")), allowMissingColumns=True)
+    return df.selectExpr("*", "true AS real").unionByName(df.sparkSession.range(1).selectExpr("false AS real"), allowMissingColumns=True)
+
+
+def _money(c: str) -> str:
+    """:func:`collectra.functions.agg.money_sum` as SQL."""
+    return f"CAST(coalesce(sum(CAST({c} AS {MONEY})), 0) AS DOUBLE)"
 
 
 def detail_metrics(scope: DataFrame) -> DataFrame:
     """Goal, attainment, roll rate and facet values of the scoped detail, in one pass."""
     facets = {name: c for name, c in FRONT_FACETS if c in scope.columns}
-    att = base.attributed_flags(base.callcenter_enrich(scope)).select(
-        F.col("_branch").isNotNull().alias("in_base"), q("CALL_CENTER_FILTRO").alias("own"), F.col("_center").alias("center"), F.col("_agent").alias("agent"),
-        F.col("_goal").alias("goal"), q("Recaudo_Meta").alias("paid"), q("Rodamiento").alias("roll"),
-        *[q(c).cast("string").alias(f"f_{name}") for name, c in facets.items()])
-    d = _one(scope.sparkSession, att)
-    real = F.col("real") == 1
-    groups = {"meta": (None, None), "cumplimiento": (F.col("center"), F.col("agent")), "rodamiento": (F.col("roll"), None)}
-    where = {k: F.col("in_base") for k in groups if k != "meta"}
-    groups |= {f"f_{n}": (F.col(f"f_{n}"), None) for n in facets}
-    where |= {f"f_{n}": real for n in facets}
-    inside = lambda c: F.when(F.col("in_base"), F.col(c))
-    g = _grouped(d, groups, where, F.count_if(F.col("in_base")).alias("n"), money_sum(inside("goal")).alias("goal"), money_sum(inside("paid")).alias("paid"))
-    kind = lambda k: F.col("kind") == k
-    short = (F.col("goal").cast("decimal(24,3)") - F.col("paid").cast("decimal(24,3)")).cast("double")
+    att = base.attributed_flags(base.callcenter_enrich(scope)).selectExpr(
+        "_branch IS NOT NULL AS in_base", "_center AS center", "_agent AS agent", "_goal AS goal", "Recaudo_Meta AS paid", "Rodamiento AS roll",
+        *[f"CAST(`{c}` AS STRING) AS f_{name}" for name, c in facets.items()])
+    groups = {"meta": ("true", None, None), "cumplimiento": ("in_base", "center", "agent"), "rodamiento": ("in_base", "roll", None)}
+    groups |= {f"f_{n}": ("real", f"f_{n}", None) for n in facets}
+    g = _grouped(_one(att), groups, {"n": "count_if(in_base)", "goal": _money("CASE WHEN in_base THEN goal END"), "paid": _money("CASE WHEN in_base THEN paid END")})
     out = _long(g, [
-        (kind("meta"), "meta", None, None, {"total_cuentas": F.col("n"), "total_meta": F.col("goal")}),
-        (kind("cumplimiento"), "cumplimiento", F.col("k1"), F.col("k2"),
-         {"META_$": F.col("goal"), "Recaudo_Meta": F.col("paid"), "Faltante": short, "Cumplimiento": guarded_ratio(F.col("paid"), F.col("goal"))}),
-        (kind("rodamiento"), "rodamiento", F.col("k1"), None, {"count": F.col("n")}),
-        (F.col("kind").startswith("f_"), "filtros", F.substring("kind", 3, 100), F.col("k1"), {"n": F.lit(1)}),
+        ("kind = 'meta'", "'meta'", None, None, {"total_cuentas": "n", "total_meta": "goal"}),
+        ("kind = 'cumplimiento'", "'cumplimiento'", "k1", "k2",
+         {"META_$": "goal", "Recaudo_Meta": "paid", "Faltante": f"CAST(goal AS {MONEY}) - CAST(paid AS {MONEY})",
+          "Cumplimiento": "CASE WHEN goal > 0 THEN paid / goal ELSE 0 END"}),
+        ("kind = 'rodamiento'", "'rodamiento'", "k1", None, {"count": "n"}),
+        ("startswith(kind, 'f_')", "'filtros'", "substring(kind, 3)", "k1", {"n": "1"}),
     ])
-    fixed = [("filtros", "estados_gestion", s, "n", 1.0) for s in (CON_GESTION, SIN_GESTION)]
-    return out.unionByName(scope.sparkSession.createDataFrame(fixed, out.schema))
+    fixed = scope.sparkSession.range(1)
+    return out.unionByName(_long(fixed, [("true", "'filtros'", "'estados_gestion'", f"'{s}'", {"n": "1"}) for s in (CON_GESTION, SIN_GESTION)]))
 
 
 def call_metrics(scoped: DataFrame) -> DataFrame:
     """Totals, effectiveness, threshold and daily calls of the scoped calls, in one pass."""
-    day = cl.call_day(scoped)
-    fine = scoped.groupBy(q("Call_Center_Limpio").alias("center"), F.date_format(day, "yyyy-MM-dd").alias("day"),
-                          F.coalesce(q("Estado_Llamada") == "ANSWERED", F.lit(False)).alias("answered")).agg(F.count(F.lit(1)).alias("n"))
-    d = _one(scoped.sparkSession, fine)
-    answer = F.when(F.col("answered"), F.lit("CON RESPUESTA")).otherwise(F.lit("SIN RESPUESTA"))
-    real = F.col("real") == 1
-    g = _grouped(d, {"all": (None, None), "center": (F.col("center"), None), "day": (F.col("day"), answer)},
-                 {"center": real, "day": real & F.col("day").isNotNull()},
-                 F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum(F.when(F.col("answered"), F.col("n"))), F.lit(0)).alias("yes"),
-                 F.countDistinct("center").alias("centers"))
-    kind = lambda k: F.col("kind") == k
-    n, yes = F.col("n"), F.col("yes")
+    fine = scoped.select(q("Call_Center_Limpio").alias("center"), F.date_format(cl.call_day(scoped), "yyyy-MM-dd").alias("day"),
+                         F.expr("coalesce(Estado_Llamada = 'ANSWERED', false) AS answered"))
+    fine = fine.groupBy("center", "day", "answered").agg(F.expr("count(1) AS n"))
+    g = _grouped(_one(fine), {"all": ("true", None, None), "center": ("real", "center", None),
+                              "day": ("real AND day IS NOT NULL", "day", "CASE WHEN answered THEN 'CON RESPUESTA' ELSE 'SIN RESPUESTA' END")},
+                 {"n": "coalesce(sum(n), 0)", "yes": "coalesce(sum(CASE WHEN answered THEN n END), 0)", "centers": "count(DISTINCT center)"})
     return _long(g, [
-        (kind("all"), "llamadas", None, None, {"total_llamadas": n, "con_respuesta": yes, "sin_respuesta": n - yes}),
-        (kind("all"), "umbral", None, None, {"alerta_umbral": F.col("centers") * CALL_THRESHOLD_PER_CENTER}),
-        (kind("center"), "efectividad", F.col("k1"), None, {"Total_Intentos": n, "Con_Respuesta": yes, "Efectividad": F.when(n > 0, yes / n)}),
-        (kind("day"), "por_dia", F.col("k1"), F.col("k2"), {"Total_Llamadas": n}),
+        ("kind = 'all'", "'llamadas'", None, None, {"total_llamadas": "n", "con_respuesta": "yes", "sin_respuesta": "n - yes"}),
+        ("kind = 'all'", "'umbral'", None, None, {"alerta_umbral": f"centers * {CALL_THRESHOLD_PER_CENTER}"}),
+        ("kind = 'center'", "'efectividad'", "k1", None, {"Total_Intentos": "n", "Con_Respuesta": "yes", "Efectividad": "CASE WHEN n > 0 THEN yes / n END"}),
+        ("kind = 'day'", "'por_dia'", "k1", "k2", {"Total_Llamadas": "n"}),
     ])
 
 
 def contact_metrics(att: DataFrame, promises_as_of) -> DataFrame:
     """KPIs, contacts per centre and type, promises per centre of the attributed contacts, in one pass."""
     is_date = dict(att.dtypes).get("Fecha_Compromiso") == "date"
-    promise = F.upper(q("Tipo_Novedad").cast("string")).contains("COMPROMISO")
-    state = F.when(promise, promise_state(q("Fecha_Compromiso"), promises_as_of, is_date=is_date))
-    fine = att.groupBy(q("Call_Center").alias("center"), q("Tipo_Novedad").alias("kind_of"), state.alias("state")).agg(F.count(F.lit(1)).alias("n"))
-    fine = fine.withColumn("of_kind", F.sum("n").over(Window.partitionBy("kind_of")))
-    known = F.col("center") != ct.UNASSIGNED
-    d = _one(att.sparkSession, fine)
-    g = _grouped(d, {"all": (None, None), "center": (F.col("center"), None), "type": (F.col("center"), F.col("kind_of")), "promise": (F.col("center"), F.col("state"))},
-                 {"center": known, "type": known, "promise": known & F.col("state").isNotNull()},
-                 F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum(F.when(~known, F.col("n"))), F.lit(0)).alias("unknown"),
-                 F.min_by("kind_of", F.when(F.col("real") == 1, F.struct((-F.col("of_kind")).alias("c"), F.col("kind_of").alias("t")))).alias("top"))
-    kind = lambda k: F.col("kind") == k
-    count = {"Cantidad": F.col("n")}
+    fine = att.select(q("Call_Center").alias("center"), q("Tipo_Novedad").alias("type"),
+                      F.when(F.expr("upper(CAST(Tipo_Novedad AS STRING)) LIKE '%COMPROMISO%'"),
+                             promise_state(q("Fecha_Compromiso"), promises_as_of, is_date=is_date)).alias("state"))
+    fine = fine.groupBy("center", "type", "state").agg(F.expr("count(1) AS n")).selectExpr("*", "sum(n) OVER (PARTITION BY type) AS of_type")
+    known = f"real AND center <> '{ct.UNASSIGNED}'"
+    g = _grouped(_one(fine), {"all": ("true", None, None), "center": (known, "center", None), "type": (known, "center", "type"),
+                              "promise": (f"{known} AND state IS NOT NULL", "center", "state")},
+                 {"n": "coalesce(sum(n), 0)", "unknown": f"coalesce(sum(CASE WHEN center = '{ct.UNASSIGNED}' THEN n END), 0)",
+                  "top": "min_by(type, CASE WHEN real THEN struct(-of_type AS c, type AS t) END)"})
     return _long(g, [
-        (kind("all"), "kpis", F.coalesce("top", F.lit("N/A")), None, {"total": F.col("n"), "sin_asignar": F.col("unknown")}),
-        (kind("center"), "novedades_cc", F.col("k1"), None, count),
-        (kind("type"), "novedades_tipo", F.col("k1"), F.col("k2"), count),
-        (kind("promise"), "compromisos", F.col("k1"), F.col("k2"), count),
+        ("kind = 'all'", "'kpis'", "coalesce(top, 'N/A')", None, {"total": "n", "sin_asignar": "unknown"}),
+        ("kind = 'center'", "'novedades_cc'", "k1", None, {"Cantidad": "n"}),
+        ("kind = 'type'", "'novedades_tipo'", "k1", "k2", {"Cantidad": "n"}),
+        ("kind = 'promise'", "'compromisos'", "k1", "k2", {"Cantidad": "n"}),
     ])
 
 
@@ -204,9 +196,8 @@ def message_metrics(messages: DataFrame, contacts: DataFrame) -> DataFrame:
     """Effectiveness per centre, and the funnel over the restricted contacts (with their clients' ``pays``)."""
     eff = ms.msg_effectiveness(messages)
     funnel = ms.funnel_stages(messages, ms.paying_phones(contacts))
-    yes = F.lit(True)
-    return _long(eff, [(yes, "mensajeria", F.col("name"), None, {c: F.col(c) for c in ("entregados", "conversaciones", "porcentaje")})]) \
-        .unionByName(_long(funnel, [(yes, "funnel", F.col("name"), None, {"value": F.col("value")})]))
+    return _long(eff, [("true", "'mensajeria'", "name", None, {c: c for c in ("entregados", "conversaciones", "porcentaje")})]) \
+        .unionByName(_long(funnel, [("true", "'funnel'", "name", None, {"value": "value"})]))
 
 
 def live_cc_metrics(detail: DataFrame, contacts: DataFrame, calls: DataFrame, messages: DataFrame,
@@ -226,8 +217,8 @@ def live_cc_metrics(detail: DataFrame, contacts: DataFrame, calls: DataFrame, me
     # one row per client of the scope, written once: contacts are restricted to
     # it by an equi-join on a unique key that also says who pays
     path = fresh_path(spark, "live")
-    (base.callcenter_enrich(scope).where(q("Cedula_Cliente").isNotNull()).groupBy("Cedula_Cliente")
-     .agg(F.max(F.coalesce(q("Estado_Pago") == "PAGO", F.lit(False))).alias("pays")).write.parquet(path))
+    (base.callcenter_enrich(scope).where("Cedula_Cliente IS NOT NULL").groupBy("Cedula_Cliente")
+     .agg(F.expr("max(coalesce(Estado_Pago = 'PAGO', false)) AS pays")).write.parquet(path))
     clients = spark.read.schema(f"Cedula_Cliente {dict(detail.dtypes)['Cedula_Cliente']}, pays boolean").parquet(path)
     if parity and portfolio_scope_is_empty(detail, req, portfolio):
         nov, centers = contacts.withColumn("pays", F.lit(False)), []

@@ -18,6 +18,8 @@ Everything is a table in the job's own folder, made and read by Spark.
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,7 +31,7 @@ PART = "_parte"
 ROW = "_fila"
 FILTER_BITS = 1 << 18  # per range and column: 32 kB when it is full
 BUCKET_BITS = 32_768  # of one bitmap row
-LIST_BUCKETS = 64  # folders that posting lists are dealt to
+LIST_BUCKETS = 16  # folders that posting lists are dealt to
 LISTS = 3  # rarest lists that a lookup intersects
 MANY = 1_000  # ranges that a plan names one by one; more are given as a table
 
@@ -70,20 +72,31 @@ def order_index(spark: SparkSession, path: str) -> DataFrame:
 def write_trigram_filters(rows: DataFrame, path: str, cols) -> None:
     """One bit filter per range and column of its lower-cased trigrams, as rows of 32,768 bits."""
     cols = existing(rows, cols)
-
-    def places(c):
-        return F.transform(trigrams(F.lower(q(c).cast("string"))), lambda t: F.struct(F.lit(c).alias("columna"), place(t).alias("at")))
-
-    # a null text has no trigrams; flatten would take the whole row for null
-    each = [F.coalesce(places(c), F.array().cast("array<struct<columna:string,at:bigint>>")) for c in cols]
-    at = rows.select(PART, F.explode(F.flatten(F.array(*each))).alias("x")).select(PART, "x.columna", F.col("x.at").alias("at"))
+    each = F.array(*[F.struct(F.lit(c).alias("columna"), F.lower(q(c).cast("string")).alias("v")) for c in cols])
+    # a value that many rows of a range repeat is cut into trigrams once
+    values = rows.select(PART, F.explode(each).alias("x")).select(PART, "x.columna", "x.v").where(F.length("v") >= 3).distinct()
+    at = values.select(PART, "columna", F.explode(F.transform(trigrams(F.col("v")), place)).alias("at"))
     bits = at.groupBy(PART, "columna", F.bitmap_bucket_number("at").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
     bits.repartition("bucket").write.partitionBy("bucket").parquet(f"{path}/trigrams")
 
 
 def place(trigram: Column) -> Column:
     """Place of a trigram in a filter, from 1 (as Spark numbers the bits of a bitmap)."""
-    return F.pmod(F.xxhash64(trigram), F.lit(FILTER_BITS)) + 1
+    return F.pmod(F.crc32(trigram.cast("binary")), F.lit(FILTER_BITS)) + 1
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def folders(spark: SparkSession, path: str, column: str, values, schema) -> DataFrame:
+    """Only the folders ``column=value`` of a table: the others are not even listed."""
+    named = [f"{path}/{column}={v}" for v in sorted(set(values))]
+    named = [p for p in named if _exists(spark, p)]
+    if not named:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*named)
 
 
 def parts_with(spark: SparkSession, path: str, term: str, cols) -> DataFrame | None:
@@ -91,30 +104,32 @@ def parts_with(spark: SparkSession, path: str, term: str, cols) -> DataFrame | N
 
     A term that no range can hold gives no rows.
     """
-    grams = term_trigrams(term)
-    if not grams:
+    places = sorted({zlib.crc32(g.encode()) % FILTER_BITS + 1 for g in term_trigrams(term)})
+    if not places:
         return None
-    asked = spark.range(1).select(F.explode(F.array(*[F.lit(g) for g in grams])).alias("g")).select(place(F.col("g")).alias("at")).distinct()
-    places = [r.at for r in asked.collect()]  # at most one per trigram of the term
-    buckets = sorted({(p - 1) // BUCKET_BITS + 1 for p in places})
-    schema = f"{PART} int, columna string, bits binary, bucket long"
-    index = spark.read.schema(schema).parquet(f"{path}/trigrams").where(F.col("bucket").isin(buckets) & F.col("columna").isin(*cols))
+    bucket = lambda p: (p - 1) // BUCKET_BITS + 1
+    index = folders(spark, f"{path}/trigrams", "bucket", map(bucket, places), f"{PART} int, columna string, bits binary, bucket long")
 
     def has(p):
         bit = (p - 1) % BUCKET_BITS
         byte = F.conv(F.hex(F.substring(F.col("bits"), bit // 8 + 1, 1)), 16, 10).cast("int")
-        return (F.col("bucket") == (p - 1) // BUCKET_BITS + 1) & (F.coalesce(byte, F.lit(0)).bitwiseAND(F.lit(1 << bit % 8)) != 0)
+        return (F.col("bucket") == bucket(p)) & (F.coalesce(byte, F.lit(0)).bitwiseAND(F.lit(1 << bit % 8)) != 0)
 
     hits = F.sum(sum((F.when(has(p), 1).otherwise(0) for p in places), F.lit(0)))
-    return index.groupBy(PART, "columna").agg(hits.alias("h")).where(F.col("h") == len(places)).select(PART).distinct()
+    return index.where(F.col("columna").isin(*cols)).groupBy(PART, "columna").agg(hits.alias("h")).where(F.col("h") == len(places)).select(PART).distinct()
+
 
+def rows_of(spark: SparkSession, path: str, schema: T.StructType, parts) -> DataFrame:
+    """The stored rows of some ranges (a list of their numbers)."""
+    return folders(spark, f"{path}/rows", PART, parts, schema)
 
-def only_parts(rows: DataFrame, parts: DataFrame) -> DataFrame:
-    """``rows`` of ``parts``: by name, so that other folders are never opened, unless there are very many."""
+
+def only_parts(rows: DataFrame, path: str, parts: DataFrame) -> DataFrame:
+    """``rows`` of ``parts``: their folders alone are opened, unless there are very many."""
     some = [r[0] for r in parts.limit(MANY + 1).collect()]
     if len(some) > MANY:
         return rows.join(parts, PART, "left_semi")
-    return rows.where(F.col(PART).isin(some)) if some else rows.where(F.lit(False))
+    return rows_of(rows.sparkSession, path, rows.schema, some)
 
 
 def write_postings(rows: DataFrame, path: str, texts: list[Column], order, keep) -> None:
@@ -125,7 +140,7 @@ def write_postings(rows: DataFrame, path: str, texts: list[Column], order, keep)
     kept.write.partitionBy(PART).parquet(f"{path}/lookup")
     kept = rows.sparkSession.read.schema(kept.schema).parquet(f"{path}/lookup")
     grams = F.array_distinct(F.flatten(F.array(*[F.coalesce(trigrams(t), F.array().cast("array<string>")) for t in texts])))
-    post = kept.select(F.explode(grams).alias("gram"), PART, ROW).withColumn("bucket", F.pmod(F.xxhash64("gram"), F.lit(LIST_BUCKETS)).cast("int"))
+    post = kept.select(F.explode(grams).alias("gram"), PART, ROW).withColumn("bucket", _bucket(F.col("gram")))
     # a frequent trigram's list is dealt out by its ranges
     (post.repartition("bucket", F.floor(F.col(PART) / 64)).sortWithinPartitions("bucket", "gram", PART, ROW)
      .write.partitionBy("bucket").parquet(f"{path}/postings"))
@@ -133,14 +148,21 @@ def write_postings(rows: DataFrame, path: str, texts: list[Column], order, keep)
     stored.groupBy("bucket", "gram").agg(F.count(F.lit(1)).alias("n")).repartition("bucket").write.partitionBy("bucket").parquet(f"{path}/lists")
 
 
-def lookup_rows(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
-    """The rows of a lookup with their range and number; ``like`` has their columns."""
+def _bucket(gram: Column) -> Column:
+    return F.pmod(F.crc32(gram.cast("binary")), F.lit(LIST_BUCKETS)).cast("int")
+
+
+def lookup_rows(spark: SparkSession, path: str, like: DataFrame, parts) -> DataFrame:
+    """The rows of some ranges of a lookup, with their range and number; ``like`` has their columns."""
     schema = T.StructType([T.StructField(ROW, T.IntegerType()), *like.schema.fields, T.StructField(PART, T.IntegerType())])
-    return spark.read.schema(schema).parquet(f"{path}/lookup")
+    return folders(spark, f"{path}/lookup", PART, parts, schema)
+
+
+POSTING = f"gram string, {PART} int, {ROW} int, bucket int"
 
 
 def _postings(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(f"gram string, {PART} int, {ROW} int, bucket int").parquet(f"{path}/postings")
+    return spark.read.schema(POSTING).parquet(f"{path}/postings")
 
 
 def candidates(spark: SparkSession, path: str, term: str) -> DataFrame | None:
@@ -148,13 +170,11 @@ def candidates(spark: SparkSession, path: str, term: str) -> DataFrame | None:
     grams = term_trigrams(term)
     if not grams:
         return None
-    of = spark.range(1).select(F.explode(F.array(*[F.lit(g) for g in grams])).alias("gram")) \
-        .select("gram", F.pmod(F.xxhash64("gram"), F.lit(LIST_BUCKETS)).cast("int").alias("bucket")).collect()
-    named = lambda df, some: df.where(F.col("bucket").isin(sorted({r.bucket for r in some})) & F.col("gram").isin([r.gram for r in some]))
-    lists = named(spark.read.schema("gram string, n long, bucket int").parquet(f"{path}/lists"), of).orderBy("n", "gram").collect()
-    post = _postings(spark, path)
-    if len(lists) < len(of):  # a trigram that no row has
-        return post.select(PART, ROW).where(F.lit(False))
-    rare = {r.gram for r in lists[:LISTS]}
-    post = named(post, [r for r in of if r.gram in rare])
+    bucket = {g: zlib.crc32(g.encode()) % LIST_BUCKETS for g in grams}
+    lists = folders(spark, f"{path}/lists", "bucket", bucket.values(), "gram string, n long, bucket int") \
+        .where(F.col("gram").isin(grams)).collect()  # a number for each trigram of the term
+    if len(lists) < len(grams):  # a trigram that no row has
+        return spark.createDataFrame([], f"{PART} int, {ROW} int")
+    rare = [r.gram for r in sorted(lists, key=lambda r: (r.n, r.gram))[:LISTS]]
+    post = folders(spark, f"{path}/postings", "bucket", [bucket[g] for g in rare], POSTING).where(F.col("gram").isin(rare))
     return post.groupBy(PART, ROW).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == len(rare)).select(PART, ROW)
