@@ -16,8 +16,15 @@ from collectra.llm.common import pick, ship, table, texts, written
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity score reaches the threshold go."""
+    """Documents whose toxicity score reaches the threshold go.
+
+    The others stay as they are: repeated rows, null ids, null and empty texts
+    (which have no evidence).  Where the labels give the model no term to judge by,
+    nothing goes; an empty table stays empty.
+    """
     model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    if not model.vocabulary:
+        return docs
     names = docs.columns
     d = docs.toDF(*[f"c{i}" for i in range(len(names))])
     score = toxicity.score_udf(spark, model)(F.col(f"c{names.index('text')}").cast("string"))["score"]
@@ -25,7 +32,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines with an earlier line within one edit go; a document that loses all its words goes too."""
+    """Lines with an earlier line within one edit go; a document that loses all its words goes too.
+
+    A document that loses nothing stays untouched, a null or blank text too;
+    ``n_chars`` follows a changed text.
+    """
     ship(spark)
     names = docs.columns
     d = line_dedup.dedup_lines(docs)
@@ -38,22 +49,46 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by SimHash, the one with the smallest id stays."""
+    """Of documents linked by SimHash, one row stays: that of the smallest id.
+
+    Of rows that repeat this id the smallest one stays (text first, then the other
+    columns).  A row without an id goes where a row with one is linked; of
+    unidentified rows that only share a fingerprint among themselves the smallest
+    stays.
+    """
     ship(spark)
-    classes = simhash.near_duplicates(docs, shingle=3, max_bits=3)
+    classes = written(spark, simhash.near_duplicates(docs, shingle=3, max_bits=3), "classes")
     gone = written(spark, classes.where(F.col("component_id") < F.col("doc_id")).select(F.col("doc_id").alias("gone_id")).distinct(), "gone")
     names = docs.columns
-    d = docs.toDF(*[f"c{i}" for i in range(len(names))])
-    return d.join(gone, F.col(f"c{names.index('doc_id')}") == F.col("gone_id"), "left_anti").toDF(*names)
+    at, key = names.index("doc_id"), F.col(f"c{names.index('doc_id')}")
+    columns = [f"c{i}" for i in range(len(names))]
+    # the smallest row of a group is found inside the tasks first: a hot id sends one row per task
+    order = F.struct(f"c{names.index('text')}", *[c for c in columns if c not in (f"c{at}", f"c{names.index('text')}")], f"c{at}")
+    smallest = lambda d, by: d.groupBy(by).agg(F.min(order).alias("r")).select(*[f"r.{c}" for c in columns])
+    d = docs.toDF(*columns)
+    kept = d.where(key.isNotNull()).join(gone, key == F.col("gone_id"), "left_anti")
+    repeated = written(spark, classes.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("again")), "repeated")
+    if not repeated.isEmpty():
+        again = F.col(f"c{at}") == F.col("again")
+        kept = kept.join(repeated, again, "left_anti").unionByName(smallest(kept.join(repeated, again, "left_semi"), f"c{at}"))
+    if not classes.where(F.col("doc_id").isNull()).isEmpty():
+        linked = classes.where(F.col("component_id").isNotNull()).select("fp").distinct()
+        nameless = simhash.with_fingerprint(d.where(key.isNull()), f"c{names.index('text')}", 3).join(linked, "fp", "left_anti")
+        kept = kept.unionByName(smallest(nameless, "fp"))
+    return kept.toDF(*names)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row for each time that the mix takes words of a document."""
+    """A row for each time that the mix takes words of a document, with exactly those words.
+
+    Documents without words are not taken; equal rows share what the mix takes of
+    them; a null source is a source of its own; null ids stay null.
+    """
     return mixing.mix(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every row, and the digest of the text that they decode to."""
+    """Token ids of every row, and the digest of the text that they decode to; a null text is empty and has no ids."""
     ship(spark)
     return bpe.encode(texts(docs, "source"), public_tokenizers.path("byte_bpe_50k.json"), with_ids=True)
 
