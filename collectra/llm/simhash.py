@@ -35,6 +35,7 @@ reaches (null if none).  Extra columns are ignored.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -82,6 +83,16 @@ def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
     return d.mapInArrow(run, f"doc_id {kind}, fp long")
 
 
+def with_fingerprint(df: DataFrame, text: str, shingle: int) -> DataFrame:
+    """``df`` with ``fp``, the fingerprint of its column ``text`` (null counts as empty)."""
+    @F.pandas_udf("long")
+    def fp(batch: pd.Series) -> pd.Series:
+        values = np.array([fingerprint((t or "").encode(), shingle) for t in batch], dtype=np.uint64)
+        return pd.Series(values.view(np.int64))
+
+    return df.withColumn("fp", fp(F.col(text).cast("string")))
+
+
 # --- the index over the rows of one top node ------------------------------------
 
 def popcount(x: np.ndarray) -> np.ndarray:

@@ -1,9 +1,15 @@
 """Toxicity: votes of the nearest labelled examples by exact TF-IDF cosine.
 
 *Terms* are words and the beginnings of words (``BEGINNINGS`` letters) whose
-presence in the labelled texts depends on the label (chi-square of at least
-``CHI_SQUARE``, in at least ``MIN_TEXTS`` different texts), so that likeness means
-likeness in what the label is about.  Vectors are (1 + log tf) * idf, of length one.
+presence in the labelled texts depends on the label, so that likeness means
+likeness in what the label is about: log odds of at least ``STRONG`` between the
+labels, in at least ``MIN_TEXTS`` different texts, and a chi-square of at least
+``SIGNIFICANT`` times the logarithm of the number of terms that are tested.  The
+first does not depend on the number of texts, the last only keeps chance terms
+out (of m tested terms about m ** -0.5 pass by chance); fifty labelled texts are
+enough if a word tells them apart.  ``MIN_TEXTS`` leaves out words that fewer
+labelled texts hold; if more than ``MAX_TERMS`` qualify, those of the largest
+chi-square are taken.  Vectors are (1 + log tf) * idf, of length one.
 
 *Index.*  Examples that have a term stand in blocks of ``BLOCK``; a term's
 postings keep, per block, their entries and the largest weight.  A query adds up
@@ -29,6 +35,7 @@ kinds all scores are the share of label 1 (0 if there are none).  Extra columns
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from dataclasses import dataclass
@@ -44,7 +51,8 @@ from collectra.llm.common import bounded_sample, fold, label_rows, pick, texts,
 
 MAX_ROWS = 20_000
 MAX_TERMS = 16_384
-CHI_SQUARE = 60.0
+SIGNIFICANT = 3.0
+STRONG = 3.0
 MIN_TEXTS = 5
 BEGINNINGS = (5, 6, 7, 8, 9)
 NEIGHBOURS = 16
@@ -229,14 +237,17 @@ def learn(docs: DataFrame, labels: DataFrame, parts: int = 4, held: int = 2, lab
                                        pa.array([ones[t] for t in all_], pa.int64())], names=["term", "texts", "with_1"])
 
     if 0 < positive < n:
-        table = (labelled.drop("y").join(single.select("doc_id", "y"), "doc_id").select("text", "y")
+        table = written(spark, labelled.drop("y").join(single.select("doc_id", "y"), "doc_id").select("text", "y")
                  .mapInArrow(present, "term string, texts long, with_1 long")
-                 .groupBy("term").agg(F.sum("texts").alias("texts"), F.sum("with_1").alias("with_1")).where(F.col("texts") >= MIN_TEXTS))
+                 .groupBy("term").agg(F.sum("texts").alias("texts"), F.sum("with_1").alias("with_1")).where(F.col("texts") >= MIN_TEXTS), "terms")
+        tested = max(2, table.count())
         # chi-square of the two-by-two table of presence and label
         a, m, p = F.col("with_1").cast("double"), F.col("texts").cast("double"), positive / n
         off = a - m * F.lit(p)
         chi = off * off / (m * F.lit(p) * F.lit(1 - p) * (1 - m / F.lit(float(n))) + F.lit(1e-9))
-        chosen = (table.withColumn("chi", chi).where(F.col("chi") >= CHI_SQUARE)
+        # log odds of the term between the labels, each count with a half more
+        odds = F.log((a + 0.5) / (positive - a + 0.5)) - F.log((m - a + 0.5) / ((n - positive) - (m - a) + 0.5))
+        chosen = (table.withColumn("chi", chi).where((F.col("chi") >= SIGNIFICANT * math.log(tested)) & (F.abs(odds) >= STRONG))
                   .orderBy(F.desc("chi"), "term").limit(MAX_TERMS).toPandas().sort_values("term"))
         vocabulary, idf = chosen["term"].tolist(), np.log1p(n / chosen["texts"].to_numpy(dtype=np.float64))
         sent = spark.sparkContext.broadcast(set(vocabulary))  # at most MAX_TERMS words
