@@ -55,27 +55,44 @@ def unified_base(attributed: DataFrame) -> DataFrame:
         F.col("_goal").alias("META_UNIFICADA"), q("Recaudo_Meta"), q("Rodamiento"), q("Cedula_Cliente"))
 
 
+def contact_order(columns, order_col: str = "seq") -> list[str]:
+    """Columns that tell which of a client's contacts is the last: key, date, type, note, as far as there."""
+    return [c for c in [order_col, "Fecha_Novedad", "Tipo_Novedad", "Novedad"] if c in columns]
+
+
+def last_contacts(contacts: DataFrame, order_col: str = "seq") -> DataFrame:
+    """(Cedula_Cliente, last): the largest (key, date, type, note) per client, also of a stream."""
+    order = contact_order(contacts.columns, order_col)
+    return (contacts.where(q("Cedula_Cliente").isNotNull()).groupBy("Cedula_Cliente")
+            .agg(F.max(F.struct(*[q(c).alias(c) for c in order])).alias("last")))
+
+
 def latest_contact(contacts: DataFrame, order_col: str = "seq") -> DataFrame:
     """Last contact per client by an explicit order key (row order on landing).
 
-    One hash aggregate: the largest (key, date, type, note) per client, so a
-    client holding a large share of the log sends one row per task, and rows
-    that repeat a key are told apart by their values, never by their partition.
-    A log without the key goes by date, then by the largest values.
+    One hash aggregate, so a client holding a large share of the log sends one
+    row per task, and rows that repeat a key are told apart by their values,
+    never by their partition.  A log without the key goes by date, then by the
+    largest values.
     """
-    cols = [c for c in ["Tipo_Novedad", "Novedad"] if c in contacts.columns]
-    order = [c for c in [order_col, "Fecha_Novedad", *cols] if c in contacts.columns]
-    last = F.max(F.struct(*[q(c).alias(f"k{i}") for i, c in enumerate(order)])).alias("last")
-    return (contacts.where(q("Cedula_Cliente").isNotNull()).groupBy("Cedula_Cliente").agg(last)
-            .select("Cedula_Cliente", *[F.col(f"last.k{order.index(c)}").alias(c) for c in cols]))
+    return of_last(last_contacts(contacts, order_col))
 
 
-def join_latest_contact(detail: DataFrame, contacts: DataFrame, order_col: str = "seq") -> DataFrame:
-    out = detail.join(latest_contact(contacts, order_col), "Cedula_Cliente", "left")
+def of_last(last: DataFrame) -> DataFrame:
+    fields = last.schema["last"].dataType.names
+    return last.select("Cedula_Cliente", *[F.col(f"last.{c}").alias(c) for c in ["Tipo_Novedad", "Novedad"] if c in fields])
+
+
+def with_latest(detail: DataFrame, latest: DataFrame) -> DataFrame:
+    out = detail.join(latest, "Cedula_Cliente", "left")
     return out.withColumns({"Tipo_Novedad": F.coalesce(q("Tipo_Novedad"), F.lit("SIN NOVEDAD")),
                             "Novedad": F.coalesce(q("Novedad"), F.lit(""))})
 
 
+def join_latest_contact(detail: DataFrame, contacts: DataFrame, order_col: str = "seq") -> DataFrame:
+    return with_latest(detail, latest_contact(contacts, order_col))
+
+
 def management_detail(portfolio: DataFrame, contacts: DataFrame) -> DataFrame:
     att = attribute_centers(callcenter_enrich(portfolio)).drop("_branch", "_agent", "_goal")
     return join_latest_contact(att, contacts)

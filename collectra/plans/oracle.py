@@ -336,6 +336,7 @@ BODIES: dict[str, str] = {
     "join_contact_detail": f"""SELECT "Credito", "Cargo_Usuario", "Novedades_Por_Cargo", seq, "Tipo_Novedad", "Novedad",
         "Nombre_Usuario", {d('Fecha_Novedad')} FROM detail""",
     "join_latest_contact": 'SELECT "Credito", "CALL_CENTER_FILTRO", "Tipo_Novedad", "Novedad" FROM mdetail',
+    "latest_contact_state": 'SELECT "Cedula_Cliente", "Tipo_Novedad", "Novedad" FROM last_contact',
     "msg_phone_match": 'SELECT seq, "Tel_Norm" FROM conv WHERE "Tel_Norm" IN (SELECT "Tel" FROM phones)',
     "msg_payer_match": """SELECT c.seq, c."Tel_Norm", pc."Cedula_Cliente" FROM conv c
         JOIN phone_clients pc ON c."Tel_Norm" = pc."Tel" JOIN payers p ON pc."Cedula_Cliente" = p."Cedula_Cliente"

@@ -173,7 +173,30 @@ def read_landed_report(spark: SparkSession, landing_dir: str, fmt: str = "parque
             for k in SHEETS}
 
 
+def landed_errors(spark: SparkSession, landing_dir: str, fmt: str = "parquet") -> DataFrame:
+    """Sheets, files and cells of a landed report that could not be read, with the reason."""
+    from collectra.schemas import (APPLICATION_SCHEMA, CALL_SCHEMA, CONTACT_SCHEMA, MESSAGE_SCHEMA, PORTFOLIO_SCHEMA)
+    from collectra.sources.landing import sheet_errors
+    from pyspark.sql import types as T
+
+    # the instalment holds more than numbers on purpose (the prepaid mark)
+    portfolio = T.StructType([f for f in PORTFOLIO_SCHEMA.fields if f.name != "Valor_Cuota_Vigente"])
+    schemas = {"portfolio": portfolio, "contacts": CONTACT_SCHEMA, "calls": CALL_SCHEMA, "messages": MESSAGE_SCHEMA, "applications": APPLICATION_SCHEMA}
+    return functools.reduce(DataFrame.unionByName, [
+        sheet_errors(spark, SHEETS[k], f"{landing_dir.rstrip('/')}/{SHEETS[k]}", schemas[k], fmt) for k in SHEETS])
+
+
 def run_landed_report(spark: SparkSession, landing_dir: str, root: str, job_id: str, empresa: str,
                       as_of, promises_as_of=None, **kw) -> dict:
+    """The report of a landing folder.  What cannot be read of it is stored with the
+    job (``errores_carga``) and the rest goes on; a landing without any readable
+    sheet is an error."""
+    from pyspark.sql import functions as F
+
+    store.write_detail(landed_errors(spark, landing_dir), root, "errores_carga", job_id)
+    errors = store.resolve_dataset(spark, root, "errores_carga", job_id)
+    lost = errors.where(F.col("archivo").endswith(F.col("hoja")) & F.col("columna").isNull()).select("hoja").distinct().count()
+    if lost == len(SHEETS):
+        raise FileNotFoundError(f"no sheet can be read in {landing_dir}")
     return run_report(spark, read_landed_report(spark, landing_dir), root, job_id, empresa, as_of,
                       promises_as_of, **kw)

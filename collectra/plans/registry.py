@@ -250,6 +250,17 @@ def _(spark, sf):
     return ingest_call_drops(spark, sf)
 
 
+@query("latest_contact_state")
+def _(spark, sf):
+    """The contact log landed in drops, two files to a micro-batch: last contact per client from the kept state."""
+    from collectra.streaming import state
+    raw = fx.contacts_raw(spark, sf)
+    land = fresh_path(spark, "landing", "contact-drops")
+    raw.repartition(6).write.parquet(land)
+    out = state.ingest_contacts(spark, land, raw.schema, fresh_path(spark, "ingest", "state"), fresh_path(spark, "ingest", "ckpt"), files_per_batch=2)
+    return base.of_last(state.stored_last(spark, out))
+
+
 # ---------------------------------------------------------------- 2.2 scalar rules
 @query("parse_mixed_dates")
 def _(spark, sf):
