@@ -22,13 +22,16 @@ braces, blank lines) are structure and stay.
 
 Edge cases: a null text is an empty text; rows that repeat a ``doc_id`` are one
 document, whose line n is the same place in all of them; rows with a null
-``doc_id`` come after all others.  Extra columns are ignored.
+``doc_id`` are documents of their own, equal texts among them one, and come after
+all others by a hash of the text (ids from 2^63 - 2^55 on must not be used).
+Extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -37,6 +40,7 @@ from collectra.llm.common import let, texts, written
 
 MIN_CHARS = 20
 LAST = (1 << 63) - 1
+SLICE_CHARS = 1 << 17  # characters of lines whose variants a task makes at a time
 PRIMES = (2_147_483_647, 2_147_483_629)
 BASES = (1_000_003, 998_244_353)
 
@@ -45,9 +49,14 @@ def bare(line: Column) -> Column:
     return F.btrim(line, F.lit(" \t\n\x0b\x0c\r"))
 
 
+def place_key(doc_id: Column, text: Column) -> Column:
+    """A document's place in the order: its id; without one, after all others by a hash of its text."""
+    return F.coalesce(doc_id.cast("long"), F.lit(LAST) - F.shiftrightunsigned(F.xxhash64(F.coalesce(text.cast("string"), F.lit(""))), 8))
+
+
 def occurrences(docs: DataFrame, min_chars: int) -> DataFrame:
     """(doc_id, line_no, line) of the lines that take part."""
-    d = texts(docs).withColumn("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)))
+    d = texts(docs).withColumn("doc_id", place_key(F.col("doc_id"), F.col("text")))
     each = d.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     return each.withColumn("line", bare(F.col("line"))).where(F.char_length("line") >= min_chars)
 
@@ -81,6 +90,14 @@ def _powers(n: int, p: int, base: int) -> np.ndarray:
     return have[:n]
 
 
+def char_slices(batch: pa.RecordBatch, column: int):
+    """Slices of about ``SLICE_CHARS`` characters of a column, a longer line by itself."""
+    upto = np.cumsum(pc.utf8_length(batch.column(column)).to_numpy())
+    start = np.flatnonzero(np.diff(upto // SLICE_CHARS, prepend=-1))
+    for a, b in zip(start, [*start[1:], batch.num_rows], strict=True):
+        yield batch.slice(a, b - a)
+
+
 def _halves(line: Column) -> list[Column]:
     """Keys of the halves that one edit leaves alone: for the line as the shorter
     of a pair, as one of two equal lengths, and as the longer."""
@@ -106,8 +123,7 @@ def near_lines(distinct: DataFrame, lines: DataFrame) -> DataFrame:
 
     def variants(batches):
         for b in batches:
-            for i in range(0, b.num_rows, 1024):
-                part = b.slice(i, 1024)
+            for part in char_slices(b, 4):
                 found = [variant_rows(x) for x in part.column(4).to_pylist()]  # line
                 if not found:
                     continue
@@ -136,7 +152,7 @@ def near_lines(distinct: DataFrame, lines: DataFrame) -> DataFrame:
 
 
 def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(doc_id, line_no, h1, near) of every place whose line is dropped; a null doc_id is ``LAST``."""
+    """(doc_id, line_no, h1, near) of every place whose line is dropped; ``doc_id`` is the :func:`place_key`."""
     spark = docs.sparkSession
     lines = occurrences(docs, min_chars)
     halves = _halves(F.col("line"))
@@ -167,7 +183,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     names = docs.columns
     at = {c: F.col(f"c{names.index(c)}") for c in ("doc_id", "text")}
     d = docs.toDF(*[f"c{i}" for i in range(len(names))])
-    d = d.join(by_doc, F.coalesce(at["doc_id"].cast("long"), F.lit(LAST)) == F.col("drop_id"), "left")
+    d = d.join(by_doc, place_key(at["doc_id"], at["text"]) == F.col("drop_id"), "left")
     split = F.split(at["text"], "\n")
 
     def cut(lines):

@@ -278,3 +278,27 @@ def test_one_document_of_each_group_stays(spark, odd):
     ids = sorted(r[0] for r in kept.select(F.col("doc_id")).collect() if r[0] is not None)
     roots = brute_components({r[0]: brute_fingerprint(r[1]) for r in rows() if r[0] is not None}, 3)
     assert ids == sorted([i for i, c in roots.items() if i == c] + [8])
+
+
+def test_lines_of_rows_without_an_id_and_of_a_repeated_id(spark):
+    """Each text without an id is a document of its own; rows of one id are one document."""
+    same, other = "this line stands in each of the texts", "a second line that all of them hold, too"
+    docs = [(None, f"{same}\nfirst of the texts without an id {i} {i * 7919}") for i in range(3)] + [(None, f"{other}\n{same}")] * 2 + [(9, other), (9, other), (9, f"{other} and more of it")]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    got = [(r.doc_id, r.text) for r in line_dedup.dedup_lines(df).collect()]
+    text = [t for _, t in got]
+    # one text without an id keeps the line (both rows of it, if it is the repeated one)
+    holders = {t for i, t in got if same in t.split("\n")}
+    assert len(got) == 8 and len(holders) == 1
+    assert sum(t.startswith("first of") or "\nfirst of" in t for t in text) == 3  # own lines stay
+    assert sorted(t for i, t in got if i == 9) == sorted([other, other, f"{other} and more of it"])
+    assert not any(other in t.split("\n") for i, t in got if i is None)
+
+
+def test_very_long_lines_with_a_neighbour(spark):
+    rng = np.random.default_rng(2)
+    line = "".join(rng.choice(list("abcdefgh "), 100_000))
+    near = line[:50_000] + "#" + line[50_001:]
+    df = spark.createDataFrame([(1, line), (2, near), (3, line[:-1]), (4, line[::-1])], "doc_id long, text string")
+    got = {r.doc_id: (r.n_near, len(r.text)) for r in line_dedup.dedup_lines(df).collect()}
+    assert got == {1: (0, 100_000), 2: (1, 0), 3: (1, 0), 4: (0, 100_000)} or line.strip() != line
