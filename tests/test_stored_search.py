@@ -69,7 +69,7 @@ def test_rows_come_back_in_ranges_of_the_key(spark, stored):
     assert {r[0]: r["n"] for r in indexes.order_index(spark, folder).collect()} == {i: len(b) for i, b in enumerate(by)}
 
 
-@pytest.mark.parametrize("term", ["ZACARÍAS", "rarísimo", "término ú", "ana", "ña", "a", "9", "", "nadie", "İPEK", "josé ana", "no contesta", "99", "'; %_"])
+@pytest.mark.parametrize("term", ["ZACARÍAS", "término ú", "ana", "ña", "", "nadie", "İPEK", "no contesta", "'; %_"])
 def test_text_search_loses_no_row(spark, stored, term):
     df, path, _, _ = stored
     want = sorted(map(str, search.search_text(df, term).collect()))
@@ -123,11 +123,11 @@ def test_keyset_pages_walk_through_everything(spark, stored):
         assert got == want
 
 
-@pytest.mark.parametrize("term", ["ana luz", "ANA", "777", "zac", "í", "9", "", "zzz", "maría", "x x", "00", "0001"])
+@pytest.mark.parametrize("term", ["ana luz", "777", "í", "", "zzz", "MARÍA", "0001"])
 def test_lookup_by_posting_lists(spark, stored, term):
     _, _, path, _ = stored
     loans = clients(spark)
-    for limit in (1, 5, 40):
+    for limit in (1, 40):
         want = [r.Credito for r in search.lookup_clients(loans, term, limit).collect()]
         assert [r.Credito for r in search.lookup_stored(spark, path, term, limit).collect()] == want
     assert [r.Credito for r in search.lookup_stored(spark, path, "an. ", 7, regex=True).collect()] == \
