@@ -6,6 +6,7 @@ import pytest
 from samples import SF, rows
 
 from collectra.llm import langid, quality, queries, toxicity
+from collectra.llm.common import table
 
 BIG = "/root/testdata/sf0.01"
 
@@ -147,3 +148,92 @@ def test_toxicity_edges(odd, empty, labels, no_labels):
             assert len(got) == n and all(0 <= r.score <= 1 for r in got)
     assert all(r.score == 0 and r.neighbours == [] for r in toxicity.toxicity(odd, no_labels).collect())
     assert {r.score for r in toxicity.toxicity(odd, labels).collect()} == {0.5}  # one text of each label, no term that tells
+
+
+def test_op4_against_plain_gram_sets(spark):
+    """Every prediction and score against sets of n-grams counted plainly from the same labelled texts."""
+    from collections import Counter
+
+    def plain(text):
+        out = Counter()
+        for w in "".join(c if c.isalpha() else " " for c in (text or "").lower()).split():
+            out.update(f" {w} "[i:i + n] for n in langid.SIZES for i in range(len(w) + 3 - n))
+        return out
+
+    docs = table(spark, SF, "documents").collect()
+    counts, labelled = {}, Counter()
+    for r in docs:
+        if r.lang is not None and r.text is not None and zlib.crc32(str(r.doc_id).encode()) % 4 != 2:
+            counts.setdefault(r.lang, Counter()).update(plain(r.text))
+            labelled[r.lang] += 1
+    freq = {x: {g: n / c.total() for g, n in c.items()} for x, c in counts.items()}
+    top = Counter()
+    for f in freq.values():
+        for g, v in f.items():
+            top[g] = max(top[g], v)
+    own = {x: {g for g, v in f.items() if v >= langid.SHARE * top[g]} for x, f in freq.items()}
+    assert max(map(len, own.values())) < langid.MAX_GRAMS and max(labelled.values()) < langid.MAX_DOCS  # all of them are learnt
+    got = {r.doc_id: r for r in queries.op4_language(spark, SF).collect()}
+    long = 0
+    for r in docs:
+        g = plain(r.text)
+        if not g:
+            assert (got[r.doc_id].lang_pred, got[r.doc_id].score) == ("und", 0.0)
+            continue
+        hits = {x: sum(n for k, n in g.items() if k in s) for x, s in own.items()}
+        best, second = sorted(hits.values())[-1], sorted(hits.values())[-2]
+        if best - second > 0.1 * g.total():  # beyond what the filter's chance hits can turn
+            assert got[r.doc_id].lang_pred == max(hits, key=hits.get)
+        if g.total() > 500:
+            long += 1
+            assert abs(got[r.doc_id].score - hits[got[r.doc_id].lang_pred] / sum(hits.values())) < 0.03
+    assert long > 50
+
+
+def test_op6_against_plain_cosines_votes_and_calibration(spark):
+    """The query's scores from dense vectors, all examples compared, and a calibration by plain averages."""
+    from collections import Counter
+    big = "/root/testdata/sf0.01"
+    docs, labels = table(spark, big, "documents"), table(spark, big, "labels")
+    model = toxicity.learn(docs, labels)
+    text = {r.doc_id: r.text for r in docs.collect()}
+    names = list(model.vocabulary)
+
+    def dense(t):
+        c = Counter(x for x in toxicity.terms(toxicity.words(t)) if x in model.vocabulary)
+        v = np.array([(1 + np.log(c[x])) * model.idf[model.vocabulary[x]] if c[x] else 0.0 for x in names])
+        return v / np.sqrt(v @ v) if v.any() else v
+
+    examples = np.array([dense(text[i]) for i in model.ids.tolist()])
+
+    def vote(v, without=None):
+        sims = examples @ v
+        near = [i for i in sorted(range(len(sims)), key=lambda i: (-round(sims[i], 12), i)) if sims[i] > 0 and i != without][:toxicity.NEIGHBOURS]
+        w = np.array([sims[i] for i in near])
+        return (sum(w * model.labels[near]) + toxicity.PRIOR * model.prior) / (w.sum() + toxicity.PRIOR) if near else model.prior
+
+    votes = [vote(v, i) for i, v in enumerate(examples)]
+    rows = {r.doc_id for r in labels.where("toxic in (0, 1)").collect() if r.doc_id in text}
+    learnt = [i for i in rows if zlib.crc32(str(i).encode()) % 4 != 2]
+    pairs = sorted(zip(votes + [model.prior] * (len(learnt) - len(votes)), [*model.labels, *[model.prior] * (len(learnt) - len(votes))]))
+    blocks = []
+    for x, y in pairs:  # equal votes first, then pool what falls
+        if blocks and blocks[-1][2] == x:
+            blocks[-1][0] += y
+            blocks[-1][1] += 1
+        else:
+            blocks.append([y, 1, x, x])
+    i = 0
+    while i + 1 < len(blocks):
+        a, b = blocks[i], blocks[i + 1]
+        if a[0] / a[1] >= b[0] / b[1]:
+            blocks[i:i + 2] = [[a[0] + b[0], a[1] + b[1], a[2], b[3]]]
+            i = max(0, i - 1)
+        else:
+            i += 1
+    at, level = [p for b in blocks for p in b[2:]], [b[0] / b[1] for b in blocks for _ in (0, 1)]
+    got = {r.doc_id: r for r in queries.op6_toxicity(spark, big).collect()}
+    assert len(got) == len(text)
+    for i, t in text.items():
+        want = float(np.interp(vote(dense(t)), at, level))
+        assert abs(got[i].score - want) < 1e-6 and got[i].predicted == int(got[i].score >= toxicity.THRESHOLD)
