@@ -23,7 +23,7 @@ from collectra.operators.callcenter import base, calls as cl, contacts as ct, fu
 from collectra.schemas import (CONTACT_SCHEMA, ROLL_RATE_TABLE_COLUMNS)
 from collectra.session import fresh_path
 from collectra.sources import fixtures as fx
-from collectra.sources import landing, store
+from collectra.sources import indexes, landing, store
 from collectra.sources.materialize import input_version, materialized, prepared
 
 AS_OF = _dt.date.fromisoformat(fx.AS_OF_PORTFOLIO)
@@ -100,6 +100,11 @@ class T:
         return prepared(self.spark, "search", self.sf, version=self.version,
                         make=lambda root: store.search_tables(root, JOB, self.contact_detail(), self.portfolio()))
 
+    def numbered_contacts(self):
+        """The contact log with its clients' numbers, as stored with a job."""
+        return self._m("numbered_contacts", lambda: indexes.with_client(
+            self.contacts(), indexes.client_numbers(self.portfolio(), fresh_path(self.spark, "clients"))))
+
     def management_detail(self):
         """The stored call-centre detail that live metrics filter."""
         return self._m("management_detail", lambda: base.management_detail(self.portfolio(), self.contacts()))
@@ -512,7 +517,8 @@ def _(spark, sf):
 @query("semi_join_validity")
 def _(spark, sf):
     t = _t(spark, sf)
-    return search.semi_join_validity(t.contacts(), t.portfolio(), ["anticipado"]).select("seq", "Cedula_Cliente")
+    bitmaps = store.read_stored(spark, t.search_tables()["busqueda_validez"])
+    return indexes.keep_states(t.numbered_contacts(), bitmaps, ["anticipado"]).select("seq", "Cedula_Cliente")
 
 
 @query("semi_join_contacts")
@@ -749,7 +755,8 @@ def _(spark, sf):
     t = _t(spark, sf)
     req = _search_req(page=3, page_size=20, zona=["CL1", "CL2", "CL3", "CL4"], cargos=["GESTOR"],
                       novedades=["Con Novedades"], vigencia=["vigente"])
-    page = search.find_page_stored(spark, t.search_tables()["busqueda_gestion"], req, portfolio=t.portfolio()).with_metadata()
+    tables = t.search_tables()
+    page = search.find_page_stored(spark, tables["busqueda_gestion"], req, validity=store.read_stored(spark, tables["busqueda_validez"])).with_metadata()
     return page.select("Credito", "seq", "Zona", "Cargo_Usuario", "Tipo_Novedad", "total_registros",
                        "pagina_actual", "total_paginas")
 

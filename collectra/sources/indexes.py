@@ -13,6 +13,12 @@ drops nothing; a row is never lost.
 list: a lookup intersects its rarest lists, reads the rows they name and
 verifies them, in key order, until it has enough.
 
+*Client bitmaps.*  Clients are numbered, stored rows carry their client's number,
+and each validity state has the set of its clients as bitmaps of 32,768 numbers.
+A validity filter looks a row's bit up: the bitmaps (an eighth of a byte per
+client) meet the detail by bucket, in a broadcast where Spark measures them small
+enough, so the detail is not shuffled.
+
 Everything is a table in the job's own folder, made and read by Spark.
 """
 
@@ -29,6 +35,7 @@ from collectra.functions.columns import existing, q
 
 PART = "_parte"
 ROW = "_fila"
+CLIENT = "_cliente"
 FILTER_BITS = 1 << 18  # per range and column: 32 kB when it is full
 BUCKET_BITS = 32_768  # of one bitmap row
 LIST_BUCKETS = 16  # folders that posting lists are dealt to
@@ -178,3 +185,40 @@ def candidates(spark: SparkSession, path: str, term: str) -> DataFrame | None:
     rare = [r.gram for r in sorted(lists, key=lambda r: (r.n, r.gram))[:LISTS]]
     post = folders(spark, f"{path}/postings", "bucket", [bucket[g] for g in rare], POSTING).where(F.col("gram").isin(rare))
     return post.groupBy(PART, ROW).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == len(rare)).select(PART, ROW)
+
+
+def client_numbers(portfolio: DataFrame, path: str) -> DataFrame:
+    """(Cedula_Cliente, _cliente): the clients numbered from 0 in their order, written at ``path``."""
+    spark = portfolio.sparkSession
+    clients = portfolio.select("Cedula_Cliente").where(q("Cedula_Cliente").isNotNull()).distinct()
+    (clients.repartitionByRange("Cedula_Cliente").sortWithinPartitions("Cedula_Cliente")
+     .withColumn("mid", F.monotonically_increasing_id()).write.parquet(path))
+    placed = spark.read.schema(clients.schema.add("mid", "long")).parquet(path)
+    part = F.shiftright("mid", 33)
+    sizes = placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"))  # one row per written partition
+    before = F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    offset = sizes.select("part", F.coalesce(before, F.lit(0)).alias("first"))
+    return placed.withColumn("part", part).join(offset, "part") \
+        .select("Cedula_Cliente", (F.col("first") + F.col("mid").bitwiseAND(F.lit((1 << 33) - 1))).alias(CLIENT))
+
+
+def with_client(df: DataFrame, numbers: DataFrame) -> DataFrame:
+    """``df`` with its client's number (null for an unknown client)."""
+    return df.join(numbers, "Cedula_Cliente", "left")
+
+
+def state_bitmaps(portfolio: DataFrame, numbers: DataFrame) -> DataFrame:
+    """(Estado_Vigencia, bucket, bits): the clients that have a loan in each state."""
+    held = portfolio.select("Cedula_Cliente", "Estado_Vigencia").distinct().join(numbers, "Cedula_Cliente")
+    at = F.col(CLIENT) + 1  # Spark numbers the bits of bitmaps from 1
+    return held.groupBy("Estado_Vigencia", F.bitmap_bucket_number(at).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits"))
+
+
+def keep_states(df: DataFrame, bitmaps: DataFrame, states) -> DataFrame:
+    """Rows whose client has a loan in one of ``states``; ``df`` has the clients' numbers."""
+    some = bitmaps.where(q("Estado_Vigencia").isin(*states)).groupBy("bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+    at = F.col(CLIENT) + 1
+    bit = F.bitmap_bit_position(at)
+    byte = F.conv(F.hex(F.substring(F.col("bits"), (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    on = F.call_function("shiftright", byte, F.pmod(bit, F.lit(8)).cast("int")).bitwiseAND(F.lit(1)) == 1
+    return df.join(some, F.bitmap_bucket_number(at) == F.col("bucket")).where(on).drop("bucket", "bits")

@@ -249,9 +249,12 @@ def master_tables(root: str, job_id: str, followup_base: DataFrame | None,
 
 
 def search_tables(root: str, job_id: str, contact_detail: DataFrame, portfolio: DataFrame) -> dict:
-    """What search reads: the follow-up detail by page key with trigram filters, and the client lookup."""
-    order = ["Credito", "seq"]
-    return {"busqueda_gestion": write_detail(contact_detail, root, "busqueda_gestion", job_id, order_by=order, text_columns=SEARCH_TEXT_COLUMNS),
+    """What search reads: the follow-up detail by page key with trigram filters and client
+    numbers, the clients of each validity state as bitmaps, and the client lookup."""
+    numbers = indexes.client_numbers(portfolio, fresh_path(portfolio.sparkSession, "clients"))
+    detail = indexes.with_client(contact_detail, numbers)
+    return {"busqueda_gestion": write_detail(detail, root, "busqueda_gestion", job_id, order_by=["Credito", "seq"], text_columns=SEARCH_TEXT_COLUMNS),
+            "busqueda_validez": write_detail(indexes.state_bitmaps(portfolio, numbers), root, "busqueda_validez", job_id),
             "busqueda_clientes": write_lookup(portfolio, root, "busqueda_clientes", job_id)}
 
 

@@ -169,3 +169,36 @@ def test_a_rewrite_that_fails_halfway_leaves_the_old_rows(spark, stored):
     assert len(store.versions(spark, path)) == 2 and search.find_page_stored(spark, path, SearchRequest()).pages == 0
     with pytest.raises(FileNotFoundError):
         store.resolve_dataset(spark, root, "d", "other")
+
+
+def test_client_bitmaps_are_the_semi_join(spark, monkeypatch):
+    """Random clients over more than one bitmap, null and unknown clients; the rows are not shuffled."""
+    rng = random.Random(5)
+    loans = spark.createDataFrame([(f"c{rng.randrange(90_000):05d}" if rng.random() < 0.99 else None, rng.choice(["vigente", "vencido", "anticipado", None])) for _ in range(70_000)],
+                                  "Cedula_Cliente string, Estado_Vigencia string").repartition(6)
+    rows = spark.createDataFrame([(f"c{rng.randrange(99_000):05d}" if rng.random() < 0.99 else None, i) for i in range(5_000)], "Cedula_Cliente string, seq long")
+    numbers = indexes.client_numbers(loans, fresh_path(spark, "clients"))
+    n = loans.where("Cedula_Cliente is not null").select("Cedula_Cliente").distinct().count()
+    assert numbers.agg(F.min(indexes.CLIENT), F.max(indexes.CLIENT), F.countDistinct(indexes.CLIENT), F.count("*")).first() == (0, n - 1, n, n) and n > 40_000
+    root = fresh_path(spark, "bitmaps")
+    store.write_detail(indexes.state_bitmaps(loans, numbers), root, "busqueda_validez", "j")
+    store.write_detail(indexes.with_client(rows, numbers), root, "d", "j")
+    bitmaps, detail = (store.read_stored(spark, store.job_path(root, f, "j")) for f in ("busqueda_validez", "d"))
+    for states in (["vigente"], ["vencido", "anticipado"], ["no hay"]):
+        got = indexes.keep_states(detail, bitmaps, states)
+        want = search.semi_join_validity(rows, loans, states)
+        assert sorted(r.seq for r in got.collect()) == sorted(r.seq for r in want.collect())
+    plan = indexes.keep_states(detail, bitmaps, ["vigente"])._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and plan.count("Exchange hashpartitioning") == 1  # of the bitmaps of the states
+
+
+def test_pages_by_client_bitmaps(spark):
+    root = fresh_path(spark, "pages")
+    df = spark.createDataFrame(made(), COLS)
+    tables = store.search_tables(root, "j", df, df)
+    for req in (SearchRequest(vigencia=["vigente"], page=3), SearchRequest(vigencia=["vencido"], zona=["CL1"], page_size=30)):
+        got = search.find_page_stored(spark, tables["busqueda_gestion"], req, validity=store.read_stored(spark, tables["busqueda_validez"]))
+        want = search.find_page(df, req, ["Credito", "seq"], df)
+        cols = df.columns
+        assert got.total == want.total and [tuple(r) for r in got.rows.select(*cols).collect()] == [tuple(r) for r in want.rows.select(*cols).collect()]
+        assert indexes.CLIENT not in got.rows.columns
