@@ -297,8 +297,8 @@ def test_lines_of_rows_without_an_id_and_of_a_repeated_id(spark):
 
 def test_very_long_lines_with_a_neighbour(spark):
     rng = np.random.default_rng(2)
-    line = "".join(rng.choice(list("abcdefgh "), 100_000))
-    near = line[:50_000] + "#" + line[50_001:]
+    line = "".join(rng.choice(list("abcdefgh "), 30_000))
+    near = line[:15_000] + "#" + line[15_001:]
     df = spark.createDataFrame([(1, line), (2, near), (3, line[:-1]), (4, line[::-1])], "doc_id long, text string")
     got = {r.doc_id: (r.n_near, len(r.text)) for r in line_dedup.dedup_lines(df).collect()}
-    assert got == {1: (0, 100_000), 2: (1, 0), 3: (1, 0), 4: (0, 100_000)} or line.strip() != line
+    assert line.strip() == line and got == {1: (0, 30_000), 2: (1, 0), 3: (1, 0), 4: (0, 30_000)}
