@@ -2,8 +2,8 @@
 
 Joins here are equi-joins on the client id.  The client->role side is made
 distinct first (at most one row per client and role), so the fan-out is
-bounded by the number of roles; the contact-detail join, whose right side
-can hold a hot client, is an inner join (AQE can split either side).
+bounded by the number of roles; joins whose right side can hold a hot client
+are inner joins (AQE can split either side).
 """
 
 from __future__ import annotations
@@ -115,7 +115,30 @@ def join_contact_detail(merged: DataFrame, contacts: DataFrame) -> DataFrame:
     return out.withColumns(fills) if fills else out
 
 
-def followup_detail(portfolio: DataFrame, contacts: DataFrame) -> DataFrame:
-    """Loan x role x contact detail table (the follow-up master)."""
-    merged = join_client_roles(followup_base(portfolio), contacts)
-    return join_contact_detail(join_contacts_per_role(merged, contacts), contacts)
+def followup_detail(portfolio: DataFrame, contacts: DataFrame, clients: DataFrame | None = None) -> DataFrame:
+    """Loan x role x contact detail table (the follow-up master).
+
+    Roles, counts and contacts are joined per client, on the few columns of the
+    log; the wide loans meet the result in one inner join on the client (AQE can
+    split either side), so they are shuffled once and never after the fan-out.
+
+    ``clients``: one row per client of the portfolio, if they are at hand; their
+    further columns (the client's number) come with the detail.
+    """
+    base = followup_base(portfolio)
+    if clients is None:
+        clients = base.select("Cedula_Cliente").where(q("Cedula_Cliente").isNotNull()).distinct()
+    keys = ["Cedula_Cliente", "Cargo_Usuario"]
+    log = contacts.select(*[q(c).alias(c + "_right" if c in base.columns and c not in keys else c) for c in contacts.columns if c != "Empresa"])
+    rows = join_contact_detail(join_contacts_per_role(join_client_roles(clients, log), log), log)
+    more = [c for c in clients.columns if c not in keys]
+    extra = [c for c in rows.columns if c not in [*keys, "Novedades_Por_Cargo", *more]]
+    met = base.where(q("Cedula_Cliente").isNotNull()).join(rows, "Cedula_Cliente")
+    # a loan without a client has no contacts
+    none = {"Cargo_Usuario": F.lit(UNASSIGNED), "Novedades_Por_Cargo": F.lit(0).cast("long")}
+    alone = base.where(q("Cedula_Cliente").isNull()).withColumns(
+        none | {c: F.lit(None).cast(rows.schema[c].dataType) for c in [*extra, *more]})
+    cols = [q(c) for c in [*keys, *[c for c in base.columns if c not in keys], "Novedades_Por_Cargo", *extra, *more]]
+    out = met.select(*cols).unionByName(alone.select(*cols))
+    fills = {c: F.coalesce(q(c), F.lit("")) for c in ["Novedad", "Tipo_Novedad", "Nombre_Usuario"] if c in out.columns}
+    return out.withColumns(fills) if fills else out
