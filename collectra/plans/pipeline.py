@@ -20,7 +20,8 @@ from collectra.operators import commercial, followups, portfolio as pf, results
 from collectra.operators.callcenter import base, calls as cl, contacts as ct, fuzzy, messaging as ms
 from collectra.operators.cleaning import (clean_applications, clean_calls, clean_contacts, clean_messages,
                                           clean_portfolio, enrich_portfolio)
-from collectra.sources import store
+from collectra.session import fresh_path
+from collectra.sources import indexes, store
 
 
 def _stage(spark: SparkSession, df: DataFrame, root: str, job_id: str, name: str) -> DataFrame:
@@ -115,9 +116,13 @@ def run_report(spark: SparkSession, raw: dict, root: str, job_id: str, empresa:
     except Exception as e:  # noqa: BLE001
         errors["call_center/novedades"] = str(e)[:500]
 
+    @functools.cache
+    def clients():
+        return indexes.client_numbers(p, fresh_path(spark, "clients"))
+
     @functools.cache
     def detail():
-        return _stage(spark, followups.followup_detail(p, nov), root, job_id, "detail")
+        return _stage(spark, followups.followup_detail(p, nov, clients()), root, job_id, "detail")
 
     details = {
         "detallados_call_center": lambda: store.write_detail(base.management_detail(p, nov), root,
@@ -130,7 +135,7 @@ def run_report(spark: SparkSession, raw: dict, root: str, job_id: str, empresa:
         "comercial_retanqueos": lambda: store.write_detail(refi, root, "comercial_retanqueos", job_id),
         "comercial_cosechas": lambda: store.write_detail(vint, root, "comercial_cosechas", job_id),
         "masters": lambda: store.master_tables(root, job_id, fb, detail(), nov),
-        "busqueda": lambda: store.search_tables(root, job_id, detail(), p),
+        "busqueda": lambda: store.search_tables(root, job_id, detail(), p, clients()),
     }
     if apps is not None:
         details["comercial_fnz"] = lambda: store.write_detail(apps, root, "comercial_fnz", job_id)

@@ -2,7 +2,11 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 from collectra.operators import followups
+from collectra.session import fresh_path
+from collectra.sources import indexes, store
 
 
 def made(spark):
@@ -43,3 +47,16 @@ def _subplans(plan):
         out.append(p)
         todo += [p.children().apply(i) for i in range(p.children().size())]
     return out
+
+
+def test_numbered_detail_is_stored_without_a_join(spark, monkeypatch):
+    loans, contacts = made(spark)
+    loans = loans.withColumn("Estado_Vigencia", F.lit("vigente")).withColumn("Nombre_Cliente", F.lit("Ana"))
+    numbers = indexes.client_numbers(loans, fresh_path(spark, "clients"))
+    detail = followups.followup_detail(loans, contacts, numbers)
+    plain = indexes.with_client(followups.followup_detail(loans, contacts), numbers)
+    assert sorted(map(str, detail.collect())) == sorted(map(str, plain.select(*detail.columns).collect()))
+    monkeypatch.setattr(indexes, "with_client", None)  # the fan-out is not joined again
+    tables = store.search_tables(fresh_path(spark, "numbered"), "j", detail, loans, numbers)
+    stored = store.read_stored(spark, tables["busqueda_gestion"])
+    assert sorted(map(str, stored.select(*detail.columns).collect())) == sorted(map(str, detail.collect()))
