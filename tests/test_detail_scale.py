@@ -60,3 +60,18 @@ def test_numbered_detail_is_stored_without_a_join(spark, monkeypatch):
     tables = store.search_tables(fresh_path(spark, "numbered"), "j", detail, loans, numbers)
     stored = store.read_stored(spark, tables["busqueda_gestion"])
     assert sorted(map(str, stored.select(*detail.columns).collect())) == sorted(map(str, detail.collect()))
+
+
+def test_a_frequent_trigram_is_dealt_to_many_tasks(spark):
+    """Every row holds the trigram ``cli``: its list is written range by range, not by one task."""
+    rows = spark.range(4_000).selectExpr("concat('cli', id) AS Nombre_Cliente", "CAST(id AS STRING) AS Cedula_Cliente", "CAST(id AS STRING) AS Credito")
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        path = store.write_lookup(rows, fresh_path(spark, "lists"), "busqueda_clientes", "j", parts=8)
+    finally:
+        spark.conf.set(key, before)
+    stored = indexes._postings(spark, store.current(spark, path)).where("gram = 'cli'")
+    assert stored.count() == 4_000
+    assert stored.select(F.input_file_name()).distinct().count() > 1
