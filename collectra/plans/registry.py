@@ -24,7 +24,7 @@ from collectra.schemas import (CONTACT_SCHEMA, ROLL_RATE_TABLE_COLUMNS)
 from collectra.session import fresh_path
 from collectra.sources import fixtures as fx
 from collectra.sources import indexes, landing, store
-from collectra.sources.materialize import input_version, materialized, prepared
+from collectra.sources.materialize import input_version, materialized, prepared, stored
 
 AS_OF = _dt.date.fromisoformat(fx.AS_OF_PORTFOLIO)
 AS_OF_PROMISES = _dt.date.fromisoformat(fx.AS_OF_PROMISES)
@@ -38,10 +38,12 @@ class T:
     """Domain tables of one run.
 
     The cleaned domain tables (the "loaded sheets") are written once per
-    session and input folder to the shared root and re-read by every
-    downstream query, as a batch pipeline loads its report once and runs all
-    modules on it.  ``load_*`` queries and the fuzzy match itself build from
-    the raw tables so their own operators are what they measure.
+    session and input folder to the shared root and re-read by the
+    downstream queries, as a batch pipeline loads its report once and runs all
+    modules on it.  The follow-up charts read theirs once: they take a table
+    that is written, and else its plan, pruned to their columns.  ``load_*``
+    queries and the fuzzy match itself build from the raw tables so their own
+    operators are what they measure.
     """
 
     def __init__(self, spark: SparkSession, sf: str):
@@ -51,6 +53,11 @@ class T:
     def _m(self, name, build):
         return materialized(self.spark, name, self.sf, build, version=self.version)
 
+    def _planned(self, name, build):
+        """A table that a query reads once, for few of its columns: as written, if
+        it is, else its plan, of which Spark works out those columns only."""
+        return stored(self.spark, name, self.sf, build, version=self.version)
+
     def portfolio(self):
         return self._m("portfolio", lambda: fx.portfolio(self.spark, self.sf))
 
@@ -69,11 +76,20 @@ class T:
     def applications(self):
         return self._m("applications", lambda: fx.applications(self.spark, self.sf))
 
+    def planned_portfolio(self):
+        return self._planned("portfolio", lambda: fx.portfolio(self.spark, self.sf))
+
+    def planned_contacts(self):
+        return self._planned("contacts", lambda: fx.contacts(self.spark, self.sf))
+
     def followup_base(self):
         return followups.followup_base(self.portfolio())
 
+    def planned_base(self):
+        return followups.followup_base(self.planned_portfolio())
+
     def merged(self):
-        return followups.join_client_roles(self.followup_base(), self.contacts())
+        return followups.join_client_roles(self.planned_base(), self.planned_contacts())
 
     def cc_portfolio(self):
         return base.callcenter_enrich(self.portfolio())
@@ -484,7 +500,8 @@ def _(spark, sf):
 @query("join_contacts_per_role")
 def _(spark, sf):
     t = _t(spark, sf)
-    return followups.join_contacts_per_role(t.merged(), t.contacts()).select(
+    contacts = t.contacts()  # read twice: written first
+    return followups.join_contacts_per_role(t.merged(), contacts).select(
         "Credito", "Cargo_Usuario", "Novedades_Por_Cargo")
 
 
@@ -578,12 +595,12 @@ def _(spark, sf):
 
 @query("donut_payment")
 def _(spark, sf):
-    return followups.donut_payment(_t(spark, sf).followup_base())
+    return followups.donut_payment(_t(spark, sf).planned_base())
 
 
 @query("roll_rate")
 def _(spark, sf):
-    return followups.roll_rate(_t(spark, sf).followup_base())
+    return followups.roll_rate(_t(spark, sf).planned_base())
 
 
 @query("sunburst_all")

@@ -33,12 +33,19 @@ def input_version(spark: SparkSession, folder: str) -> str:
     return hashlib.sha1("\n".join(sorted(seen)).encode()).hexdigest()[:16]
 
 
+def _hash(name: str, key: str) -> str:
+    return hashlib.sha1(f"{name}|{key}".encode()).hexdigest()[:16]
+
+
+def _memo(spark: SparkSession, name: str, key: str) -> tuple:
+    return id(spark), name, _hash(name, key)
+
+
 def prepared(spark: SparkSession, name: str, key: str, make, version: str = ""):
     """``make(path)`` once per session and input version under ``views/<name>-<hash>``.
 
     What it returns is kept; the folder is removed when the application ends."""
-    h = hashlib.sha1(f"{name}|{key}".encode()).hexdigest()[:16]
-    memo = (id(spark), name, h)
+    h, memo = _hash(name, key), _memo(spark, name, key)
     with _GUARD:
         lock = _LOCKS.setdefault(memo, threading.Lock())
     with lock:  # concurrent callers wait for one writer
@@ -59,6 +66,15 @@ def materialized(spark: SparkSession, name: str, key: str, build, version: str =
     return prepared(spark, name, key, make, version)
 
 
+def stored(spark: SparkSession, name: str, key: str, build, version: str = "") -> DataFrame:
+    """The table that :func:`materialized` has written, if it has; else ``build()``, not written.
+
+    For a query that reads the table once: writing all its columns would cost it
+    more than the few that it asks for, which Spark prunes the plan to."""
+    done = _DONE.get(_memo(spark, name, key))
+    return done[0] if done is not None and done[1] == version else build()
+
+
 def forget(spark: SparkSession | None = None):
     """Drop the memo (e.g. after the input folder changed)."""
     for k in list(_DONE):
