@@ -33,6 +33,18 @@ from collectra.session import fresh_path
 from collectra.sources.store import resolve_dataset
 
 
+# what the metrics read of the detail beside the columns of its filters and facets,
+# and its last contact
+METRIC_COLUMNS = ["Cedula_Cliente", "Call_Center_Apoyo", "Cobrador", "Nombre_Call_Center", "Franja_Meta", "Meta_General", "Meta_$",
+                  "Recaudo_Meta", "Total_Recaudo", "Cantidad_Novedades", "Estado_Vigencia", "Tipo_Novedad", "Novedad"]
+
+
+def click_columns(detail: DataFrame) -> DataFrame:
+    """The detail as far as a click can ask for it: every row, without the columns that no filter and no metric reads."""
+    wanted = {*METRIC_COLUMNS, *(c for c, _ in LIVE_FACETS), *(c for _, c in FRONT_FACETS)}
+    return detail.select(*[q(c) for c in detail.columns if c in wanted])
+
+
 def _prefilter(pf: DataFrame, req: search.SearchRequest) -> DataFrame:
     """Facets, roll rate and contacted flag (row-level predicates only)."""
     preds = [q(c).isin(*v) for c, v in ((c, getattr(req, f)) for c, f in LIVE_FACETS) if v and c in pf.columns]

@@ -129,6 +129,12 @@ class T:
         """The stored call-centre detail that live metrics filter."""
         return self._m("management_detail", lambda: base.management_detail(self.portfolio(), self.contacts()))
 
+    def live_detail(self):
+        """What live metrics read of the call-centre detail: the stored one, or else its columns that a click can ask for, written."""
+        from collectra.plans.live_metrics import click_columns
+        return self._planned("management_detail", lambda: self._m(
+            "live_detail", lambda: click_columns(base.management_detail(self.planned_portfolio(), self.contacts()))))
+
     def vintages(self):
         return commercial.vintage_early_risk(self.portfolio(), AS_OF)
 
@@ -798,4 +804,4 @@ def _(spark, sf):
     from collectra.plans.live_metrics import live_cc_metrics
     t = _t(spark, sf)
     req = _search_req(call_center=["CL1", "CL2", "CL5"], franja=["AL DIA", "1 A 30", "31 A 90"])
-    return live_cc_metrics(t.management_detail(), t.contacts(), t.calls(), t.messages(), req, AS_OF_PROMISES, candidates=t.candidates())
+    return live_cc_metrics(t.live_detail(), t.contacts(), t.calls(), t.messages(), req, AS_OF_PROMISES, candidates=t.candidates())

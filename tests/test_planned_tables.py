@@ -49,3 +49,21 @@ def test_planned_and_written_tables_give_the_same_rows(spark, folder):
         df = QUERIES[k](spark, folder)
         assert not any("lineitem" in f for f in df.inputFiles())  # the written tables are taken
         assert (df.columns, rows(df)) == got[k] and got[k][1]
+
+
+def test_live_detail_answers_every_click_like_the_whole_detail(spark, folder):
+    from collectra.operators.search import SearchRequest
+    from collectra.plans import live_metrics as lm
+
+    t = T(spark, folder)
+    small = t.live_detail()
+    assert "portfolio" not in written(folder) and "Nombre_Cliente" not in small.columns
+    whole = t.management_detail()
+    assert t.live_detail().columns == whole.columns  # the stored detail is taken once it is there
+    assert rows(small) == rows(lm.click_columns(whole)) and small.count() == whole.count() > 0
+    req = SearchRequest(empresa=["E"], regional=["R0", "R1"], zona=["CL1", "CL2", "CL3"], franja=["AL DIA", "1 A 30", "91 A 180"], call_center=["CL1", "CL2", "CL3"],
+                        rodamiento=["MEJORA", "EMPEORA"], novedades=["Con Novedades"], vigencia=["vigente", "vencido", "anticipado"])
+    assert lm.filter_portfolio(whole, req).count() > 0
+    for r in (req, SearchRequest()):
+        got, want = (rows(lm.live_cc_metrics(d, t.contacts(), t.calls(), t.messages(), r, "1999-01-01", candidates=t.candidates())) for d in (small, whole))
+        assert got == want
