@@ -67,3 +67,28 @@ def test_live_detail_answers_every_click_like_the_whole_detail(spark, folder):
     for r in (req, SearchRequest()):
         got, want = (rows(lm.live_cc_metrics(d, t.contacts(), t.calls(), t.messages(), r, "1999-01-01", candidates=t.candidates())) for d in (small, whole))
         assert got == want
+
+
+def test_search_tables_store_the_detail_whole_without_a_first_copy(spark, folder, monkeypatch):
+    from collectra.operators import followups
+    from collectra.sources import indexes, store
+
+    monkeypatch.setattr(indexes, "RANGE_ROWS", 400)
+    got = rows(QUERIES["search_text"](spark, folder))
+    assert "contact_detail" not in written(folder)  # its plan is stored by page key at once
+    t = T(spark, folder)
+    tables = t.search_tables()
+    assert sorted(tables) == ["busqueda_clientes", "busqueda_gestion", "busqueda_validez"]
+    want = followups.followup_detail(t.portfolio(), t.contacts(), t.client_numbers())
+    path, kept, _ = store.open_stored(spark, tables["busqueda_gestion"])
+    whole = kept.drop(indexes.PART)
+    assert whole.columns == want.columns and rows(whole) == rows(want) and whole.count() > 800
+    # ranges by the number of rows, which is known well enough beforehand
+    sizes = [r["n"] for r in indexes.order_index(spark, path).collect()]
+    assert 3 <= len(sizes) <= indexes.ranges_for(followups.detail_size(t.portfolio(), t.contacts())) and max(sizes) < 700
+    # a detail that is written already is taken instead: same rows
+    for memo in [m for m in materialize._DONE if m[1] == "search"]:
+        del materialize._DONE[memo]
+    t.contact_detail()
+    again = QUERIES["search_text"](spark, folder)
+    assert rows(again) == got and rows(store.read_stored(spark, t.search_tables()["busqueda_gestion"])) == rows(want)

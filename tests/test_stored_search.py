@@ -202,3 +202,23 @@ def test_pages_by_client_bitmaps(spark):
         cols = df.columns
         assert got.total == want.total and [tuple(r) for r in got.rows.select(*cols).collect()] == [tuple(r) for r in want.rows.select(*cols).collect()]
         assert indexes.CLIENT not in got.rows.columns
+
+
+@pytest.mark.parametrize("alike", [[], ["Nombre_Cliente", "Cedula_Cliente"], ["Nombre_Cliente", "Cedula_Cliente", "Novedad"]])
+def test_trigram_filters_hold_the_trigrams_of_each_column(spark, stored, alike):
+    """Bits worked out by hand; columns whose values repeat together are taken apart once."""
+    import zlib
+    _, path, _, _ = stored
+    rows, cols = store.open_stored(spark, path)[1], ["Nombre_Cliente", "Cedula_Cliente", "Novedad"]
+    want = {}
+    for r in rows.select(indexes.PART, *[F.lower(c).alias(c) for c in cols]).collect():
+        for c in cols:
+            for g in indexes.term_trigrams(r[c] or ""):
+                want.setdefault((r[0], c), set()).add(zlib.crc32(g.encode()) % indexes.FILTER_BITS)
+    to = fresh_path(spark, "filters")
+    indexes.write_trigram_filters(rows, to, cols, alike)
+    got = {}
+    for r in spark.read.parquet(f"{to}/trigrams").collect():
+        bits = {(int(r["bucket"]) - 1) * indexes.BUCKET_BITS + 8 * i + k for i, b in enumerate(r["bits"]) for k in range(8) if b >> k & 1}
+        got.setdefault((r[indexes.PART], r["columna"]), set()).update(bits)
+    assert got == want and len(want) == 36
