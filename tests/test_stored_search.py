@@ -222,3 +222,15 @@ def test_trigram_filters_hold_the_trigrams_of_each_column(spark, stored, alike):
         bits = {(int(r["bucket"]) - 1) * indexes.BUCKET_BITS + 8 * i + k for i, b in enumerate(r["bits"]) for k in range(8) if b >> k & 1}
         got.setdefault((r[indexes.PART], r["columna"]), set()).update(bits)
     assert got == want and len(want) == 36
+
+
+def test_postings_name_each_trigram_of_a_row_once(spark, stored):
+    """A trigram that comes twice in a text, or in two texts of a row, is one posting; null and short texts have none."""
+    _, _, path, _ = stored
+    folder = store.current(spark, path)
+    want = set()
+    for r in spark.read.parquet(f"{folder}/lookup").collect():
+        texts = [(r.Nombre_Cliente or "").lower(), r.Cedula_Cliente or "", r.Credito or ""]
+        want |= {(g, r[indexes.PART], r[indexes.ROW]) for t in texts for g in indexes.term_trigrams(t)}
+    got = [(r.gram, r[indexes.PART], r[indexes.ROW]) for r in indexes._postings(spark, folder).collect()]
+    assert len(got) == len(set(got)) and set(got) == {(g, p, n) for g, p, n in want} and len(got) > 1_000
